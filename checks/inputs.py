@@ -60,12 +60,11 @@ ACCESS_LINES_SQL = f"""
             ELSE CAST(CAST(floor(value * 100 + 0.5) AS BIGINT) AS VARCHAR) END,
         ' "http://host', user_id % 10, '/" "', {AGENT_SQL}, '"') AS value
     FROM events"""
-_ACCESS_PATTERN = ACCESS_LINE.removeprefix("(?d)")
 ACCESS_SQL = f"""
-    SELECT regexp_extract(value, '{_ACCESS_PATTERN}', 1) AS ip,
-        COALESCE(TRY_CAST(regexp_extract(value, '{_ACCESS_PATTERN}', 5) AS BIGINT), 0) AS bytes,
-        trim(regexp_extract(value, '{_ACCESS_PATTERN}', 7), '"') AS user_agent,
-        regexp_matches(value, '{_ACCESS_PATTERN}') AS valid
+    SELECT regexp_extract(value, '{ACCESS_LINE}', 1) AS ip,
+        COALESCE(TRY_CAST(regexp_extract(value, '{ACCESS_LINE}', 5) AS BIGINT), 0) AS bytes,
+        regexp_extract(value, '{ACCESS_LINE}', 7) AS user_agent,
+        regexp_matches(value, '{ACCESS_LINE}') AS valid
     FROM ({ACCESS_LINES_SQL})"""
 
 

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.functions.numbers import byte_count
 
-# Fixed value: seven groups, matched from the start of the line. (?d) keeps `.` to one line.
-ACCESS_LINE = r'(?d)^(ip\d+) - - (\[.*\]) (".*") (\d+) (-|\d+) (".*") (".*")'
+# Fixed value: seven groups, matched from the start of the line; quotes stay outside the groups.
+ACCESS_LINE = r'^(ip\d+) - - (\[.*\]) "(.*)" (\d+) (-|\d+) "(.*)" "(.*)"'
+ACCESS_FIELDS = ["ip", "time", "request", "status", "size", "referrer", "user_agent"]
 
 # What each column of an ad-log line must look like, in column order.
 AD_LOG_PATTERNS = {
@@ -40,30 +41,19 @@ AD_LOG_PATTERNS = {
 AD_LOG_LINE = "^" + r"\t".join(AD_LOG_PATTERNS.values())
 
 
-def _access_group(line: Column | str, group: int) -> Column:
-    return F.regexp_extract(line, ACCESS_LINE, group)
-
-
-def _unquoted(field: Column) -> Column:
-    return F.regexp_replace(field, '^"|"$', "")
-
-
 def parse_access(lines: DataFrame, line: str = "value") -> DataFrame:
-    """Lines split into their seven fields, with `valid`; a field nobody reads is not extracted.
+    """Lines split into their fields, plus `bytes` and `valid`; the fields of other lines are null.
 
-    A line is valid when it matches and its size fits a bigint. Quotes around the request,
-    referrer and user agent are not part of the fields.
+    A line is valid when it matches and its size fits a bigint. The pattern runs once per line: it
+    rewrites the line to its groups, one per text line, which an input line can never contain.
+    Count with `count_if("valid")` rather than filter first, or the pattern runs again in the filter.
     """
-    parts = {
-        "ip": _access_group(line, 1),
-        "time": _access_group(line, 2),
-        "request": _unquoted(_access_group(line, 3)),
-        "status": _access_group(line, 4).try_cast("int"),
-        "bytes": byte_count(_access_group(line, 5)),
-        "referrer": _unquoted(_access_group(line, 6)),
-        "user_agent": _unquoted(_access_group(line, 7)),
-    }
-    return lines.withColumns(parts).withColumn("valid", (F.col("ip") != "") & F.col("bytes").isNotNull())
+    groups = "\n".join(f"${at}" for at in range(1, len(ACCESS_FIELDS) + 1))
+    found = F.split(F.regexp_replace(line, f"(?d){ACCESS_LINE}.*", groups), "\n")
+    matches = F.size("_found") == len(ACCESS_FIELDS)
+    fields = {name: F.when(matches, F.get("_found", F.lit(at))) for at, name in enumerate(ACCESS_FIELDS)}
+    parsed = lines.withColumn("_found", found).withColumns({**fields, "bytes": byte_count(fields["size"])})
+    return parsed.withColumn("valid", F.col("bytes").isNotNull()).drop("_found")
 
 
 def parse_ad_log(lines: DataFrame, line: str = "value") -> DataFrame:

@@ -39,10 +39,11 @@ def anomaly_score(error: Column, earlier_sum: Column, earlier_count: Column) ->
 def score_history(readings: DataFrame, chunk: str = "hour") -> DataFrame:
     """Scores for rows with `device_id`, `ts`, `seq` and `value`; other columns come along.
 
-    Rows without a time or value are left out. `chunk` is the unit of `date_trunc` that bounds
+    Rows without a device, time or value are left out. `chunk` is the unit of `date_trunc` that bounds
     how much of one device a single task holds.
     """
-    placed = readings.where("ts is not null and value is not null").withColumn("_chunk", F.date_trunc(chunk, "ts"))
+    usable = readings.where("device_id is not null and value is not null")
+    placed = usable.withColumn("_chunk", F.date_trunc(chunk, "ts")).where("_chunk is not null")
     inside = Window.partitionBy("device_id", "_chunk").orderBy("ts", "seq")
     two_back = inside.rowsBetween(Window.unboundedPreceding, -2)
     rows = (

@@ -6,18 +6,19 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.functions.agents import browser
-from millrace.functions.logs import accepted, line_counts, parse_access
+from millrace.functions.logs import line_counts, parse_access
 from millrace.functions.numbers import round_half_up
-from millrace.operators.joining import count_by
 from millrace.sources.sinks import write_csv, write_pairs
 
 
 def traffic_by_ip(lines: DataFrame) -> DataFrame:
     """Average bytes per request, with two decimals, and total bytes per address."""
+    good = F.col("valid")
     sums = (
-        accepted(parse_access(lines))
+        parse_access(lines)
         .groupBy("ip")
-        .agg(F.sum("bytes").alias("total_bytes"), F.count(F.lit(1)).alias("requests"))
+        .agg(F.sum(F.when(good, F.col("bytes"))).alias("total_bytes"), F.count_if(good).alias("requests"))
+        .where("requests > 0")
     )
     average = round_half_up(F.col("total_bytes") / F.col("requests"), 2)
     return sums.select("ip", average.alias("average_bytes"), "total_bytes")
@@ -25,7 +26,7 @@ def traffic_by_ip(lines: DataFrame) -> DataFrame:
 
 def requests_by_browser(lines: DataFrame) -> DataFrame:
     """Requests per browser family; equal agents are counted before they are classified."""
-    agents = count_by(accepted(parse_access(lines)), "user_agent")
+    agents = parse_access(lines).groupBy("user_agent").agg(F.count_if("valid").alias("n")).where("n > 0")
     return agents.groupBy(browser("user_agent").alias("browser")).agg(F.sum("n").alias("requests"))
 
 

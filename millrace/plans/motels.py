@@ -57,7 +57,7 @@ def best_offers(raw_bids: DataFrame, rates: DataFrame, motels: DataFrame, ties:
     if ties not in ("all", "first"):
         raise ValueError(f"ties must be 'all' or 'first', not {ties!r}")
     euro = [round_half_up(number(country) * F.col("rate"), 3).alias(country) for country in BID_COUNTRIES]
-    prices = rated_bids(raw_bids, rates).select("MotelID", "BidDate", *euro)
+    prices = rated_bids(raw_bids, rates).where("rate is not null").select("MotelID", "BidDate", *euro)
     winners = _all_best(prices) if ties == "all" else _first_best(prices)
     names = motels.select("MotelID", "MotelName")
     return winners.join(names, "MotelID", "left").select(
@@ -66,12 +66,13 @@ def best_offers(raw_bids: DataFrame, rates: DataFrame, motels: DataFrame, ties:
 
 
 def _all_best(prices: DataFrame) -> DataFrame:
-    best_of_bid = prices.withColumn("price", F.greatest(*BID_COUNTRIES)).where(F.col("price").isNotNull())
+    # A bid without any price loses to all others; testing it earlier would compute prices twice.
+    best_of_bid = prices.withColumn("price", F.greatest(*BID_COUNTRIES))
     reached = [F.count_if(F.col(country) == F.col("price")).alias(country) for country in BID_COUNTRIES]
     per_price = best_of_bid.groupBy("MotelID", "BidDate", "price").agg(*reached)
     top = per_price.groupBy("MotelID", "BidDate").agg(F.max(F.struct("price", *BID_COUNTRIES)).alias("top"))
     counts = unpivot(top.select("MotelID", "BidDate", "top.*"), ["MotelID", "BidDate", "price"], BID_COUNTRIES, "loSa", "n")
-    return repeat_rows(counts.where("n > 0"), "n")
+    return repeat_rows(counts.where("price is not null and n > 0"), "n")
 
 
 def _first_best(prices: DataFrame) -> DataFrame:

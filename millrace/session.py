@@ -6,6 +6,7 @@ import tempfile
 import uuid
 from functools import lru_cache
 
+from pyspark import SparkConf
 from pyspark.sql import DataFrame, SparkSession
 
 # Spark chooses broadcast joins itself from the size it knows, and falls back to a shuffled
@@ -25,11 +26,13 @@ SETTINGS = {
 
 
 def build_session(app: str, master: str | None = None, extra: dict | None = None) -> SparkSession:
-    """A session with the settings above; `extra` (for example conf/cluster.conf) wins."""
+    """A session with the settings above, where neither spark-submit nor `extra` says otherwise."""
+    submitted = SparkConf()
+    defaults = {name: value for name, value in SETTINGS.items() if not submitted.contains(name)}
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
-    for name, value in {**SETTINGS, **(extra or {})}.items():
+    for name, value in {**defaults, **(extra or {})}.items():
         builder = builder.config(name, value)
     return builder.getOrCreate()
 

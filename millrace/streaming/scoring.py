@@ -56,9 +56,7 @@ def score_frame(readings: pd.DataFrame, state: tuple | None, alpha: float = 1.0)
     times = readings["ts"]
     late = (times < latest).to_numpy() if latest is not None else np.zeros(count, dtype=bool)
     newest = times.max() if latest is None else max(times.max(), pd.Timestamp(latest))
-    scored = readings.assign(
-        prediction=predictions, error=error, anomaly=anomaly, predictionNext=forecasts, late=late
-    )
+    scored = readings.assign(prediction=predictions, error=error, anomaly=anomaly, predictionNext=forecasts, late=late)
     after = (
         int(records + count),
         float(values[-1]),
@@ -70,6 +68,13 @@ def score_frame(readings: pd.DataFrame, state: tuple | None, alpha: float = 1.0)
     return scored, after
 
 
+def in_order(frames: list[pd.DataFrame]) -> pd.DataFrame:
+    """One device's readings of a micro-batch, by time and then by position in the feed."""
+    batch = frames[0] if len(frames) == 1 else pd.concat(frames, ignore_index=True)
+    order = np.lexsort((batch["seq"].to_numpy(), batch["ts"].to_numpy()))
+    return batch if (order[1:] > order[:-1]).all() else batch.iloc[order]
+
+
 def score_stream(readings: DataFrame, alpha: float = 1.0, idle: str | None = None) -> DataFrame:
     """A stream with `device_id`, `ts`, `seq` and `value`, plus the scores; other columns come along.
 
@@ -84,9 +89,7 @@ def score_stream(readings: DataFrame, alpha: float = 1.0, idle: str | None = Non
         if state.hasTimedOut:
             state.remove()
             return
-        batch = pd.concat(list(frames), ignore_index=True)
-        batch = batch.sort_values(["ts", "seq"], kind="stable")[columns]
-        scored, after = score_frame(batch, state.get if state.exists else None, alpha)
+        scored, after = score_frame(in_order(list(frames))[columns], state.get if state.exists else None, alpha)
         state.update(after)
         if idle:
             state.setTimeoutDuration(int(idle))
