@@ -36,3 +36,8 @@ def to_messages(rows: DataFrame) -> DataFrame:
 def from_json_text(text: Column | str) -> Column:
     """The record in a JSON text, as a struct; null fields where it does not parse."""
     return F.from_json(text, READING_MESSAGE)
+
+
+def parsed_fields(text: Column | str, *names: str) -> Column:
+    """Text fields of the record in a JSON text, as columns of their own."""
+    return F.inline(F.array(F.from_json(text, ", ".join(f"{name} string" for name in names))))

@@ -2,17 +2,19 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.functions.dates import gmt_time
 from millrace.functions.numbers import number
-from millrace.functions.records import from_json_text, record_json, to_messages
+from millrace.functions.records import parsed_fields, record_json, to_messages
 from millrace.operators.scoring import score_history
-from millrace.schemas import READING_FIELDS
+from millrace.schemas import READING_FIELDS, SCORE_FIELDS
 from millrace.sources.messages import publish
 from millrace.sources.tables import read_table
 
+NEEDED = ("dateGMT", "timeGMT", "sampleMeasurement")
+
 
 def read_readings(spark: SparkSession, path: str) -> DataFrame:
     return read_table(spark, path, READING_FIELDS)
@@ -24,21 +26,24 @@ def publish_readings(rows: DataFrame, target: str, fmt: str = "kafka", **options
 
 
 def readings_of(messages: DataFrame) -> DataFrame:
-    """Messages with what scoring needs: `device_id`, `ts`, `seq`, `value`, and the record itself.
+    """Messages with what scoring needs: `device_id`, `ts`, `seq`, `value`, and the text as `record`.
 
-    A message that does not parse, or whose time or measurement is unreadable, has null there.
+    A message that does not parse, or whose time or measurement is unreadable, has null there. The
+    text is parsed once per message: filters on parsed fields stay above the `inline`.
     """
-    record = messages.withColumn("record", from_json_text("value"))
-    return record.select(
-        F.col("key").alias("device_id"),
-        gmt_time("record.dateGMT", "record.timeGMT").alias("ts"),
+    parsed = messages.select(
+        F.col("key").alias("device_id"), "seq", F.col("value").alias("record"), parsed_fields("value", *NEEDED)
+    )
+    return parsed.select(
+        "device_id",
+        gmt_time("dateGMT", "timeGMT").alias("ts"),
         "seq",
-        number("record.sampleMeasurement").alias("value"),
+        number("sampleMeasurement").alias("value"),
         "record",
     )
 
 
-def is_reading():
+def is_reading() -> Column:
     return F.col("ts").isNotNull() & F.col("value").isNotNull()
 
 
@@ -49,8 +54,7 @@ def unreadable(messages: DataFrame) -> DataFrame:
 
 def scored_messages(scored: DataFrame) -> DataFrame:
     """Scored readings as messages again: the record with its four result fields filled in."""
-    fields = [F.col(f"record.{name}").alias(name) for name in READING_FIELDS]
-    rows = scored.select("device_id", *fields, "prediction", "error", "anomaly", "predictionNext")
+    rows = scored.select("device_id", *SCORE_FIELDS, parsed_fields("record", *READING_FIELDS))
     return rows.select(F.col("device_id").alias("key"), record_json().alias("value"))
 
 

@@ -8,11 +8,9 @@ from decimal import Decimal
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from millrace.operators.scoring import ERROR_FACTOR, MILLIONTHS
 from millrace.plans.sensors import is_reading, readings_of, scored_messages
-from millrace.schemas import READING_MESSAGE
 
 STATE = (
     "records bigint, value double, prediction double, predictionNext double, "
@@ -95,16 +93,11 @@ def score_stream(readings: DataFrame, alpha: float = 1.0, idle: str | None = Non
             state.setTimeoutDuration(int(idle))
         yield scored
 
-    usable = readings.where(F.col("ts").isNotNull() & F.col("value").isNotNull())
-    return usable.groupBy("device_id").applyInPandasWithState(
+    return readings.where(is_reading()).groupBy("device_id").applyInPandasWithState(
         score, output, STATE, "append", "ProcessingTimeTimeout" if idle else "NoTimeout"
     )
 
 
 def score_message_stream(messages: DataFrame, alpha: float = 1.0) -> DataFrame:
     """Messages in, enriched messages out, under the same keys."""
-    readings = readings_of(messages).where(is_reading())
-    # The record crosses to Python and back as one text, untouched.
-    carried = readings.withColumn("record", F.to_json("record"))
-    scored = score_stream(carried, alpha)
-    return scored_messages(scored.withColumn("record", F.from_json("record", READING_MESSAGE)))
+    return scored_messages(score_stream(readings_of(messages), alpha))
