@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from checks import inputs
-from checks.jobs import log_stats, motel_errors
+from checks.jobs import LOG_STATS_SQL, log_stats, motel_errors
 from checks.registry import query, table
 from millrace.functions.records import from_json_text
 from millrace.plans import access_log, weather
@@ -119,10 +119,6 @@ def appended_csv(spark, sf_dir):
     return read_table(spark, folder, ["BidDate", "HU", "n"])
 
 
-LOG_STATS_SQL = f"""SELECT ip, floor(CAST(sum(bytes) AS BIGINT) / count(*) * 100 + 0.5) / 100 AS average_bytes,
-    CAST(sum(bytes) AS BIGINT) AS total_bytes FROM ({inputs.ACCESS_SQL}) WHERE valid GROUP BY ip"""
-
-
 @query("compressed_csv", LOG_STATS_SQL)
 def compressed_csv(spark, sf_dir):
     folder = run_folder(spark, "traffic")

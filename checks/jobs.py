@@ -5,10 +5,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from checks import inputs
-from checks.registry import query, table
+from checks.registry import ORACLES, query, table
 from millrace.functions.agents import BROWSER_RULES, DEVICE_RULES, OS_RULES
-from millrace.plans import access_log, bids_by_city, city_profile, motels, sensors, words
 from millrace.operators.scoring import score_history
+from millrace.plans import access_log, bids_by_city, city_profile, motels, sensors, words
 
 WORD_SQL = r"unnest(regexp_extract_all(text, '[\p{L}\p{N}_'']+'))"
 
@@ -50,19 +50,32 @@ def log_stats(spark, sf_dir):
     return access_log.traffic_by_ip(inputs.access_lines(spark, sf_dir))
 
 
+LOG_STATS_SQL = ORACLES["log_stats"]
+BROWSERS_SQL = f"""SELECT {inputs.family_sql('user_agent', BROWSER_RULES)} AS browser, count(*) AS requests
+    FROM ({inputs.ACCESS_SQL}) WHERE valid GROUP BY 1"""
+LOG_REJECTS_SQL = f"SELECT count(*) AS lines, count(*) FILTER (NOT valid) AS bad_lines FROM ({inputs.ACCESS_SQL})"
+
+
 @query(
-    "log_browsers",
-    f"""SELECT {inputs.family_sql('user_agent', BROWSER_RULES)} AS browser, count(*) AS requests
-        FROM ({inputs.ACCESS_SQL}) WHERE valid GROUP BY 1""",
+    "log_reports",
+    f"""SELECT 'traffic ' || ip AS name, total_bytes AS n FROM ({LOG_STATS_SQL})
+        UNION ALL SELECT 'browser ' || browser, requests FROM ({BROWSERS_SQL})
+        UNION ALL SELECT 'bad lines', bad_lines FROM ({LOG_REJECTS_SQL})""",
 )
+def log_reports(spark, sf_dir):
+    """All three reports of the log from one pass over it."""
+    found = access_log.reports(inputs.access_lines(spark, sf_dir))
+    traffic = found["traffic"].select(F.concat(F.lit("traffic "), "ip").alias("name"), F.col("total_bytes").alias("n"))
+    browsers = found["browsers"].select(F.concat(F.lit("browser "), "browser"), "requests")
+    return traffic.union(browsers).union(found["bad_lines"].select(F.lit("bad lines"), "bad_lines"))
+
+
+@query("log_browsers", BROWSERS_SQL)
 def log_browsers(spark, sf_dir):
     return access_log.requests_by_browser(inputs.access_lines(spark, sf_dir))
 
 
-@query(
-    "log_rejects",
-    f"SELECT count(*) AS lines, count(*) FILTER (NOT valid) AS bad_lines FROM ({inputs.ACCESS_SQL})",
-)
+@query("log_rejects", LOG_REJECTS_SQL)
 def log_rejects(spark, sf_dir):
     return access_log.bad_lines(inputs.access_lines(spark, sf_dir))
 
@@ -109,6 +122,23 @@ def unknown_cities(spark, sf_dir):
     return bids_by_city.unknown_cities(inputs.ad_lines(spark, sf_dir), inputs.cities(spark, sf_dir))
 
 
+@query(
+    "city_reports",
+    f"""WITH high AS (SELECT * FROM ({inputs.AD_SQL}) WHERE valid AND bidding_price > 250)
+        SELECT 'os ' || {inputs.family_sql('user_agent', OS_RULES)} AS name, count(*) AS n FROM high GROUP BY 1
+        UNION ALL SELECT 'city ' || name, count(*) FROM high JOIN ({inputs.CITIES_SQL}) USING (city_id) GROUP BY 1
+        UNION ALL SELECT 'unknown', count(*) FROM high WHERE city_id NOT IN (SELECT city_id FROM ({inputs.CITIES_SQL}))
+        UNION ALL SELECT 'bad lines', count(*) FROM ({inputs.AD_SQL}) WHERE NOT valid""",
+)
+def city_reports(spark, sf_dir):
+    """Both city tables, the unknown cities and the bad lines from one pass over the log."""
+    found = bids_by_city.reports(inputs.ad_lines(spark, sf_dir), inputs.cities(spark, sf_dir))
+    systems = found["by_os"].groupBy(F.concat(F.lit("os "), "os").alias("name")).agg(F.sum("n").alias("n"))
+    named = found["by_city"].select(F.concat(F.lit("city "), "city"), "n")
+    unknown = found["unknown_cities"].select(F.lit("unknown"), "bids")
+    return systems.union(named).union(unknown).union(found["bad_lines"].select(F.lit("bad lines"), "bad_lines"))
+
+
 @query(
     "bids_by_os_and_city",
     f"""SELECT {inputs.family_sql('user_agent', OS_RULES)} AS os, city_id, count(*) AS n FROM ({inputs.AD_SQL})

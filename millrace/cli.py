@@ -34,34 +34,25 @@ def longest_words(spark: SparkSession, args) -> None:
 
 
 def log_stats(spark: SparkSession, args) -> None:
-    lines = read_lines(spark, args.paths)
+    found = access_log.reports(read_lines(spark, args.paths))
     if args.output:
-        access_log.write_traffic(
-            access_log.traffic_by_ip(lines), args.output, args.output_format, args.compress == "true"
-        )
+        access_log.write_traffic(found["traffic"], args.output, args.output_format, args.compress == "true")
     else:
-        emit(access_log.traffic_by_ip(lines), None)
-    emit(access_log.requests_by_browser(lines), None)
-    emit(access_log.bad_lines(lines), None)
+        emit(found["traffic"], None)
+    emit(found["browsers"], None)
+    emit(found["bad_lines"], None)
 
 
 def city_bids(spark: SparkSession, args) -> None:
-    lines = read_lines(spark, args.paths)
     cities = read_lookup(spark, args.city_names_file, "city_id") if args.city_names_file else None
+    found = bids_by_city.reports(read_lines(spark, args.paths), cities)
+    emit(with_parallelism(found["by_city"], args.reducers_num), args.output and f"{args.output}/by_city")
     if args.by_os:
-        by_os = bids_by_city.bids_by_os_and_city(lines)
-        result = bids_by_city.city_totals(by_os, cities)
-        if args.output:
-            write_lines(bids_by_city.routed_by_os(by_os, args.reducers_num), f"{args.output}/by_os", "\t")
-            write_lines(with_parallelism(result, args.reducers_num), f"{args.output}/by_city", "\t")
-        else:
-            emit(by_os, None)
-            emit(result, None)
-    else:
-        emit(with_parallelism(bids_by_city.bids_by_city(lines, cities), args.reducers_num), args.output)
-    emit(bids_by_city.bad_lines(lines), None)
+        routed = bids_by_city.routed_by_os(found["by_os"], args.reducers_num)
+        emit(routed, args.output and f"{args.output}/by_os")
+    emit(found["bad_lines"], None)
     if cities is not None:
-        emit(bids_by_city.unknown_cities(lines, cities), None)
+        emit(found["unknown_cities"], None)
 
 
 def load_flights(spark: SparkSession, args) -> None:
@@ -97,7 +88,7 @@ def profile(spark: SparkSession, args) -> None:
 def motel_prices(spark: SparkSession, args) -> None:
     motels.run(
         spark, args.bids_path, args.exchange_rate_path, args.motels_path, args.result_path, args.ties, args.as_lines,
-        args.files,
+        args.files or None,
     )
 
 
@@ -180,7 +171,7 @@ def parser() -> argparse.ArgumentParser:
         command.add_argument(f"--{name}", required=True)
     command.add_argument("--ties", choices=["all", "first"], default="all")
     command.add_argument("--as_lines", action="store_true")
-    command.add_argument("--files", type=int, default=16)
+    command.add_argument("--files", type=int, default=16, help="0 leaves the number of files to Spark")
 
     command = job("export-weather", export_weather, output=False)
     command.add_argument("path")

@@ -9,6 +9,7 @@ from millrace.functions.agents import operating_system
 from millrace.functions.logs import accepted, line_counts, parse_ad_log
 from millrace.operators.joining import count_by, matched, unmatched, with_lookup
 from millrace.operators.layout import partition_and_sort
+from millrace.session import temporary_table
 
 PRICE_LIMIT = 250
 
@@ -27,9 +28,12 @@ def bids_by_city(lines: DataFrame, cities: DataFrame | None = None, limit: int =
 def unknown_cities(lines: DataFrame, cities: DataFrame, limit: int = PRICE_LIMIT) -> DataFrame:
     """One row: how many city ids, and how many high bids, the lookup does not know."""
     counts = count_by(high_bids(lines, limit), "city_id")
-    return unmatched(with_lookup(counts, cities, "city_id")).agg(
-        F.count(F.lit(1)).alias("cities"), F.coalesce(F.sum("n"), F.lit(0)).alias("bids")
-    )
+    return _unknown(with_lookup(counts, cities, "city_id"))
+
+
+def _unknown(named: DataFrame) -> DataFrame:
+    bids = F.coalesce(F.sum("n"), F.lit(0)).alias("bids")
+    return unmatched(named).agg(F.count(F.lit(1)).alias("cities"), bids)
 
 
 def bids_by_os_and_city(lines: DataFrame, limit: int = PRICE_LIMIT) -> DataFrame:
@@ -52,3 +56,33 @@ def routed_by_os(by_os: DataFrame, partitions: int | None = None) -> DataFrame:
 
 def bad_lines(lines: DataFrame) -> DataFrame:
     return line_counts(parse_ad_log(lines))
+
+
+def line_groups(lines: DataFrame, limit: int = PRICE_LIMIT) -> DataFrame:
+    """Lines, bad lines and high bids per city and agent; bad lines share one group without either."""
+    good = F.coalesce("valid", F.lit(False))
+    keys = [F.when(good, F.col(name)).alias(name) for name in ("city_id", "user_agent")]
+    return (
+        parse_ad_log(lines)
+        .groupBy(*keys)
+        .agg(
+            F.count(F.lit(1)).alias("lines"),
+            F.count_if(~good).alias("bad_lines"),
+            F.count_if(good & (F.col("bidding_price") > limit)).alias("n"),
+        )
+    )
+
+
+def reports(lines: DataFrame, cities: DataFrame | None = None, limit: int = PRICE_LIMIT) -> dict[str, DataFrame]:
+    """Both city tables, the bad lines and the unknown cities from a single pass over the log."""
+    groups = temporary_table(line_groups(lines, limit), "line_groups")
+    high = groups.where("n > 0")
+    by_os = high.groupBy(operating_system("user_agent").alias("os"), "city_id").agg(F.sum("n").alias("n"))
+    named = with_lookup(high.groupBy("city_id").agg(F.sum("n").alias("n")), cities, "city_id")
+    counts = [F.coalesce(F.sum(name), F.lit(0)).alias(name) for name in ("lines", "bad_lines")]
+    return {
+        "by_os": by_os,
+        "by_city": matched(named).select(F.col("name").alias("city"), "n"),
+        "unknown_cities": _unknown(named),
+        "bad_lines": groups.agg(*counts),
+    }

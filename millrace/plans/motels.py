@@ -70,8 +70,9 @@ def _all_best(prices: DataFrame) -> DataFrame:
     best_of_bid = prices.withColumn("price", F.greatest(*BID_COUNTRIES))
     reached = [F.count_if(F.col(country) == F.col("price")).alias(country) for country in BID_COUNTRIES]
     per_price = best_of_bid.groupBy("MotelID", "BidDate", "price").agg(*reached)
-    top = per_price.groupBy("MotelID", "BidDate").agg(F.max(F.struct("price", *BID_COUNTRIES)).alias("top"))
-    counts = unpivot(top.select("MotelID", "BidDate", "top.*"), ["MotelID", "BidDate", "price"], BID_COUNTRIES, "loSa", "n")
+    at_top = [F.max_by(country, "price").alias(country) for country in BID_COUNTRIES]
+    top = per_price.groupBy("MotelID", "BidDate").agg(F.max("price").alias("best"), *at_top)
+    counts = unpivot(top, ["MotelID", "BidDate", "best"], BID_COUNTRIES, "loSa", "n").withColumnRenamed("best", "price")
     return repeat_rows(counts.where("price is not null and n > 0"), "n")
 
 
@@ -90,7 +91,7 @@ def run(
     result_path: str,
     ties: str = "all",
     as_lines: bool = False,
-    files: int = 16,
+    files: int | None = 16,
 ) -> None:
     """Read the three inputs (Parquet by suffix, else CSV) and write both results."""
     raw_bids = read_table(spark, bids_path, RAW_BIDS)

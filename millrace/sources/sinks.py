@@ -21,13 +21,14 @@ def write_lines(rows: DataFrame, path: str, sep: str = ",", compress: bool = Fal
     lines.write.text(path, compression="snappy" if compress else "none")
 
 
-def append_csv(rows: DataFrame, path: str, files: int = 16) -> None:
-    """Append as CSV in at most `files` files.
+def append_csv(rows: DataFrame, path: str, files: int | None = 16) -> None:
+    """Append as CSV in at most `files` files, or as many as Spark has partitions.
 
-    The limit suits aggregated results. `coalesce` adds no shuffle, but it also narrows the
-    stage it ends, so pass a larger number when the result itself is large.
+    The limit is a shuffle of the result and not a `coalesce`, which would also squeeze the stage
+    that computes the result into as few tasks.
     """
-    rows.coalesce(files).write.format("csv").mode("append").save(path)
+    limited = rows.repartition(files) if files else rows
+    limited.write.format("csv").mode("append").save(path)
 
 
 def write_csv(rows: DataFrame, path: str, compress: bool = True) -> None:
