@@ -57,30 +57,36 @@ def best_offers(raw_bids: DataFrame, rates: DataFrame, motels: DataFrame, ties:
     if ties not in ("all", "first"):
         raise ValueError(f"ties must be 'all' or 'first', not {ties!r}")
     euro = [round_half_up(number(country) * F.col("rate"), 3).alias(country) for country in BID_COUNTRIES]
-    prices = rated_bids(raw_bids, rates).where("rate is not null").select("MotelID", "BidDate", *euro)
+    # Grouped by the halves of the hour text: grouping by the join key itself would let the
+    # aggregation run inside the join's partitions, where a busy hour is a single task.
+    halves = [F.substr("BidDate", F.lit(1), F.lit(2)).alias("hour"), F.substr("BidDate", F.lit(3)).alias("day")]
+    prices = rated_bids(raw_bids, rates).where("rate is not null").select("MotelID", *halves, *euro)
     winners = _all_best(prices) if ties == "all" else _first_best(prices)
     names = motels.select("MotelID", "MotelName")
     return winners.join(names, "MotelID", "left").select(
-        "MotelID", "MotelName", bid_hour("BidDate").alias("BidDate"), "loSa", "price"
+        "MotelID", "MotelName", bid_hour(F.concat("hour", "day")).alias("BidDate"), "loSa", "price"
     )
 
 
+OFFER_KEYS = ["MotelID", "hour", "day"]
+
+
 def _all_best(prices: DataFrame) -> DataFrame:
     # A bid without any price loses to all others; testing it earlier would compute prices twice.
     best_of_bid = prices.withColumn("price", F.greatest(*BID_COUNTRIES))
     reached = [F.count_if(F.col(country) == F.col("price")).alias(country) for country in BID_COUNTRIES]
-    per_price = best_of_bid.groupBy("MotelID", "BidDate", "price").agg(*reached)
+    per_price = best_of_bid.groupBy(*OFFER_KEYS, "price").agg(*reached)
     at_top = [F.max_by(country, "price").alias(country) for country in BID_COUNTRIES]
-    top = per_price.groupBy("MotelID", "BidDate").agg(F.max("price").alias("best"), *at_top)
-    counts = unpivot(top, ["MotelID", "BidDate", "best"], BID_COUNTRIES, "loSa", "n").withColumnRenamed("best", "price")
+    top = per_price.groupBy(*OFFER_KEYS).agg(F.max("price").alias("best"), *at_top)
+    counts = unpivot(top, [*OFFER_KEYS, "best"], BID_COUNTRIES, "loSa", "n").withColumnRenamed("best", "price")
     return repeat_rows(counts.where("price is not null and n > 0"), "n")
 
 
 def _first_best(prices: DataFrame) -> DataFrame:
-    per_country = prices.groupBy("MotelID", "BidDate").agg(*[F.max(country).alias(country) for country in BID_COUNTRIES])
+    per_country = prices.groupBy(*OFFER_KEYS).agg(*[F.max(country).alias(country) for country in BID_COUNTRIES])
     top = per_country.withColumn("price", F.greatest(*BID_COUNTRIES)).where(F.col("price").isNotNull())
     country = F.coalesce(*[F.when(F.col(name) == F.col("price"), name) for name in sorted(BID_COUNTRIES)])
-    return top.select("MotelID", "BidDate", country.alias("loSa"), "price")
+    return top.select(*OFFER_KEYS, country.alias("loSa"), "price")
 
 
 def run(

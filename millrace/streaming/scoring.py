@@ -73,29 +73,23 @@ def in_order(frames: list[pd.DataFrame]) -> pd.DataFrame:
     return batch if (order[1:] > order[:-1]).all() else batch.iloc[order]
 
 
-def score_stream(readings: DataFrame, alpha: float = 1.0, idle: str | None = None) -> DataFrame:
+def score_stream(readings: DataFrame, alpha: float = 1.0) -> DataFrame:
     """A stream with `device_id`, `ts`, `seq` and `value`, plus the scores; other columns come along.
 
     A micro-batch is put in order of (ts, seq) per device; what the source reads per trigger
     bounds it. A reading older than one already scored is scored as it comes and marked `late`.
-    With `idle` (milliseconds as text) the state of a silent device is dropped.
+    The state of a device is six numbers, and is kept for ever.
     """
     columns = readings.columns
     output = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in readings.schema.fields) + ", " + SCORES
 
     def score(key, frames: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
-        if state.hasTimedOut:
-            state.remove()
-            return
         scored, after = score_frame(in_order(list(frames))[columns], state.get if state.exists else None, alpha)
         state.update(after)
-        if idle:
-            state.setTimeoutDuration(int(idle))
         yield scored
 
-    return readings.where(is_reading()).groupBy("device_id").applyInPandasWithState(
-        score, output, STATE, "append", "ProcessingTimeTimeout" if idle else "NoTimeout"
-    )
+    keyed = readings.where(is_reading()).groupBy("device_id")
+    return keyed.applyInPandasWithState(score, output, STATE, "append", "NoTimeout")
 
 
 def score_message_stream(messages: DataFrame, alpha: float = 1.0) -> DataFrame:

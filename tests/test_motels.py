@@ -127,8 +127,19 @@ def test_ragged_and_parquet_inputs(spark, tmp_path):
         assert [r.value for r in spark.read.text(f"{out}/erroneous").collect()] == ["06-05-02-2016,ERROR_NO_BIDS_FOR_HOTEL,1"]
 
 
-def test_bids_are_shuffled_once_per_level_and_never_windowed(spark, plan):
+def test_bids_are_reduced_before_each_shuffle_and_never_windowed(spark, plan):
     raw = bids(spark, ("1", "11-05-08-2016", "1", "2", "3", "4"))
     text = plan(jobs.best_offers(raw, rates(spark, ("11-05-08-2016", "1")), names(spark)))
-    assert "Window" not in text and "partial_count" in text and "CartesianProduct" not in text
-    assert len(BID_COUNTRIES) == 3
+    assert "Window" not in text and "partial_count" in text and "partial_max" in text
+    assert "SortAggregate" not in text and "CartesianProduct" not in text
+
+
+def test_a_busy_hour_leaves_the_partitions_of_the_rate_join(spark, plan):
+    """Without a broadcast the prices are shuffled again by motel and hour before they are grouped."""
+    raw = bids(spark, ("1", "11-05-08-2016", "1", "2", "3", "4"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        text = plan(jobs.best_offers(raw, rates(spark, ("11-05-08-2016", "1")), names(spark)))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "32m")
+    assert "Exchange hashpartitioning(MotelID" in text and "Exchange hashpartitioning(BidDate" in text

@@ -114,3 +114,30 @@ def test_top_rows_and_parallelism(spark):
     assert [tuple(r) for r in top_rows(count_by(rows, "g"), 2, F.desc("n"), F.asc("g")).collect()] == [(0, 10), (1, 10)]
     assert with_parallelism(rows, 3).rdd.getNumPartitions() == 3
     assert with_parallelism(rows, None) is rows
+
+
+def test_a_hot_partition_of_winners_is_split(spark, plan):
+    """All rows of one group are equal winners: the join splits them instead of giving them to one task."""
+    rows = spark.range(400_000).select(
+        F.when(F.col("id") % 3 > 0, "hot").otherwise((F.col("id") % 1000).cast("string")).alias("k"),
+        F.lit(1.0).alias("v"),
+        F.md5(F.col("id").cast("string")).alias("text"),
+    )
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1m",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1m",
+    }
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    try:
+        best = best_rows(rows.repartition(16), ["k"], "v")
+        assert best.count() == 400_000
+        best.write.format("noop").mode("overwrite").save()
+        best.collect()
+        assert "skew=true" in plan(best).split("Initial Plan")[0]
+    finally:
+        for name in settings:
+            spark.conf.unset(name)
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "32m")

@@ -194,3 +194,16 @@ def test_lines_are_ingested_once(spark, tmp_path):
     assert sorted(r.value for r in spark.read.text(str(tmp_path / "out")).collect()) == sorted(
         f"{word} {at}" for word in ("line", "more") for at in range(3)
     )
+
+
+def test_stream_runs_on_a_two_second_trigger(spark, tmp_path):
+    messages = to_messages(readings(spark, record("10", START, "0.5"))).withColumn("seq", F.lit(1).cast("bigint"))
+    publish(messages, str(tmp_path / "topic"), "json")
+    query = deliver(
+        subscribe(spark, str(tmp_path / "topic"), "json"), str(tmp_path / "out"), str(tmp_path / "checkpoint"), "json"
+    )
+    try:
+        query.processAllAvailable()
+        assert spark.read.json(str(tmp_path / "out")).count() == 1
+    finally:
+        query.stop()

@@ -2,6 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from millrace import session
+from millrace.sources import database
 from millrace.plans import weather
 from millrace.sources.database import move_statements, run_in_transaction
 from millrace.sources.messages import publish
@@ -109,3 +110,37 @@ def test_temporary_table_is_a_written_table(spark):
     assert table.collect() == table.collect()
     assert spark.sql("SELECT count(*) FROM five").first()[0] == 5
     assert "FileScan" in table._jdf.queryExecution().executedPlan().toString()
+
+
+class Staging:
+    """Stands in for rows whose staging table ends up with the given counts."""
+
+    def __init__(self, monkeypatch, rows, counts):
+        self.sparkSession, self.columns, self.rows, self.written = None, ["a"], rows, 0
+        self.statements, left = [], iter(counts)
+        monkeypatch.setattr(database, "staged_count", lambda *_: next(left))
+        monkeypatch.setattr(database, "open_connection", lambda *_: None)
+        monkeypatch.setattr(database, "run_in_transaction", lambda _, statements: self.statements.extend(statements))
+
+    def count(self):
+        return self.rows
+
+    def jdbc(self, url, table, properties):
+        assert table == "stage"
+        self.written += 1
+
+    def __getattr__(self, name):
+        return self if name == "write" else lambda *_: self
+
+
+def test_export_fills_the_staging_table_again_after_a_double_write(monkeypatch):
+    rows = Staging(monkeypatch, 10, [12, 10])
+    assert database.export_table(rows, "url", "target", "stage", {}) == 10
+    assert rows.written == 2 and len(rows.statements) == 2
+
+
+def test_export_leaves_the_target_alone_when_counts_never_agree(monkeypatch):
+    rows = Staging(monkeypatch, 10, [11, 11, 11])
+    with pytest.raises(RuntimeError, match="target is unchanged"):
+        database.export_table(rows, "url", "target", "stage", {})
+    assert rows.written == 3 and rows.statements == []
