@@ -92,11 +92,20 @@ def motel_prices(spark: SparkSession, args) -> None:
     )
 
 
-def export_weather(spark: SparkSession, args) -> None:
+def _database(args) -> dict:
     properties = {"user": args.user, "password": args.password}
-    if args.driver:
-        properties["driver"] = args.driver
-    print(weather.export_weather(spark, args.path, args.url, properties), "rows exported")
+    return {**properties, "driver": args.driver} if args.driver else properties
+
+
+def export_weather(spark: SparkSession, args) -> None:
+    if args.prepare:
+        weather.prepare_tables(spark, args.url, _database(args))
+    print(weather.export_weather(spark, args.path, args.url, _database(args)), "rows exported")
+
+
+def check_weather(spark: SparkSession, args) -> None:
+    for result in weather.check_export(spark, args.url, _database(args)):
+        emit(result, None)
 
 
 def _kafka(args) -> dict:
@@ -175,10 +184,12 @@ def parser() -> argparse.ArgumentParser:
 
     command = job("export-weather", export_weather, output=False)
     command.add_argument("path")
-    command.add_argument("--url", required=True)
-    command.add_argument("--user", default="")
-    command.add_argument("--password", default="")
-    command.add_argument("--driver")
+    command.add_argument("--prepare", action="store_true", help="drop and create both tables first")
+    for command in (command, job("check-weather", check_weather, output=False)):
+        command.add_argument("--url", required=True)
+        command.add_argument("--user", default="")
+        command.add_argument("--password", default="")
+        command.add_argument("--driver")
 
     command = job("publish-readings", publish_readings, output=False)
     command.add_argument("path")

@@ -7,10 +7,14 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, SparkSession
 
 
+def answer(spark: SparkSession, url: str, query: str, properties: Mapping[str, str]) -> DataFrame:
+    """The result of a query that the database runs; only its rows come to Spark."""
+    return spark.read.jdbc(url, f"({query}) answer", properties=dict(properties))
+
+
 def staged_count(spark: SparkSession, url: str, table: str, properties: Mapping[str, str]) -> int:
-    """The row count of a database table, counted by the database."""
-    query = f"(SELECT count(*) AS n FROM {table}) counted"
-    return spark.read.jdbc(url, query, properties=dict(properties)).first()["n"]
+    """The row count of a database table."""
+    return answer(spark, url, f"SELECT count(*) AS n FROM {table}", properties).first()[0]
 
 
 def move_statements(table: str, staging: str, columns) -> list[str]:
@@ -70,6 +74,7 @@ def export_table(
     """
     spark = rows.sparkSession
     expected = rows.count()
+    # The database bounds the parallelism here, so the scan may run in as few tasks.
     writer = rows.coalesce(connections).write.option("truncate", "true").option("batchsize", batch_size)
     for _ in range(attempts):
         writer.mode("overwrite").jdbc(url, staging, properties=dict(properties))
@@ -83,5 +88,5 @@ def export_table(
 
 
 def read_back(spark: SparkSession, url: str, table: str, properties: Mapping[str, str]) -> DataFrame:
-    """The exported table as a DataFrame; counts, filters and limits run in the database."""
+    """The exported table as a DataFrame; filters and the choice of columns run in the database."""
     return spark.read.jdbc(url, table, properties=dict(properties))

@@ -51,17 +51,20 @@ def score_frame(readings: pd.DataFrame, state: tuple | None, alpha: float = 1.0)
         earlier_count < 1, 0.0, np.where(earlier_sum == 0, np.where(error > 0, 1.0, 0.0), ratio)
     )
 
-    times = readings["ts"]
-    late = (times < latest).to_numpy() if latest is not None else np.zeros(count, dtype=bool)
-    newest = times.max() if latest is None else max(times.max(), pd.Timestamp(latest))
-    scored = readings.assign(prediction=predictions, error=error, anomaly=anomaly, predictionNext=forecasts, late=late)
+    times = readings["ts"].to_numpy()
+    newest = times.max() if latest is None else max(times.max(), np.datetime64(latest))
+    late = np.zeros(count, dtype=bool) if latest is None else times < np.datetime64(latest)
+    # One frame from arrays: adding columns one by one costs more than all the arithmetic above.
+    known = {name: readings[name].to_numpy() for name in readings.columns}
+    scores = {"prediction": predictions, "error": error, "anomaly": anomaly, "predictionNext": forecasts, "late": late}
+    scored = pd.DataFrame({**known, **scores})
     after = (
         int(records + count),
         float(values[-1]),
         float(predictions[-1]),
         float(forecasts[-1]),
         Decimal(int(errors) + int(whole.sum())),
-        newest.to_pydatetime(),
+        pd.Timestamp(newest).to_pydatetime(),
     )
     return scored, after
 
@@ -84,7 +87,7 @@ def score_stream(readings: DataFrame, alpha: float = 1.0) -> DataFrame:
     output = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in readings.schema.fields) + ", " + SCORES
 
     def score(key, frames: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
-        scored, after = score_frame(in_order(list(frames))[columns], state.get if state.exists else None, alpha)
+        scored, after = score_frame(in_order(list(frames)), state.get if state.exists else None, alpha)
         state.update(after)
         yield scored
 

@@ -144,3 +144,14 @@ def test_export_leaves_the_target_alone_when_counts_never_agree(monkeypatch):
     with pytest.raises(RuntimeError, match="target is unchanged"):
         database.export_table(rows, "url", "target", "stage", {})
     assert rows.written == 3 and rows.statements == []
+
+
+def test_weather_tables_and_checks(spark, monkeypatch):
+    connection = Connection()
+    monkeypatch.setattr(weather, "open_connection", lambda *_: connection)
+    weather.prepare_tables(spark, "url", {})
+    assert [text for text in connection.log if isinstance(text, str)] == [*weather.PREPARE, "commit", "close", "close"]
+    asked = []
+    monkeypatch.setattr(weather, "answer", lambda spark, url, query, properties: asked.append(query))
+    weather.check_export(spark, "url", {})
+    assert asked == weather.CHECKS
