@@ -175,7 +175,7 @@ def rates(spark: SparkSession, sf_dir: str) -> DataFrame:
 RATES_SQL = """
     SELECT concat(lpad(CAST(hour AS VARCHAR), 2, '0'), strftime(o_orderdate, '-%d-%m-%Y')) AS ValidFrom,
         'Euro' AS CurrencyName, 'EUR' AS CurrencyCode, concat('0.8', strftime(o_orderdate, '%d')) AS ExchangeRate
-    FROM (SELECT DISTINCT o_orderdate FROM orders), (SELECT unnest(range(3, 22, 3)) AS hour)"""
+    FROM (SELECT o_orderdate, unnest(range(3, 22, 3)) AS hour FROM (SELECT DISTINCT o_orderdate FROM orders))"""
 
 
 def motels(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -184,7 +184,9 @@ def motels(spark: SparkSession, sf_dir: str) -> DataFrame:
     return named.select(F.lpad(_text("s_suppkey"), 12, "0").alias("MotelID"), F.col("s_name").alias("MotelName"))
 
 
-MOTELS_SQL = "SELECT lpad(CAST(s_suppkey AS VARCHAR), 12, '0') AS MotelID, s_name AS MotelName FROM supplier WHERE s_nationkey <> 3"
+MOTELS_SQL = """
+    SELECT lpad(CAST(s_suppkey AS VARCHAR), 12, '0') AS MotelID, s_name AS MotelName FROM supplier
+    WHERE s_nationkey <> 3"""
 
 
 # Sensor readings: a user is a device, its events are readings.

@@ -10,7 +10,7 @@ from checks.registry import query, table
 from millrace.functions.records import from_json_text
 from millrace.functions.numbers import number
 from millrace.session import run_folder
-from millrace.sources.messages import MESSAGE_SCHEMA, deliver, publish, subscribe
+from millrace.sources.messages import MESSAGE_SCHEMA, deliver, file_stream, publish, subscribe
 from millrace.sources.sinks import write_lines
 from millrace.streaming.ingest import ingest_lines
 from millrace.streaming.scoring import score_message_stream, score_stream
@@ -43,12 +43,12 @@ def message_stream(spark, sf_dir):
 def keyed_score_stream(spark, sf_dir):
     """The keyed state of the stream gives what the batch query gives."""
     folder = run_folder(spark, "scores")
-    events = table(spark, sf_dir, "events").select(
+    schema = table(spark, sf_dir, "events").schema
+    # The glob also matches a table that is a folder of files.
+    events = file_stream(spark, f"{sf_dir}/events.parquet*", schema, "parquet").select(
         F.col("user_id").alias("device_id"), "ts", F.col("event_id").alias("seq"), "value"
     )
-    events.write.parquet(f"{folder}/in")
-    stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1000).parquet(f"{folder}/in")
-    deliver(score_stream(stream), f"{folder}/out", f"{folder}/checkpoint", "parquet", once=True).awaitTermination()
+    deliver(score_stream(events), f"{folder}/out", f"{folder}/checkpoint", "parquet", once=True).awaitTermination()
     return spark.read.parquet(f"{folder}/out").select(*SCORE_COLUMNS)
 
 

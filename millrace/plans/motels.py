@@ -27,7 +27,8 @@ def rated_bids(raw_bids: DataFrame, rates: DataFrame) -> DataFrame:
 
     A bid with an empty first price is no error and stays.
     """
-    bids = raw_bids.where(~F.coalesce("HU", F.lit("")).contains(ERROR_MARK)).select("MotelID", "BidDate", *BID_COUNTRIES)
+    good = raw_bids.where(~F.coalesce("HU", F.lit("")).contains(ERROR_MARK))
+    bids = good.select("MotelID", "BidDate", *BID_COUNTRIES)
     hourly = rates.select("ValidFrom", number("ExchangeRate").alias("rate"))
     return bids.join(hourly, bids["BidDate"] == hourly["ValidFrom"], "left").drop("ValidFrom")
 

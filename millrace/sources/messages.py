@@ -16,11 +16,18 @@ def publish(messages: DataFrame, target: str, fmt: str = "kafka", **options) ->
         messages.write.format(fmt).options(**options).mode("append").save(target)
 
 
+def file_stream(spark: SparkSession, source: str, schema, fmt: str, **options) -> DataFrame:
+    """New files of a folder or glob as a stream, at most `maxBytesPerTrigger` at a time."""
+    settings = {"maxBytesPerTrigger": str(2 * 1024**3), **options}
+    return spark.readStream.schema(schema).format(fmt).options(**settings).load(source)
+
+
 def subscribe(spark: SparkSession, source: str, fmt: str = "kafka", **options) -> DataFrame:
     """A stream of `key`, `value`, `seq`; `seq` is the offset, which orders messages of one key.
 
     A trigger reads a bounded amount, so that the rows of one key within a micro-batch stay
-    bounded too. A Kafka consumer starts at the latest offset unless told otherwise.
+    bounded too; the bounds are options. A Kafka consumer starts at the latest offset unless told
+    otherwise.
     """
     if fmt == "kafka":
         settings = {"startingOffsets": "latest", "maxOffsetsPerTrigger": "5000000", **options}
@@ -30,8 +37,7 @@ def subscribe(spark: SparkSession, source: str, fmt: str = "kafka", **options) -
             F.col("value").cast("string").alias("value"),
             F.col("offset").alias("seq"),
         )
-    settings = {"maxFilesPerTrigger": "1000", **options}
-    return spark.readStream.schema(MESSAGE_SCHEMA).format(fmt).options(**settings).load(source)
+    return file_stream(spark, source, MESSAGE_SCHEMA, fmt, **options)
 
 
 def deliver(stream: DataFrame, target: str, checkpoint: str, fmt: str = "kafka", once: bool = False, **options):

@@ -3,7 +3,7 @@ import pytest
 from millrace.functions.dates import bid_hour
 from millrace.functions.numbers import to_euro
 from millrace.plans import motels as jobs
-from millrace.schemas import BID_COUNTRIES, EXCHANGE_RATES, MOTELS, RAW_BIDS
+from millrace.schemas import EXCHANGE_RATES, MOTELS, RAW_BIDS
 from millrace.sources.tables import read_table
 
 
@@ -97,7 +97,9 @@ def test_best_offers_agree_with_the_offers(spark):
     hours = [f"{hour:02d}-05-08-2016" for hour in range(5)]
     texts = ["", None, "x", "0.5", "0.50", "1", "1.5", "2.25", "2.2500"]
     raw = bids(spark, *[(str(generator.randrange(4)), generator.choice(hours), "1", *generator.choices(texts, k=3)) for _ in range(400)])
-    known, motels = rates(spark, *[(hour, f"0.{80 + at}") for at, hour in enumerate(hours[:4])]), names(spark, ("1", "one"))
+    # One hour has two rates, another has none.
+    known = rates(spark, *[(hour, f"0.{80 + at}") for at, hour in enumerate(hours[:4])], (hours[0], "0.95"))
+    motels = names(spark, ("1", "one"))
     offers = [tuple(r) for r in jobs.offers(raw, known).collect()]
     top = {}
     for motel, _, hour, price in offers:

@@ -196,6 +196,17 @@ def test_lines_are_ingested_once(spark, tmp_path):
     )
 
 
+def test_a_trigger_reads_a_bounded_amount(spark, tmp_path):
+    for at in range(3):
+        messages = spark.createDataFrame([("k", f"v{at}", at)], "key string, value string, seq bigint").coalesce(1)
+        publish(messages, str(tmp_path / "topic"), "json")
+    stream = subscribe(spark, str(tmp_path / "topic"), "json", maxBytesPerTrigger="1")
+    query = deliver(stream, str(tmp_path / "out"), str(tmp_path / "checkpoint"), "json", once=True)
+    query.awaitTermination(120)
+    assert spark.read.json(str(tmp_path / "out")).count() == 3
+    assert sum(progress.numInputRows > 0 for progress in query.recentProgress) == 3
+
+
 def test_stream_runs_on_a_two_second_trigger(spark, tmp_path):
     messages = to_messages(readings(spark, record("10", START, "0.5"))).withColumn("seq", F.lit(1).cast("bigint"))
     publish(messages, str(tmp_path / "topic"), "json")
