@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from millrace.llm import near_duplicates
+from millrace.llm import decontamination, near_duplicates, quality
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -30,3 +30,51 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
 @query("op1_near_duplicates")
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates.near_duplicates(table(spark, sf_dir, "documents"), how=near_duplicates.Sketching(width=3, percent=85))
+
+
+OP6 = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id,
+    list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS w
+  FROM documents),
+b AS (
+  SELECT item_id,
+    list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS w
+  FROM benchmark),
+bw AS (
+  SELECT item_id, least(10, len(w)) AS size, unnest(generate_series(1, len(w) - least(10, len(w)) + 1)) AS i, w FROM b WHERE len(w) > 0),
+known AS (SELECT DISTINCT item_id, size, array_to_string(list_slice(w, i, i + size - 1), ' ') AS phrase FROM bw),
+dw AS (
+  SELECT r, size, unnest(generate_series(1, len(w) - size + 1)) AS i, w FROM d, (SELECT DISTINCT size FROM known) WHERE len(w) >= size),
+hit AS (
+  SELECT r, i, size, item_id FROM (SELECT r, i, size, array_to_string(list_slice(w, i, i + size - 1), ' ') AS phrase FROM dw)
+  JOIN known USING (size, phrase)),
+covered AS (SELECT r, count(DISTINCT p) AS n_hit FROM (SELECT r, unnest(generate_series(i, i + size - 1)) AS p FROM hit) GROUP BY r),
+items AS (
+  SELECT r, count(DISTINCT item_id) AS n_items, string_agg(DISTINCT CAST(item_id AS VARCHAR), ',' ORDER BY CAST(item_id AS VARCHAR)) AS list
+  FROM hit GROUP BY r)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit, CAST(coalesce(n_items, 0) AS BIGINT) AS n_items,
+  sha256(coalesce(list, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN covered USING (r) LEFT JOIN items USING (r)
+"""
+
+
+@query("op6_decontamination", OP6)
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = decontamination.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return judged.select(
+        "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated",
+    )
+
+
+def held_out(divisor: int, remainder: int):
+    return F.crc32(F.col("doc_id").cast("string")) % divisor == remainder
+
+
+@query("op10_quality_classifier")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scores = quality.quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), learn=~held_out(3, 1))
+    return scores.select("doc_id", held_out(3, 1).alias("held_out"), "score", "predicted")
