@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from millrace.llm import decontamination, near_duplicates, quality
+from millrace.llm import decontamination, near_duplicates, quality, repeats
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -78,3 +78,9 @@ def held_out(divisor: int, remainder: int):
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     scores = quality.quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), learn=~held_out(3, 1))
     return scores.select("doc_id", held_out(3, 1).alias("held_out"), "score", "predicted")
+
+
+@query("op7_suffix_array_dedup")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = repeats.without_repeats(table(spark, sf_dir, "documents"))
+    return found.select("row.doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
