@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from millrace.llm import decontamination, near_duplicates, quality, repeats
+from millrace.llm import decontamination, mixing, near_duplicates, quality, repeats, token_counts
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -84,3 +84,64 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = repeats.without_repeats(table(spark, sf_dir, "documents"))
     return found.select("row.doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
+#: The vocabulary file of op3.
+VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
+
+
+@query("op3_token_counts")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.token_counts(table(spark, sf_dir, "documents"), VOCABULARY)
+
+
+#: Sources are numbered; the first ones stand for the web, the next for reference works, the rest for forums.
+DOMAIN = """CASE WHEN try_cast(regexp_extract(source, '[0-9]+', 0) AS INT) < 8 THEN 'web'
+  WHEN try_cast(regexp_extract(source, '[0-9]+', 0) AS INT) < 14 THEN 'reference' ELSE 'forum' END"""
+MIX = mixing.Mix(
+    levels=(("domain", DOMAIN), ("lang", "lang"), ("source", "source")),
+    weights={"domain": {"web": 5, "reference": 3, "forum": 2}, "lang": {"en": 6, "de": 2, "fr": 2}},
+)
+
+
+def _fill_sql(level: str, parents: list[str], above: str) -> str:
+    """Budgets of one level, as mixing._filled has them."""
+    weights = MIX.weights.get(level, {})
+    weight = "CASE " + level + "".join(f" WHEN '{k}' THEN {v}" for k, v in weights.items()) + " ELSE 1 END" if weights else "1"
+    keys = ", ".join([*parents, level])
+    part = f"PARTITION BY {', '.join(parents)}" if parents else ""
+    using = f"JOIN {above} USING ({', '.join(parents)})" if parents else f"CROSS JOIN {above}"
+    return f"""
+  {level}_a AS (SELECT {keys}, sum(capacity)::HUGEINT AS capacity, ({weight})::HUGEINT AS weight FROM leaf GROUP BY {keys}),
+  {level}_b AS (SELECT {keys}, capacity, weight, budget AS of_parent,
+    coalesce(sum(capacity) OVER ({part} ORDER BY capacity::DOUBLE / weight::DOUBLE, {level} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before,
+    sum(weight) OVER ({part} ORDER BY capacity::DOUBLE / weight::DOUBLE, {level} ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS after
+    FROM {level}_a {using}),
+  {level}_c AS (SELECT *, capacity * after <= weight * (of_parent - before) AS is_full FROM {level}_b),
+  {level}_d AS (SELECT *, sum(CASE WHEN is_full THEN capacity ELSE 0 END) OVER ({part}) AS taken,
+    sum(CASE WHEN is_full THEN 0 ELSE weight END) OVER ({part}) AS shares FROM {level}_c),
+  {level}_budget AS (SELECT {keys}, (CASE WHEN is_full THEN capacity
+    ELSE least(((of_parent - taken) * weight)::HUGEINT // nullif(shares, 0)::HUGEINT, capacity) END)::HUGEINT AS budget FROM {level}_d)"""
+
+
+_LEVELS = [name for name, _ in MIX.levels]
+OP8 = f"""
+WITH doc AS (SELECT doc_id, {DOMAIN} AS domain, coalesce(lang, 'unknown') AS lang, coalesce(source, 'unknown') AS source,
+    CAST(len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) AS BIGINT) AS n_tokens FROM documents),
+  leaf AS (SELECT domain, lang, source, sum(n_tokens)::HUGEINT AS tokens, sum(n_tokens)::HUGEINT * {MIX.epochs} AS capacity FROM doc GROUP BY ALL),
+  root AS (SELECT least((sum(tokens) * {MIX.parts})::HUGEINT // {MIX.of}::HUGEINT, sum(capacity)::HUGEINT) AS budget FROM leaf),
+  {",".join(_fill_sql(level, _LEVELS[:i], "root" if i == 0 else f"{_LEVELS[i - 1]}_budget") for i, level in enumerate(_LEVELS))},
+  plan AS (SELECT domain, lang, source, (budget // tokens)::BIGINT AS full_epochs, (budget % tokens)::BIGINT AS rest
+    FROM leaf JOIN source_budget USING (domain, lang, source) WHERE tokens > 0),
+  placed AS (SELECT doc.*, full_epochs, rest, md5('{MIX.seed}/' || full_epochs || '/' || coalesce(CAST(doc_id AS VARCHAR), '')) AS place
+    FROM doc JOIN plan USING (domain, lang, source)),
+  ordered AS (SELECT *, sum(n_tokens) OVER (PARTITION BY domain, lang, source ORDER BY place) AS upto FROM placed)
+SELECT doc_id, domain, lang, source, n_tokens, full_epochs + CAST(rest > 0 AND upto <= rest AS BIGINT) AS copies FROM ordered
+WHERE full_epochs + CAST(rest > 0 AND upto <= rest AS BIGINT) > 0
+"""
+
+
+@query("op8_source_mixing", OP8)
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    taken = mixing.mixed_sources(table(spark, sf_dir, "documents"), MIX)
+    return taken.select("row.doc_id", "domain", "lang", "source", "n_tokens", "copies")
