@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from millrace.llm import decontamination, mixing, near_duplicates, quality, repeats, token_counts
+from millrace.llm import (
+    decontamination, hamming_index, html_text, language_model, mixing, near_duplicates, quality, repeats, token_counts, url_filter,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -145,3 +147,27 @@ WHERE full_epochs + CAST(rest > 0 AND upto <= rest AS BIGINT) > 0
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     taken = mixing.mixed_sources(table(spark, sf_dir, "documents"), MIX)
     return taken.select("row.doc_id", "domain", "lang", "source", "n_tokens", "copies")
+
+
+RULES = url_filter.rules_of(["allow org/", "block example.org/es/", "block example.org/en/1", "allow com/fr/", "block com/de/"])
+
+
+@query("op2_url_filter")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judged_urls(table(spark, sf_dir, "pages"), RULES)
+
+
+@query("op5_html_extraction")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extracted(table(spark, sf_dir, "pages"))
+
+
+@query("op9_nearest_neighbours")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hamming_index.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
+@query("op4_language_model")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scores = language_model.text_scores(table(spark, sf_dir, "documents"), ~held_out(7, 2))
+    return scores.select("doc_id", held_out(7, 2).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
