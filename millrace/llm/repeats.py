@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -19,6 +20,8 @@ SEED = 32
 CHUNK, PLACE = 1 << 20, 21
 #: Bytes of text that one suffix array takes in.
 ARRAY = 1 << 22
+#: Ranges of window places that the test before a suffix array tells apart.
+CUTS = 8
 #: Different surroundings of one seed that one task compares; beyond it every window of them is counted by its hash.
 SURROUNDINGS = 20_000
 
@@ -76,9 +79,9 @@ def _anchors(window: int):
             for key, text in zip(frame["text_key"].tolist(), frame["text"].tolist()):
                 raw = _encoded(text)
                 if len(raw) >= window:
-                    for seed, _, first, last in owners(np.frombuffer(raw, dtype=np.uint8), window):
-                        rows.append((key, seed, *_digest(raw[first : last + window]), first, last - first + 1))
-            yield pd.DataFrame(rows, columns=["text_key", "seed", "d1", "d2", "first", "starts"])
+                    for seed, place, first, last in owners(np.frombuffer(raw, dtype=np.uint8), window):
+                        rows.append((key, seed, *_digest(raw[first : last + window]), first, last - first + 1, place - first))
+            yield pd.DataFrame(rows, columns=["text_key", "seed", "d1", "d2", "first", "starts", "spot"])
 
     return anchor
 
@@ -227,6 +230,28 @@ def repeated_places(parts: list[bytes], owned: list[int], least: int) -> Iterato
             yield int(part), int(start_of[place]), min(length, int(sizes[part] - 1 - start_of[place])), begin - 1 + group
 
 
+def _sharing(parts: list[bytes], spots: list[int], window: int) -> list[bool]:
+    """Whether a part may share a window with another part of its seed.
+
+    A window reaches some way to the left of the seed and the rest to the right. With the ways to the left in CUTS ranges, the bytes
+    that all windows of a range have in common must occur in another part too.
+    """
+    room = window - SEED
+    edges = [room * i // CUTS for i in range(CUTS + 1)]
+    keys = []
+    for part, spot in zip(parts, spots):
+        right = len(part) - spot - SEED
+        keys.append(
+            [
+                (i, xxhash.xxh3_64_intdigest(part[spot - a : spot + SEED + room - b]))
+                for i, (a, b) in enumerate(zip(edges, edges[1:]))
+                if spot >= a and right >= room - b
+            ]
+        )
+    seen = Counter(k for own in keys for k in own)
+    return [any(seen[k] > 1 for k in own) for own in keys]
+
+
 def _compared(window: int):
     """Suffix arrays over whole groups of surroundings, as many groups as fit ARRAY bytes."""
 
@@ -238,6 +263,7 @@ def _compared(window: int):
             if size and size + int(frame["part"].str.len().sum()) > ARRAY:
                 yield _rows(names, parts, window)
                 names, parts, size = [], [], 0
+            frame = frame[_sharing(frame["part"].tolist(), frame["spot"].tolist(), window)]
             names += zip(frame["seed"].tolist(), frame["d1"].tolist(), frame["d2"].tolist())
             parts += frame["part"].tolist()
             size += int(frame["part"].str.len().sum())
@@ -274,18 +300,18 @@ def repeat_spans(docs: DataFrame, text_column: str = "text", window: int = 400,
     counted by 128-bit hashes instead, so that no task has to hold them together.
     """
     plain = docs.select(F.col(text_column).alias("text")).where("text is not null").select(F.xxhash64("text").alias("text_key"), "text")
-    schema = "text_key long, seed long, d1 long, d2 long, first int, starts int"
+    schema = "text_key long, seed long, d1 long, d2 long, first int, starts int, spot int"
     anchors = saved(plain.mapInPandas(_anchors(window), schema), "anchors")
     same = ["seed", "d1", "d2"]
-    classes = anchors.groupBy(*same).agg(F.count("*").alias("n"), F.min(F.struct("text_key", "first", "starts")).alias("at"))
+    classes = anchors.groupBy(*same).agg(F.count("*").alias("n"), F.min(F.struct("text_key", "first", "starts", "spot")).alias("at"))
     classes = saved(
         classes.withColumn("classes", F.count("*").over(Window.partitionBy("seed"))).where("n > 1 or classes > 1"), "classes"
     )
-    wanted = classes.where("classes > 1").select(*same, "at.text_key", "at.first", "at.starts", "classes")
+    wanted = classes.where("classes > 1").select(*same, "at.text_key", "at.first", "at.starts", "at.spot", "classes")
     places = wanted.groupBy("text_key").agg(F.collect_list(F.struct(*same, "first", "starts")).alias("places"))
     texts = plain.join(places.select("text_key"), "text_key", "left_semi").groupBy("text_key").agg(F.first("text").alias("text"))
     cut = texts.join(places, "text_key").mapInPandas(_surroundings(window), "seed long, d1 long, d2 long, part binary")
-    parts = saved(cut.join(wanted.select(*same, "classes"), same), "parts")
+    parts = saved(cut.join(wanted.select(*same, "spot", "classes"), same), "parts")
     found = (
         parts.where(F.col("classes") <= surroundings)
         .drop("classes")
