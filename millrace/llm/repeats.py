@@ -274,8 +274,22 @@ def _compared(window: int):
 
 
 def _rows(names: list[tuple], parts: list[bytes], window: int) -> pd.DataFrame:
-    found = repeated_places(parts, [len(p) - window + 1 for p in parts], window)
-    return pd.DataFrame([(*names[p], start, length) for p, start, length, _ in found], columns=["seed", "d1", "d2", "start", "length"])
+    ranges: dict[int, list[tuple[int, int]]] = {}
+    for p, start, length, _ in repeated_places(parts, [len(p) - window + 1 for p in parts], window):
+        ranges.setdefault(p, []).append((start, start + length))
+    rows = [(*names[p], first, end - first) for p, own in ranges.items() for first, end in _united(own)]
+    return pd.DataFrame(rows, columns=["seed", "d1", "d2", "start", "length"])
+
+
+def _united(ranges: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """The union of [first, end) ranges as disjoint ones that do not touch, in order."""
+    out: list[tuple[int, int]] = []
+    for first, end in sorted(ranges):
+        if out and first <= out[-1][1]:
+            out[-1] = (out[-1][0], max(out[-1][1], end))
+        else:
+            out.append((first, end))
+    return out
 
 
 def _window_hashes(window: int):
@@ -326,23 +340,23 @@ def repeat_spans(docs: DataFrame, text_column: str = "text", window: int = 400,
     counted = hashed.join(often, ["w1", "w2"]).select(*same, "start", F.lit(window).alias("length"))
 
     ranges = found.unionByName(every).unionByName(counted)
-    covered = saved(ranges.groupBy(*same).agg(F.collect_set(F.struct("start", "length")).alias("ranges")), "ranges")
-    spans = (
-        anchors.join(covered, same)
-        .select("text_key", "first", F.explode("ranges").alias("r"))
-        .select("text_key", F.struct((F.col("first") + F.col("r.start")).alias("first"), (F.col("first") + F.col("r.start") + F.col("r.length")).alias("end")).alias("span"))
+    listed = ranges.groupBy(*same).agg(F.collect_set(F.struct("start", "length")).alias("ranges"))
+    covered = saved(listed.mapInPandas(_merged_ranges, listed.schema), "ranges")
+    spans = anchors.join(covered, same).select(
+        "text_key",
+        F.transform(
+            "ranges", lambda r: F.struct((F.col("first") + r["start"]).alias("first"), (F.col("first") + r["start"] + r["length"]).alias("end"))
+        ).alias("spans"),
     )
-    return spans.groupBy("text_key").agg(F.collect_set("span").alias("spans"))
+    return spans.groupBy("text_key").agg(F.array_distinct(F.flatten(F.collect_set("spans"))).alias("spans"))
 
 
-def _united(spans: list, size: int) -> list[tuple[int, int]]:
-    out: list[tuple[int, int]] = []
-    for first, end in sorted((s["first"], min(s["end"], size)) for s in spans):
-        if out and first <= out[-1][1]:
-            out[-1] = (out[-1][0], max(out[-1][1], end))
-        else:
-            out.append((first, end))
-    return out
+def _merged_ranges(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """A class has few ranges after this, as its windows overlap; each place of it repeats them."""
+    for frame in frames:
+        merged = [_united([(r["start"], r["start"] + r["length"]) for r in ranges]) for ranges in frame["ranges"]]
+        frame["ranges"] = [[{"start": first, "length": end - first} for first, end in own] for own in merged]
+        yield frame
 
 
 def _removed(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -350,7 +364,7 @@ def _removed(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         rows = []
         for text, spans in zip(frame["text"].tolist(), frame["spans"].tolist()):
             raw = _encoded(text)
-            united = _united(spans, len(raw)) if spans is not None else []
+            united = _united([(x["first"], min(x["end"], len(raw))) for x in spans]) if spans is not None else []
             bounds = [0, *(x for span in united for x in span), len(raw)]
             kept = b"".join(raw[a:b] for a, b in zip(bounds[::2], bounds[1::2]))
             whole = kept.decode("utf-8", "ignore") if united else text
