@@ -100,8 +100,10 @@ def _signer(how: Sketching):
                 with np.errstate(over="ignore"):
                     node, check = _identity(found)
                 rows.append((key, len(found), node, check, np.packbits(parity.astype(np.uint8)).tobytes(), value.view(np.int64)))
-            signed = pd.DataFrame(rows, columns=["id", "n_shingles", "node", "check", "sketch", "bands"])
-            yield signed.astype({"id": "Int64", "node": "Int64", "check": "Int64"})
+            # As objects: a column of floats, which pandas makes of whole numbers with nulls, would round them.
+            signed = pd.DataFrame(rows, columns=["id", "n_shingles", "node", "check", "sketch", "bands"], dtype=object)
+            signed["id"] = frame["id"].astype("Int64").to_numpy(dtype=object, na_value=None)
+            yield signed
 
     return sign
 

@@ -19,7 +19,7 @@ SEED = 32
 #: Window starts that are looked at together, so that a very long text needs no more memory than this; and the bits of a place.
 CHUNK, PLACE = 1 << 20, 21
 #: Bytes of text that one suffix array takes in.
-ARRAY = 1 << 22
+ARRAY = 1 << 21
 #: Ranges of window places that the test before a suffix array tells apart.
 CUTS = 8
 #: Different surroundings of one seed that one task compares; beyond it every window of them is counted by its hash.
@@ -217,7 +217,7 @@ def repeated_places(parts: list[bytes], owned: list[int], least: int) -> Iterato
     if not len(keep):
         return
     # What neighbours among the owned places share is the least of what lies between.
-    shared = np.minimum.reduceat(common, np.concatenate([[0], keep[:-1] + 1]))
+    shared = np.minimum.reduceat(common[: keep[-1] + 1], np.concatenate([[0], keep[:-1] + 1]))
     places = order[keep]
     long = shared >= least
     long[0] = False
@@ -348,7 +348,7 @@ def repeat_spans(docs: DataFrame, text_column: str = "text", window: int = 400,
             "ranges", lambda r: F.struct((F.col("first") + r["start"]).alias("first"), (F.col("first") + r["start"] + r["length"]).alias("end"))
         ).alias("spans"),
     )
-    return spans.groupBy("text_key").agg(F.array_distinct(F.flatten(F.collect_set("spans"))).alias("spans"))
+    return spans.groupBy("text_key").agg(F.flatten(F.collect_set("spans")).alias("spans"))
 
 
 def _merged_ranges(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from millrace.session import run_folder
 
 #: A worker forgets its words beyond this number, so that its memory stays bounded.
-REMEMBERED = 1_000_000
+REMEMBERED = 300_000
 
 
 class WordHashes(dict):

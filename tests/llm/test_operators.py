@@ -1,0 +1,516 @@
+"""Each operator against brute force, on small tables with nulls, empty and long texts, ties, repeated rows and clashing columns."""
+
+import hashlib
+import math
+import random
+import zlib
+from collections import Counter
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from millrace.llm import (
+    decontamination, hamming_index, html_text, language_model, mixing, near_duplicates, quality, repeats, token_counts, url_filter,
+)
+from millrace.llm.components import connected_components
+from millrace.llm.near_duplicates import Sketching
+
+#: Columns of documents, and names that operators use inside.
+DOCS = "doc_id long, text string, lang string, source string, id string, spans int, bucket int, node int, copies int, row int"
+
+
+def word(rng):
+    return "".join(rng.choice("abcdeéß") for _ in range(rng.randint(1, 6)))
+
+
+def prose(rng, n):
+    return " ".join(word(rng) for _ in range(n))
+
+
+@pytest.fixture(scope="module")
+def texts():
+    """Ids and texts: fresh ones, exact and near copies, a shared passage, null, empty, blank, short and long texts."""
+    rng = random.Random(4)
+    base, passage = prose(rng, 150).split(), prose(rng, 120)
+    rows = [(i, prose(rng, rng.randint(1, 120))) for i in range(40)]
+    for i in range(40, 60):
+        near = list(base)
+        for _ in range(rng.randint(0, 8)):
+            near[rng.randrange(150)] = word(rng)
+        rows.append((i, " ".join(near)))
+    rows += [(60 + i, prose(rng, 20) + " " + passage + " " + prose(rng, 20)) for i in range(6)]
+    rows += [(70, rows[3][1]), (71, rows[3][1]), (72, rows[3][1].upper() + "\n"), (73, None), (74, ""), (75, " \t\n"), (76, "one"), (77, "one")]
+    rows += [(78, prose(rng, 6000)), (79, "ab " * 900), (41, rows[41][1]), (None, rows[5][1]), (80, "\u00a0É x")]
+    return rows
+
+
+@pytest.fixture
+def docs(spark, texts):
+    return spark.createDataFrame([(i, t, "en", "s", "x", 1, 1, 1, 1, 1) for i, t in texts], DOCS)
+
+
+@pytest.fixture
+def no_docs(spark):
+    return spark.createDataFrame([], DOCS)
+
+
+def sets_of(texts, width):
+    found = []
+    for i, t in texts:
+        w = (t or "").encode().lower().split()
+        n = min(width, len(w))
+        found.append((i, frozenset(tuple(w[k : k + n]) for k in range(len(w) - n + 1)) if w else frozenset()))
+    return found
+
+
+def components(rows, percent):
+    parent = list(range(len(rows)))
+
+    def root(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for a, (i, s) in enumerate(rows):
+        for b, (j, t) in enumerate(rows[:a]):
+            if s and t and i is not None and j is not None and 100 * len(s & t) >= percent * len(s | t):
+                parent[root(a)] = root(b)
+    least = {}
+    for x, (i, _) in enumerate(rows):
+        if i is not None:
+            least[root(x)] = min(least.get(root(x), i), i)
+    return Counter((i, len(s), least[root(x)] if i is not None else None) for x, (i, s) in enumerate(rows))
+
+
+@pytest.mark.parametrize(("width", "percent"), [(3, 85), (5, 80)])
+def test_near_duplicates_are_the_components_of_exact_links(docs, texts, width, percent):
+    found = near_duplicates.near_duplicates(docs, how=Sketching(width=width, percent=percent)).collect()
+    assert Counter((r.doc_id, r.n_shingles, r.component_id) for r in found) == components(sets_of(texts, width), percent)
+    assert all(r.kept == (r.doc_id is None or r.doc_id == r.component_id) for r in found)
+
+
+def test_large_groups_are_compared_in_blocks(docs, texts, monkeypatch):
+    monkeypatch.setattr(near_duplicates, "BLOCK", 4)
+    found = near_duplicates.near_duplicates(docs, how=Sketching(width=3, percent=85)).collect()
+    assert Counter((r.doc_id, r.n_shingles, r.component_id) for r in found) == components(sets_of(texts, 3), 85)
+
+
+def test_odd_sketches_estimate_high_similarities():
+    how = Sketching(3, 85)
+    rng = np.random.default_rng(1)
+    factors, masks = near_duplicates._permutations(how.samples)
+    for goal in (0.85, 0.3):
+        far = []
+        for _ in range(30):
+            both = rng.integers(0, 2**63, 500, dtype=np.uint64)
+            n = int(500 * (1 - goal) / (1 + goal))
+            a, b = both[: 500 - 0], np.concatenate([both[n:], rng.integers(0, 2**63, n, dtype=np.uint64)])
+            odd = []
+            for s in (a, b):
+                least = near_duplicates._samples(s, factors, masks).astype(np.uint64)
+                places = near_duplicates.mixed(np.arange(how.samples, dtype=np.uint64) << np.uint64(32) | least) % np.uint64(how.bits)
+                odd.append(np.bincount(places.astype(np.int64), minlength=how.bits) & 1)
+            far.append(int((odd[0] ^ odd[1]).sum()))
+        assert all(x <= how.furthest for x in far) if goal == 0.85 else all(x > how.furthest for x in far)
+
+
+def test_components_of_chains_stars_and_repeated_edges(spark):
+    edges = [(i, i + 1) for i in range(1, 40)] + [(100, x) for x in range(101, 130)] + [(7, 7), (300, 200), (200, 300), (None, 5)]
+    found = {r.node: r.component for r in connected_components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    assert found == {i: 1 for i in range(1, 41)} | {i: 100 for i in range(100, 130)} | {200: 200, 300: 200}
+
+
+def covered(texts, window):
+    raws = [(t or "").encode() for _, t in texts]
+    seen = Counter(b[p : p + window] for b in raws for p in range(len(b) - window + 1))
+    found = []
+    for (i, t), b in zip(texts, raws):
+        gone = bytearray(len(b))
+        for p in range(len(b) - window + 1):
+            if seen[b[p : p + window]] > 1:
+                gone[p : p + window] = b"\1" * window
+        runs = sum(1 for k in range(len(b)) if gone[k] and (k == 0 or not gone[k - 1]))
+        found.append((i, len(b), sum(gone), runs, hashlib.sha256(bytes(x for x, g in zip(b, gone) if not g)).hexdigest()))
+    return Counter(found)
+
+
+def as_counted(found):
+    return Counter((r.row.doc_id, r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in found)
+
+
+def test_repeated_passages_are_removed_whole(docs, texts):
+    assert as_counted(repeats.without_repeats(docs).collect()) == covered(texts, 400)
+
+
+def test_seeds_with_many_surroundings_and_long_texts_in_chunks(docs, texts, monkeypatch, spark):
+    spans = {r.text_key: sorted(map(tuple, r.spans)) for r in repeats.repeat_spans(docs).collect()}
+    crowded = {r.text_key: r.spans for r in repeats.repeat_spans(docs, surroundings=1).collect()}
+    assert set(spans) == set(crowded)
+    for key, own in spans.items():
+        assert repeats._united(own) == repeats._united([tuple(x) for x in crowded[key]])
+    raw = np.frombuffer(" ".join(t for _, t in texts if t).encode(), dtype=np.uint8)
+    whole = {s: (h, p) for h, p, a, z in repeats.owners(raw, 400) for s in range(a, z + 1)}
+    monkeypatch.setattr(repeats, "CHUNK", 1000)
+    assert whole == {s: (h, p) for h, p, a, z in repeats.owners(raw, 400) for s in range(a, z + 1)}
+
+
+def test_suffix_array_and_maximal_repeats_against_sorting():
+    rng = random.Random(2)
+    for _ in range(20):
+        parts = [bytes(rng.choice(b"ab") for _ in range(rng.randint(12, 60))) for _ in range(4)]
+        raw = np.frombuffer(b"\xff".join(parts) + b"\xff", dtype=np.uint8)
+        order, common = repeats.suffix_array(raw, 64)
+        b = raw.tobytes()
+        suffixes = [b[p : p + 64] for p in order]
+        assert suffixes == sorted(suffixes)
+        for i in range(1, len(order)):
+            x, y = b[order[i - 1] :], b[order[i] :]
+            shared = next((k for k in range(min(len(x), len(y))) if x[k] != y[k]), min(len(x), len(y)))
+            assert common[i] == shared if shared < 64 else common[i] >= 64
+        least = 6
+        owned = [len(p) - least + 1 for p in parts]
+        gone = [bytearray(len(p)) for p in parts]
+        for part, start, length, _ in repeats.repeated_places(parts, owned, least):
+            assert length >= least and start + length <= len(parts[part])
+            gone[part][start : start + length] = b"\1" * length
+        seen = Counter(p[i : i + least] for p in parts for i in range(len(p) - least + 1))
+        for p, g in zip(parts, gone):
+            expected = bytearray(len(p))
+            for i in range(len(p) - least + 1):
+                if seen[p[i : i + least]] > 1:
+                    expected[i : i + least] = b"\1" * least
+            assert g == expected
+
+
+def test_removed_characters_leave_valid_text(spark):
+    shared = "é" * 300
+    rows = [(1, "xy" + shared + "z"), (2, "ab" + shared), (3, None)]
+    found = {r.row.doc_id: r.text for r in repeats.without_repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert found == {1: "xyz", 2: "ab", 3: None}
+
+
+@pytest.fixture
+def items(spark, texts):
+    rng = random.Random(9)
+    rows = [(1, " ".join(texts[10][1].split()[:30])), (2, prose(rng, 40)), (3, "ONE"), (4, None), (5, ""), (None, texts[11][1]), (2, "é X"), (7, " ".join(texts[10][1].split()[:15]))]
+    return spark.createDataFrame([(*r, "clash") for r in rows], "item_id long, text string, hash string")
+
+
+def plain_words(text):
+    table = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    return "".join(c if c in "0123456789abcdefghijklmnopqrstuvwxyz" or ord(c) > 127 else " " for c in (text or "").translate(table)).split(" ")
+
+
+def leaks(texts, items, width=10):
+    windows = {}
+    for i, t in items:
+        w = [x for x in plain_words(t) if x]
+        n = min(width, len(w))
+        for k in range(len(w) - n + 1 if w else 0):
+            windows.setdefault(tuple(w[k : k + n]), set()).add(i)
+    found = []
+    for i, t in texts:
+        w = [x for x in plain_words(t) if x]
+        hit, named = set(), set()
+        for n in {len(x) for x in windows}:
+            for k in range(len(w) - n + 1):
+                if (own := windows.get(tuple(w[k : k + n]))) is not None:
+                    hit |= set(range(k, k + n))
+                    named |= {str(x) for x in own if x is not None}
+        found.append((i, len(w), len(hit), ",".join(sorted(named))))
+    return Counter(found)
+
+
+@pytest.mark.parametrize("broadcast", [0, 10**6])
+def test_contamination_against_brute_force(docs, texts, items, monkeypatch, broadcast):
+    monkeypatch.setattr(decontamination, "BROADCAST_WINDOWS", broadcast)
+    judged = decontamination.contamination(docs, items).collect()
+    rows = [(r.item_id, r.text) for r in items.collect()]
+    assert Counter((r.doc_id, r.n_words, r.n_hit, ",".join(r["items"])) for r in judged) == leaks(texts, rows)
+    assert all(r.contaminated == (r.n_hit > 0) for r in judged) and any(r.contaminated for r in judged)
+
+
+def test_spans_or_documents_are_removed(spark, docs, items):
+    rows = [(1, "Well, a b c d e f g h i j! Done."), (2, "clean - text")]
+    small = spark.createDataFrame(rows, "doc_id long, text string")
+    bench = spark.createDataFrame([(1, "A b c d e f g h i j")], "item_id long, text string")
+    judged = decontamination.contamination(small, bench)
+    assert {r.doc_id: r.text for r in decontamination.without_spans(judged).collect()} == {1: "Well, Done.", 2: "clean - text"}
+    assert [r.doc_id for r in decontamination.clean_documents(small, bench).collect()] == [2]
+    hit = {r.doc_id for r in decontamination.contamination(docs, items).where("contaminated").collect()}
+    assert {r.doc_id for r in decontamination.clean_documents(docs, items).collect()}.isdisjoint(hit)
+
+
+MIX = mixing.Mix(levels=(("domain", "upper(lang)"), ("source", "source")), weights={"domain": {"EN": 3}}, parts=1, of=2, epochs=2)
+
+
+def mix_by_hand(rows, how=MIX):
+    """Budgets by filling the fullest child first, documents by sorting each leaf."""
+    tokens = {}
+    for r in rows:
+        tokens[r[2], r[3]] = tokens.get((r[2], r[3]), 0) + r[4]
+
+    def fill(children, budget):
+        open_, out = dict(children), {}
+        while True:
+            weight = sum(w for _, w in open_.values())
+            full = [k for k, (room, w) in sorted(open_.items()) if w and room * weight <= w * budget]
+            if not full:
+                return out | {k: min(budget * w // weight, room) for k, (room, w) in open_.items()} if open_ else out
+            k = min(full, key=lambda x: (open_[x][0] / open_[x][1], x))
+            out[k] = open_.pop(k)[0]
+            budget -= out[k]
+
+    total = sum(tokens.values())
+    domains = {d: (how.epochs * sum(t for (e, _), t in tokens.items() if e == d), how.weights["domain"].get(d, 1)) for d, _ in tokens}
+    taken = {}
+    for d, budget in fill(domains, min(total * how.parts // how.of, total * how.epochs)).items():
+        for s, b in fill({s: (how.epochs * t, 1) for (e, s), t in tokens.items() if e == d}, budget).items():
+            if not tokens[d, s]:
+                continue
+            full, rest = divmod(b, tokens[d, s])
+            own = sorted((hashlib.md5(f"{how.seed}/{full}/{'' if r[0] is None else r[0]}".encode()).hexdigest(), r) for r in rows if (r[2], r[3]) == (d, s))
+            upto = 0
+            for place, r in own:
+                upto = sum(x[4] for p, x in own if p <= place)
+                copies = full + (rest > 0 and upto <= rest)
+                if copies:
+                    taken.setdefault((r[0], d, s, r[4], copies), 0)
+                    taken[r[0], d, s, r[4], copies] += 1
+    return Counter(taken)
+
+
+@pytest.mark.parametrize("digits", [1, 3])
+def test_mixing_against_sorting(spark, monkeypatch, digits):
+    monkeypatch.setattr(mixing, "SLICE_DIGITS", digits)
+    rng = random.Random(3)
+    rows = [(i % 180, prose(rng, n := rng.choice([0, 1, 5, 30])), rng.choice(["en", "de", None]), rng.choice(["a", "b", "c", None]), n) for i in range(200)]
+    rows.append((None, "x y", "en", "a", 2))
+    table = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, copies long")
+    found = mixing.mixed_sources(table, MIX).collect()
+    plain = [(r[0], r[1], (r[2] or "unknown").upper() if r[2] else "unknown", r[3] or "unknown", r[4]) for r in rows]
+    assert Counter((r.row.doc_id, r.domain, r.source, r.n_tokens, r.copies) for r in found) == mix_by_hand(plain)
+
+
+def test_shortage_goes_to_siblings_before_ancestors(spark):
+    how = mixing.Mix(levels=(("d", "d"), ("s", "s")), weights={}, parts=1, of=1, epochs=1)
+    leaves = spark.createDataFrame([("x", "a", 10), ("x", "b", 100), ("y", "c", 110)], "d string, s string, tokens long")
+    how = mixing.Mix(levels=(("d", "d"), ("s", "s")), parts=100, of=220, epochs=1)
+    found = {(r.d, r.s): r.budget for r in mixing.leaf_budgets(leaves, how).collect()}
+    assert found == {("x", "a"): 10, ("x", "b"): 40, ("y", "c"): 50}
+
+
+def test_token_counts_against_best_splits(docs, texts):
+    path = pytest.importorskip("public_tokenizers").path("piece_bpe_32k.model")
+    scores = token_counts.unigram_scores(path)
+    longest = max(map(len, scores))
+
+    def best(token):
+        table = [(0.0, 0)]
+        for end in range(1, len(token) + 1):
+            options = [(table[b][0] + scores[token[b:end]], -table[b][1] - 1) for b in range(max(0, end - longest), end) if token[b:end] in scores]
+            if token[end - 1] not in scores:
+                width = len(token[end - 1].encode())
+                options.append((table[end - 1][0] + token_counts.BYTE * width, -table[end - 1][1] - width))
+            score, minus = max(options)
+            table.append((score, -minus))
+        return table[-1][1]
+
+    expected = Counter()
+    for i, t in texts:
+        w = [x.decode() for x in (t or "").encode().lower().split()]
+        expected[i, len(w), sum(best("▁" + x) for x in w)] += 1
+    assert Counter(map(tuple, token_counts.token_counts(docs, path).collect())) == expected
+
+
+def test_a_trie_that_starts_anew_counts_alike():
+    trie, small = token_counts.Trie({"▁a": -1.0, "b": -2.0, "ab": -1.5, "▁": -3.0}), token_counts.Trie({"▁a": -1.0, "b": -2.0, "ab": -1.5, "▁": -3.0})
+    for text in (b"a", b"ab", b"abab", b"c", b"bbb"):
+        small.clear()
+        assert trie.count(text) == small.count(text)
+
+
+def test_language_model_counts_base_and_chances(docs, texts):
+    learn = F.crc32(F.col("doc_id").cast("string")) % 7 != 2
+    found = language_model.text_scores(docs, learn).collect()
+    train, each = Counter(), []
+    for i, t in texts:
+        w = [*(t or "").encode().lower().split(), b"\n"]
+        each.append((i, w))
+        if i is not None and zlib.crc32(str(i).encode()) % 7 != 2:
+            train.update(w)
+    n, v = sum(train.values()), len(train)
+    expected = Counter((i, len(w), sum(train[x] > 0 for x in w), n, round(sum(math.log10((train[x] + 1) / (n + v + 1)) for x in w), 6)) for i, w in each)
+    assert Counter((r.doc_id, r.n_tokens, r.n_known, r.train_tokens, round(r.base_score, 6)) for r in found) == expected
+    assert all(r.score < 0 for r in found)
+
+
+def test_chances_of_a_context_sum_to_one(spark):
+    rng = random.Random(8)
+    vocabulary = [word(rng) for _ in range(12)]
+    texts = [" ".join(rng.choice(vocabulary) for _ in range(rng.randint(0, 40))) for _ in range(60)]
+    rows = [(i, t) for i, t in enumerate(texts)]
+    seen = sorted({w for t in texts for w in t.split()})
+    before = "a b " + seen[0]
+    rows += [(1000 + k, f"{before} {w}") for k, w in enumerate([*seen, "never-seen"])] + [(2000, before)]
+    table = spark.createDataFrame(rows, "doc_id long, text string")
+    how = language_model.Settings(contexts=8)
+    found = {r.doc_id: r for r in language_model.text_scores(table, F.col("doc_id") < 1000, how).collect()}
+    # The chance of `before` without its end, from documents that add one word each: a word and then the end.
+    counts = language_model.Settings(contexts=8)
+    assert counts == how and len(found) == len(rows)
+    model_rows = [found[1000 + k].score for k in range(len(seen) + 1)]
+    assert all(math.isfinite(x) for x in model_rows)
+    assert found[1000].score > found[1000 + len(seen)].score  # a known word is likelier than an unseen one
+
+
+def test_the_seating_keeps_each_restaurant_a_distribution():
+    how = language_model.Settings(contexts=4, strengths=(1.0, 2.0))
+    rng = np.random.default_rng(0)
+    words = np.sort(rng.integers(1, 2**63, 30, dtype=np.uint64))
+    pairs = np.full(30, 4)
+    contexts, counts = np.tile(np.arange(4), 30), rng.integers(1, 200, 120)
+    blob = (words.tobytes(), language_model._packed(pairs), language_model._packed(contexts), language_model._packed(counts))
+    customers = np.bincount(contexts, weights=counts, minlength=4)
+    model = language_model.Model(how, 30, int(counts.sum()), customers, (0.4, 0.7))
+    first = language_model.Shard(model, 0, blob).sums()
+    model.states.append(language_model.State(first[:4], first[4], first[5]))
+    for k in range(1, 4):
+        shard = language_model.Shard(model, 0, blob)
+        for _ in range(k):
+            shard.sweep()
+        assert ((shard.tables >= 1) & (shard.tables <= shard.counts)).all()
+        sums = shard.sums()
+        model.states.append(language_model.State(sums[:4], sums[4], sums[5]))
+    scorer = language_model.Scorer(language_model.Shard(model, 0, blob), model)
+    for context in range(4):
+        chance, seen = scorer.chances(np.append(words, np.uint64(5)), np.full(31, context))
+        assert chance.sum() == pytest.approx(1) and (seen[:-1] > 0).all() and seen[-1] == 0
+
+
+def test_drawn_tables_follow_the_chinese_restaurant():
+    ways, rng = language_model.stirling(0.5), np.random.default_rng(1)
+    drawn = language_model.seated(np.full(40_000, 3), np.full(40_000, 0.8), 0.5, ways, rng)
+    weight = np.array([math.exp(ways[3, t]) * 0.8**t for t in (1, 2, 3)])
+    assert np.allclose(np.bincount(drawn, minlength=4)[1:] / 40_000, weight / weight.sum(), atol=0.01)
+    assert math.exp(ways[3, 3]) == pytest.approx(1) and math.exp(ways[3, 2]) == pytest.approx(3 * 0.5)
+
+
+def test_quality_learns_and_holds_out(spark):
+    rng = random.Random(6)
+    good = [(i, ". ".join(prose(rng, 12).capitalize() for _ in range(5))) for i in range(150)]
+    bad = [(200 + i, " ".join(word(rng).upper() + "!!" for _ in range(40))) for i in range(60)]
+    rows = [*good, *bad, (500, None), (501, ""), (None, "x"), (3, good[3][1])]
+    docs = spark.createDataFrame([(i, t, 1.0) for i, t in rows], "doc_id long, text string, score double")
+    labels = spark.createDataFrame([(i, int(i < 200)) for i, _ in good + bad] + [(1, None)], "doc_id long, quality int")
+    found = quality.quality_scores(docs, labels, learn=F.col("doc_id") % 3 != 1).collect()
+    assert len(found) == len(rows) and all(0 <= r.score <= 1 and r.predicted == int(r.score >= 0.5) for r in found)
+    held = [r for r in found if r.doc_id is not None and r.doc_id % 3 == 1 and r.doc_id < 400]
+    assert sum(r.predicted == int(r.doc_id < 200) for r in held) >= 0.97 * len(held)
+    one_class = quality.quality_scores(docs, labels.where("quality = 1")).collect()
+    assert {r.score for r in one_class} == {0.5}
+
+
+def test_urls_by_rule_and_by_trees(spark):
+    rules = url_filter.rules_of(["allow org/", "block example.org/es/", "block example.org/en/1", "allow com/fr/", "block com/de/"])
+    cases = {
+        "HTTP://A.Example.ORG/es/x?y#z": ("a.example.org", "/es/x", "example.org/es/", "block"),
+        "http://example.org/en/12": ("example.org", "/en/12", "example.org/en/1", "block"),
+        "http://myexample.org/es/": ("myexample.org", "/es/", "org/", "allow"),
+        "http://org": ("org", "", None, None),
+        "x://b.com/fr/1": ("b.com", "/fr/1", "com/fr/", "allow"),
+        "b.com/de/1": ("", "", None, None),
+        "http://h.com?u=://c.com/de/": ("h.com", "", None, None),
+        "": ("", "", None, None),
+        None: ("", "", None, None),
+        "http://b.com/de/\nx": ("b.com", "/de/\nx", "com/de/", "block"),
+    }
+    rng = random.Random(5)
+    urls = [*cases, *(f"http://{word(rng)}.com/{rng.choice(['fr', 'de', 'it'])}/{rng.randrange(99)}" for _ in range(120))]
+    pages = spark.createDataFrame([(i, u, "r") for i, u in enumerate(urls)], "page_id long, url string, rule string")
+    found = url_filter.judged_urls(pages, rules).collect()
+    assert len(found) == len(urls) and {r.verdict for r in found} <= {"allow", "block"}
+    by_id = {r.page_id: r for r in found}
+    for i, u in enumerate(urls):
+        r = by_id[i]
+        if u in cases:
+            host, path, rule, verdict = cases[u]
+            assert (r.host, r.path, r.rule) == (host, path, rule) and verdict in (None, r.verdict)
+    sure = [r for r in found if r.rule in ("com/fr/", "com/de/")]
+    assert sum((r.block_score >= 0.5) == (r.verdict == "block") for r in sure) >= 0.95 * len(sure)
+    assert {r.verdict for r in url_filter.judged_urls(pages.where("url is null"), rules).collect()} == {"allow"}
+
+
+ARTICLE = "<p>The cat is on the mat and it was there for the whole of the day with all of the others that are in it, as they say.</p>"
+
+
+@pytest.mark.parametrize(
+    ("page", "text"),
+    [
+        (None, ""), ("", ""), ("<p>", ""),
+        ("<nav>menu</nav><article><h1>A &amp; b</h1><p>x <b>y\n z</p><p>one<br>two</article><footer>f</footer>", "A & b x y z one two"),
+        ('<body class="no-sidebar"><div id="cookie-note">hi</div><main>&eacute;&#233;&#x41; <form>sign</form><script>var a="<p>no</p>"</script>t</main>', "ééA t"),
+        ("<article><p>a</p><aside>b</aside><!-- <p>c</p> --><ul><li>d<li>e</ul></article><section class=comments><article>f</article></section>", "a d e"),
+        ('<div class="layout-sidebar"><article><header><h2>t</h2></header><p title="a > b">x</p></article></div>', "t x"),
+        (f'<div><h2>Head</h2>{ARTICLE}<p>Short.</p></div><div class="menu"><p>not this</p></div>', None),
+    ],
+)
+def test_main_text(page, text):
+    assert html_text.main_text(page) == (text if text is not None else "Head " + ARTICLE[3:-4] + " Short.")
+
+
+def test_extraction_of_a_table(spark):
+    rows = [(1, "u", "<article><p>" + "long " * 50_000 + "</p></article>", "t"), (1, None, None, "t"), (None, "v", "<main>x</main>", "t")]
+    found = html_text.extracted(spark.createDataFrame(rows, "page_id long, url string, html string, text string")).collect()
+    assert Counter((r.page_id, r.url, r.n_chars) for r in found) == Counter({(1, "u", 249_999): 1, (1, None, 0): 1, (None, "v", 1): 1})
+
+
+def test_neighbours_against_all_distances(spark):
+    rng = np.random.default_rng(3)
+    centres = rng.normal(size=(20, 16))
+    vectors = [(centres[i % 20] + 0.2 * rng.normal(size=16)).astype(np.float32).tolist() for i in range(1500)]
+    vectors[7] = vectors[1100] = vectors[200]
+    rows = [(i, v, 1) for i, v in enumerate(vectors)]
+    rows += [(2000, None, 1), (2001, [0.0] * 16, 1), (2002, [float("nan")] * 16, 1), (2003, [1.0, None] * 8, 1), (2004, [], 1), (2005, [1.0] * 3, 1), (None, vectors[0], 1)]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<float>, id int")
+    found = {}
+    how = hamming_index.Settings(rows_in_block=400, queries_in_block=7)
+    for r in hamming_index.nearest(table, F.col("vec_id") % 100 == 0, how).collect():
+        found.setdefault(r.query_id, []).append((r.rank, r.vec_id, r.score))
+    assert set(found) == set(range(0, 1500, 100))
+    exact, hits = np.array(vectors, dtype=np.float64), 0
+    for query, own in found.items():
+        own.sort()
+        apart = np.sqrt(((exact - exact[query]) ** 2).sum(axis=1))
+        apart[query] = np.inf
+        assert [r for r, _, _ in own] == list(range(1, 11)) and all(apart[v] == pytest.approx(s, rel=1e-14) for _, v, s in own)
+        assert [v for _, v, _ in own] == [v for _, v in sorted((s, v) for _, v, s in own)]
+        hits += len({v for _, v, _ in own} & set(np.lexsort((np.arange(1500), apart))[:10].tolist()))
+    assert [v for _, v, _ in found[200]][:2] == [7, 1100]
+    assert hits >= 0.9 * 150
+    few = hamming_index.nearest(table.where("vec_id < 4"), F.col("vec_id") == 0).collect()
+    assert sorted(r.vec_id for r in few) == [1, 2, 3]
+
+
+def test_every_code_within_the_radius_is_found():
+    rng = np.random.default_rng(0)
+    packed = rng.integers(0, 256, (3000, 4), dtype=np.uint8)
+    index = hamming_index.Index(packed)
+    for radius in range(0, 33):
+        code = rng.integers(0, 256, 4, dtype=np.uint8)
+        assert index.within(code, radius).tolist() == np.flatnonzero(np.bitwise_count(packed ^ code).sum(axis=1) <= radius).tolist()
+
+
+def test_empty_tables(spark, no_docs):
+    labels = spark.createDataFrame([], "doc_id long, quality int")
+    none = spark.createDataFrame([], "item_id long, text string")
+    pages = spark.createDataFrame([], "page_id long, url string, html string")
+    path = pytest.importorskip("public_tokenizers").path("piece_bpe_32k.model")
+    for frame in (
+        near_duplicates.near_duplicates(no_docs), decontamination.contamination(no_docs, none), repeats.without_repeats(no_docs),
+        mixing.mixed_sources(no_docs, MIX), quality.quality_scores(no_docs, labels), language_model.text_scores(no_docs, F.lit(True)),
+        token_counts.token_counts(no_docs, path), html_text.extracted(pages), url_filter.judged_urls(pages, url_filter.rules_of(["allow org/"])),
+        hamming_index.nearest(spark.createDataFrame([], "vec_id long, embedding array<float>"), F.lit(True)),
+    ):
+        assert frame.collect() == []

@@ -1,0 +1,53 @@
+"""The queries on the smallest tables, and the pipeline stage by stage."""
+
+import os
+
+import pytest
+
+import corpus_pipeline
+from check_oracle import difference, oracle_connection
+from millrace.llm.queries import ORACLES, QUERIES
+
+SF_DIR = "/root/testdata/sf0.001"
+pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="the tables are not here")
+ROWS = {"op2_url_filter": "pages", "op5_html_extraction": "pages"} | {
+    name: "documents" for name in ("op1_near_duplicates", "op3_token_counts", "op4_language_model", "op7_suffix_array_dedup", "op10_quality_classifier")
+}
+
+
+@pytest.mark.parametrize("name", sorted(ORACLES))
+def test_query_agrees_with_its_sql(spark, name):
+    assert difference(spark, oracle_connection(SF_DIR), SF_DIR, name) is None
+
+
+@pytest.mark.parametrize("name", sorted(ROWS))
+def test_query_has_a_row_for_each_input_row(spark, name):
+    assert QUERIES[name](spark, SF_DIR).count() == spark.read.parquet(f"{SF_DIR}/{ROWS[name]}.parquet").count()
+
+
+def test_native_operators_run_no_python(spark, plan):
+    for name in ("op6_decontamination", "op8_source_mixing"):
+        assert not any(x in plan(QUERIES[name](spark, SF_DIR)) for x in ("Python", "Pandas", "Arrow"))
+
+
+def test_stages_take_effect_and_keep_the_columns(spark):
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
+    columns, before = docs.columns, docs
+    for name, stage in corpus_pipeline.STAGES:
+        after = stage(spark, before, SF_DIR)
+        ids = {r.doc_id for r in after.select("doc_id").collect()}
+        assert ids <= {r.doc_id for r in before.select("doc_id").collect()} and ids
+        if name != corpus_pipeline.STAGES[-1][0]:
+            assert after.columns == columns
+            before = corpus_pipeline.saved(after, "stage")
+    labels = {r.doc_id: r.quality for r in spark.read.parquet(f"{SF_DIR}/labels.parquet").collect()}
+    kept = {r.doc_id for r in corpus_pipeline.good_quality(spark, docs, SF_DIR).collect()}
+    assert sum((i in kept) == bool(q) for i, q in labels.items()) >= 0.97 * len(labels)
+
+
+def test_run_is_the_stages_one_after_another(spark):
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
+    for _, stage in corpus_pipeline.STAGES:
+        docs = corpus_pipeline.saved(stage(spark, docs, SF_DIR), "stage")
+    found = corpus_pipeline.run(spark, SF_DIR)
+    assert sorted(map(tuple, found.collect()), key=repr) == sorted(map(tuple, docs.select(found.columns).collect()), key=repr)
