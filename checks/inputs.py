@@ -12,7 +12,7 @@ from millrace.schemas import AD_LOGS, READING_FIELDS
 
 # Agents that the derived log lines carry, chosen by user id.
 AGENTS = [
-    "Mozilla/4.0 (compatible; MSIE 6.0; Windows NT 5.1; SV1)",
+    "Mozilla/5.0 (compatible; MSIE 9.0; Windows NT 6.1; Trident/5.0)",
     "Mozilla/5.0 (X11; Ubuntu; Linux x86_64; rv:15.0) Gecko/20100101 Firefox/15.0.1",
     "Mozilla/5.0 (Windows NT 6.1) AppleWebKit/537.1 (KHTML, like Gecko) Chrome/21.0.1180.89 Safari/537.1",
     "Mozilla/5.0 (iPhone; CPU iPhone OS 6_0 like Mac OS X) AppleWebKit/536.26 Version/6.0 Mobile/10A403 Safari/8536.25",
@@ -84,8 +84,8 @@ def _ad_fields() -> list[Column]:
 
 
 AD_CONSTANTS = {
-    "ip": "113.117.187.*", "anonim_url": "null", "ad_slot_visibility": "OtherView", "ad_slot_format": "Na",
-    "landing_page_url": "null", "user_profile_ids": "10057,13800",
+    "ip": "10.20.30.*", "anonim_url": "null", "ad_slot_visibility": "FirstView", "ad_slot_format": "Na",
+    "landing_page_url": "null", "user_profile_ids": "20011,20044",
 }
 
 

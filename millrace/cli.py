@@ -12,17 +12,23 @@ from millrace.schemas import AD_LOGS
 from millrace.session import build_session
 from millrace.sources.messages import deliver, subscribe
 from millrace.sources.sinks import write_lines
-from millrace.sources.tables import read_lines, read_lookup, read_quoted
+from millrace.sources.tables import read_lines, read_lookup, read_quoted, rejected_lookup
 from millrace.streaming.ingest import ingest_lines
 from millrace.streaming.scoring import score_message_stream
 
 
+#: Rows that a job without --output prints.
+SHOWN = 100
+
+
 def emit(rows: DataFrame, output: str | None, sep: str = "\t") -> None:
-    """Write the result as lines, or print the start of it."""
+    """Write the result as lines, or print its start and say how many rows are not shown."""
     if output:
         write_lines(rows, output, sep)
-    else:
-        rows.show(100, truncate=False)
+        return
+    rows.show(SHOWN, truncate=False)
+    if (more := rows.count() - SHOWN) > 0:
+        print(f"{more} further rows; --output writes all of them")
 
 
 def most_used_word(spark: SparkSession, args) -> None:
@@ -36,11 +42,11 @@ def longest_words(spark: SparkSession, args) -> None:
 def log_stats(spark: SparkSession, args) -> None:
     found = access_log.reports(read_lines(spark, args.paths))
     if args.output:
-        access_log.write_traffic(found["traffic"], args.output, args.output_format, args.compress == "true")
+        access_log.write_traffic(found["traffic"], f"{args.output}/traffic", args.output_format, args.compress == "true")
     else:
         emit(found["traffic"], None)
-    emit(found["browsers"], None)
-    emit(found["bad_lines"], None)
+    emit(found["browsers"], args.output and f"{args.output}/browsers")
+    emit(found["bad_lines"], args.output and f"{args.output}/bad_lines")
 
 
 def city_bids(spark: SparkSession, args) -> None:
@@ -50,9 +56,10 @@ def city_bids(spark: SparkSession, args) -> None:
     if args.by_os:
         routed = bids_by_city.routed_by_os(found["by_os"], args.reducers_num)
         emit(routed, args.output and f"{args.output}/by_os")
-    emit(found["bad_lines"], None)
+    emit(found["bad_lines"], args.output and f"{args.output}/bad_lines")
     if cities is not None:
-        emit(found["unknown_cities"], None)
+        emit(found["unknown_cities"], args.output and f"{args.output}/unknown_cities")
+        emit(rejected_lookup(spark, args.city_names_file), args.output and f"{args.output}/rejected_city_names")
 
 
 def load_flights(spark: SparkSession, args) -> None:

@@ -22,11 +22,19 @@ from pyspark.sql import functions as F
 
 MILLIONTHS = 1_000_000.0
 ERROR_FACTOR = 3.0
+#: Most millionths of one step; larger steps count as this many, in the stream too.
+LARGEST_STEP = 9e18
 
 
 def millionths(step: Column) -> Column:
     """A distance as a whole number of millionths, wide enough to be summed."""
-    return F.floor(step * MILLIONTHS + 0.5).cast("decimal(20,0)")
+    whole = step * MILLIONTHS + 0.5
+    return F.floor(F.when(whole >= LARGEST_STEP, LARGEST_STEP).otherwise(whole)).cast("decimal(20,0)")
+
+
+def finite(value: Column) -> Column:
+    """Whether a value can be scored: null, not-a-number and infinity cannot."""
+    return F.coalesce(~F.isnan(value) & (F.abs(value) < float("inf")), F.lit(False))
 
 
 def anomaly_score(error: Column, earlier_sum: Column, earlier_count: Column) -> Column:
@@ -39,10 +47,10 @@ def anomaly_score(error: Column, earlier_sum: Column, earlier_count: Column) ->
 def score_history(readings: DataFrame, chunk: str = "hour") -> DataFrame:
     """Scores for rows with `device_id`, `ts`, `seq` and `value`; other columns come along.
 
-    Rows without a device, time or value are left out. `chunk` is the unit of `date_trunc` that bounds
+    Rows without a device, time or finite value are left out. `chunk` is the unit of `date_trunc` that bounds
     how much of one device a single task holds.
     """
-    usable = readings.where("device_id is not null and value is not null")
+    usable = readings.where(F.col("device_id").isNotNull() & finite(F.col("value")))
     placed = usable.withColumn("_chunk", F.date_trunc(chunk, "ts")).where("_chunk is not null")
     inside = Window.partitionBy("device_id", "_chunk").orderBy("ts", "seq")
     two_back = inside.rowsBetween(Window.unboundedPreceding, -2)

@@ -100,11 +100,15 @@ def run(
     as_lines: bool = False,
     files: int | None = 16,
 ) -> None:
-    """Read the three inputs (Parquet by suffix, else CSV) and write both results."""
+    """Read the three inputs (Parquet by suffix, else CSV) and write the errors, the best offers and the count of bids without a rate."""
     raw_bids = read_table(spark, bids_path, RAW_BIDS)
     rates = read_table(spark, rates_path, EXCHANGE_RATES)
     motels = read_table(spark, motels_path, MOTELS)
-    results = {"erroneous": error_counts(raw_bids), "aggregated": best_offers(raw_bids, rates, motels, ties)}
+    results = {
+        "erroneous": error_counts(raw_bids),
+        "aggregated": best_offers(raw_bids, rates, motels, ties),
+        "unrated": unrated_bids(raw_bids, rates),
+    }
     for folder, rows in results.items():
         if as_lines:
             write_lines(rows, f"{result_path}/{folder}")

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from millrace.functions.dates import gmt_time
 from millrace.functions.numbers import number
 from millrace.functions.records import parsed_fields, record_json, to_messages
-from millrace.operators.scoring import score_history
+from millrace.operators.scoring import finite, score_history
 from millrace.schemas import READING_FIELDS, SCORE_FIELDS
 from millrace.sources.messages import publish
 from millrace.sources.tables import read_table
@@ -28,23 +28,24 @@ def publish_readings(rows: DataFrame, target: str, fmt: str = "kafka", **options
 def readings_of(messages: DataFrame) -> DataFrame:
     """Messages with what scoring needs: `device_id`, `ts`, `seq`, `value`, and the text as `record`.
 
-    A message that does not parse, or whose time or measurement is unreadable, has null there. The
+    A message that does not parse, or whose time or measurement is unreadable or not finite, has null there. The
     text is parsed once per message: filters on parsed fields stay above the `inline`.
     """
     parsed = messages.select(
         F.col("key").alias("device_id"), "seq", F.col("value").alias("record"), parsed_fields("value", *NEEDED)
     )
+    value = number("sampleMeasurement")
     return parsed.select(
         "device_id",
         gmt_time("dateGMT", "timeGMT").alias("ts"),
         "seq",
-        number("sampleMeasurement").alias("value"),
+        F.when(finite(value), value).alias("value"),
         "record",
     )
 
 
 def is_reading() -> Column:
-    return F.col("ts").isNotNull() & F.col("value").isNotNull()
+    return F.col("ts").isNotNull() & finite(F.col("value"))
 
 
 def unreadable(messages: DataFrame) -> DataFrame:

@@ -49,11 +49,15 @@ def load_overwrite(rows: DataFrame, path: str, partition_by: Sequence[str] = ())
 
 
 def read_lookup(spark: SparkSession, path: str, key: str = "id", name: str = "name") -> DataFrame:
-    """An id-to-name file of two whitespace-separated fields per line; other lines are left out."""
-    fields = F.split(F.trim("value"), r"\s+")
-    return (
-        read_lines(spark, path)
-        .select(fields.alias("fields"))
-        .where(F.size("fields") == 2)
-        .select(F.col("fields")[0].alias(key), F.col("fields")[1].alias(name))
-    )
+    """An id-to-name file: an id, white space, and the rest of the line as the name. `rejected_lookup` has the other lines."""
+    return _lookup_lines(spark, path).where(F.size("fields") == 2).select(F.col("fields")[0].alias(key), F.col("fields")[1].alias(name))
+
+
+def rejected_lookup(spark: SparkSession, path: str) -> DataFrame:
+    """The lines of an id-to-name file that lack an id or a name."""
+    return _lookup_lines(spark, path).where(F.size("fields") != 2).select("value")
+
+
+def _lookup_lines(spark: SparkSession, path: str) -> DataFrame:
+    text = F.regexp_replace("value", r"^\s+|\s+$", "")
+    return read_lines(spark, path).withColumn("fields", F.split(text, r"\s+", 2))

@@ -9,7 +9,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 
-from millrace.operators.scoring import ERROR_FACTOR, MILLIONTHS
+from millrace.operators.scoring import ERROR_FACTOR, LARGEST_STEP, MILLIONTHS
 from millrace.plans.sensors import is_reading, readings_of, scored_messages
 
 STATE = (
@@ -40,7 +40,9 @@ def score_frame(readings: pd.DataFrame, state: tuple | None, alpha: float = 1.0)
     misses = np.abs(np.concatenate([[prediction], predictions[:-1]]) - np.concatenate([[value], values[:-1]]))
     error = np.where(numbers >= 2, misses, 0.0)
 
-    whole = np.floor(error * MILLIONTHS + 0.5).astype(np.int64)
+    whole = np.floor(np.minimum(error * MILLIONTHS + 0.5, LARGEST_STEP)).astype(np.int64)
+    if float(whole.max()) * count >= LARGEST_STEP:
+        whole = whole.astype(object)  # the sum needs wider integers
     before = np.concatenate([[0], np.cumsum(whole)[:-1]])
     earlier_sum = (before.astype(object) + int(errors)).astype(float)
     earlier_count = np.maximum(numbers - 2, 0)

@@ -4,10 +4,8 @@ from millrace.functions.logs import parse_access, rejected
 from millrace.plans.access_log import bad_lines, requests_by_browser, traffic_by_ip, write_traffic
 
 LINE = (
-    "ip488 - - [25/Apr/2011:11:33:33 -0400] \"GET /~techrat/vw_spotters/vw_beetle_f.jpg HTTP/1.1\" 200 {} "
-    "\"http://host2/~techrat/vw_spotters/\" \"Mozilla/4.0 (compatible; MSIE 8.0; Windows NT 5.1; Trident/4.0; "
-    "GTB6.6; .NET CLR 1.1.4322; .NET CLR 2.0.50727; .NET CLR 3.0.04506.30; .NET CLR 3.0.4506.2152; "
-    ".NET CLR 3.5.30729; MDDR; InfoPath.2)\""
+    "ip77 - - [03/Mar/2019:08:07:06 +0100] \"GET /plants/fern.html?page=2 HTTP/1.0\" 304 {} "
+    "\"http://garden.example/plants/\" \"Mozilla/5.0 (compatible; MSIE 9.0; Windows NT 6.1; Trident/5.0; KitProbe 2.3)\""
 )
 
 
@@ -15,7 +13,7 @@ def lines(spark, *texts):
     return spark.createDataFrame([(text,) for text in texts], "value string")
 
 
-@pytest.mark.parametrize("size, expected", [("28153", ("ip488", 28153.0, 28153)), ("-", ("ip488", 0.0, 0))])
+@pytest.mark.parametrize("size, expected", [("40719", ("ip77", 40719.0, 40719)), ("-", ("ip77", 0.0, 0))])
 def test_one_line(spark, size, expected):
     log = lines(spark, LINE.format(size))
     assert [tuple(r) for r in traffic_by_ip(log).collect()] == [expected]
@@ -33,27 +31,27 @@ def test_line_with_a_word_for_its_size_is_rejected(spark):
 
 def test_a_size_beyond_bigint_is_rejected_not_counted_as_zero(spark):
     log = lines(spark, LINE.format("9" * 30), LINE.format("5"))
-    assert [tuple(r) for r in traffic_by_ip(log).collect()] == [("ip488", 5.0, 5)]
+    assert [tuple(r) for r in traffic_by_ip(log).collect()] == [("ip77", 5.0, 5)]
     assert tuple(bad_lines(log).first()) == (2, 1)
 
 
 def test_average_has_two_decimals(spark):
-    sizes = [234] + [1607, 1607, 1608] + [1423] * 4 + [1424] * 2
+    sizes = [100] + [333] * 5
     rows = traffic_by_ip(lines(spark, *[LINE.format(size) for size in sizes])).collect()
-    assert [tuple(r) for r in rows] == [("ip488", 1359.6, 13596)]
+    assert [tuple(r) for r in rows] == [("ip77", 294.17, 1765)]
 
 
 def test_fields_have_no_quotes_and_must_start_the_line(spark):
     row = parse_access(lines(spark, LINE.format(7))).first()
-    assert row.request == "GET /~techrat/vw_spotters/vw_beetle_f.jpg HTTP/1.1"
-    assert row.status == "200" and row.time == "[25/Apr/2011:11:33:33 -0400]"
-    assert row.user_agent.startswith("Mozilla/4.0") and row.user_agent.endswith("InfoPath.2)")
+    assert row.request == "GET /plants/fern.html?page=2 HTTP/1.0"
+    assert row.status == "304" and row.time == "[03/Mar/2019:08:07:06 +0100]"
+    assert row.user_agent.startswith("Mozilla/5.0") and row.user_agent.endswith("KitProbe 2.3)")
     assert tuple(bad_lines(lines(spark, "x" + LINE.format(7), "", "ip1")).first()) == (3, 3)
 
 
 def test_text_after_the_last_quote_is_ignored(spark):
     row = parse_access(lines(spark, LINE.format(7) + " more")).first()
-    assert row.valid and row.user_agent.endswith("InfoPath.2)")
+    assert row.valid and row.user_agent.endswith("KitProbe 2.3)")
 
 
 @pytest.mark.parametrize("compress", [True, False])
@@ -65,10 +63,10 @@ def test_outputs(spark, tmp_path, output_format, compress):
     names = [p.name for p in (tmp_path / "out").iterdir() if p.name.startswith("part")]
     if output_format == "csv":
         assert all(name.endswith(".snappy") == compress for name in names)
-        assert [r.value for r in spark.read.text(folder).collect()] == ["ip488,10.5,21"] or compress
-        assert [tuple(r) for r in spark.read.csv(folder).collect()] == [("ip488", "10.5", "21")]
+        assert [r.value for r in spark.read.text(folder).collect()] == ["ip77,10.5,21"] or compress
+        assert [tuple(r) for r in spark.read.csv(folder).collect()] == [("ip77", "10.5", "21")]
     else:
-        assert spark.sparkContext.sequenceFile(folder).collect() == [('"ip488"', "[10.5, 21]")]
+        assert spark.sparkContext.sequenceFile(folder).collect() == [('"ip77"', "[10.5, 21]")]
         header = next(p for p in (tmp_path / "out").iterdir() if p.name.startswith("part")).read_bytes()[:200]
         assert (b"SnappyCodec" in header) == compress
 

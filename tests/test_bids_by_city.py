@@ -3,16 +3,16 @@ from millrace.functions.logs import parse_ad_log, rejected
 from millrace.plans import bids_by_city as jobs
 from pyspark.sql import functions as F
 
-AGENT = "Mozilla/4.0 (compatible; MSIE 6.0; Windows NT 5.1; SV1)"
-PROFILE = "10057,13800,13496,10079,10076,10075,10093,10129,10024,10006,10110,13776,10146,10120,10115,10063"
+AGENT = "Mozilla/5.0 (compatible; MSIE 9.0; Windows NT 6.1; Trident/5.0)"
+PROFILE = "20011,20044,20102"
 
 
-def line(price="277", city="234", agent=AGENT, **other):
+def line(price="301", city="55", agent=AGENT, **other):
     fields = {
-        0: "2e72d1bd7185fb76d69c852c57436d37", 1: "20131019025500549", 2: "1", 3: "CAD06D3WCtf", 4: agent,
-        5: "113.117.187.*", 6: "216", 7: city, 8: "2", 9: "33235ca84c5fee9254e6512a41b3ad5e",
-        10: "8bbb5a81cc3d680dd0c27cf4886ddeae", 11: "null", 12: "3061584349", 13: "728", 14: "90", 15: "OtherView",
-        16: "Na", 17: "5", 18: "7330", 19: price, 20: "48", 21: "null", 22: "2259", 23: PROFILE,
+        0: "0f1e2d3c4b5a69788796a5b4c3d2e1f0", 1: "20190303080706005", 2: "1", 3: "PLQ7XYZ0abc", 4: agent,
+        5: "10.20.30.*", 6: "81", 7: city, 8: "3", 9: "00112233445566778899aabbccddeeff",
+        10: "ffeeddccbbaa99887766554433221100", 11: "null", 12: "7000000001", 13: "300", 14: "250", 15: "FirstView",
+        16: "Na", 17: "12", 18: "4412", 19: price, 20: "77", 21: "null", 22: "9001", 23: PROFILE,
     }
     fields.update({int(name[1:]): value for name, value in other.items()})
     return "\t".join(fields[at] for at in range(24))
@@ -27,15 +27,15 @@ def counts(frame):
 
 
 def test_threshold_is_strict(spark):
-    log = lines(spark, line("277"), line("148"), line("250"), line("251"))
-    assert counts(jobs.bids_by_city(log)) == {("234",): 2}
+    log = lines(spark, line("301"), line("120"), line("250"), line("251"))
+    assert counts(jobs.bids_by_city(log)) == {("55",): 2}
 
 
 def test_bad_lines_are_counted_and_kept(spark):
     log = lines(spark, line("nnnn"), line(), "", line(c11="http://x"), line(c16="Fixed"), line(c8="B"), "a\tb")
     assert tuple(jobs.bad_lines(log).first()) == (7, 6)
     assert rejected(parse_ad_log(log)).count() == 6
-    assert counts(jobs.bids_by_city(log)) == {("234",): 1}
+    assert counts(jobs.bids_by_city(log)) == {("55",): 1}
 
 
 def test_a_further_tab_belongs_to_the_last_column(spark):
@@ -44,9 +44,9 @@ def test_a_further_tab_belongs_to_the_last_column(spark):
 
 
 def test_city_names_and_unknown_cities(spark):
-    log = lines(spark, *[line(city="126")] * 7, *[line(city="127")] * 4, line(city="999"), line("1", city="998"))
-    cities = spark.createDataFrame([("126", "xiamen"), ("127", "putian"), ("0", "unknown")], "city_id string, name string")
-    assert counts(jobs.bids_by_city(log, cities)) == {("xiamen",): 7, ("putian",): 4}
+    log = lines(spark, *[line(city="31")] * 7, *[line(city="32")] * 4, line(city="999"), line("1", city="998"))
+    cities = spark.createDataFrame([("31", "northport"), ("32", "eastvale"), ("0", "unknown")], "city_id string, name string")
+    assert counts(jobs.bids_by_city(log, cities)) == {("northport",): 7, ("eastvale",): 4}
     assert tuple(jobs.unknown_cities(log, cities).first()) == (1, 1)
 
 
@@ -81,6 +81,6 @@ def test_first_rule_that_fits_wins(spark):
 
 
 def test_counting_precedes_the_lookup(spark, plan):
-    cities = spark.createDataFrame([("126", "xiamen")], "city_id string, name string")
+    cities = spark.createDataFrame([("31", "northport")], "city_id string, name string")
     text = plan(jobs.bids_by_city(lines(spark, line()), cities))
     assert "partial_count(1)" in text and "CartesianProduct" not in text and "Window" not in text

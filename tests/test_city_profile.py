@@ -1,7 +1,7 @@
 from millrace.operators.ranking import most_frequent
 from millrace.plans import city_profile as jobs
 
-IE = "Mozilla/4.0 (compatible; MSIE 6.0; Windows NT 5.1; SV1)"
+IE = "Mozilla/5.0 (compatible; MSIE 9.0; Windows NT 6.1; Trident/5.0)"
 FIREFOX = "Mozilla/5.0 (X11; Ubuntu; Linux x86_64; rv:15.0) Gecko/20100101 Firefox/15.0.1"
 IPHONE = (
     "Mozilla/5.0 (iPhone; CPU iPhone OS 6_0 like Mac OS X) AppleWebKit/536.26 Version/6.0 Mobile/10A403 Safari/8536.25"

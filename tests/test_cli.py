@@ -32,21 +32,34 @@ def test_words(run, spark, tmp_path):
 def test_log_stats(run, spark, tmp_path, capsys):
     (tmp_path / "log").write_text(f'ip1 - - [t] "GET /" 200 10 "-" "{IE}"\nip1 - - [t] "GET /" 200 x "-" "-"\n')
     run("log-stats", tmp_path / "log", "--compress", "false", "--output", tmp_path / "out")
-    assert read(spark, tmp_path / "out") == ["ip1,10.0,10"]
+    assert read(spark, tmp_path / "out" / "traffic") == ["ip1,10.0,10"]
+    assert read(spark, tmp_path / "out" / "browsers") == ["IE\t1"]
+    assert read(spark, tmp_path / "out" / "bad_lines") == ["2\t1"]
+    run("log-stats", tmp_path / "log")
     shown = capsys.readouterr().out
-    assert "IE" in shown and "|2    |1        |" in shown
+    assert "IE" in shown and "|2    |1        |" in shown and "further rows" not in shown
+
+
+def test_rows_that_are_not_shown_are_counted(run, spark, tmp_path, capsys):
+    (tmp_path / "a.txt").write_text("\n".join(f"word{i:03d}" for i in range(130)) + "\n")
+    run("longest-words", tmp_path / "a.txt", "--top", 130)
+    assert "30 further rows" in capsys.readouterr().out
+    run("longest-words", tmp_path / "a.txt", "--top", 130, "--output", tmp_path / "out")
+    assert len(read(spark, tmp_path / "out")) == 130
 
 
 def test_city_bids(run, spark, tmp_path, capsys):
     (tmp_path / "ads").write_text("\n".join([ad_line(city="126"), ad_line(city="9"), ad_line("nnnn")]) + "\n")
-    (tmp_path / "cities").write_text("126 xiamen\n")
+    (tmp_path / "cities").write_text("126 north port\nlonely\n")
     run(
         "city-bids", tmp_path / "ads", "--city_names_file", tmp_path / "cities", "--by_os", "--reducers_num", 2,
         "--output", tmp_path / "out",
     )
-    assert read(spark, tmp_path / "out" / "by_city") == ["xiamen\t1"]
+    assert read(spark, tmp_path / "out" / "by_city") == ["north port\t1"]
     assert read(spark, tmp_path / "out" / "by_os") == ["Windows\t126\t1", "Windows\t9\t1"]
-    assert "|3    |1        |" in capsys.readouterr().out
+    assert read(spark, tmp_path / "out" / "bad_lines") == ["3\t1"]
+    assert len(read(spark, tmp_path / "out" / "unknown_cities")) == 1
+    assert read(spark, tmp_path / "out" / "rejected_city_names") == ["lonely"]
     run("city-bids", tmp_path / "ads", "--output", tmp_path / "ids")
     assert read(spark, tmp_path / "ids" / "by_city") == ["126\t1", "9\t1"]
 

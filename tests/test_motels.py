@@ -25,67 +25,67 @@ def names(spark, *rows):
 
 
 def test_dates_and_prices(spark):
-    row = spark.createDataFrame([("11-05-06-2011", "100", "")], "d string, p string, e string").select(
+    row = spark.createDataFrame([("23-17-11-2014", "100", "")], "d string, p string, e string").select(
         bid_hour("d"), to_euro("p", "p"), to_euro("e", "p"), bid_hour("p")
     )
-    assert tuple(row.first()) == ("2011-06-05 11:00", 10000.0, None, None)
-    third = spark.createDataFrame([("100", "0.3333333333")], "p string, r string").select(to_euro("p", "r"))
-    assert third.first()[0] == 33.333
+    assert tuple(row.first()) == ("2014-11-17 23:00", 10000.0, None, None)
+    third = spark.createDataFrame([("250", "0.1234567")], "p string, r string").select(to_euro("p", "r"))
+    assert third.first()[0] == 30.864
 
 
 def test_error_counts(spark):
     raw = bids(
-        spark, ("1", "06-05-02-2016", "ERROR_1"), ("2", "15-04-08-2016", "0.89"), ("3", "07-05-02-2016", "ERROR_2"),
-        ("4", "06-05-02-2016", "ERROR_1"), ("5", "06-05-02-2016", "ERROR_2"), ("6", "06-05-02-2016", None),
+        spark, ("1", "03-09-10-2017", "ERROR_1"), ("2", "21-02-04-2015", "1.10"), ("3", "04-09-10-2017", "ERROR_2"),
+        ("4", "03-09-10-2017", "ERROR_1"), ("5", "03-09-10-2017", "ERROR_2"), ("6", "03-09-10-2017", None),
     )
     assert {tuple(r) for r in jobs.error_counts(raw).collect()} == {
-        ("06-05-02-2016", "ERROR_1", 2), ("06-05-02-2016", "ERROR_2", 1), ("07-05-02-2016", "ERROR_2", 1),
+        ("03-09-10-2017", "ERROR_1", 2), ("03-09-10-2017", "ERROR_2", 1), ("04-09-10-2017", "ERROR_2", 1),
     }
 
 
 def test_offers(spark):
     raw = bids(
-        spark, ("0000002", "20-20-06-2016", "0.89", "2.07", "", "0.89"), ("0000001", "10-06-11-2015", "ERROR_NO_BIDS_FOR_HOTEL")
+        spark, ("0000042", "07-19-12-2018", "1.10", "3.25", "", "1.10"), ("0000017", "10-30-03-2013", "ERROR_NOTHING_OFFERED")
     )
-    found = jobs.offers(raw, rates(spark, ("20-20-06-2016", "0.803"), ("10-06-11-2015", "0.987"))).collect()
+    found = jobs.offers(raw, rates(spark, ("07-19-12-2018", "0.72"), ("10-30-03-2013", "0.91"))).collect()
     assert {tuple(r) for r in found} == {
-        ("0000002", "US", "2016-06-20 20:00", 1.662), ("0000002", "CA", "2016-06-20 20:00", 0.715),
+        ("0000042", "US", "2018-12-19 07:00", 2.34), ("0000042", "CA", "2018-12-19 07:00", 0.792),
     }
 
 
 def test_offers_of_three_countries(spark):
-    found = jobs.offers(bids(spark, ("2", "11-05-08-2016", "0.92", "0.68", "1.59", "1.63")), rates(spark, ("11-05-08-2016", "0.8")))
+    found = jobs.offers(bids(spark, ("2", "09-13-01-2020", "1.01", "0.75", "1.45", "2.05")), rates(spark, ("09-13-01-2020", "0.8")))
     assert {(r.loSa, r.BidDate, r.price) for r in found.collect()} == {
-        ("US", "2016-08-05 11:00", 0.544), ("MX", "2016-08-05 11:00", 1.272), ("CA", "2016-08-05 11:00", 1.304),
+        ("US", "2020-01-13 09:00", 0.6), ("MX", "2020-01-13 09:00", 1.16), ("CA", "2020-01-13 09:00", 1.64),
     }
 
 
 def test_empty_first_price_is_no_error(spark):
-    assert jobs.offers(bids(spark, ("1", "11-05-08-2016", None, "1")), rates(spark, ("11-05-08-2016", "1"))).count() == 1
+    assert jobs.offers(bids(spark, ("1", "09-13-01-2020", None, "1")), rates(spark, ("09-13-01-2020", "1"))).count() == 1
 
 
 def test_best_offer_has_the_name(spark):
-    raw = bids(spark, ("0000002", "20-20-06-2016", "0.89", "2.07", None, "0.89"))
-    best = jobs.best_offers(raw, rates(spark, ("20-20-06-2016", "0.803")), names(spark, ("0000002", "Novelo Granja")))
-    assert [tuple(r) for r in best.collect()] == [("0000002", "Novelo Granja", "2016-06-20 20:00", "US", 1.662)]
+    raw = bids(spark, ("0000042", "07-19-12-2018", "1.10", "3.25", None, "1.10"))
+    best = jobs.best_offers(raw, rates(spark, ("07-19-12-2018", "0.72")), names(spark, ("0000042", "Harbour Rest")))
+    assert [tuple(r) for r in best.collect()] == [("0000042", "Harbour Rest", "2018-12-19 07:00", "US", 2.34)]
 
 
 def test_ties(spark):
-    raw = bids(spark, ("2", "20-20-06-2016", "0.89", "0.89", "0.89", "0.89"), ("2", "20-20-06-2016", "0.1", "0.5", "0.89", "bad"))
-    prices, motels = rates(spark, ("20-20-06-2016", "0.803")), names(spark)
+    raw = bids(spark, ("2", "07-19-12-2018", "1.10", "1.10", "1.10", "1.10"), ("2", "07-19-12-2018", "0.1", "0.5", "1.10", "bad"))
+    prices, motels = rates(spark, ("07-19-12-2018", "0.72")), names(spark)
     everything = jobs.best_offers(raw, prices, motels).collect()
     assert sorted((r.loSa, r.price, r.MotelName) for r in everything) == [
-        ("CA", 0.715, None), ("MX", 0.715, None), ("MX", 0.715, None), ("US", 0.715, None),
+        ("CA", 0.792, None), ("MX", 0.792, None), ("MX", 0.792, None), ("US", 0.792, None),
     ]
     first = jobs.best_offers(raw, prices, motels, ties="first").collect()
-    assert [(r.loSa, r.price) for r in first] == [("CA", 0.715)]
+    assert [(r.loSa, r.price) for r in first] == [("CA", 0.792)]
     with pytest.raises(ValueError):
         jobs.best_offers(raw, prices, motels, ties="any")
 
 
 def test_bids_without_rate_are_dropped_and_counted(spark):
-    raw = bids(spark, ("1", "11-05-08-2016", "1", "2", "3", "4"), ("1", "12-05-08-2016", "1", "2"), ("1", "12-05-08-2016", "1", None))
-    known = rates(spark, ("11-05-08-2016", "1"))
+    raw = bids(spark, ("1", "09-13-01-2020", "1", "2", "3", "4"), ("1", "10-13-01-2020", "1", "2"), ("1", "10-13-01-2020", "1", None))
+    known = rates(spark, ("09-13-01-2020", "1"))
     assert jobs.best_offers(raw, known, names(spark)).count() == 1
     assert jobs.unrated_bids(raw, known).first().bids == 1
 
@@ -114,34 +114,34 @@ def test_best_offers_agree_with_the_offers(spark):
 def test_ragged_and_parquet_inputs(spark, tmp_path):
     folder = tmp_path / "bids"
     folder.mkdir()
-    (folder / "a.txt").write_text("0000002,15-04-08-2016,0.89,0.92,1.32,2.07,,1.35\n0000001,06-05-02-2016,ERROR_NO_BIDS_FOR_HOTEL\n")
-    (tmp_path / "motels.txt").write_text("0000002,Novelo Granja,I,http://x,Lorem, ipsum\n")
-    (tmp_path / "rates.txt").write_text("15-04-08-2016,Euro,EUR,0.803\n")
+    (folder / "a.txt").write_text("0000042,21-02-04-2015,1.10,1.05,1.40,3.25,,1.35\n0000017,03-09-10-2017,ERROR_NOTHING_OFFERED\n")
+    (tmp_path / "motels.txt").write_text("0000042,Harbour Rest,I,http://x,sea, sand\n")
+    (tmp_path / "rates.txt").write_text("21-02-04-2015,Euro,EUR,0.72\n")
     raw = read_table(spark, str(folder), RAW_BIDS)
     rows = {r.MotelID: r for r in raw.collect()}
-    assert rows["0000002"].US == "2.07" and rows["0000002"].MX is None and rows["0000002"].DE is None
-    assert rows["0000001"].HU == "ERROR_NO_BIDS_FOR_HOTEL" and rows["0000001"].UK is None
+    assert rows["0000042"].US == "3.25" and rows["0000042"].MX is None and rows["0000042"].DE is None
+    assert rows["0000017"].HU == "ERROR_NOTHING_OFFERED" and rows["0000017"].UK is None
     raw.write.parquet(str(tmp_path / "bids.parquet"))
     for run, path in enumerate([str(folder), str(tmp_path / "bids.parquet")]):
         out = str(tmp_path / f"out{run}")
         jobs.run(spark, path, str(tmp_path / "rates.txt"), str(tmp_path / "motels.txt"), out, as_lines=bool(run))
-        assert [r.value for r in spark.read.text(f"{out}/aggregated").collect()] == ["0000002,Novelo Granja,2016-08-04 15:00,US,1.662"]
-        assert [r.value for r in spark.read.text(f"{out}/erroneous").collect()] == ["06-05-02-2016,ERROR_NO_BIDS_FOR_HOTEL,1"]
+        assert [r.value for r in spark.read.text(f"{out}/aggregated").collect()] == ["0000042,Harbour Rest,2015-04-02 21:00,US,2.34"]
+        assert [r.value for r in spark.read.text(f"{out}/erroneous").collect()] == ["03-09-10-2017,ERROR_NOTHING_OFFERED,1"]
 
 
 def test_bids_are_reduced_before_each_shuffle_and_never_windowed(spark, plan):
-    raw = bids(spark, ("1", "11-05-08-2016", "1", "2", "3", "4"))
-    text = plan(jobs.best_offers(raw, rates(spark, ("11-05-08-2016", "1")), names(spark)))
+    raw = bids(spark, ("1", "09-13-01-2020", "1", "2", "3", "4"))
+    text = plan(jobs.best_offers(raw, rates(spark, ("09-13-01-2020", "1")), names(spark)))
     assert "Window" not in text and "partial_count" in text and "partial_max" in text
     assert "SortAggregate" not in text and "CartesianProduct" not in text
 
 
 def test_a_busy_hour_leaves_the_partitions_of_the_rate_join(spark, plan):
     """Without a broadcast the prices are shuffled again by motel and hour before they are grouped."""
-    raw = bids(spark, ("1", "11-05-08-2016", "1", "2", "3", "4"))
+    raw = bids(spark, ("1", "09-13-01-2020", "1", "2", "3", "4"))
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        text = plan(jobs.best_offers(raw, rates(spark, ("11-05-08-2016", "1")), names(spark)))
+        text = plan(jobs.best_offers(raw, rates(spark, ("09-13-01-2020", "1")), names(spark)))
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "32m")
     assert "Exchange hashpartitioning(MotelID" in text and "Exchange hashpartitioning(BidDate" in text

@@ -218,3 +218,30 @@ def test_stream_runs_on_a_two_second_trigger(spark, tmp_path):
         assert spark.read.json(str(tmp_path / "out")).count() == 1
     finally:
         query.stop()
+
+
+def test_stream_and_history_agree_on_values_at_the_edges(spark):
+    values = [1.0, 1e14, 2.0, 3.0, 4.0, 1e300, 5.0, -1e13, 0.0, 0.0]
+    rows = [("d", START + dt.timedelta(minutes=17 * i), i, v) for i, v in enumerate(values)]
+    odd = [("d", START + dt.timedelta(hours=1, seconds=1), 90, x) for x in (float("nan"), float("inf"), None)]
+    history = spark.createDataFrame(rows + odd, "device_id string, ts timestamp, seq long, value double")
+    found = score_history(history).orderBy("seq").collect()
+    frame = pd.DataFrame(rows, columns=["device_id", "ts", "seq", "value"])
+    state, parts = None, []
+    for cut in (slice(0, 3), slice(3, 4), slice(4, 10)):
+        scored, state = score_frame(frame.iloc[cut], state)
+        parts.append(scored)
+    stream = pd.concat(parts)
+    assert [r.seq for r in found] == list(range(10))
+    for name in ("prediction", "error", "anomaly", "predictionNext"):
+        assert [r[name] for r in found] == stream[name].tolist(), name
+
+
+def test_messages_without_a_finite_measurement_are_unreadable(spark):
+    def reading(value):
+        known = {"dateGMT": "2024-01-01", "timeGMT": "10:00", "sampleMeasurement": value}
+        return tuple(known.get(name, "x") for name in READING_FIELDS)
+
+    kind = ", ".join(f"{name} string" for name in READING_FIELDS)
+    messages = to_messages(spark.createDataFrame([reading(v) for v in ("1.5", "NaN", "Infinity", "", "z")], kind))
+    assert sensors.unreadable(messages.withColumn("seq", F.lit(1).cast("long"))).count() == 4

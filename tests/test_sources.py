@@ -7,7 +7,7 @@ from millrace.plans import weather
 from millrace.sources.database import move_statements, run_in_transaction
 from millrace.sources.messages import publish
 from millrace.sources.sinks import append_csv, write_lines
-from millrace.sources.tables import read_lines, read_lookup, read_quoted, read_table
+from millrace.sources.tables import read_lines, read_lookup, read_quoted, read_table, rejected_lookup
 
 
 def test_lines_from_many_paths(spark, tmp_path):
@@ -19,9 +19,10 @@ def test_lines_from_many_paths(spark, tmp_path):
 
 
 def test_lookup_file(spark, tmp_path):
-    (tmp_path / "city.txt").write_text("126 xiamen\n127\tputian\n\nno name here\n0  unknown \n")
+    (tmp_path / "city.txt").write_text("31 northport\n32\teastvale\n\n33 new  port\nlonely\n0  unknown \n")
     rows = {tuple(r) for r in read_lookup(spark, str(tmp_path / "city.txt")).collect()}
-    assert rows == {("126", "xiamen"), ("127", "putian"), ("0", "unknown")}
+    assert rows == {("31", "northport"), ("32", "eastvale"), ("33", "new  port"), ("0", "unknown")}
+    assert sorted(r.value for r in rejected_lookup(spark, str(tmp_path / "city.txt")).collect()) == ["", "lonely"]
 
 
 def test_quoted_fields_and_bad_numbers(spark, tmp_path):

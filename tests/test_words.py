@@ -6,14 +6,14 @@ def lines(spark, *texts):
 
 
 def test_words_of_a_line(spark):
-    rows = tokens(lines(spark, "The story begins in the 1978. They met at school! Why?"))
+    rows = tokens(lines(spark, "Rain fell on the 12 roofs. Nobody slept! Who could?"))
     assert [r.token for r in rows.collect()] == [
-        "The", "story", "begins", "in", "the", "1978", "They", "met", "at", "school", "Why",
+        "Rain", "fell", "on", "the", "12", "roofs", "Nobody", "slept", "Who", "could",
     ]
 
 
 def test_lines_without_words(spark):
-    assert tokens(lines(spark, "", "!&&)((@&$*(@(@)(#**$&#$^@%%^@!&@^")).count() == 0
+    assert tokens(lines(spark, "", "?? -- ;; %% (+) [=] {~} !")).count() == 0
 
 
 def test_words_keep_apostrophes_and_accents(spark):
