@@ -17,9 +17,9 @@ from millrace.llm.words import saved, word_hashes
 #: The token after the last word, and what stands before the first; no word holds white space.
 END, START = xxhash.xxh64_intdigest(b"\n"), xxhash.xxh64_intdigest(b" ")
 #: Tokens that are sorted together before they are sent.
-PIECE = 1_000_000
+PIECE = 400_000
 #: Tokens of training for which one bucket of words is planned.
-BUCKET = 5_000_000
+BUCKET = 2_000_000
 #: Customers of one dish up to which the tables are drawn from exact probabilities.
 EXACT = 64
 
