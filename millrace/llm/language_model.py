@@ -348,6 +348,8 @@ class Scorer:
 
 
 def _sent(buckets: int, contexts: int):
+    """Pieces by bucket. Every document has an end token, so the bucket of that token alone carries the ids of a piece."""
+
     def send(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         part, row = TaskContext.get().partitionId(), 0
         for frame in frames:
@@ -356,12 +358,14 @@ def _sent(buckets: int, contexts: int):
                 rows = []
                 for b, p in _cut(piece, buckets):
                     named, docs = np.unique(p.docs, return_inverse=True)
+                    place = np.searchsorted(p.words, np.uint64(END))
+                    ends = place < len(p.words) and p.words[place] == np.uint64(END)
                     rows.append(
                         (b, 1, p.words.tobytes(), _packed(p.pairs_of_word), _packed(p.contexts), _packed(p.counts), _packed(p.entries_of_pair),
-                         _packed(docs), (named + (part << 32) + row).astype(np.int64).tobytes(), ids.iloc[begin:end].iloc[named].tolist())
+                         _packed(docs), _packed(named), (part << 32) + row, ids.iloc[begin:end].tolist() if ends else None)
                     )
                 row += end - begin
-                yield pd.DataFrame(rows, columns=["bucket", "kind", "words", "pairs", "contexts", "counts", "entries", "docs", "rows", "ids"])
+                yield pd.DataFrame(rows, columns=["bucket", "kind", "words", "pairs", "contexts", "counts", "entries", "docs", "rows", "piece", "ids"])
 
     return send
 
@@ -380,21 +384,37 @@ def _scored(model: Model):
                 words = np.repeat(np.frombuffer(r.words, dtype=np.uint64), _unpacked(r.pairs))
                 chance, seen = scorer.chances(words, _unpacked(r.contexts))
                 entries, docs, counts = _unpacked(r.entries), _unpacked(r.docs), _unpacked(r.counts)
-                total = lambda values: np.bincount(docs, weights=counts * np.repeat(values, entries), minlength=len(r.ids))  # noqa: E731, B023
-                yield pd.DataFrame(
-                    {
-                        "row": np.frombuffer(r.rows, dtype=np.int64),
-                        "doc_id": pd.array(list(r.ids), dtype="Int64"),
-                        "n_tokens": total(np.ones(len(seen))).astype(np.int64),
-                        "n_known": total(seen > 0).astype(np.int64),
-                        "base_score": total(np.log10(seen + 1) - floor),
-                        "score": total(np.log10(chance)),
-                    }
-                )
+                rows = _unpacked(r.rows)
+                total = lambda values: np.bincount(docs, weights=counts * np.repeat(values, entries), minlength=len(rows))  # noqa: E731, B023
+                sums = [total(x) for x in (np.ones(len(seen)), seen > 0, np.log10(seen + 1) - floor, np.log10(chance))]
+                yield pd.DataFrame([(r.piece, r.bucket, r.rows, np.concatenate(sums).tobytes(), r.ids)], columns=["piece", "bucket", "rows", "sums", "ids"])
 
     return score
 
 
+def _added(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """The scores of every document of a piece, whose parts come one after another; only the sums of one piece are held."""
+
+    def scores() -> pd.DataFrame:
+        columns = {"doc_id": list(ids), "n_tokens": sums[0].astype(np.int64), "n_known": sums[1].astype(np.int64)}
+        return pd.DataFrame({**columns, "base_score": sums[2], "score": sums[3]})
+
+    piece, sums, ids = None, np.zeros((4, 0)), None
+    for frame in frames:
+        for r in frame.itertuples(index=False):
+            if r.piece != piece:
+                if piece is not None:
+                    yield scores()
+                piece, sums, ids = r.piece, np.zeros((4, 0)), None
+            rows = _unpacked(r.rows)
+            if rows[-1] >= sums.shape[1]:
+                sums = np.pad(sums, ((0, 0), (0, int(rows[-1]) + 1 - sums.shape[1])))
+            sums[:, rows] += np.frombuffer(r.sums).reshape(4, -1)
+            ids = r.ids if r.ids is not None else ids
+    if piece is not None:
+        yield scores()
+
+
 def text_scores(docs: DataFrame, learn: Column, how: Settings = Settings(), id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """doc_id, n_tokens, n_known, train_tokens, base_score and score (log10 probability) of every row, learning from those that `learn` names.
 
@@ -414,13 +434,16 @@ def text_scores(docs: DataFrame, learn: Column, how: Settings = Settings(), id_c
         plain.where("learn").mapInPandas(_counted(buckets, how.contexts), columns).repartition(buckets, "bucket").mapInPandas(_summed, columns), "counts"
     )
     model = train(counts, how)
-    more = "entries binary, docs binary, rows binary, ids array<long>"
-    sent = plain.mapInPandas(_sent(buckets, how.contexts), columns.replace("bucket int,", "bucket int, kind int,") + ", " + more)
-    shards = counts.withColumn("kind", F.lit(0))
-    for name, kind in (("entries", "binary"), ("docs", "binary"), ("rows", "binary"), ("ids", "array<long>")):
-        shards = shards.withColumn(name, F.lit(None).cast(kind))
+    more = {"entries": "binary", "docs": "binary", "rows": "binary", "piece": "long", "ids": "array<string>"}
+    # Ids travel as text: beside nulls pandas would make 64-bit numbers inexact.
+    sent = plain.withColumn("doc_id", F.col("doc_id").cast("string")).mapInPandas(
+        _sent(buckets, how.contexts), columns.replace("bucket int,", "bucket int, kind int,") + "".join(f", {name} {kind}" for name, kind in more.items())
+    )
+    shards = counts.withColumns({"kind": F.lit(0), **{name: F.lit(None).cast(kind) for name, kind in more.items()}})
     met = shards.unionByName(sent).repartition(buckets, "bucket").sortWithinPartitions("bucket", "kind")
-    parts = met.mapInPandas(_scored(model), "row long, doc_id long, n_tokens long, n_known long, base_score double, score double")
-    sums = [F.sum(c).alias(c) for c in ("n_tokens", "n_known", "base_score", "score")]
-    whole = parts.groupBy("row").agg(F.first("doc_id").alias("doc_id"), *sums)
-    return whole.select("doc_id", "n_tokens", "n_known", F.lit(model.train_tokens).cast("long").alias("train_tokens"), "base_score", "score")
+    # One row for a piece and bucket, not for a document and bucket; a bucket has at most one part of a piece.
+    parts = met.mapInPandas(_scored(model), "piece long, bucket int, rows binary, sums binary, ids array<string>")
+    whole = parts.repartition(buckets, "piece").sortWithinPartitions("piece", "bucket").mapInPandas(
+        _added, "doc_id string, n_tokens long, n_known long, base_score double, score double"
+    )
+    return whole.select(F.col("doc_id").cast("long"), "n_tokens", "n_known", F.lit(model.train_tokens).cast("long").alias("train_tokens"), "base_score", "score")
