@@ -6,7 +6,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from checks.registry import table
-from millrace.functions.logs import ACCESS_LINE, AD_LOG_LINE
 from millrace.functions.records import complete, device_key, record_json
 from millrace.schemas import AD_LOGS, READING_FIELDS
 
@@ -21,6 +20,12 @@ AGENTS = [
     "Opera/9.80 (J2ME/MIDP; Opera Mini/9.80; U; en) Presto/2.5.25",
     "curl/7.26.0",
 ]
+# What they are, as read from their texts: browser, operating system, device.
+FAMILIES = {
+    "browser": ["IE", "Firefox", "Chrome", "Mobile Safari", "Googlebot", "Android", "Opera Mini", "Other"],
+    "os": ["Windows", "Ubuntu", "Windows", "iOS", "Other", "Android", "Other", "Other"],
+    "device": ["Other", "Other", "Other", "iPhone", "Spider", "Generic Smartphone", "Other", "Other"],
+}
 
 
 def _agent() -> Column:
@@ -53,19 +58,11 @@ def access_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "events").select(line.alias("value"))
 
 
-ACCESS_LINES_SQL = f"""
-    SELECT concat('ip', user_id, ' - - [', strftime(ts, '%d/%m/%Y:%H:%M:%S'), ' +0000] "GET /', event_type, '/',
-        event_id, ' HTTP/1.1" 200 ',
-        CASE event_type WHEN 'error' THEN 'bytes' WHEN 'view' THEN '-'
-            ELSE CAST(CAST(floor(value * 100 + 0.5) AS BIGINT) AS VARCHAR) END,
-        ' "http://host', user_id % 10, '/" "', {AGENT_SQL}, '"') AS value
-    FROM events"""
+# Said from the events, not by parsing the lines again.
 ACCESS_SQL = f"""
-    SELECT regexp_extract(value, '{ACCESS_LINE}', 1) AS ip,
-        COALESCE(TRY_CAST(regexp_extract(value, '{ACCESS_LINE}', 5) AS BIGINT), 0) AS bytes,
-        regexp_extract(value, '{ACCESS_LINE}', 7) AS user_agent,
-        regexp_matches(value, '{ACCESS_LINE}') AS valid
-    FROM ({ACCESS_LINES_SQL})"""
+    SELECT concat('ip', user_id) AS ip, {AGENT_SQL} AS user_agent, event_type <> 'error' AS valid,
+        CASE WHEN event_type IN ('error', 'view') THEN 0 ELSE CAST(floor(value * 100 + 0.5) AS BIGINT) END AS bytes
+    FROM events"""
 
 
 # Ad-log rows: a signup has no number for its price, and so makes a bad line.
@@ -94,7 +91,15 @@ def ad_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def ad_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ad_rows(spark, sf_dir).select(F.concat_ws("\t", *AD_LOGS).alias("value"))
+    """The rows as lines. Besides signups, four in 97 are bad: a wrong address, exchange or format, or too few columns."""
+    bad = {"anonim_url": (1, "shown"), "ad_exchange": (2, "-"), "ad_slot_format": (3, "Fixed")}
+    kind = F.col("event_id") % 97
+    fields = []
+    for field, name in zip(_ad_fields(), AD_LOGS):
+        fields.append(F.when(kind == bad[name][0], bad[name][1]).otherwise(field) if name in bad else field)
+    line = F.concat_ws("\t", *fields)
+    short = F.substring_index(line, "\t", len(AD_LOGS) - 1)
+    return table(spark, sf_dir, "events").select(F.when(kind == 4, short).otherwise(line).alias("value"))
 
 
 _AD_VALUES_SQL = {
@@ -110,12 +115,11 @@ _AD_VALUES_SQL = {
 AD_ROWS_SQL = "SELECT " + ", ".join(
     f"{_AD_VALUES_SQL.get(name, repr(AD_CONSTANTS.get(name, '1')))} AS {name}" for name in AD_LOGS
 ) + " FROM events"
-AD_LINES_SQL = f"SELECT concat_ws(chr(9), {', '.join(AD_LOGS)}) AS value FROM ({AD_ROWS_SQL})"
 AD_SQL = f"""
-    SELECT split_part(value, chr(9), 5) AS user_agent, split_part(value, chr(9), 8) AS city_id,
-        TRY_CAST(split_part(value, chr(9), 20) AS BIGINT) AS bidding_price,
-        regexp_matches(value, '{AD_LOG_LINE}') AS valid
-    FROM ({AD_LINES_SQL})"""
+    SELECT {AGENT_SQL} AS user_agent, CAST(user_id % 40 AS VARCHAR) AS city_id,
+        CAST(floor(value * 10 + 0.5) AS BIGINT) AS bidding_price,
+        event_type <> 'signup' AND event_id % 97 NOT IN (1, 2, 3, 4) AS valid
+    FROM events"""
 CITIES_SQL = "SELECT CAST(n_nationkey AS VARCHAR) AS city_id, n_name AS name FROM nation"
 
 
@@ -222,13 +226,39 @@ READINGS_SQL = "SELECT event_id AS seq, " + ", ".join(
 ) + " FROM events"
 
 
-def family_sql(column: str, rules) -> str:
-    """The first-match CASE expression of a rule list."""
-    cases = [
-        "WHEN " + " AND ".join(f"contains({column}, '{part}')" for part in parts) + f" THEN '{name}'"
-        for name, parts in rules
-    ]
-    return f"CASE {' '.join(cases)} ELSE 'Other' END"
+def family_sql(column: str, kind: str) -> str:
+    """The known family of each agent that the derived lines carry."""
+    cases = [f"WHEN '{agent}' THEN '{family}'" for agent, family in zip(AGENTS, FAMILIES[kind])]
+    return f"CASE {column} {' '.join(cases)} END"
+
+
+# Flights: a line of an order is a flight from its supplier to its part; some have no origin, returned ones are cancelled.
+def flights(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "lineitem").select(
+        F.month("l_shipdate").alias("Month"),
+        F.concat(F.lit("C"), _text("l_linenumber")).alias("UniqueCarrier"),
+        F.when(F.col("l_quantity") > 1, F.concat(F.lit("A"), _text("l_suppkey"))).alias("Origin"),
+        F.concat(F.lit("A"), _text("l_partkey")).alias("Dest"),
+        F.when(F.col("l_returnflag") == "R", 1).otherwise(0).alias("Cancelled"),
+    )
+
+
+FLIGHTS_SQL = """
+    SELECT month(l_shipdate) AS month, concat('C', l_linenumber) AS carrier, concat('A', l_partkey) AS dest,
+        CASE WHEN l_quantity > 1 THEN concat('A', l_suppkey) END AS origin, l_returnflag = 'R' AS cancelled
+    FROM lineitem"""
+
+
+def airports(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Suppliers as airports in the city of their nation's name; those of one nation are missing."""
+    nations = table(spark, sf_dir, "nation")
+    there = table(spark, sf_dir, "supplier").where("s_nationkey <> 3").join(nations, F.col("s_nationkey") == F.col("n_nationkey"))
+    return there.select(F.concat(F.lit("A"), _text("s_suppkey")).alias("iata"), F.col("n_name").alias("city"))
+
+
+AIRPORTS_SQL = """
+    SELECT concat('A', s_suppkey) AS iata, n_name AS city FROM supplier JOIN nation ON s_nationkey = n_nationkey
+    WHERE s_nationkey <> 3"""
 
 
 def reading_messages(spark: SparkSession, sf_dir: str) -> DataFrame:

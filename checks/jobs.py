@@ -6,9 +6,8 @@ from pyspark.sql import functions as F
 
 from checks import inputs
 from checks.registry import ORACLES, query, table
-from millrace.functions.agents import BROWSER_RULES, DEVICE_RULES, OS_RULES
 from millrace.operators.scoring import score_history
-from millrace.plans import access_log, bids_by_city, city_profile, motels, sensors, words
+from millrace.plans import access_log, bids_by_city, city_profile, flights, motels, sensors, words
 
 WORD_SQL = r"unnest(regexp_extract_all(text, '[\p{L}\p{N}_'']+'))"
 
@@ -51,7 +50,7 @@ def log_stats(spark, sf_dir):
 
 
 LOG_STATS_SQL = ORACLES["log_stats"]
-BROWSERS_SQL = f"""SELECT {inputs.family_sql('user_agent', BROWSER_RULES)} AS browser, count(*) AS requests
+BROWSERS_SQL = f"""SELECT {inputs.family_sql('user_agent', 'browser')} AS browser, count(*) AS requests
     FROM ({inputs.ACCESS_SQL}) WHERE valid GROUP BY 1"""
 LOG_REJECTS_SQL = f"SELECT count(*) AS lines, count(*) FILTER (NOT valid) AS bad_lines FROM ({inputs.ACCESS_SQL})"
 
@@ -125,7 +124,7 @@ def unknown_cities(spark, sf_dir):
 @query(
     "city_reports",
     f"""WITH high AS (SELECT * FROM ({inputs.AD_SQL}) WHERE valid AND bidding_price > 250)
-        SELECT 'os ' || {inputs.family_sql('user_agent', OS_RULES)} AS name, count(*) AS n FROM high GROUP BY 1
+        SELECT 'os ' || {inputs.family_sql('user_agent', 'os')} AS name, count(*) AS n FROM high GROUP BY 1
         UNION ALL SELECT 'city ' || name, count(*) FROM high JOIN ({inputs.CITIES_SQL}) USING (city_id) GROUP BY 1
         UNION ALL SELECT 'unknown', count(*) FROM high WHERE city_id NOT IN (SELECT city_id FROM ({inputs.CITIES_SQL}))
         UNION ALL SELECT 'bad lines', count(*) FROM ({inputs.AD_SQL}) WHERE NOT valid""",
@@ -141,7 +140,7 @@ def city_reports(spark, sf_dir):
 
 @query(
     "bids_by_os_and_city",
-    f"""SELECT {inputs.family_sql('user_agent', OS_RULES)} AS os, city_id, count(*) AS n FROM ({inputs.AD_SQL})
+    f"""SELECT {inputs.family_sql('user_agent', 'os')} AS os, city_id, count(*) AS n FROM ({inputs.AD_SQL})
         WHERE valid AND bidding_price > 250 GROUP BY 1, 2""",
 )
 def bids_by_os_and_city(spark, sf_dir):
@@ -158,8 +157,8 @@ def city_totals(spark, sf_dir):
     return bids_by_city.city_totals(by_os, inputs.cities(spark, sf_dir))
 
 
-FAMILIES_SQL = f"""SELECT city_id, {inputs.family_sql('user_agent', DEVICE_RULES)} AS device,
-    {inputs.family_sql('user_agent', OS_RULES)} AS os, {inputs.family_sql('user_agent', BROWSER_RULES)} AS browser
+FAMILIES_SQL = f"""SELECT city_id, {inputs.family_sql('user_agent', 'device')} AS device,
+    {inputs.family_sql('user_agent', 'os')} AS os, {inputs.family_sql('user_agent', 'browser')} AS browser
     FROM ({inputs.AD_ROWS_SQL})"""
 
 
@@ -185,6 +184,50 @@ def profile(spark, sf_dir):
     return city_profile.city_profile(inputs.ad_rows(spark, sf_dir))
 
 
+@query("flights_per_carrier", f"SELECT carrier AS \"UniqueCarrier\", count(*) AS total_flights FROM ({inputs.FLIGHTS_SQL}) GROUP BY 1")
+def flights_per_carrier(spark, sf_dir):
+    return flights.flights_per_carrier(inputs.flights(spark, sf_dir))
+
+
+@query(
+    "top_carrier",
+    f"""SELECT carrier AS "UniqueCarrier", count(*) AS total_flights FROM ({inputs.FLIGHTS_SQL})
+        GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 1""",
+)
+def top_carrier(spark, sf_dir):
+    return flights.top_carrier(inputs.flights(spark, sf_dir))
+
+
+@query(
+    "city_departures",
+    f"""SELECT count(*) AS total_flights FROM ({inputs.FLIGHTS_SQL}) JOIN ({inputs.AIRPORTS_SQL}) ON origin = iata
+        WHERE month = 6 AND city = 'NATION_7'""",
+)
+def city_departures(spark, sf_dir):
+    return flights.city_departures(inputs.flights(spark, sf_dir), inputs.airports(spark, sf_dir), "NATION_7")
+
+
+@query(
+    "busiest_airports",
+    f"""SELECT airport, count(*) AS total_flights FROM (
+            SELECT origin AS airport, month FROM ({inputs.FLIGHTS_SQL}) UNION ALL SELECT dest, month FROM ({inputs.FLIGHTS_SQL}))
+        WHERE month IN (6, 7, 8) AND airport IS NOT NULL GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 5""",
+)
+def busiest_airports(spark, sf_dir):
+    return flights.busiest_airports(inputs.flights(spark, sf_dir))
+
+
+@query(
+    "cancelled_by_carrier",
+    f"""SELECT carrier AS "UniqueCarrier", count(*) AS cancelled_flights, string_agg(DISTINCT city, ',' ORDER BY city) AS cities
+        FROM ({inputs.FLIGHTS_SQL}) LEFT JOIN ({inputs.AIRPORTS_SQL}) ON origin = iata
+        WHERE cancelled GROUP BY 1 HAVING count(*) > 1""",
+)
+def cancelled_by_carrier(spark, sf_dir):
+    found = flights.cancelled_by_carrier(inputs.flights(spark, sf_dir), inputs.airports(spark, sf_dir))
+    return found.withColumn("cities", F.array_join("cities", ","))
+
+
 @query(
     "motel_errors",
     f"SELECT BidDate, HU, count(*) AS count FROM ({inputs.RAW_BIDS_SQL}) WHERE contains(HU, 'ERROR') GROUP BY 1, 2",
