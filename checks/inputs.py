@@ -19,12 +19,30 @@ AGENTS = [
     "Mozilla/5.0 (Linux; U; Android 4.0.4; en-us) AppleWebKit/534.30 Version/4.0 Mobile Safari/534.30",
     "Opera/9.80 (J2ME/MIDP; Opera Mini/9.80; U; en) Presto/2.5.25",
     "curl/7.26.0",
+    "Mozilla/5.0 (Windows NT 6.1) AppleWebKit/535.11 (KHTML, like Gecko) Chrome/17.0.963.84 Safari/535.11 SE 2.X MetaSr 1.0",
+    "Mozilla/5.0 (Linux; U; Android 4.1.2; zh-cn; SCH-I739 Build/JZO54K) AppleWebKit/534.30 Version/4.0 Mobile Safari/534.30",
+    "Mozilla/5.0 (compatible; MSIE 9.0; Windows Phone OS 7.5; Trident/5.0; IEMobile/9.0; NOKIA; Lumia 800)",
+    "Mozilla/5.0 (Windows NT 10.0; Win64; x64) AppleWebKit/537.36 (KHTML, like Gecko) Chrome/90.0.4430.93 Safari/537.36 Edg/90.0.818.51",
+    "Mozilla/5.0 (X11; Fedora; Linux x86_64; rv:30.0) Gecko/20100101 Firefox/30.0",
+    "Mozilla/5.0 (X11; U; Linux i686; en-US; rv:1.9.0.6) Gecko/20090208 Debian Firefox/3.0.6",
+    "Mozilla/5.0 (X11; Linux x86_64) AppleWebKit/535.4 (KHTML, like Gecko) Version/5.0 Safari/535.4 Midori/0.4",
+    "Mozilla/5.0 (Windows NT 5.1; rv:1.9.0.19) Gecko/2010061201 Firefox/3.0.19 Flock/2.6.0",
+    "Mozilla/5.0 (PlayBook; U; RIM Tablet OS 2.1.0; en-US) AppleWebKit/536.2 (KHTML, like Gecko) Version/7.2.1.0 Safari/536.2",
+    "Mozilla/5.0 (Windows NT 6.1) AppleWebKit/537.36 (KHTML, like Gecko) Chrome/31.0.1650.63 Safari/537.36 BIDUBrowser/6.0",
+    "Mozilla/5.0 (compatible; Ezooms/1.0; ezooms.bot@example.org)",
+    "Mozilla/5.0 (Linux; Android 6.0.1; Nexus 5X Build/MMB29P) Chrome/41.0.2272.96 Mobile Safari/537.36 (compatible; Googlebot/2.1)",
 ]
 # What they are, as read from their texts: browser, operating system, device.
 FAMILIES = {
-    "browser": ["IE", "Firefox", "Chrome", "Mobile Safari", "Googlebot", "Android", "Opera Mini", "Other"],
-    "os": ["Windows", "Ubuntu", "Windows", "iOS", "Other", "Android", "Other", "Other"],
-    "device": ["Other", "Other", "Other", "iPhone", "Spider", "Generic Smartphone", "Other", "Other"],
+    "browser": ["IE", "Firefox", "Chrome", "Mobile Safari", "Googlebot", "Android", "Opera Mini", "Other",
+        "Sogou Explorer", "Android", "IE Mobile", "Edge", "Firefox", "Firefox", "Midori", "Flock", "Safari", "Baidu Browser", "ezooms.bot", "Googlebot",
+    ],
+    "os": ["Windows", "Ubuntu", "Windows", "iOS", "Other", "Android", "Other", "Other",
+        "Windows", "Android", "Windows Phone", "Windows", "Fedora", "Debian", "Linux", "Windows", "BlackBerry Tablet OS", "Windows", "Other", "Android",
+    ],
+    "device": ["Other", "Other", "Other", "iPhone", "Spider", "Generic Smartphone", "Other", "Other",
+        "Other", "SCH-I739", "Generic Smartphone", "Other", "Other", "Other", "Other", "Other", "Other", "Other", "Spider", "Spider",
+    ],
 }
 
 

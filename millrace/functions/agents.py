@@ -35,6 +35,11 @@ BROWSER_RULES = [
     ("Purebot", ("Purebot",)),
     ("SiteBot", ("SiteBot",)),
     ("VoilaBot", ("VoilaBot",)),
+    ("NE Crawler", ("NE Crawler",)),
+    ("ichiro", ("ichiro",)),
+    ("HuaweiSymantecSpider", ("HuaweiSymantecSpider",)),
+    ("Yeti", ("Yeti/",)),
+    ("ezooms.bot", ("ezooms.bot",)),
     ("Wget", ("Wget",)),
     ("libwww-perl", ("libwww-perl",)),
     ("Python-urllib", ("Python-urllib",)),
@@ -46,6 +51,16 @@ BROWSER_RULES = [
     ("UC Browser", ("UCWEB",)),
     ("QQ Browser Mobile", ("MQQBrowser",)),
     ("QQ Browser", ("QQBrowser",)),
+    ("Sogou Explorer", ("MetaSr",)),
+    ("Baidu Browser", ("baidubrowser",)),
+    ("Baidu Browser", ("BIDUBrowser",)),
+    ("Baidu Explorer", ("FlyFlow",)),
+    ("Edge", ("Edg/",)),
+    ("Edge", ("Edge/",)),
+    ("Amazon Silk", ("Silk/",)),
+    ("Midori", ("Midori",)),
+    ("Flock", ("Flock/",)),
+    ("IE Mobile", ("IEMobile",)),
     ("Maxthon", ("Maxthon",)),
     ("Avant", ("Avant Browser",)),
     ("MyIE2", ("MyIE2",)),
@@ -88,10 +103,14 @@ OS_RULES = [
     ("Chrome OS", ("CrOS",)),
     ("Mac OS X", ("Mac OS X",)),
     ("Mac OS X", ("Macintosh",)),
+    ("BlackBerry Tablet OS", ("RIM Tablet OS",)),
     ("BlackBerry OS", ("BlackBerry",)),
+    ("Bada", ("Bada/",)),
     ("Symbian OS", ("Symbian",)),
     ("BREW", ("BREW",)),
     ("Ubuntu", ("Ubuntu",)),
+    ("Debian", ("Debian",)),
+    ("Fedora", ("Fedora",)),
     ("FreeBSD", ("FreeBSD",)),
     ("Linux", ("Linux",)),
 ]
@@ -133,5 +152,13 @@ def operating_system(agent: Column | str) -> Column:
     return family(agent, OS_RULES)
 
 
+#: An Android agent names its model between a semicolon and the build.
+ANDROID_MODEL = r";\s*([^;()]+?)\s+Build/"
+
+
 def device(agent: Column | str) -> Column:
-    return family(agent, DEVICE_RULES)
+    """The model that an Android agent names, unless it is a spider; for all others the family of the rules."""
+    text = as_column(agent)
+    known = family(text, DEVICE_RULES)
+    model = F.regexp_extract(text, ANDROID_MODEL, 1)
+    return F.when((known != "Spider") & text.contains("Android") & (model != ""), model).otherwise(known)
