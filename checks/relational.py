@@ -9,8 +9,7 @@ from millrace.functions.dates import bid_hour
 from millrace.functions.numbers import number, round_half_up, to_euro
 from millrace.operators.joining import count_by, matched, unmatched, with_lookup
 from millrace.operators.layout import partition_and_sort, with_parallelism
-from millrace.operators.ranking import best_rows, first_best, most_frequent, top_rows
-from millrace.operators.reshaping import unpivot
+from millrace.operators.ranking import best_of_columns, best_rows, first_best, most_frequent, top_rows
 from millrace.plans.city_profile import joined_profile
 
 LINE_KEY = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
@@ -305,9 +304,8 @@ def os_city_rollup(spark, sf_dir):
 )
 def unpivot_best(spark, sf_dir):
     columns = ["l_discount", "l_tax", "l_quantity"]
-    long = unpivot(table(spark, sf_dir, "lineitem"), LINE_KEY, columns, "kind", "amount")
-    priced = long.select(*LINE_KEY, "kind", round_half_up(F.col("amount") * F.lit(0.803), 3).alias("price"))
-    return best_rows(priced, LINE_KEY, "price")
+    prices = [round_half_up(F.col(column) * F.lit(0.803), 3).alias(column) for column in columns]
+    return best_of_columns(table(spark, sf_dir, "lineitem").select(*LINE_KEY, *prices), LINE_KEY, columns, "kind", "price")
 
 
 @query(

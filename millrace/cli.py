@@ -95,7 +95,7 @@ def profile(spark: SparkSession, args) -> None:
 def motel_prices(spark: SparkSession, args) -> None:
     motels.run(
         spark, args.bids_path, args.exchange_rate_path, args.motels_path, args.result_path, args.ties, args.as_lines,
-        args.files or None,
+        args.files,
     )
 
 
@@ -187,7 +187,7 @@ def parser() -> argparse.ArgumentParser:
         command.add_argument(f"--{name}", required=True)
     command.add_argument("--ties", choices=["all", "first"], default="all")
     command.add_argument("--as_lines", action="store_true")
-    command.add_argument("--files", type=int, default=16, help="0 leaves the number of files to Spark")
+    command.add_argument("--files", type=int, help="files per result; without it as many as Spark has partitions")
 
     command = job("export-weather", export_weather, output=False)
     command.add_argument("path")

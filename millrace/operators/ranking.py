@@ -11,6 +11,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from millrace.operators.reshaping import repeat_rows, unpivot
+
 
 def best_rows(rows: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
     """Every row whose value equals the maximum of its group, ties and copies included.
@@ -25,6 +27,21 @@ def best_rows(rows: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
     return rows.join(top, [*same_group, F.col(value) == F.col("_top")], "left_semi")
 
 
+def best_of_columns(rows: DataFrame, keys: Sequence[str], columns: Sequence[str], name: str, value: str) -> DataFrame:
+    """(keys, name, value): every column and row that reaches the group's greatest value of all columns, ties and copies included.
+
+    The same as `best_rows` of the unpivoted columns, from one scan: the greatest of a row needs no
+    group, equal ones are counted on the map side, and only the winners become rows. A null never wins.
+    """
+    best_of_row = rows.select(*keys, *columns, F.greatest(*columns).alias("_best"))
+    reached = [F.count_if(F.col(column) == F.col("_best")).alias(column) for column in columns]
+    counted = best_of_row.groupBy(*keys, "_best").agg(*reached)
+    at_top = [F.max_by(column, "_best").alias(column) for column in columns]
+    top = counted.groupBy(*keys).agg(F.max("_best").alias(value), *at_top)
+    winners = unpivot(top, [*keys, value], columns, name, "_n").where(F.col(value).isNotNull() & (F.col("_n") > 0))
+    return repeat_rows(winners.select(*keys, name, value, "_n"), "_n")
+
+
 def first_best(
     rows: DataFrame, keys: Sequence[str], value: str, ties: Sequence[str], carry: Sequence[str] = ()
 ) -> DataFrame:

@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from millrace.functions.dates import bid_hour
 from millrace.functions.numbers import number, round_half_up, to_euro
-from millrace.operators.reshaping import repeat_rows, unpivot
+from millrace.operators.ranking import best_of_columns
+from millrace.operators.reshaping import unpivot
 from millrace.schemas import BID_COUNTRIES, EXCHANGE_RATES, MOTELS, RAW_BIDS
 from millrace.sources.sinks import append_csv, write_lines
 from millrace.sources.tables import read_table
@@ -27,17 +28,23 @@ def rated_bids(raw_bids: DataFrame, rates: DataFrame) -> DataFrame:
 
     A bid with an empty first price is no error and stays.
     """
+    return _with_rates(raw_bids, rates).drop("shown")
+
+
+def _with_rates(raw_bids: DataFrame, rates: DataFrame) -> DataFrame:
+    # The hour as the results show it comes with its rate: read once per hour, not once per bid.
     good = raw_bids.where(~F.coalesce("HU", F.lit("")).contains(ERROR_MARK))
     bids = good.select("MotelID", "BidDate", *BID_COUNTRIES)
-    hourly = rates.select("ValidFrom", number("ExchangeRate").alias("rate"))
+    hourly = rates.select("ValidFrom", number("ExchangeRate").alias("rate"), bid_hour("ValidFrom").alias("shown"))
     return bids.join(hourly, bids["BidDate"] == hourly["ValidFrom"], "left").drop("ValidFrom")
 
 
 def offers(raw_bids: DataFrame, rates: DataFrame) -> DataFrame:
     """One row per bid and country with a readable price and a rate, in euro."""
-    prices = unpivot(rated_bids(raw_bids, rates), ["MotelID", "BidDate", "rate"], BID_COUNTRIES, "loSa", "usd")
+    rated = _with_rates(raw_bids, rates).where("rate is not null")
+    prices = unpivot(rated, ["MotelID", "shown", "rate"], BID_COUNTRIES, "loSa", "usd")
     euro = to_euro("usd", "rate")
-    return prices.select("MotelID", "loSa", bid_hour("BidDate").alias("BidDate"), euro.alias("price")).where(
+    return prices.select("MotelID", "loSa", F.col("shown").alias("BidDate"), euro.alias("price")).where(
         F.col("price").isNotNull()
     )
 
@@ -62,7 +69,7 @@ def best_offers(raw_bids: DataFrame, rates: DataFrame, motels: DataFrame, ties:
     # aggregation run inside the join's partitions, where a busy hour is a single task.
     halves = [F.substr("BidDate", F.lit(1), F.lit(2)).alias("hour"), F.substr("BidDate", F.lit(3)).alias("day")]
     prices = rated_bids(raw_bids, rates).where("rate is not null").select("MotelID", *halves, *euro)
-    winners = _all_best(prices) if ties == "all" else _first_best(prices)
+    winners = best_of_columns(prices, OFFER_KEYS, BID_COUNTRIES, "loSa", "price") if ties == "all" else _first_best(prices)
     names = motels.select("MotelID", "MotelName")
     return winners.join(names, "MotelID", "left").select(
         "MotelID", "MotelName", bid_hour(F.concat("hour", "day")).alias("BidDate"), "loSa", "price"
@@ -72,17 +79,6 @@ def best_offers(raw_bids: DataFrame, rates: DataFrame, motels: DataFrame, ties:
 OFFER_KEYS = ["MotelID", "hour", "day"]
 
 
-def _all_best(prices: DataFrame) -> DataFrame:
-    # A bid without any price loses to all others; testing it earlier would compute prices twice.
-    best_of_bid = prices.withColumn("price", F.greatest(*BID_COUNTRIES))
-    reached = [F.count_if(F.col(country) == F.col("price")).alias(country) for country in BID_COUNTRIES]
-    per_price = best_of_bid.groupBy(*OFFER_KEYS, "price").agg(*reached)
-    at_top = [F.max_by(country, "price").alias(country) for country in BID_COUNTRIES]
-    top = per_price.groupBy(*OFFER_KEYS).agg(F.max("price").alias("best"), *at_top)
-    counts = unpivot(top, [*OFFER_KEYS, "best"], BID_COUNTRIES, "loSa", "n").withColumnRenamed("best", "price")
-    return repeat_rows(counts.where("price is not null and n > 0"), "n")
-
-
 def _first_best(prices: DataFrame) -> DataFrame:
     per_country = prices.groupBy(*OFFER_KEYS).agg(*[F.max(country).alias(country) for country in BID_COUNTRIES])
     top = per_country.withColumn("price", F.greatest(*BID_COUNTRIES)).where(F.col("price").isNotNull())
@@ -98,7 +94,7 @@ def run(
     result_path: str,
     ties: str = "all",
     as_lines: bool = False,
-    files: int | None = 16,
+    files: int | None = None,
 ) -> None:
     """Read the three inputs (Parquet by suffix, else CSV) and write the errors, the best offers and the count of bids without a rate."""
     raw_bids = read_table(spark, bids_path, RAW_BIDS)

@@ -21,8 +21,8 @@ def write_lines(rows: DataFrame, path: str, sep: str = ",", compress: bool = Fal
     lines.write.text(path, compression="snappy" if compress else "none")
 
 
-def append_csv(rows: DataFrame, path: str, files: int | None = 16) -> None:
-    """Append as CSV in at most `files` files, or as many as Spark has partitions.
+def append_csv(rows: DataFrame, path: str, files: int | None = None) -> None:
+    """Append as CSV in at most `files` files, or without that in as many as Spark has partitions.
 
     The limit is a shuffle of the result and not a `coalesce`, which would also squeeze the stage
     that computes the result into as few tasks.
@@ -38,12 +38,12 @@ def write_csv(rows: DataFrame, path: str, compress: bool = True) -> None:
 def write_pairs(rows: DataFrame, path: str, compress: bool = True) -> None:
     """A block-compressed SequenceFile: first column as key, the others as one JSON list.
 
-    There is no DataFrame writer for this format, so the last step goes through pairs. Both
-    halves are built as text columns first; nothing is computed row by row in Python.
+    There is no DataFrame writer for this format, so the last step goes through pairs: it is the one
+    sink that hands rows to Python. Both halves are built as text columns before that.
     """
     key, *rest = rows.columns
+    quoted = F.trim(F.to_json(F.array(F.col(key).cast("string"))), F.lit("[]"))
     pairs = rows.select(
-        F.to_json(F.array(F.col(key).cast("string"))).alias("key"),
-        F.concat(F.lit("["), F.concat_ws(", ", *[F.col(c).cast("string") for c in rest]), F.lit("]")),
-    ).withColumn("key", F.regexp_extract("key", r"^\[(.*)\]$", 1))
+        quoted, F.concat(F.lit("["), F.concat_ws(", ", *[F.col(c).cast("string") for c in rest]), F.lit("]"))
+    )
     pairs.rdd.map(tuple).saveAsSequenceFile(path, SNAPPY_CODEC if compress else None)

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from millrace.operators.joining import count_by, matched, unmatched, with_lookup
 from millrace.operators.layout import with_parallelism
-from millrace.operators.ranking import best_rows, first_best, most_frequent, top_rows
+from millrace.operators.ranking import best_of_columns, best_rows, first_best, most_frequent, top_rows
 from millrace.operators.reshaping import repeat_rows, unpivot
 
 
@@ -75,6 +75,24 @@ def test_repeat_rows(spark):
     assert found == {"a": 1, "b": 3, "c": 25, "d": 7, "e": 20}
 
 
+def test_best_of_columns_is_best_rows_of_the_unpivoted(spark, plan):
+    rows = spark.createDataFrame(
+        [(1, 2.0, 5.0, None), (1, 5.0, 5.0, 1.0), (1, 5.0, 1.0, 1.0), (2, None, None, None), (None, 1.0, None, 3.0), (3, float("nan"), 9.0, 9.0)],
+        "k int, a double, b double, c double",
+    )
+    best = best_of_columns(rows, ["k"], ["a", "b", "c"], "name", "value")
+    # Before it runs: afterwards the plan shows the final and the first form.
+    assert "Join" not in plan(best) and plan(best).count("Scan ExistingRDD") == 1
+    long = unpivot(rows, ["k"], ["a", "b", "c"], "name", "value")
+    found = sorted(map(str, best.collect()))
+    assert found == sorted(map(str, best_rows(long, ["k"], "value").collect())) and len(found) == 6
+
+
+def test_rows_without_copies_vanish(spark):
+    rows = spark.createDataFrame([("a", 0), ("b", None), ("c", 2)], "k string, n bigint")
+    assert [tuple(r) for r in repeat_rows(rows, "n").collect()] == [("c",), ("c",)]
+
+
 def test_many_copies_are_spread(spark):
     rows = spark.createDataFrame([("a", 1000)], "k string, n bigint")
     spread = repeat_rows(rows, "n", copies_at_once=10).groupBy(F.spark_partition_id()).count().collect()
