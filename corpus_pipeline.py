@@ -12,6 +12,8 @@ from millrace.llm.queries import MIX, table
 from millrace.llm.repeats import without_repeats
 from millrace.llm.words import saved
 
+#: A passage of more than 50 words that occurs elsewhere too is taken out.
+PASSAGE = 51
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
@@ -29,8 +31,8 @@ def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def own_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without the passages of 400 bytes and more that occur elsewhere too; those with nothing left go."""
-    found = without_repeats(docs)
+    """Documents without the passages of PASSAGE words, or of 400 bytes, and more that occur elsewhere too; those with nothing left go."""
+    found = without_repeats(docs, words=PASSAGE)
     return (
         found.where("n_removed = 0 or trim(text) <> ''")
         .select("row.doc_id", "text", "row.lang", "row.source", F.coalesce(F.char_length("text").cast("long"), "row.n_chars").alias("n_chars"))

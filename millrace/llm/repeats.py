@@ -1,4 +1,7 @@
-"""Passages that occur more than once in a corpus, byte for byte, by enhanced suffix arrays over places that may repeat."""
+"""Passages that occur more than once in a corpus, byte for byte or word for word, by enhanced suffix arrays over places that may repeat.
+
+A text is a row of units: its bytes, or a 64-bit hash for each word. Places, lengths and windows count units.
+"""
 
 from __future__ import annotations
 
@@ -12,9 +15,9 @@ import xxhash
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.window import Window
 
-from millrace.llm.words import mixed, saved, whole_groups
+from millrace.llm.words import exact_hashes, exact_spans, mixed, saved, whole_groups
 
-#: Bytes of the seed by whose hash windows are grouped.
+#: Bytes of the seed by whose hash windows are grouped: so many bytes of text, or four words.
 SEED = 32
 #: Window starts that are looked at together, so that a very long text needs no more memory than this; and the bits of a place.
 CHUNK, PLACE = 1 << 20, 21
@@ -28,10 +31,10 @@ SURROUNDINGS = 20_000
 
 def _seeds(raw: np.ndarray) -> np.ndarray:
     """A hash of the SEED bytes at each place, by doubling from 8 bytes."""
-    found = np.lib.stride_tricks.sliding_window_view(raw, 8)
+    size = 8 // raw.itemsize
+    found = np.lib.stride_tricks.sliding_window_view(raw, size)
     found = mixed(np.ascontiguousarray(found).view(np.uint64).ravel())
-    size = 8
-    while size < SEED:
+    while size < SEED // raw.itemsize:
         with np.errstate(over="ignore"):
             found = mixed(found[:-size] * np.uint64(0x9E3779B97F4A7C15) + found[size:])
         size *= 2
@@ -43,7 +46,7 @@ def owners(raw: np.ndarray, window: int) -> Iterator[tuple[int, int, int, int]]:
 
     Equal windows have equal smallest seeds at the same place within them, wherever they occur.
     """
-    wide = window - SEED + 1
+    wide = window - SEED // raw.itemsize + 1
     for base in range(0, max(len(raw) - window + 1, 0), CHUNK):
         part = raw[base : base + CHUNK + window - 1]
         seeds = _seeds(part)
@@ -66,36 +69,40 @@ def _encoded(text: str | None) -> bytes:
     return text.encode("utf-8", "surrogatepass") if text else b""
 
 
+def _units(text: str | None, kind: type) -> np.ndarray:
+    return np.frombuffer(_encoded(text), dtype=np.uint8) if kind is np.uint8 else exact_hashes(_encoded(text))
+
+
 def _digest(part: bytes) -> tuple[int, int]:
     return tuple(np.frombuffer(xxhash.xxh3_128_digest(part), dtype=np.int64).tolist())
 
 
-def _anchors(window: int):
+def _anchors(window: int, kind: type):
     """Of each text, a row for each run of windows: seed, two halves of the digest of its surrounding, and where that lies."""
 
     def anchor(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             rows = []
             for key, text in zip(frame["text_key"].tolist(), frame["text"].tolist()):
-                raw = _encoded(text)
+                raw = _units(text, kind)
                 if len(raw) >= window:
-                    for seed, place, first, last in owners(np.frombuffer(raw, dtype=np.uint8), window):
-                        rows.append((key, seed, *_digest(raw[first : last + window]), first, last - first + 1, place - first))
+                    for seed, place, first, last in owners(raw, window):
+                        rows.append((key, seed, *_digest(raw[first : last + window].tobytes()), first, last - first + 1, place - first))
             yield pd.DataFrame(rows, columns=["text_key", "seed", "d1", "d2", "first", "starts", "spot"])
 
     return anchor
 
 
-def _surroundings(window: int):
-    """The bytes of the wanted places of each text; a place whose digest differs belongs to another text of the same key."""
+def _surroundings(window: int, kind: type):
+    """The bytes of the units at the wanted places of each text; a place whose digest differs belongs to another text of the same key."""
 
     def cut(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             rows = []
             for text, places in zip(frame["text"].tolist(), frame["places"].tolist()):
-                raw = _encoded(text)
+                raw = _units(text, kind)
                 for place in places:
-                    part = raw[place["first"] : place["first"] + place["starts"] + window - 1]
+                    part = raw[place["first"] : place["first"] + place["starts"] + window - 1].tobytes()
                     if _digest(part) == (place["d1"], place["d2"]):
                         rows.append((place["seed"], place["d1"], place["d2"], part))
             yield pd.DataFrame(rows, columns=["seed", "d1", "d2", "part"])
@@ -106,16 +113,19 @@ def _surroundings(window: int):
 def suffix_array(raw: np.ndarray, reach: int) -> tuple[np.ndarray, np.ndarray]:
     """Places in the order of the bytes that follow, and the common prefix of each with the one before, both up to `reach` (a power of two).
 
-    `raw` ends in a byte that sorts by its place if nothing follows; ranks of 8, 16, 32 ... bytes are kept for the prefixes.
+    `raw` ends in a unit that sorts by its place if nothing follows; ranks of 8, 16, 32 ... bytes are kept for the prefixes.
     """
     n = len(raw)
-    padded = np.concatenate([raw, np.zeros(8, dtype=np.uint8)])
-    first = np.zeros(n, dtype=np.uint64)
-    for k in range(8):
-        first = (first << np.uint64(8)) | padded[k : k + n]
+    unit = 8 // raw.itemsize
+    first = raw
+    if unit > 1:
+        padded = np.concatenate([raw, np.zeros(8, dtype=np.uint8)])
+        first = np.zeros(n, dtype=np.uint64)
+        for k in range(8):
+            first = (first << np.uint64(8)) | padded[k : k + n]
     order = np.argsort(first, kind="stable")
     ranks = [_ranked(order, first)]
-    size = 8
+    size = unit
     while size < reach:
         rank = ranks[-1]
         after = np.zeros(n, dtype=np.int64)
@@ -127,7 +137,7 @@ def suffix_array(raw: np.ndarray, reach: int) -> tuple[np.ndarray, np.ndarray]:
     left, right = order[:-1].copy(), order[1:].copy()
     common = np.zeros(max(n - 1, 0), dtype=np.int64)
     for level in range(len(ranks) - 1, -1, -1):
-        rank, step = ranks[level], 8 << level
+        rank, step = ranks[level], unit << level
         inside = (left + step <= n) & (right + step <= n)
         same = np.zeros(len(left), dtype=bool)
         same[inside] = rank[left[inside]] == rank[right[inside]]
@@ -135,7 +145,7 @@ def suffix_array(raw: np.ndarray, reach: int) -> tuple[np.ndarray, np.ndarray]:
         left[same] += step
         right[same] += step
         left, right = np.minimum(left, n - 1), np.minimum(right, n - 1)
-    for k in range(7):
+    for k in range(unit - 1):
         inside = (order[:-1] + common < n) & (order[1:] + common < n)
         same = inside.copy()
         same[inside] = raw[(order[:-1] + common)[inside]] == raw[(order[1:] + common)[inside]]
@@ -198,14 +208,16 @@ def _absorb(outer: list, inner: list) -> None:
         outer[2] = None
 
 
-def repeated_places(parts: list[bytes], owned: list[int], least: int) -> Iterator[tuple[int, int, int, int]]:
-    """(part, start, length, group) of the maximal repeats of at least `least` bytes that begin in the first owned[p] bytes of the parts.
+def repeated_places(parts: list[bytes], owned: list[int], least: int, kind: type = np.uint8) -> Iterator[tuple[int, int, int, int]]:
+    """(part, start, length, group) of the maximal repeats of at least `least` units that begin in the first owned[p] units of the parts.
 
-    The parts hold UTF-8; a byte that UTF-8 never has stands between them, and no length runs over it.
+    The parts hold UTF-8 or hashes of words; a unit that neither has stands between them, and no length runs over it.
     """
-    sizes = np.array([len(p) + 1 for p in parts])
+    width = np.dtype(kind).itemsize
+    sizes = np.array([len(p) // width + 1 for p in parts])
     begins = np.concatenate([[0], np.cumsum(sizes)[:-1]])
-    raw = np.frombuffer(b"\xff".join(parts) + b"\xff", dtype=np.uint8)
+    gap = b"\xff" * width
+    raw = np.frombuffer(gap.join(parts) + gap, dtype=kind)
     reach = 8
     while reach < sizes.max():
         reach *= 2
@@ -230,16 +242,17 @@ def repeated_places(parts: list[bytes], owned: list[int], least: int) -> Iterato
             yield int(part), int(start_of[place]), min(length, int(sizes[part] - 1 - start_of[place])), begin - 1 + group
 
 
-def _sharing(parts: list[bytes], spots: list[int], window: int) -> list[bool]:
+def _sharing(parts: list[bytes], spots: list[int], window: int, width: int) -> list[bool]:
     """Whether a part may share a window with another part of its seed.
 
     A window reaches some way to the left of the seed and the rest to the right. With the ways to the left in CUTS ranges, the bytes
-    that all windows of a range have in common must occur in another part too.
+    that all windows of a range have in common must occur in another part too. Units are `width` bytes wide.
     """
-    room = window - SEED
+    room = window * width - SEED
     edges = [room * i // CUTS for i in range(CUTS + 1)]
     keys = []
     for part, spot in zip(parts, spots):
+        spot *= width
         right = len(part) - spot - SEED
         keys.append(
             [
@@ -252,7 +265,7 @@ def _sharing(parts: list[bytes], spots: list[int], window: int) -> list[bool]:
     return [any(seen[k] > 1 for k in own) for own in keys]
 
 
-def _compared(window: int):
+def _compared(window: int, kind: type):
     """Suffix arrays over whole groups of surroundings, as many groups as fit ARRAY bytes."""
 
     def compare(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -261,21 +274,22 @@ def _compared(window: int):
         size = 0
         for _, frame in whole_groups(frames, ["seed"]):
             if size and size + int(frame["part"].str.len().sum()) > ARRAY:
-                yield _rows(names, parts, window)
+                yield _rows(names, parts, window, kind)
                 names, parts, size = [], [], 0
-            frame = frame[_sharing(frame["part"].tolist(), frame["spot"].tolist(), window)]
+            frame = frame[_sharing(frame["part"].tolist(), frame["spot"].tolist(), window, np.dtype(kind).itemsize)]
             names += zip(frame["seed"].tolist(), frame["d1"].tolist(), frame["d2"].tolist())
             parts += frame["part"].tolist()
             size += int(frame["part"].str.len().sum())
         if parts:
-            yield _rows(names, parts, window)
+            yield _rows(names, parts, window, kind)
 
     return compare
 
 
-def _rows(names: list[tuple], parts: list[bytes], window: int) -> pd.DataFrame:
+def _rows(names: list[tuple], parts: list[bytes], window: int, kind: type) -> pd.DataFrame:
     ranges: dict[int, list[tuple[int, int]]] = {}
-    for p, start, length, _ in repeated_places(parts, [len(p) - window + 1 for p in parts], window):
+    width = np.dtype(kind).itemsize
+    for p, start, length, _ in repeated_places(parts, [len(p) // width - window + 1 for p in parts], window, kind):
         ranges.setdefault(p, []).append((start, start + length))
     rows = [(*names[p], first, end - first) for p, own in ranges.items() for first, end in _united(own)]
     return pd.DataFrame(rows, columns=["seed", "d1", "d2", "start", "length"])
@@ -292,11 +306,11 @@ def _united(ranges: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out
 
 
-def _window_hashes(window: int):
+def _window_hashes(window: int, width: int):
     def each(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             for seed, d1, d2, part in zip(frame["seed"], frame["d1"], frame["d2"], frame["part"]):
-                digests = [_digest(part[i : i + window]) for i in range(len(part) - window + 1)]
+                digests = [_digest(part[i * width : (i + window) * width]) for i in range(len(part) // width - window + 1)]
                 yield pd.DataFrame(
                     {"seed": seed, "d1": d1, "d2": d2, "start": range(len(digests)), "w1": [d[0] for d in digests], "w2": [d[1] for d in digests]}
                 )
@@ -304,8 +318,12 @@ def _window_hashes(window: int):
     return each
 
 
-def repeat_spans(docs: DataFrame, text_column: str = "text", window: int = 400, surroundings: int = SURROUNDINGS) -> DataFrame:
-    """(text_key, spans) of each text that shares a string of `window` bytes with any other place; spans are disjoint [first, end) bytes.
+def repeat_spans(
+    docs: DataFrame, text_column: str = "text", window: int = 400, surroundings: int = SURROUNDINGS, kind: type = np.uint8
+) -> DataFrame:
+    """(text_key, spans) of each text that shares a string of `window` units with any other place; spans are [first, end) units.
+
+    Units are bytes, or for np.uint64 the words between white space, case and all.
 
     text_key is xxhash64 of the text. Every window is filed under its smallest seed; a run of windows with one seed and the bytes
     around it is one row. Rows with equal bytes are one class, reduced before the shuffle: a class of several places repeats
@@ -315,7 +333,7 @@ def repeat_spans(docs: DataFrame, text_column: str = "text", window: int = 400,
     """
     plain = docs.select(F.col(text_column).alias("text")).where("text is not null").select(F.xxhash64("text").alias("text_key"), "text")
     schema = "text_key long, seed long, d1 long, d2 long, first int, starts int, spot int"
-    anchors = saved(plain.mapInPandas(_anchors(window), schema), "anchors")
+    anchors = saved(plain.mapInPandas(_anchors(window, kind), schema), "anchors")
     same = ["seed", "d1", "d2"]
     classes = anchors.groupBy(*same).agg(F.count("*").alias("n"), F.min(F.struct("text_key", "first", "starts", "spot")).alias("at"))
     classes = saved(
@@ -324,18 +342,18 @@ def repeat_spans(docs: DataFrame, text_column: str = "text", window: int = 400,
     wanted = classes.where("classes > 1").select(*same, "at.text_key", "at.first", "at.starts", "at.spot", "classes")
     places = wanted.groupBy("text_key").agg(F.collect_list(F.struct(*same, "first", "starts")).alias("places"))
     texts = plain.join(places.select("text_key"), "text_key", "left_semi").groupBy("text_key").agg(F.first("text").alias("text"))
-    cut = texts.join(places, "text_key").mapInPandas(_surroundings(window), "seed long, d1 long, d2 long, part binary")
+    cut = texts.join(places, "text_key").mapInPandas(_surroundings(window, kind), "seed long, d1 long, d2 long, part binary")
     parts = saved(cut.join(wanted.select(*same, "spot", "classes"), same), "parts")
     found = (
         parts.where(F.col("classes") <= surroundings)
         .drop("classes")
         .repartition("seed")
         .sortWithinPartitions(*same)
-        .mapInPandas(_compared(window), "seed long, d1 long, d2 long, start int, length int")
+        .mapInPandas(_compared(window, kind), "seed long, d1 long, d2 long, start int, length int")
     )
     every = classes.where("n > 1").select(*same, F.lit(0).alias("start"), (F.col("at.starts") + (window - 1)).alias("length"))
     crowded = parts.where(F.col("classes") > surroundings).drop("classes")
-    hashed = crowded.mapInPandas(_window_hashes(window), "seed long, d1 long, d2 long, start int, w1 long, w2 long")
+    hashed = crowded.mapInPandas(_window_hashes(window, np.dtype(kind).itemsize), "seed long, d1 long, d2 long, start int, w1 long, w2 long")
     often = hashed.groupBy("w1", "w2").count().where("count > 1").select("w1", "w2")
     counted = hashed.join(often, ["w1", "w2"]).select(*same, "start", F.lit(window).alias("length"))
 
@@ -362,26 +380,38 @@ def _merged_ranges(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 def _removed(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for frame in frames:
         rows = []
-        for text, spans in zip(frame["text"].tolist(), frame["spans"].tolist()):
+        for text, spans, runs in zip(frame["text"].tolist(), frame["spans"].tolist(), frame["runs"].tolist()):
             raw = _encoded(text)
-            united = _united([(x["first"], min(x["end"], len(raw))) for x in spans]) if spans is not None else []
+            taken = [(x["first"], min(x["end"], len(raw))) for x in spans] if spans is not None else []
+            if runs is not None:
+                lies = exact_spans(raw)
+                # Another text of the same key may have more words.
+                taken += [(lies[x["first"]][0], lies[min(x["end"], len(lies)) - 1][1]) for x in runs if x["first"] < len(lies)]
+            united = _united(taken)
             bounds = [0, *(x for span in united for x in span), len(raw)]
             kept = b"".join(raw[a:b] for a, b in zip(bounds[::2], bounds[1::2]))
             whole = kept.decode("utf-8", "ignore") if united else text
             rows.append((len(raw), sum(b - a for a, b in united), len(united), hashlib.sha256(kept).hexdigest(), whole))
         yield pd.concat(
-            [frame.drop(columns=["text", "spans"]), pd.DataFrame(rows, columns=["n_bytes", "n_removed", "n_spans", "kept_sha256", "text"], index=frame.index)], axis=1
+            [frame.drop(columns=["text", "spans", "runs"]), pd.DataFrame(rows, columns=["n_bytes", "n_removed", "n_spans", "kept_sha256", "text"], index=frame.index)], axis=1
         )
 
 
-def without_repeats(docs: DataFrame, text_column: str = "text", window: int = 400) -> DataFrame:
+def without_repeats(docs: DataFrame, text_column: str = "text", window: int = 400, words: int | None = None) -> DataFrame:
     """The rows of `docs`: all its columns under `row`, n_bytes, n_removed, n_spans, kept_sha256 and the remaining `text`.
 
     Every byte covered by a string of `window` bytes that starts at another place too is taken out, in every document that has
     it. A character that loses some of its bytes goes from `text` whole; kept_sha256 is of the bytes. Null and empty texts have 0
     bytes, and a null text stays null. Repeated rows repeat each other: both lose what they share. Ids are not looked at.
+    With `words`, every run of so many words that occurs at another place too goes as well, whatever white space parts its
+    words; it goes from the first byte of its first word to the last of its last.
     """
     spans = repeat_spans(docs, text_column, window)
+    if words:
+        runs = repeat_spans(docs, text_column, words, kind=np.uint64).withColumnRenamed("spans", "runs")
+        spans = spans.join(runs, "text_key", "full")
+    else:
+        spans = spans.withColumn("runs", F.lit(None).cast("array<struct<first int, end int>>"))
     keyed = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns if c != text_column)).alias("row"), F.col(text_column).alias("text"))
     keyed = keyed.withColumn("text_key", F.xxhash64("text"))
     schema = keyed.select("row").schema.add("n_bytes", "long").add("n_removed", "long").add("n_spans", "long").add("kept_sha256", "string").add("text", "string")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -13,6 +14,8 @@ from millrace.session import run_folder
 
 #: A worker forgets its words beyond this number, so that its memory stays bounded.
 REMEMBERED = 300_000
+#: What bytes.split() gives.
+WORD = re.compile(rb"[^ \t\n\v\f\r]+")
 
 
 class WordHashes(dict):
@@ -38,6 +41,17 @@ def word_hashes(text: str | None) -> np.ndarray:
     return np.fromiter(map(_hashes.__getitem__, found), dtype=np.uint64, count=len(found))
 
 
+def exact_hashes(text: bytes) -> np.ndarray:
+    """A hash of 63 bits for each word between white space, case and all."""
+    found = text.split()
+    return np.fromiter(map(_hashes.__getitem__, found), dtype=np.uint64, count=len(found)) >> np.uint64(1)
+
+
+def exact_spans(text: bytes) -> list[tuple[int, int]]:
+    """Where the words of exact_hashes lie."""
+    return [m.span() for m in WORD.finditer(text)]
+
+
 def mixed(values: np.ndarray) -> np.ndarray:
     """A bijection of 64-bit values that spreads every bit."""
     with np.errstate(over="ignore"):

@@ -1,11 +1,16 @@
 """The queries on the smallest tables, and the pipeline stage by stage."""
 
 import os
+import random
+import re
+from collections import Counter
 
+import numpy as np
 import pytest
 
 import corpus_pipeline
 from check_oracle import difference, oracle_connection
+from millrace.llm import repeats
 from millrace.llm.queries import ORACLES, QUERIES
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -51,3 +56,45 @@ def test_run_is_the_stages_one_after_another(spark):
         docs = corpus_pipeline.saved(stage(spark, docs, SF_DIR), "stage")
     found = corpus_pipeline.run(spark, SF_DIR)
     assert sorted(map(tuple, found.collect()), key=repr) == sorted(map(tuple, docs.select(found.columns).collect()), key=repr)
+
+
+def without_passages(texts):
+    """The stage's rule in plain Python: runs of 51 words and strings of 400 bytes that occur twice go from every text."""
+    lies = {i: [m.span() for m in re.finditer(rb"[^ \t-\r]+", t)] for i, t in texts.items()}
+    words = {i: [t[a:b] for a, b in lies[i]] for i, t in texts.items()}
+    runs = Counter(tuple(w[k : k + 51]) for w in words.values() for k in range(len(w) - 50))
+    strings = Counter(t[k : k + 400] for t in texts.values() for k in range(len(t) - 399))
+    kept = {}
+    for i, t in texts.items():
+        gone = [(lies[i][k][0], lies[i][k + 50][1]) for k in range(len(words[i]) - 50) if runs[tuple(words[i][k : k + 51])] > 1]
+        gone += [(k, k + 400) for k in range(len(t) - 399) if strings[t[k : k + 400]] > 1]
+        taken = {p for a, b in gone for p in range(a, b)}
+        kept[i] = bytes(b for p, b in enumerate(t) if p not in taken).decode("utf-8", "ignore")
+    return {i: t for i, t in kept.items() if t.strip() or not texts[i]}
+
+
+def test_passages_of_more_than_fifty_words_are_taken_out(spark):
+    rng = random.Random(5)
+    own = lambda n: " ".join(f"{rng.randrange(10**6)}" for _ in range(n))
+    short = " ".join(rng.choice("abcdefgé") for _ in range(51))
+    fifty, sixty, solid = own(50), own(60), own(200).replace(" ", "")
+    texts = {
+        1: f"{own(30)} {short} {own(20)}", 2: f"{short} {own(90)}", 3: f"{own(9)} {short.replace(' ', chr(10) + ' ')}",
+        4: f"{own(70)} {fifty} {own(5)}", 5: f"{fifty} {own(70)}", 6: f"{own(3)} {sixty} {own(3)} {sixty}", 7: own(400),
+        8: f"{own(40)} {solid} {own(2)}", 9: f"{solid}", 10: f"{own(4)} {short.upper()}", 11: "", 12: sixty,
+    }
+    rows = [(i, t, "en", "s1", len(t)) for i, t in texts.items()]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    found = {r.doc_id: r.text for r in corpus_pipeline.own_passages(spark, docs, SF_DIR).collect()}
+    assert found == without_passages({i: t.encode() for i, t in texts.items()})
+    assert 9 not in found and 12 not in found and fifty in found[4] and short not in found[1]
+
+
+def test_crowded_seeds_of_words_are_counted_alike(spark):
+    rng = random.Random(6)
+    own = lambda n: " ".join(f"{rng.randrange(30)}" for _ in range(n))
+    shared = own(80)
+    rows = [(f"{own(rng.randrange(60))} {' '.join(shared.split()[rng.randrange(20):])} {own(40)}",) for _ in range(20)]
+    docs = spark.createDataFrame(rows, "text string")
+    spans = [{r.text_key: repeats._united([tuple(x) for x in r.spans]) for r in repeats.repeat_spans(docs, window=51, surroundings=n, kind=np.uint64).collect()} for n in (1, 20_000)]
+    assert spans[0] == spans[1] and spans[0]
