@@ -9,7 +9,6 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
-from pyspark.sql.window import Window
 
 from millrace.llm.components import connected_components
 from millrace.llm.words import mixed, saved, whole_groups, word_hashes
@@ -237,7 +236,9 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str
     )
 
     buckets = classes.select("node", F.explode("bands").alias("bucket"))
-    met = buckets.withColumn("members_of_group", F.count("*").over(Window.partitionBy("bucket"))).where("members_of_group > 1")
+    # Counted on the map side; a window would bring a whole bucket into one task.
+    crowds = buckets.groupBy("bucket").agg(F.count("*").alias("members_of_group")).where("members_of_group > 1")
+    met = buckets.join(crowds, "bucket").select("node", "bucket", "members_of_group")
     met = met.join(classes.select("node", "sketch"), "node")
     proposed = _dealt(met, "bucket").mapInPandas(_proposer(how), "a long, b long")
     clusters = connected_components(proposed).withColumnRenamed("component", "cluster")

@@ -13,7 +13,6 @@ import numpy as np
 import pandas as pd
 import xxhash
 from pyspark.sql import DataFrame, functions as F
-from pyspark.sql.window import Window
 
 from millrace.llm.words import exact_hashes, exact_spans, mixed, saved, whole_groups
 
@@ -335,11 +334,14 @@ def repeat_spans(
     schema = "text_key long, seed long, d1 long, d2 long, first int, starts int, spot int"
     anchors = saved(plain.mapInPandas(_anchors(window, kind), schema), "anchors")
     same = ["seed", "d1", "d2"]
-    classes = anchors.groupBy(*same).agg(F.count("*").alias("n"), F.min(F.struct("text_key", "first", "starts", "spot")).alias("at"))
     classes = saved(
-        classes.withColumn("classes", F.count("*").over(Window.partitionBy("seed"))).where("n > 1 or classes > 1"), "classes"
+        anchors.groupBy(*same).agg(F.count("*").alias("n"), F.min(F.struct("text_key", "first", "starts", "spot")).alias("at")), "classes"
+    )
+    # Counted on the map side; a window would bring all classes of a seed into one task.
+    shared = classes.groupBy("seed").agg(F.count("*").alias("classes")).where("classes > 1")
+    wanted = saved(
+        classes.join(shared, "seed").select(*same, "at.text_key", "at.first", "at.starts", "at.spot", "classes"), "wanted"
     )
-    wanted = classes.where("classes > 1").select(*same, "at.text_key", "at.first", "at.starts", "at.spot", "classes")
     places = wanted.groupBy("text_key").agg(F.collect_list(F.struct(*same, "first", "starts")).alias("places"))
     texts = plain.join(places.select("text_key"), "text_key", "left_semi").groupBy("text_key").agg(F.first("text").alias("text"))
     cut = texts.join(places, "text_key").mapInPandas(_surroundings(window, kind), "seed long, d1 long, d2 long, part binary")

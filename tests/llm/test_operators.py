@@ -514,3 +514,12 @@ def test_empty_tables(spark, no_docs):
         hamming_index.nearest(spark.createDataFrame([], "vec_id long, embedding array<float>"), F.lit(True)),
     ):
         assert frame.collect() == []
+
+
+def test_groups_are_counted_without_a_window(docs, monkeypatch):
+    def refuse(*_):
+        raise AssertionError("a window holds a whole group in one task")
+
+    monkeypatch.setattr("pyspark.sql.window.Window.partitionBy", refuse)
+    assert near_duplicates.near_duplicates(docs).count() == docs.count()
+    assert repeats.repeat_spans(docs).count() > 0
