@@ -44,6 +44,7 @@ class Block:
     linked: int = 0
     inside: bool = False
     outside: bool = False
+    aside: bool = False
     heading: bool = False
     good: bool | None = field(default=None)
 
@@ -69,7 +70,7 @@ def blocks_of(page: str) -> list[Block]:
             last_in = max((i for i, k in enumerate(kinds) if k == "in"), default=-1)
             outside = "out" in kinds or "soft" in kinds[last_in + 1 :]
             linked = len(SPACE.sub(" ", html.unescape("".join(p for p, link in pieces if link))).strip())
-            found.append(Block(text, linked, last_in >= 0, outside, any(n in HEADING for n, _ in open_tags)))
+            found.append(Block(text, linked, last_in >= 0, outside, "soft" in kinds, any(n in HEADING for n, _ in open_tags)))
         pieces.clear()
 
     def kind_of(name: str, attributes: str) -> str:
@@ -126,36 +127,82 @@ def blocks_of(page: str) -> list[Block]:
     return found
 
 
+def _settled(blocks: list[Block]) -> None:
+    """Pass 2: a block without a label takes that of the nearest decided neighbours: of both if they agree, else of the nearer, the
+    earlier of two equally near; a heading takes that of what follows it. What is
+    settled here decides no other block; without decided neighbours a block is no text.
+    """
+    before: list[tuple[int, bool] | None] = []
+    last = None
+    for i, b in enumerate(blocks):
+        before.append(last)
+        last = last if b.good is None else (i, b.good)
+    after = None
+    for i in range(len(blocks) - 1, -1, -1):
+        b = blocks[i]
+        if b.good is not None:
+            after = (i, b.good)
+        elif b.heading and after:
+            b.good = after[1]
+        else:
+            near = min((x for x in (before[i], after) if x), key=lambda x: abs(x[0] - i), default=(0, False))
+            b.good = near[1]
+
+
 def classify(blocks: list[Block], short: int = 80, dense: float = 0.2, linked: float = 0.4) -> list[Block]:
     """Sets `good` of each block.
 
-    Markup that names a section decides first: what is outside an article by name is no text, what an article holds is. Pass 1
-    decides the rest by densities: many links, no; long with many stop-words, yes; long with few, no. Pass 2 gives short
-    blocks the label of the nearest decided neighbours: of both if they agree, else of the nearer one, the
-    earlier of two equally near. Without decided neighbours a short block is no text. A page with an article has its text there.
+    What the markup names as outside is no text. Pass 1 decides the rest by densities: many links, no; long with many
+    stop-words, yes; long with few, no. Pass 2 gives short blocks the label of their neighbours. Without decided neighbours a short
+    block is no text. If articles hold most of the text found so, the rest of the page is none, and both
+    passes judge the articles' blocks again with the article as a feature: a long block needs no stop-words, a linked heading
+    is judged by what follows, and a short block is text unless link lists stand on both sides. Else the articles are
+    teasers or the like, and count as any other block.
     """
-    has_article = any(b.inside and not b.outside for b in blocks)
+    open_blocks = [b for b in blocks if not b.outside]
+    many_links = {id(b): b.linked > linked * len(b.text) for b in open_blocks}
     for b in blocks:
-        density = sum(w in STOP_WORDS for w in b.text.encode("utf-8", "replace").lower().split()) / max(len(b.text.split()), 1)
-        if b.outside:
+        b.good = False if b.outside else None
+
+    def densities() -> None:
+        for b in open_blocks:
+            if many_links[id(b)]:
+                b.good = False
+            elif len(b.text) >= short:
+                density = sum(w in STOP_WORDS for w in b.text.encode("utf-8", "replace").lower().split()) / max(len(b.text.split()), 1)
+                b.good = density >= dense or len(b.text) >= 3 * short
+            else:
+                b.good = None
+
+    densities()
+    _settled(blocks)
+    articles = [b for b in open_blocks if b.inside]
+    if not articles:
+        return blocks
+    held = sum(len(b.text) for b in articles if b.good)
+    if held >= sum(len(b.text) for b in open_blocks if b.good and not b.inside):
+        for b in open_blocks:
             b.good = False
-        elif b.inside:
-            b.good = True
-        elif has_article or b.linked > linked * len(b.text):
+        for b in articles:
+            listed = many_links[id(b)] and not b.heading
+            b.good = False if listed else True if len(b.text) >= short else None
+        # The edges of the articles count as text.
+        decided = [b.good for b in articles]
+        earlier, later = [True] * len(articles), [True] * len(articles)
+        for i in range(1, len(articles)):
+            earlier[i] = earlier[i - 1] if decided[i - 1] is None else decided[i - 1]
+        for i in range(len(articles) - 2, -1, -1):
+            later[i] = later[i + 1] if decided[i + 1] is None else decided[i + 1]
+        for b, one, other in zip(articles, earlier, later):
+            if b.good is None:
+                b.good = one or other
+    elif any(b.aside for b in articles):
+        # An aside keeps its articles where they do not hold the text.
+        open_blocks = [b for b in open_blocks if not b.aside]
+        for b in blocks:
             b.good = False
-        elif len(b.text) >= short:
-            b.good = density >= dense or len(b.text) >= 3 * short
-    decided = [(i, b.good) for i, b in enumerate(blocks) if b.good is not None]
-    for i, b in enumerate(blocks):
-        if b.good is None:
-            before = next(((i - j, g) for j, g in reversed(decided) if j < i), None)
-            # A heading belongs to what follows it.
-            after = next(((j - i, g) for j, g in decided if j > i), None)
-            if b.heading and after:
-                b.good = after[1]
-            else:
-                near = min((x for x in (before, after) if x), key=lambda x: x[0], default=(0, False))
-                b.good = near[1]
+        densities()
+        _settled(blocks)
     return blocks
 
 

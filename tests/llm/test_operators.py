@@ -523,3 +523,29 @@ def test_groups_are_counted_without_a_window(docs, monkeypatch):
     monkeypatch.setattr("pyspark.sql.window.Window.partitionBy", refuse)
     assert near_duplicates.near_duplicates(docs).count() == docs.count()
     assert repeats.repeat_spans(docs).count() > 0
+
+
+BODY = "<p>" + "The main text of the page is here and it is what the reader has come for, as it was on the day before. " * 3 + "</p>"
+TEASER = '<article><h3><a href="x">Another story</a></h3><p>A few words on it.</p></article>'
+LINKS = "<ul>" + '<li><a href="y">Some other page</a></li>' * 3 + "</ul>"
+
+
+@pytest.mark.parametrize(
+    ("page", "there", "gone"),
+    [
+        (f"<div id=content><h1>Title</h1>{BODY}{BODY}</div><div class=related>{TEASER * 9}</div>", ["Title", "main text"], ["story", "few words"]),
+        (f"<div id=content>{BODY}</div>{TEASER * 3}", ["main text"], ["story", "few words"]),
+        (f"<div class=related><article>{BODY}</article></div><div id=content>{BODY * 3}<p>End.</p></div>", ["main text", "End."], []),
+        (f"<article><h1><a href=z>Linked title</a></h1><p>By me.</p>{BODY}{LINKS}<p>Last.</p></article>", ["Linked title", "By me.", "main text", "Last."], ["other page"]),
+        (f"<div>{BODY}</div><main>{BODY * 4}</main>", ["main text"], []),
+    ],
+)
+def test_articles_rule_only_where_they_hold_the_text(page, there, gone):
+    found = html_text.main_text(page)
+    assert all(x in found for x in there) and not any(x in found for x in gone)
+
+
+def test_the_text_outside_is_counted_once():
+    one = html_text.SPACE.sub(" ", BODY[3:-4]).strip()
+    assert html_text.main_text(f"<div>{BODY}</div><main>{BODY * 4}</main>") == " ".join([one] * 4)
+    assert html_text.main_text(f"<div class=related><article>{BODY}</article></div><div id=content>{BODY * 3}</div>") == " ".join([one] * 3)
