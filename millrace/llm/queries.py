@@ -94,7 +94,7 @@ VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
 
 @query("op3_token_counts")
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return token_counts.token_counts(table(spark, sf_dir, "documents"), VOCABULARY)
+    return token_counts.token_counts(table(spark, sf_dir, "documents"), VOCABULARY, raw=True)
 
 
 #: Sources are numbered; the first ones stand for the web, the next for reference works, the rest for forums.

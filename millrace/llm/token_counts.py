@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+import re
+from collections.abc import Iterable, Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -37,6 +38,18 @@ def unigram_scores(path: str) -> dict[str, float]:
     return {piece: math.log(weight) - total for piece, weight in weights.items()}
 
 
+def cuts(pieces: Iterable[str]) -> re.Pattern:
+    """How a text falls into pre-tokens that no piece runs over, so that their best splits make up that of the whole text.
+
+    Spaces begin a pre-token if no piece has one after another character, and a line feed is one of its own if no piece holds it
+    together with others. A vocabulary with other pieces has its texts split whole.
+    """
+    pieces = [p for p in pieces if len(p) > 1]
+    if any("\n" in p or SPACE in p.lstrip(SPACE) for p in pieces):
+        return re.compile(r"[\s\S]+")
+    return re.compile(rf"\n|{SPACE}*[^{SPACE}\n]+|{SPACE}+")
+
+
 class Trie:
     """Pre-tokens share the nodes of their prefixes; each node keeps the best score of its prefix and the tokens of that split.
 
@@ -52,14 +65,16 @@ class Trie:
     def clear(self) -> None:
         self.children: list[dict[str, int]] = [{}]
         self.best: list[tuple[float, int]] = [(0.0, 0)]
-        self.terminal: dict[bytes, int] = {}
+        self.terminal: dict[bytes | str, int] = {}
 
-    def count(self, word: bytes) -> int:
+    def count(self, word: bytes | str) -> int:
+        """Tokens of a word in UTF-8, before which a space is put, or of a pre-token as it stands."""
         found = self.terminal.get(word)
         if found is None:
             if len(self.best) > NODES or len(self.terminal) > NODES:
                 self.clear()
-            found = self.terminal[word] = self._insert(SPACE + word.decode("utf-8", "surrogatepass"))
+            token = word if isinstance(word, str) else SPACE + word.decode("utf-8", "surrogatepass")
+            found = self.terminal[word] = self._insert(token)
         return found
 
     def _insert(self, token: str) -> int:
@@ -87,9 +102,12 @@ class Trie:
         return best
 
 
-def token_counts(docs: DataFrame, path: str, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+def token_counts(docs: DataFrame, path: str, id_column: str = "doc_id", text_column: str = "text", raw: bool = False) -> DataFrame:
     """doc_id, n_words and n_tokens of each row: lower-cased words between white space are the pre-tokens.
 
+    With `raw`, n_tokens is that of the text as it is: case, each space and each line feed count, as in the vocabulary's own encoder,
+    which puts one space before the text.
+
     The vocabulary goes to every task, as it has a fixed size. Tasks insert distinct pre-tokens in a trie of their own and add up the
     counts, so no row is moved. Null and empty texts have 0 of both. Ids may be null or repeat; other columns are not looked at.
     """
@@ -97,13 +115,20 @@ def token_counts(docs: DataFrame, path: str, id_column: str = "doc_id", text_col
 
     def count(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         trie = Trie(scores.value)
+        cut = cuts(scores.value)
+
+        def tokens_of(text: str | None, found: list[bytes]) -> int:
+            if not raw:
+                return sum(map(trie.count, found))
+            return sum(map(trie.count, cut.findall(SPACE + text.replace(" ", SPACE)))) if text else 0
+
         for frame in frames:
             found = [words(text) for text in frame["text"]]
             yield pd.DataFrame(
                 {
                     "doc_id": frame["doc_id"].astype("Int64"),
                     "n_words": [len(x) for x in found],
-                    "n_tokens": [sum(map(trie.count, x)) for x in found],
+                    "n_tokens": list(map(tokens_of, frame["text"], found)),
                 }
             )
 

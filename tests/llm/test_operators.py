@@ -549,3 +549,33 @@ def test_the_text_outside_is_counted_once():
     one = html_text.SPACE.sub(" ", BODY[3:-4]).strip()
     assert html_text.main_text(f"<div>{BODY}</div><main>{BODY * 4}</main>") == " ".join([one] * 4)
     assert html_text.main_text(f"<div class=related><article>{BODY}</article></div><div id=content>{BODY * 3}</div>") == " ".join([one] * 3)
+
+
+def test_raw_texts_are_split_as_they_are(spark, texts):
+    path = pytest.importorskip("public_tokenizers").path("piece_bpe_32k.model")
+    scores = token_counts.unigram_scores(path)
+    longest = max(map(len, scores))
+
+    def best(text):
+        """Tokens of the best split of the whole text, without pre-tokens."""
+        table = [(0.0, 0)]
+        for end in range(1, len(text) + 1):
+            options = [(table[b][0] + scores[text[b:end]], table[b][1] - 1) for b in range(max(0, end - longest), end) if text[b:end] in scores]
+            if text[end - 1] not in scores:
+                width = len(text[end - 1].encode())
+                options.append((table[end - 1][0] + token_counts.BYTE * width, table[end - 1][1] - width))
+            table.append(max(options))
+        return -table[-1][1]
+
+    plain = ["the\n\nNew York", "THE New york", "  a   b ", "a\tb", "\n", " ", "a\r\n b", "\n \nx", "▁a b", "Ωmega 漢字 New", "", None]
+    plain += [t for _, t in texts if t and len(t) < 800]
+    rows = list(enumerate(plain))
+    found = token_counts.token_counts(spark.createDataFrame(rows, "doc_id long, text string"), path, raw=True).collect()
+    assert {r.doc_id: r.n_tokens for r in found} == {i: best("▁" + t.replace(" ", "▁")) if t else 0 for i, t in rows}
+    by_text = dict(zip(plain, (r.n_tokens for r in sorted(found, key=lambda r: r.doc_id))))
+    assert by_text["the\n\nNew York"] == 5 and by_text["THE New york"] != by_text["the\n\nNew York"]
+
+
+def test_pieces_that_run_over_spaces_or_lines_keep_texts_whole():
+    assert token_counts.cuts(["▁a", "▁▁", "b", "\n"]).findall("▁a▁▁b\nb▁") == ["▁a", "▁▁b", "\n", "b", "▁"]
+    assert token_counts.cuts(["a▁b"]).findall("▁a▁b\n") == token_counts.cuts(["a\n"]).findall("▁a▁b\n") == ["▁a▁b\n"]
