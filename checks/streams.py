@@ -7,8 +7,10 @@ from pyspark.sql import functions as F
 from checks import inputs
 from checks.jobs import KEYED_SCORE_SQL, MESSAGE_SCORE_SQL, SCORE_COLUMNS
 from checks.registry import query, table
+from millrace.functions.dates import gmt_time
 from millrace.functions.records import from_json_text
 from millrace.functions.numbers import number
+from millrace.plans.sensors import rejected_messages
 from millrace.session import run_folder
 from millrace.sources.messages import MESSAGE_SCHEMA, deliver, file_stream, publish, subscribe
 from millrace.sources.sinks import write_lines
@@ -67,3 +69,46 @@ def message_score_stream(spark, sf_dir):
     record = sent.select("key", from_json_text("value").alias("r"))
     scores = [F.col(f"r.{name}").alias(name) for name in ("prediction", "error", "anomaly", "predictionNext")]
     return record.select("key", *scores, number("r.sampleMeasurement").alias("value"))
+
+
+def _spoiled(column):
+    """Every seventh message is cut, and has no end."""
+    return F.when(F.col("seq") % 7 == 0, F.lit("{cut")).otherwise(F.col(column)).alias(column)
+
+
+@query(
+    "message_rejects",
+    f"""SELECT concat_ws('-', stateCode, countryCode, siteNum, parameterCode, poc) AS key, '{{cut' AS value, seq
+        FROM ({inputs.READINGS_SQL}) WHERE seq % 7 = 0""",
+)
+def message_rejects(spark, sf_dir):
+    """Messages that cannot be scored go to a sink of their own, as they came."""
+    folder = run_folder(spark, "rejects")
+    publish(inputs.reading_messages(spark, sf_dir).select("key", _spoiled("value"), "seq"), f"{folder}/in", "json")
+    stream = rejected_messages(subscribe(spark, f"{folder}/in", "json"))
+    deliver(stream, f"{folder}/out", f"{folder}/checkpoint", "parquet", once=True).awaitTermination()
+    return spark.read.schema(MESSAGE_SCHEMA).parquet(f"{folder}/out")
+
+
+#: Files of the several triggers; each holds what came at a range of times.
+RANGES = 4
+
+
+@query("message_score_triggers", f"SELECT *, false AS late FROM ({ENRICHED_SQL})")
+def message_score_triggers(spark, sf_dir):
+    """One trigger for each file of a range of times, the state kept between them. A later file must hold no earlier time of a device."""
+    folder = run_folder(spark, "triggers")
+    record = from_json_text("value")
+    messages = inputs.reading_messages(spark, sf_dir).select("key", "value", "seq", record.alias("r"))
+    timed = messages.select("key", "value", "seq", gmt_time("r.dateGMT", "r.timeGMT").cast("long").alias("at"))
+    edges = timed.approxQuantile("at", [i / RANGES for i in range(1, RANGES)], 0.01)
+    part = sum((F.col("at") > edge).cast("int") for edge in edges)
+    for i in range(RANGES):
+        publish(timed.where(part == i).select("key", "value", "seq").coalesce(1), f"{folder}/in", "json")
+    stream = score_message_stream(subscribe(spark, f"{folder}/in", "json", maxBytesPerTrigger="1"))
+    deliver(stream, f"{folder}/out", f"{folder}/checkpoint", "json", once=True).awaitTermination()
+    sent = spark.read.schema("key string, value string").json(f"{folder}/out")
+    scores = [F.col(f"r.{name}").alias(name) for name in ("prediction", "error", "anomaly", "predictionNext")]
+    late = F.get_json_object("value", "$.late").cast("boolean").alias("late")
+    rows = sent.select("key", from_json_text("value").alias("r"), late)
+    return rows.select("key", *scores, number("r.sampleMeasurement").alias("value"), "late")

@@ -126,7 +126,10 @@ def publish_readings(spark: SparkSession, args) -> None:
 def score_readings(spark: SparkSession, args) -> None:
     stream = subscribe(spark, args.topic, startingOffsets=args.starting_offsets, **_kafka(args))
     scored = score_message_stream(stream, args.alpha)
-    deliver(scored, args.target_topic, args.checkpoint, **_kafka(args)).awaitTermination()
+    deliver(scored, args.target_topic, args.checkpoint, **_kafka(args))
+    deliver(sensors.rejected_messages(stream), args.reject_topic, f"{args.checkpoint}-rejects", **_kafka(args))
+    # If one of the two ends, the job ends, and goes on from both checkpoints when started again.
+    spark.streams.awaitAnyTermination()
 
 
 def ingest(spark: SparkSession, args) -> None:
@@ -207,6 +210,7 @@ def parser() -> argparse.ArgumentParser:
     command.add_argument("--brokers", required=True)
     command.add_argument("--topic", default="monitoring20")
     command.add_argument("--target_topic", default="monitoringEnriched2")
+    command.add_argument("--reject_topic", default="monitoringRejects2", help="gets the messages that cannot be scored")
     command.add_argument("--starting_offsets", default="latest")
     command.add_argument("--checkpoint", required=True)
     command.add_argument("--alpha", type=float, default=1.0)

@@ -23,9 +23,9 @@ def complete(rows: DataFrame, *also: str) -> DataFrame:
     return rows.select(*also, *texts, *scores)
 
 
-def record_json() -> Column:
-    """The 28 fields as one JSON object."""
-    return F.to_json(F.struct(*READING_FIELDS, *SCORE_FIELDS))
+def record_json(*also: str) -> Column:
+    """The 28 fields, and further columns, as one JSON object."""
+    return F.to_json(F.struct(*READING_FIELDS, *SCORE_FIELDS, *also))
 
 
 def to_messages(rows: DataFrame) -> DataFrame:

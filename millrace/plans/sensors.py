@@ -53,10 +53,16 @@ def unreadable(messages: DataFrame) -> DataFrame:
     return readings_of(messages).where(~is_reading())
 
 
+def rejected_messages(messages: DataFrame) -> DataFrame:
+    """Messages that cannot be scored, as they came; each message is either here or scored."""
+    return unreadable(messages).select(F.col("device_id").alias("key"), F.col("record").alias("value"), "seq")
+
+
 def scored_messages(scored: DataFrame) -> DataFrame:
-    """Scored readings as messages again: the record with its four result fields filled in."""
-    rows = scored.select("device_id", *SCORE_FIELDS, parsed_fields("record", *READING_FIELDS))
-    return rows.select(F.col("device_id").alias("key"), record_json().alias("value"))
+    """Scored readings as messages again: the record with its four result fields filled in, and the mark `late`."""
+    late = F.col("late") if "late" in scored.columns else F.lit(False).alias("late")
+    rows = scored.select("device_id", *SCORE_FIELDS, late, parsed_fields("record", *READING_FIELDS))
+    return rows.select(F.col("device_id").alias("key"), record_json("late").alias("value"))
 
 
 def score_messages(messages: DataFrame, chunk: str = "hour") -> DataFrame:

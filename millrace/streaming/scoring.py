@@ -98,5 +98,9 @@ def score_stream(readings: DataFrame, alpha: float = 1.0) -> DataFrame:
 
 
 def score_message_stream(messages: DataFrame, alpha: float = 1.0) -> DataFrame:
-    """Messages in, enriched messages out, under the same keys."""
+    """Messages in, enriched messages out, under the same keys; `late` marks those older than one scored before.
+
+    Rows of a device must arrive in time order from trigger to trigger for the scores to be those of the batch. What cannot be
+    scored is in `rejected_messages`, a stream of its own.
+    """
     return scored_messages(score_stream(readings_of(messages), alpha))

@@ -245,3 +245,17 @@ def test_messages_without_a_finite_measurement_are_unreadable(spark):
     kind = ", ".join(f"{name} string" for name in READING_FIELDS)
     messages = to_messages(spark.createDataFrame([reading(v) for v in ("1.5", "NaN", "Infinity", "", "z")], kind))
     assert sensors.unreadable(messages.withColumn("seq", F.lit(1).cast("long"))).count() == 4
+
+
+def test_rejects_and_late_marks_reach_their_sinks(spark, tmp_path):
+    hours = [(0, "1"), (5, "2"), (3, "4"), (6, "x")]
+    for seq, (at, value) in enumerate(hours):
+        message = to_messages(readings(spark, record("10", START + dt.timedelta(hours=at), value)))
+        publish(message.withColumn("seq", F.lit(seq).cast("long")).coalesce(1), str(tmp_path / "topic"), "json")
+    stream = subscribe(spark, str(tmp_path / "topic"), "json", maxBytesPerTrigger="1")
+    for name, rows in (("out", score_message_stream(stream)), ("rejects", sensors.rejected_messages(stream))):
+        deliver(rows, str(tmp_path / name), str(tmp_path / f"{name}-checkpoint"), "json", once=True).awaitTermination()
+    sent = [json.loads(r.value) for r in spark.read.schema("key string, value string").json(str(tmp_path / "out")).collect()]
+    assert {m["timeGMT"]: m["late"] for m in sent} == {"00:00": False, "05:00": False, "03:00": True}
+    rejects = spark.read.schema("key string, value string, seq long").json(str(tmp_path / "rejects")).collect()
+    assert [(r.seq, json.loads(r.value)["sampleMeasurement"]) for r in rejects] == [(3, "x")]
