@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from millrace.llm import (
-    decontamination, hamming_index, html_text, language_model, mixing, near_duplicates, quality, repeats, token_counts, url_filter,
+    decontamination, hamming_index, html_text, language_model, mixing, near_duplicates, quality, repeats, sharding, token_counts, url_filter,
+    vector_codes, whitening,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -171,3 +172,51 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     scores = language_model.text_scores(table(spark, sf_dir, "documents"), ~held_out(7, 2))
     return scores.select("doc_id", held_out(7, 2).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
+def _op11_sql(parts: int = 16, entries: int = 64, rounds: int = 2, scale: int = 256) -> str:
+    """Every component against every entry: rows of (r, p, x) and codebooks of (p, e, c), where p is a place in the vector."""
+    assigned = """assigned{i} AS (
+  SELECT r, part, (min(d * {entries} + e) % {entries})::BIGINT AS e, (min(d * {entries} + e) // {entries})::BIGINT AS d
+  FROM (SELECT r, part, e, sum((x - c) * (x - c))::HUGEINT AS d FROM parts JOIN book{i} USING (p) GROUP BY r, part, e) GROUP BY r, part)"""
+    moved = """book{j} AS (
+  SELECT p, e, coalesce(m, c) AS c FROM book{i} LEFT JOIN (
+    SELECT p, e, ((s - ((s % n) + n) % n) // n)::BIGINT AS m
+    FROM (SELECT p, e, sum(x)::HUGEINT AS s, count(*)::HUGEINT AS n FROM parts JOIN assigned{i} USING (r, part) GROUP BY p, e)) USING (p, e))"""
+    steps = [assigned.format(i=0, entries=entries)]
+    for i in range(rounds):
+        steps += [moved.format(i=i, j=i + 1), assigned.format(i=i + 1, entries=entries)]
+    return f"""
+WITH kept AS (
+  SELECT row_number() OVER (ORDER BY vec_id) AS r, vec_id, label, embedding AS v FROM embeddings
+  WHERE len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = len(embedding)),
+parts AS (
+  SELECT r, p, p * {parts} // w AS part, x FROM (
+    SELECT r, len(v) AS w, unnest(range(len(v))) AS p, unnest(list_transform(v, lambda x: floor({scale} * x::DOUBLE)::BIGINT)) AS x FROM kept)),
+book0 AS (SELECT p, r - 1 AS e, x AS c FROM parts WHERE r <= {entries}),
+{", ".join(steps)},
+coded AS (
+  SELECT r, string_agg(format('{{:02x}}', e), '' ORDER BY part) AS code, sum(d)::BIGINT AS error FROM assigned{rounds} GROUP BY r)
+SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error,
+  (SELECT sha256(string_agg(c::VARCHAR, ',' ORDER BY part, e, p))
+   FROM (SELECT book{rounds}.*, part FROM book{rounds} JOIN (SELECT DISTINCT p, part FROM parts) USING (p))) AS codebooks_sha256
+FROM kept JOIN coded USING (r)
+"""
+
+
+@query("op11_vector_codes", _op11_sql())
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded = vector_codes.vector_codes(table(spark, sf_dir, "embeddings"))
+    return coded.select(F.col("vec_key").alias("vec_id"), "code", "error", "label_error", "codebooks_sha256")
+
+
+@query("op12_sharding")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    placed = sharding.sharded(table(spark, sf_dir, "documents"), carried=["doc_id"])
+    return placed.select("row.doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
+@query("op13_whitening")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = whitening.whitened(table(spark, sf_dir, "embeddings"))
+    return found.withColumnRenamed("vec_key", "vec_id")
