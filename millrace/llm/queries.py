@@ -86,7 +86,7 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op7_suffix_array_dedup")
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = repeats.without_repeats(table(spark, sf_dir, "documents"))
-    return found.select("row.doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+    return found.select("row.doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "text")
 
 
 #: The vocabulary file of op3.

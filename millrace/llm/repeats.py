@@ -12,16 +12,16 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
-from millrace.llm.words import exact_hashes, exact_spans, mixed, saved, whole_groups
+from millrace.llm.words import exact_hashes, exact_spans, mixed, saved
 
 #: Bytes of the seed by whose hash windows are grouped: so many bytes of text, or four words.
 SEED = 32
 #: Window starts that are looked at together, so that a very long text needs no more memory than this; and the bits of a place.
 CHUNK, PLACE = 1 << 20, 21
 #: Bytes of text that one suffix array takes in.
-ARRAY = 1 << 21
+ARRAY = 1 << 17
 #: Ranges of window places that the test before a suffix array tells apart.
 CUTS = 8
 #: Different surroundings of one seed that one task compares; beyond it every window of them is counted by its hash.
@@ -82,18 +82,18 @@ def _anchors(window: int, kind: type):
     def anchor(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             rows = []
-            for key, text in zip(frame["text_key"].tolist(), frame["text"].tolist()):
+            for key, check, text in zip(frame["text_key"].tolist(), frame["text_check"].tolist(), frame["text"].tolist()):
                 raw = _units(text, kind)
                 if len(raw) >= window:
                     for seed, place, first, last in owners(raw, window):
-                        rows.append((key, seed, *_digest(raw[first : last + window].tobytes()), first, last - first + 1, place - first))
-            yield pd.DataFrame(rows, columns=["text_key", "seed", "d1", "d2", "first", "starts", "spot"])
+                        rows.append((key, check, seed, *_digest(raw[first : last + window].tobytes()), first, last - first + 1, place - first))
+            yield pd.DataFrame(rows, columns=["text_key", "text_check", "seed", "d1", "d2", "first", "starts", "spot"])
 
     return anchor
 
 
 def _surroundings(window: int, kind: type):
-    """The bytes of the units at the wanted places of each text; a place whose digest differs belongs to another text of the same key."""
+    """The bytes of the units at the wanted places of each text."""
 
     def cut(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
@@ -122,7 +122,7 @@ def suffix_array(raw: np.ndarray, reach: int) -> tuple[np.ndarray, np.ndarray]:
         first = np.zeros(n, dtype=np.uint64)
         for k in range(8):
             first = (first << np.uint64(8)) | padded[k : k + n]
-    order = np.argsort(first, kind="stable")
+    order = np.argsort(first)
     ranks = [_ranked(order, first)]
     size = unit
     while size < reach:
@@ -130,7 +130,7 @@ def suffix_array(raw: np.ndarray, reach: int) -> tuple[np.ndarray, np.ndarray]:
         after = np.zeros(n, dtype=np.int64)
         after[: max(n - size, 0)] = rank[size:] + 1
         key = rank.astype(np.int64) * (n + 1) + after
-        order = np.argsort(key, kind="stable")
+        order = np.argsort(key)
         ranks.append(_ranked(order, key))
         size *= 2
     left, right = order[:-1].copy(), order[1:].copy()
@@ -264,21 +264,37 @@ def _sharing(parts: list[bytes], spots: list[int], window: int, width: int) -> l
     return [any(seen[k] > 1 for k in own) for own in keys]
 
 
+def _groups(frames: Iterator[pd.DataFrame]) -> Iterator[list[tuple]]:
+    """(seed, d1, d2, part, spot) of the surroundings of one seed after another, from rows in the order of seeds."""
+    own: list[tuple] = []
+    for frame in frames:
+        for row in zip(*(frame[c].tolist() for c in ("seed", "d1", "d2", "part", "spot"))):
+            if own and own[0][0] != row[0]:
+                yield own
+                own = []
+            own.append(row)
+    if own:
+        yield own
+
+
 def _compared(window: int, kind: type):
     """Suffix arrays over whole groups of surroundings, as many groups as fit ARRAY bytes."""
 
+    width = np.dtype(kind).itemsize
+
     def compare(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         names: list[tuple] = []
         parts: list[bytes] = []
         size = 0
-        for _, frame in whole_groups(frames, ["seed"]):
-            if size and size + int(frame["part"].str.len().sum()) > ARRAY:
+        for rows in _groups(frames):
+            if size and size + sum(len(r[3]) for r in rows) > ARRAY:
                 yield _rows(names, parts, window, kind)
                 names, parts, size = [], [], 0
-            frame = frame[_sharing(frame["part"].tolist(), frame["spot"].tolist(), window, np.dtype(kind).itemsize)]
-            names += zip(frame["seed"].tolist(), frame["d1"].tolist(), frame["d2"].tolist())
-            parts += frame["part"].tolist()
-            size += int(frame["part"].str.len().sum())
+            for row, wanted in zip(rows, _sharing([r[3] for r in rows], [r[4] for r in rows], window, width)):
+                if wanted:
+                    names.append(row[:3])
+                    parts.append(row[3])
+                    size += len(row[3])
         if parts:
             yield _rows(names, parts, window, kind)
 
@@ -317,34 +333,40 @@ def _window_hashes(window: int, width: int):
     return each
 
 
+#: By what a text is known.
+TEXT = ["text_key", "text_check"]
+
+
+def _text_keys() -> list[Column]:
+    return [F.xxhash64("text").alias("text_key"), F.xxhash64(F.lit(1), F.col("text")).alias("text_check")]
+
+
 def repeat_spans(
     docs: DataFrame, text_column: str = "text", window: int = 400, surroundings: int = SURROUNDINGS, kind: type = np.uint8
 ) -> DataFrame:
-    """(text_key, spans) of each text that shares a string of `window` units with any other place; spans are [first, end) units.
+    """(text_key, text_check, spans) of each text that shares a string of `window` units with any other place; spans are [first, end) units.
 
     Units are bytes, or for np.uint64 the words between white space, case and all.
 
-    text_key is xxhash64 of the text. Every window is filed under its smallest seed; a run of windows with one seed and the bytes
+    The two keys are 128 bits of hash of the text. Every window is filed under its smallest seed; a run of windows with one seed and the bytes
     around it is one row. Rows with equal bytes are one class, reduced before the shuffle: a class of several places repeats
     throughout. Only where a seed has several classes are their bytes gathered, one place for each class, and a suffix array with
     its common-prefix intervals gives the maximal repeats. A seed with more classes than `surroundings` has its windows
     counted by 128-bit hashes instead, so that no task has to hold them together.
     """
-    plain = docs.select(F.col(text_column).alias("text")).where("text is not null").select(F.xxhash64("text").alias("text_key"), "text")
-    schema = "text_key long, seed long, d1 long, d2 long, first int, starts int, spot int"
+    plain = docs.select(F.col(text_column).alias("text")).where("text is not null").select(*_text_keys(), "text")
+    schema = "text_key long, text_check long, seed long, d1 long, d2 long, first int, starts int, spot int"
     anchors = saved(plain.mapInPandas(_anchors(window, kind), schema), "anchors")
     same = ["seed", "d1", "d2"]
-    classes = saved(
-        anchors.groupBy(*same).agg(F.count("*").alias("n"), F.min(F.struct("text_key", "first", "starts", "spot")).alias("at")), "classes"
-    )
+    classes = anchors.groupBy(*same).agg(F.count("*").alias("n"), F.min(F.struct(*TEXT, "first", "starts", "spot")).alias("at"))
     # Counted on the map side; a window would bring all classes of a seed into one task.
-    shared = classes.groupBy("seed").agg(F.count("*").alias("classes")).where("classes > 1")
-    wanted = saved(
-        classes.join(shared, "seed").select(*same, "at.text_key", "at.first", "at.starts", "at.spot", "classes"), "wanted"
-    )
-    places = wanted.groupBy("text_key").agg(F.collect_list(F.struct(*same, "first", "starts")).alias("places"))
-    texts = plain.join(places.select("text_key"), "text_key", "left_semi").groupBy("text_key").agg(F.first("text").alias("text"))
-    cut = texts.join(places, "text_key").mapInPandas(_surroundings(window, kind), "seed long, d1 long, d2 long, part binary")
+    shared = classes.groupBy("seed").agg(F.count("*").alias("classes"), F.max("n").alias("most")).where("classes > 1 or most > 1")
+    # Most classes stand alone under their seed: they are neither written nor compared.
+    classes = saved(classes.join(shared.drop("most"), "seed").where("classes > 1 or n > 1").select(*same, "n", "at", "classes"), "classes")
+    wanted = classes.where("classes > 1").select(*same, "at.*", "classes")
+    places = wanted.groupBy(*TEXT).agg(F.collect_list(F.struct(*same, "first", "starts")).alias("places"))
+    texts = plain.join(places.select(*TEXT), TEXT, "left_semi").groupBy(*TEXT).agg(F.first("text").alias("text"))
+    cut = texts.join(places, TEXT).mapInPandas(_surroundings(window, kind), "seed long, d1 long, d2 long, part binary")
     parts = saved(cut.join(wanted.select(*same, "spot", "classes"), same), "parts")
     found = (
         parts.where(F.col("classes") <= surroundings)
@@ -363,12 +385,12 @@ def repeat_spans(
     listed = ranges.groupBy(*same).agg(F.collect_set(F.struct("start", "length")).alias("ranges"))
     covered = saved(listed.mapInPandas(_merged_ranges, listed.schema), "ranges")
     spans = anchors.join(covered, same).select(
-        "text_key",
+        *TEXT,
         F.transform(
             "ranges", lambda r: F.struct((F.col("first") + r["start"]).alias("first"), (F.col("first") + r["start"] + r["length"]).alias("end"))
         ).alias("spans"),
     )
-    return spans.groupBy("text_key").agg(F.flatten(F.collect_set("spans")).alias("spans"))
+    return spans.groupBy(*TEXT).agg(F.flatten(F.collect_set("spans")).alias("spans"))
 
 
 def _merged_ranges(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -411,10 +433,10 @@ def without_repeats(docs: DataFrame, text_column: str = "text", window: int = 40
     spans = repeat_spans(docs, text_column, window)
     if words:
         runs = repeat_spans(docs, text_column, words, kind=np.uint64).withColumnRenamed("spans", "runs")
-        spans = spans.join(runs, "text_key", "full")
+        spans = spans.join(runs, TEXT, "full")
     else:
         spans = spans.withColumn("runs", F.lit(None).cast("array<struct<first int, end int>>"))
     keyed = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns if c != text_column)).alias("row"), F.col(text_column).alias("text"))
-    keyed = keyed.withColumn("text_key", F.xxhash64("text"))
+    keyed = keyed.select("row", *_text_keys(), "text")
     schema = keyed.select("row").schema.add("n_bytes", "long").add("n_removed", "long").add("n_spans", "long").add("kept_sha256", "string").add("text", "string")
-    return keyed.join(spans, "text_key", "left").drop("text_key").mapInPandas(_removed, schema)
+    return keyed.join(spans, TEXT, "left").drop(*TEXT).mapInPandas(_removed, schema)
