@@ -30,9 +30,20 @@ ASIDE_WORDS = frozenset(
     "comment comments commentlist disqus respond reply replies discussion reactions "
     "share sharing social related recommended recommendations widget widgets toolbar complementary contentinfo search".split()
 )
-MARKUP = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
+#: Words that name a piece of a page whatever it holds; in an article a name marks an aside only if it has no others besides.
+PIECE_WORDS = frozenset(
+    "post posts box block list section container wrapper wrap area content button buttons bar link links item items form inner outer unit "
+    "slot news article articles story stories top bottom left right module panel region title heading group".split()
+)
+#: A tag as most are written. No part of it gives back what it took, so a failure costs no more than the tag.
+TAG = re.compile(r"<(/?)([a-zA-Z][^\s/><]*+)((?:\s++[^\s\"'<>/=]++(?:=(?:\"[^\"<>]*+\"|'[^'<>]*+'|[^\s\"'<>=`/]++))?+)*+)\s*+(/?)>")
+TAG_NAME = re.compile(r"</?([a-zA-Z][^\s/>]*)")
+BETWEEN, NAME, EQUALS, PLAIN = re.compile(r"[\s/]*"), re.compile(r"=?[^\s/>=]*"), re.compile(r"\s*=\s*"), re.compile(r"[^\s>]*")
 ATTRIBUTE = re.compile(r"(?:^|[\s\"'])(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I | re.S)
 HIDDEN = re.compile(r"(?:^|\s)hidden(?:\s|=|/|$)|aria-hidden\s*=\s*[\"']?true|display\s*:\s*none", re.I)
+ENDS = {name: re.compile(rf"</{name}\s*>", re.I) for name in DROPPED}
+#: A reference to a character by so many digits that they may be too many to read.
+LONG_REFERENCE = re.compile(r"&#(?:([0-9]{8,})|[xX]([0-9a-fA-F]{8,}));?")
 COMMENT_WORDS = frozenset("comment comments commentlist disqus respond reply replies discussion reactions hidden".split())
 SPACE = re.compile(r"\s+")
 NAME_WORD = re.compile(r"[a-z]+")
@@ -49,80 +60,226 @@ class Block:
     good: bool | None = field(default=None)
 
 
-def _marked(attributes: str) -> set[str]:
-    """The words of class, id and role that mark an element as no part of the article, and 'hidden'."""
+def _marked(attributes: str, inside: bool) -> set[str]:
+    """The words of class, id and role that mark an element as no part of the article, and 'hidden'.
+
+    Inside an article a name counts as a whole: `search` or `related-posts` mark an aside, `search-results` or `related-work` do not.
+    """
     if not attributes:
         return set()
-    found = {word for _, a, b, c in ATTRIBUTE.findall(attributes) for word in NAME_WORD.findall((a or b or c).lower())}
-    return (found & ASIDE_WORDS) | ({"hidden"} if HIDDEN.search(attributes) else set())
+    names = [name for _, a, b, c in ATTRIBUTE.findall(attributes) for name in (a or b or c).lower().split()]
+    found = set()
+    for name in names:
+        own = set(NAME_WORD.findall(name))
+        if not inside or own <= ASIDE_WORDS | PIECE_WORDS:
+            found |= own & ASIDE_WORDS
+    return found | ({"hidden"} if HIDDEN.search(attributes) else set())
+
+
+class Scanner:
+    """Tags, texts and other markup of a page, read once from its beginning to its end.
+
+    Quotes count only where an attribute's value begins; one that is never closed is a part of a value that ends at white space. A tag,
+    comment or section without an end takes the rest of the page. What was searched for in vain is not searched for again.
+    """
+
+    def __init__(self, page: str):
+        self.page = page
+        self.at = 0
+        self.absent: set[str] = set()
+
+    def find(self, text: str, start: int) -> int:
+        """Where `text` is next, or -1; once absent it stays so, as the search only moves on."""
+        if text in self.absent:
+            return -1
+        found = self.page.find(text, start)
+        if found < 0:
+            self.absent.add(text)
+        return found
+
+    def past(self, text: str, start: int) -> int:
+        found = self.find(text, start)
+        return len(self.page) if found < 0 else found + len(text)
+
+    def skip_element(self, name: str, to_the_end: bool) -> None:
+        """Goes behind the end of an element whose content is no text; without an end nothing of it is skipped, or all the rest."""
+        end = None if name in self.absent else ENDS[name].search(self.page, self.at)
+        if end:
+            self.at = end.end()
+        else:
+            self.absent.add(name)
+            self.at = len(self.page) if to_the_end else self.at
+
+    def tags(self) -> Iterator[tuple[str, str, str, bool]]:
+        """(text before, name, attributes, closing) of each tag, and at the end (text, '', '', False). A section of data is text."""
+        page, begin = self.page, self.at
+        text: list[str] = []
+        while True:
+            mark = self.find("<", self.at)
+            if mark < 0:
+                text.append(page[self.at :])
+                self.at = len(page)
+                yield "".join(text), "", "", False
+                return
+            begin = self.at
+            follows = page[mark + 1 : mark + 2]
+            if tag := TAG.match(page, mark):
+                text.append(page[begin:mark])
+                self.at = tag.end()
+                yield "".join(text), tag[2].lower(), tag[3] + tag[4], bool(tag[1])
+                text = []
+            elif follows in ("!", "?"):
+                text.append(page[begin:mark])
+                if page.startswith("<!--", mark):
+                    self.at = self.past("-->", mark + 4)
+                elif page.startswith("<![CDATA[", mark):
+                    self.at = self.past("]]>", mark + 9)
+                    text.append(html.escape(page[mark + 9 : self.at].removesuffix("]]>"), quote=False))
+                else:
+                    self.at = self.past(">", mark)
+            elif name := TAG_NAME.match(page, mark):
+                text.append(page[begin:mark])
+                self.at = self._end_of_tag(name.end())
+                yield "".join(text), name[1].lower(), page[name.end() : self.at - 1], follows == "/"
+                text = []
+            else:
+                text.append(page[begin : mark + 1])
+                self.at = mark + 1
+
+    def _end_of_tag(self, at: int) -> int:
+        """The place behind the '>' that ends a tag, whose attributes begin at `at`."""
+        page = self.page
+        while True:
+            at = BETWEEN.match(page, at).end()
+            if at >= len(page):
+                return at
+            if page[at] == ">":
+                return at + 1
+            at = NAME.match(page, at).end()
+            if equals := EQUALS.match(page, at):
+                at = equals.end()
+                quote = page[at : at + 1]
+                end = self.find(quote, at + 1) if quote in ("'", '"') else -1
+                at = end + 1 if end >= 0 else PLAIN.match(page, at).end()
+
+
+@dataclass(frozen=True)
+class Place:
+    """An open element, and what holds within it: of the elements that contain it, and of itself."""
+
+    name: str = ""
+    kind: str = ""  # 'out', 'soft', 'in', 'drop', 'head', 'link' or ''
+    out: bool = False
+    inside: bool = False
+    soft: bool = False
+    soft_inside: bool = False
+    link: bool = False
+    heading: bool = False
+
+    def child(self, name: str, kind: str) -> Place:
+        article = kind == "in"
+        return Place(
+            name, kind, self.out or kind == "out", self.inside or article, self.soft or kind == "soft",
+            not article and (self.soft_inside or kind == "soft"), self.link or kind == "link", self.heading or name in HEADING,
+        )
+
+
+class OpenElements:
+    """The elements that are open, with where each name is open last, so that an end needs no search."""
+
+    def __init__(self):
+        self.places = [Place()]
+        self.named: dict[str, list[int]] = {}
+        self.sections: list[int] = []
+
+    @property
+    def top(self) -> Place:
+        return self.places[-1]
+
+    def open(self, name: str, kind: str) -> None:
+        self.named.setdefault(name, []).append(len(self.places))
+        if kind in ("in", "out"):
+            self.sections.append(len(self.places))
+        self.places.append(self.top.child(name, kind))
+
+    def pop(self) -> None:
+        self.named[self.places.pop().name].pop()
+        if self.sections and self.sections[-1] == len(self.places):
+            self.sections.pop()
+
+    def close(self, name: str) -> None:
+        """Ends the last element of the name and all within it. A stray end of a small element closes no section."""
+        spots = self.named.get(name)
+        if not spots or (name not in BLOCK and self.sections and self.sections[-1] > spots[-1]):
+            return
+        for _ in range(len(self.places) - spots[-1]):
+            self.pop()
+
+
+def _short_reference(reference: re.Match) -> str:
+    digits = (reference[1] or reference[2]).lstrip("0") or "0"
+    return "\ufffd" if len(digits) > 7 else f"&#{digits};" if reference[1] else f"&#x{digits};"
+
+
+def _plain(text: str) -> str:
+    """Character references decoded, white space turned into one space, trimmed."""
+    if "&" in text:
+        text = html.unescape(LONG_REFERENCE.sub(_short_reference, text))
+    return SPACE.sub(" ", text).strip()
+
+
+def _kind(name: str, attributes: str, within: Place) -> str:
+    if name in DROPPED:
+        return "drop"
+    if name in ARTICLE and not within.out:
+        return "in"
+    if name == "header" and within.inside:
+        return "head"
+    if name in OUTSIDE:
+        return "out"
+    if name not in ("html", "body") and (marks := _marked(attributes, within.inside)):
+        # A page may name its whole frame after a sidebar; an article in it counts. One among comments does not.
+        return "out" if marks & COMMENT_WORDS else "soft"
+    return "link" if name == "a" else ""
 
 
 def blocks_of(page: str) -> list[Block]:
-    """The text blocks of a page in order, with what the markup says of each. Broken markup is read as it comes."""
+    """The text blocks of a page in order, with what the markup says of each. Broken markup is read as it comes.
+
+    The page is scanned once and every element opened and closed once, so time grows with its length.
+    """
     found: list[Block] = []
     pieces: list[tuple[str, bool]] = []
-    open_tags: list[tuple[str, str]] = []  # name, kind: 'out', 'soft', 'in', 'drop', 'head', 'link' or ''
+    elements, scanner = OpenElements(), Scanner(page)
 
     def end_block() -> None:
-        text = SPACE.sub(" ", html.unescape("".join(p for p, _ in pieces))).strip()
+        text = _plain("".join(p for p, _ in pieces))
         if text:
-            kinds = [k for _, k in open_tags]
-            last_in = max((i for i, k in enumerate(kinds) if k == "in"), default=-1)
-            outside = "out" in kinds or "soft" in kinds[last_in + 1 :]
-            linked = len(SPACE.sub(" ", html.unescape("".join(p for p, link in pieces if link))).strip())
-            found.append(Block(text, linked, last_in >= 0, outside, "soft" in kinds, any(n in HEADING for n, _ in open_tags)))
+            within = elements.top
+            linked = len(_plain("".join(p for p, link in pieces if link)))
+            found.append(Block(text, linked, within.inside, within.out or within.soft_inside, within.soft, within.heading))
         pieces.clear()
 
-    def kind_of(name: str, attributes: str) -> str:
-        inside = any(k == "in" for _, k in open_tags)
-        if name in DROPPED:
-            return "drop"
-        if name in ARTICLE and not any(k == "out" for _, k in open_tags):
-            return "in"
-        if name == "header" and inside:
-            return "head"
-        if name in OUTSIDE:
-            return "out"
-        if name not in ("html", "body") and (marks := _marked(attributes)):
-            # A page may name its whole frame after a sidebar; an article in it counts. One among comments does not.
-            return "out" if marks & COMMENT_WORDS else "soft"
-        return "link" if name == "a" else ""
-
-    at = 0
-    while at < len(page):
-        mark = MARKUP.search(page, at)
-        text = page[at : mark.start()] if mark else page[at:]
+    for text, name, attributes, closing in scanner.tags():
         if text:
-            pieces.append((text, any(k == "link" for _, k in open_tags)))
-        if not mark:
-            break
-        at = mark.end()
-        name = (mark[2] or "").lower()
+            pieces.append((text, elements.top.link))
         if not name:
-            if mark[0].startswith("<![CDATA["):
-                pieces.append((html.escape(mark[0][9:].removesuffix("]]>"), quote=False), False))
-            continue
-        closing = bool(mark[1])
-        if not closing and name in DROPPED and not mark[3].rstrip().endswith("/") and name not in VOID:
+            break
+        alone = name in VOID or attributes.rstrip().endswith("/")
+        if not closing and name in DROPPED and not alone:
             if name in BLOCK:
                 end_block()
-            end = re.compile(rf"</{re.escape(name)}\s*>", re.I).search(page, at)
             if name != "head":
-                at = end.end() if end else (len(page) if name in ("script", "style") else at)
+                scanner.skip_element(name, name in ("script", "style"))
             continue
         if name in BLOCK:
             end_block()
         if closing:
-            for i in range(len(open_tags) - 1, -1, -1):
-                if open_tags[i][0] == name:
-                    del open_tags[i:]
-                    break
-                if open_tags[i][1] in ("in", "out") and name not in BLOCK:
-                    break  # a stray end of a small element closes no section
-        elif name not in VOID and not mark[3].rstrip().endswith("/"):
-            if name in ("p", "li") and open_tags and open_tags[-1][0] == name:
-                open_tags.pop()
-            open_tags.append((name, kind_of(name, mark[3])))
+            elements.close(name)
+        elif not alone:
+            if name in ("p", "li") and elements.top.name == name:
+                elements.pop()
+            elements.open(name, _kind(name, attributes, elements.top))
     end_block()
     return found
 

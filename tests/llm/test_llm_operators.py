@@ -3,6 +3,7 @@
 import hashlib
 import math
 import random
+import time
 import zlib
 from collections import Counter
 
@@ -506,16 +507,20 @@ def test_empty_tables(spark, no_docs):
     labels = spark.createDataFrame([], "doc_id long, quality int")
     none = spark.createDataFrame([], "item_id long, text string")
     pages = spark.createDataFrame([], "page_id long, url string, html string")
-    path = pytest.importorskip("public_tokenizers").path("piece_bpe_32k.model")
     for frame in (
         near_duplicates.near_duplicates(no_docs), decontamination.contamination(no_docs, none), repeats.without_repeats(no_docs),
         mixing.mixed_sources(no_docs, MIX), quality.quality_scores(no_docs, labels), language_model.text_scores(no_docs, F.lit(True)),
-        token_counts.token_counts(no_docs, path), html_text.extracted(pages), url_filter.judged_urls(pages, url_filter.rules_of(["allow org/"])),
+        html_text.extracted(pages), url_filter.judged_urls(pages, url_filter.rules_of(["allow org/"])),
         hamming_index.nearest(spark.createDataFrame([], "vec_id long, embedding array<float>"), F.lit(True)),
     ):
         assert frame.collect() == []
 
 
+def test_no_documents_have_no_tokens(no_docs):
+    path = pytest.importorskip("public_tokenizers").path("piece_bpe_32k.model")
+    assert token_counts.token_counts(no_docs, path).collect() == []
+
+
 def test_groups_are_counted_without_a_window(docs, monkeypatch):
     def refuse(*_):
         raise AssertionError("a window holds a whole group in one task")
@@ -579,3 +584,34 @@ def test_raw_texts_are_split_as_they_are(spark, texts):
 def test_pieces_that_run_over_spaces_or_lines_keep_texts_whole():
     assert token_counts.cuts(["▁a", "▁▁", "b", "\n"]).findall("▁a▁▁b\nb▁") == ["▁a", "▁▁b", "\n", "b", "▁"]
     assert token_counts.cuts(["a▁b"]).findall("▁a▁b\n") == token_counts.cuts(["a\n"]).findall("▁a▁b\n") == ["▁a▁b\n"]
+
+
+LONG = "This is a long paragraph with the text of the article in it, and it goes on for as long as it has to. " * 3
+
+
+@pytest.mark.parametrize(
+    ("page", "text"),
+    [
+        ("<article><p class=it's>Hello this is the article body text</p></article>", "Hello this is the article body text"),
+        (f"<article><div class='search-results'><p>{LONG}", LONG.strip()),
+        (f"<article><p>{LONG}</p><div class='related-posts'><p>{LONG}", LONG.strip()),
+        (f"<article><p>{LONG}</p><div class=search><p>{LONG}</div><div id=comment-list><p>{LONG}</div>", LONG.strip()),
+        (f"<article><p title=\"a > b\">{LONG}</p><p title='never closed>{LONG}</p>", f"{LONG}{LONG}".strip()),
+        (f"<article><p>1 < 2 & 3 <b class = x >{LONG}</b>", f"1 < 2 & 3 {LONG}".strip()),
+        (f"<article><p>&#{'0' * 6000}65; &#{'9' * 6000}; &#x{'f' * 5000}; &#00000065b {LONG}", f"A \ufffd \ufffd Ab {LONG}".strip()),
+    ],
+)
+def test_broken_markup_and_names_in_articles(page, text):
+    assert html_text.main_text(page) == text
+
+
+@pytest.mark.parametrize(
+    "piece",
+    ["<p class=x ", "<a '", "<div>", "<svg><b><article><div>", "<!-- ", "<", "<p =", "<p title='b\">", "<![CDATA[", "<head>", "<textarea>", "</b", "<a href=x>y ", "&#9"],
+)
+def test_time_grows_with_the_page(piece):
+    page = piece * (1_000_000 // len(piece))
+    html_text.main_text(piece)
+    started = time.process_time()
+    html_text.main_text(page + "</b>" * 1000)
+    assert time.process_time() - started < 15
