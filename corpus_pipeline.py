@@ -17,21 +17,44 @@ PASSAGE = 51
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
+def numbered(docs: DataFrame) -> DataFrame:
+    """The documents with a number of its own for each row, written, so that a row keeps its number. Ids may be null or repeat."""
+    return saved(docs.select(*COLUMNS, F.monotonically_increasing_id().alias("row_id")), "numbered")
+
+
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the classifier, fitted on the labelled ones, does not reject."""
-    scores = quality_scores(docs, table(spark, sf_dir, "labels"))
-    rejected = scores.where("predicted = 0").select("doc_id").distinct()
-    return docs.join(rejected, "doc_id", "left_anti").select(COLUMNS)
+    """Documents that the classifier, fitted on the labelled ones, does not reject.
+
+    Every row is judged by its own text: rows of one id, and rows without an id, too. A label counts for all rows of its id.
+    """
+    rows = numbered(docs)
+    labels = rows.select("doc_id", "row_id").join(table(spark, sf_dir, "labels"), "doc_id").select("row_id", "quality")
+    scores = quality_scores(rows, labels, id_column="row_id")
+    rejected = scores.where("predicted = 0").select(F.col("doc_id").alias("row_id"))
+    return rows.join(rejected, "row_id", "left_anti").select(COLUMNS)
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document of the smallest id of each group of near copies."""
-    found = near_duplicates(docs, how=Sketching(width=5, percent=80))
-    return docs.join(found.where("not kept").select("doc_id").distinct(), "doc_id", "left_anti").select(COLUMNS)
+    """One document of each group of near copies: that of the smallest id, and of those any one.
+
+    Rows are grouped by their texts, so a row that repeats an id, or has none, is a copy like any other and goes unless it is the one
+    that stays; one with an id stays rather than one without. Texts without words are copies where id and text are equal.
+    """
+    rows = numbered(docs)
+    found = near_duplicates(rows, id_column="row_id", how=Sketching(width=5, percent=80)).withColumnRenamed("doc_id", "row_id")
+    first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row_id"))["row_id"].alias("row_id")
+    members = rows.select("row_id", "doc_id").join(found.where("n_shingles > 0"), "row_id")
+    kept = members.groupBy("component_id").agg(first).select("row_id")
+    wordless = rows.join(found.where("n_shingles = 0").select("row_id"), "row_id", "left_semi")
+    kept = kept.unionByName(wordless.groupBy("doc_id", "text").agg(first).select("row_id"))
+    return rows.join(kept, "row_id", "left_semi").select(COLUMNS)
 
 
 def own_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without the passages of PASSAGE words, or of 400 bytes, and more that occur elsewhere too; those with nothing left go."""
+    """Documents without the passages of PASSAGE words, or of 400 bytes, and more that occur elsewhere too; those with nothing left go.
+
+    No occurrence stays, as boilerplate has no first place; whole copies are for the stage before, which leaves one of them.
+    """
     found = without_repeats(docs, words=PASSAGE)
     return (
         found.where("n_removed = 0 or trim(text) <> ''")
