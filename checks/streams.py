@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import os
+
+import pandas as pd
 from pyspark.sql import functions as F
 
 from checks import inputs
@@ -12,9 +15,10 @@ from millrace.functions.records import from_json_text
 from millrace.functions.numbers import number
 from millrace.plans.sensors import rejected_messages
 from millrace.session import run_folder
+from millrace.sources.growing import local_path
 from millrace.sources.messages import MESSAGE_SCHEMA, deliver, file_stream, publish, subscribe
 from millrace.sources.sinks import write_lines
-from millrace.streaming.ingest import ingest_lines
+from millrace.streaming.ingest import ingest_lines, tail_lines
 from millrace.streaming.scoring import score_message_stream, score_stream
 
 
@@ -26,6 +30,69 @@ def line_ingest(spark, sf_dir):
     return spark.read.text(f"{folder}/out")
 
 
+#: Files that grow in `tailed_lines`, and into how many parts their lines are cut.
+LOGS, ROUNDS = 8, 3
+
+
+def _appended(folder, round_number, sizes):
+    """A task appends the lines of the round to its logs. All but the last round leave the last line without its end.
+
+    A task that runs again cuts its files to the size before the round first.
+    """
+
+    def append(frames):
+        file, name, last = None, None, b""
+
+        def close():
+            if file is not None:
+                file.write(last if round_number == ROUNDS - 1 else last[:-1])
+                file.close()
+
+        for frame in frames:
+            for log, text in zip(frame["log"], frame["line"]):
+                if name != log:
+                    close()
+                    path, size = sizes.get(log, (f"{folder}/log-{log}.txt", 0))
+                    file, name, last = open(path, "r+b" if size else "wb"), log, b""
+                    file.truncate(size)
+                    file.seek(size)
+                file.write(last)
+                last = text.encode() + b"\n"
+        close()
+        yield pd.DataFrame({"done": [1]})
+
+    return append
+
+
+@query("tailed_lines", "SELECT concat_ws(',', event_id, user_id, event_type) AS value FROM events")
+def tailed_lines(spark, sf_dir):
+    """Logs that grow between the runs of a query, one renamed and begun anew in between; every line once."""
+    folder = run_folder(spark, "tailed")
+    logs = local_path(f"{folder}/logs")
+    os.makedirs(logs)
+    line = F.concat_ws(",", "event_id", "user_id", "event_type")
+    place = F.pmod(F.xxhash64("event_id"), F.lit(LOGS * ROUNDS))
+    lines = table(spark, sf_dir, "events").select(line.alias("line"), (place % LOGS).alias("log"), F.floor(place / LOGS).alias("round"))
+    sizes = {}
+    for i in range(ROUNDS):
+        # The line that the round before left open ends first.
+        for path, _ in sizes.values():
+            with open(path, "ab") as log:
+                log.write(b"\n")
+        sizes = {n: (path, os.path.getsize(path)) for n, (path, _) in sizes.items()}
+        written = lines.where(F.col("round") == i).repartition(LOGS, "log").sortWithinPartitions("log")
+        written.mapInPandas(_appended(logs, i, sizes), "done int").write.format("noop").mode("overwrite").save()
+        sizes = {n: (f"{logs}/log-{n}.txt", 0) for n in range(LOGS) if os.path.exists(f"{logs}/log-{n}.txt")}
+        tail_lines(spark, logs, f"{folder}/out", f"{folder}/checkpoint", "log-*", once=True).awaitTermination()
+        if i == 0:  # the log is renamed with its open line, and a new one takes its name
+            first = min(sizes)
+            path = sizes.pop(first)[0]
+            os.rename(path, f"{path}.1")
+            with open(f"{path}.1", "ab") as log:
+                log.write(b"\n")
+    return spark.read.text(f"{folder}/out")
+
+
 @query(
     "message_stream",
     f"""SELECT concat_ws('-', stateCode, countryCode, siteNum, parameterCode, poc) AS key, seq, sampleMeasurement

@@ -13,7 +13,7 @@ from millrace.session import build_session
 from millrace.sources.messages import deliver, subscribe
 from millrace.sources.sinks import write_lines
 from millrace.sources.tables import read_lines, read_lookup, read_quoted, rejected_lookup
-from millrace.streaming.ingest import ingest_lines
+from millrace.streaming.ingest import ingest_lines, tail_lines
 from millrace.streaming.scoring import score_message_stream
 
 
@@ -133,7 +133,10 @@ def score_readings(spark: SparkSession, args) -> None:
 
 
 def ingest(spark: SparkSession, args) -> None:
-    ingest_lines(spark, args.folder, args.target, args.checkpoint).awaitTermination()
+    if args.tail:
+        tail_lines(spark, args.folder, args.target, args.checkpoint, args.pattern, args.from_end).awaitTermination()
+    else:
+        ingest_lines(spark, args.folder, args.target, args.checkpoint).awaitTermination()
 
 
 def parser() -> argparse.ArgumentParser:
@@ -218,6 +221,9 @@ def parser() -> argparse.ArgumentParser:
     command = job("ingest-lines", ingest, output=False)
     for name in ("folder", "target", "checkpoint"):
         command.add_argument(f"--{name}", required=True)
+    command.add_argument("--tail", action="store_true", help="follow growing files instead of reading each new file once")
+    command.add_argument("--pattern", default="*", help="names of the files to follow")
+    command.add_argument("--from_end", action="store_true", help="follow only what is appended from now on")
     return top
 
 

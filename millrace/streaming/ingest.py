@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from millrace.sources.growing import growing_lines
+
 
 def line_stream(spark: SparkSession, folder: str, files_per_trigger: int = 1000) -> DataFrame:
     """New files of a folder as lines."""
@@ -15,3 +17,10 @@ def ingest_lines(spark: SparkSession, folder: str, target: str, checkpoint: str,
     trigger = {"availableNow": True} if once else {"processingTime": "2 seconds"}
     writer = line_stream(spark, folder).writeStream.format("text").outputMode("append")
     return writer.option("checkpointLocation", checkpoint).trigger(**trigger).start(target)
+
+
+def tail_lines(spark: SparkSession, folder: str, target: str, checkpoint: str, pattern: str = "*", from_end: bool = False, once: bool = False):
+    """Start the query that copies finished lines of growing files to `target`, each exactly once across renames and restarts."""
+    trigger = {"availableNow": True} if once else {"processingTime": "2 seconds"}
+    writer = growing_lines(spark, folder, pattern, from_end).select("value").writeStream.format("text").outputMode("append")
+    return writer.option("checkpointLocation", checkpoint).trigger(**trigger).start(target)
