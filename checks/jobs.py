@@ -310,6 +310,45 @@ def keyed_score(spark, sf_dir):
     return score_history(events).select(*SCORE_COLUMNS)
 
 
+#: Weight of the newest value, and the decimals to which smoothed scores are compared: sums of doubles depend on their order. With a
+#: third as the weight no mean ends in the digit five, where rounding would turn on the last bit.
+ALPHA, PLACES = 1 / 3, 4
+
+
+def rounded(name: str):
+    return (F.floor(F.col(name) * 10**PLACES + 0.5) / 10**PLACES).alias(name)
+
+
+def smoothed_score_sql(source: str) -> str:
+    """The definition row by row: a recursive table walks each device's rows, the rest are plain windows."""
+    cut = lambda name: f'floor("{name}" * {10**PLACES} + 0.5) / {10**PLACES} AS "{name}"'
+    return f"""
+    WITH RECURSIVE a AS (SELECT *, row_number() OVER (PARTITION BY device_id ORDER BY ts, seq) AS g FROM ({source})),
+    m AS (SELECT device_id, g, seq, value, value AS mean FROM a WHERE g = 1 UNION ALL
+          SELECT a.device_id, a.g, a.seq, a.value, {ALPHA}::DOUBLE * a.value + (1 - {ALPHA}::DOUBLE) * m.mean
+          FROM a JOIN m ON a.device_id = m.device_id AND a.g = m.g + 1),
+    p AS (SELECT *, CASE WHEN g = 1 THEN 0.0 ELSE lag(mean) OVER w END::DOUBLE AS prediction FROM m WINDOW w AS (PARTITION BY device_id ORDER BY g)),
+    b AS (SELECT *, CASE WHEN g >= 3 THEN lag(abs(prediction - value)) OVER w ELSE 0.0 END::DOUBLE AS error
+          FROM p WINDOW w AS (PARTITION BY device_id ORDER BY g)),
+    c AS (SELECT *, mean AS "predictionNext", sum(CAST(floor(error * 1000000 + 0.5) AS HUGEINT)) OVER (PARTITION BY device_id ORDER BY g
+              ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS earlier FROM b),
+    d AS (SELECT *, CASE WHEN g <= 3 THEN 0.0 WHEN earlier = 0 THEN CASE WHEN floor(error * 1000000 + 0.5) > 0 THEN 1.0 ELSE 0.0 END
+            ELSE least(1.0, error / (3.0::DOUBLE * (CAST(earlier AS DOUBLE) / 1000000.0::DOUBLE / (g - 3)))) END::DOUBLE AS anomaly FROM c)
+    SELECT device_id, seq, {", ".join(cut(name) for name in SCORE_COLUMNS[2:])} FROM d"""
+
+
+SMOOTHED_SCORE_SQL = smoothed_score_sql("SELECT user_id AS device_id, ts, event_id AS seq, value FROM events")
+
+
+@query("smoothed_score", SMOOTHED_SCORE_SQL)
+def smoothed_score(spark, sf_dir):
+    """Scores with an exponential mean as the forecast."""
+    events = table(spark, sf_dir, "events").select(
+        F.col("user_id").alias("device_id"), "ts", F.col("event_id").alias("seq"), "value"
+    )
+    return score_history(events, alpha=ALPHA).select("device_id", "seq", *(rounded(name) for name in SCORE_COLUMNS[2:]))
+
+
 MESSAGE_SCORE_SQL = score_sql(
     f"""SELECT concat_ws('-', stateCode, countryCode, siteNum, parameterCode, poc) AS device_id,
         strptime(concat(dateGMT, ' ', timeGMT), '%Y-%m-%d %H:%M') AS ts, seq, CAST(sampleMeasurement AS DOUBLE) AS value

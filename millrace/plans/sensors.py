@@ -65,6 +65,6 @@ def scored_messages(scored: DataFrame) -> DataFrame:
     return rows.select(F.col("device_id").alias("key"), record_json("late").alias("value"))
 
 
-def score_messages(messages: DataFrame, chunk: str = "hour") -> DataFrame:
+def score_messages(messages: DataFrame, chunk: str = "hour", alpha: float = 1.0) -> DataFrame:
     """The batch twin of the stream: all messages scored in time order per device."""
-    return scored_messages(score_history(readings_of(messages), chunk))
+    return scored_messages(score_history(readings_of(messages), chunk, alpha))

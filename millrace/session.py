@@ -58,14 +58,18 @@ def run_folder(spark: SparkSession, purpose: str) -> str:
     return f"{shared_folder(spark)}/{purpose}-{uuid.uuid4().hex}"
 
 
-def temporary_table(rows: DataFrame, name: str) -> DataFrame:
-    """`rows` computed once, written to the shared folder, and registered as a temporary view.
+def written(rows: DataFrame, purpose: str) -> DataFrame:
+    """`rows` computed once and written to the shared folder.
 
     A written table survives the loss of the executors that computed it, unlike a cache.
     """
-    spark = rows.sparkSession
-    folder = run_folder(spark, name)
+    folder = run_folder(rows.sparkSession, purpose)
     rows.write.parquet(folder)
-    table = spark.read.parquet(folder)
+    return rows.sparkSession.read.schema(rows.schema).parquet(folder)
+
+
+def temporary_table(rows: DataFrame, name: str) -> DataFrame:
+    """`rows` written once, and registered as a temporary view."""
+    table = written(rows, name)
     table.createOrReplaceTempView(name)
     return table

@@ -49,9 +49,9 @@ def score_frame(readings: pd.DataFrame, state: tuple | None, alpha: float = 1.0)
     with np.errstate(divide="ignore", invalid="ignore"):
         mean = earlier_sum / MILLIONTHS / earlier_count
         ratio = np.minimum(1.0, error / (ERROR_FACTOR * mean))
-    anomaly = np.where(
-        earlier_count < 1, 0.0, np.where(earlier_sum == 0, np.where(error > 0, 1.0, 0.0), ratio)
-    )
+    # A mean of equal values may differ from them in its last bit, which is no error.
+    wrong = error > 0 if alpha == 1.0 else whole > 0
+    anomaly = np.where(earlier_count < 1, 0.0, np.where(earlier_sum == 0, np.where(wrong, 1.0, 0.0), ratio))
 
     times = readings["ts"].to_numpy()
     newest = times.max() if latest is None else max(times.max(), np.datetime64(latest))

@@ -3,11 +3,13 @@ import json
 import random
 from decimal import Decimal
 
+import numpy as np
 import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
 from millrace.functions.records import to_messages
+from millrace.operators import smoothing
 from millrace.operators.scoring import score_history
 from millrace.plans import sensors
 from millrace.schemas import READING_FIELDS, READING_MESSAGE, SCORE_FIELDS
@@ -83,6 +85,40 @@ def test_short_histories(spark):
     for count in range(1, 6):
         rows = [("d", START + dt.timedelta(hours=at), at, float(at * at)) for at in range(count)]
         check(score_history(spark.createDataFrame(rows, SCHEMA)), expected_scores(rows))
+        check(score_history(spark.createDataFrame(rows, SCHEMA), alpha=0.5), expected_scores(rows, 0.5))
+
+
+@pytest.mark.parametrize(("chunk", "alpha"), [("minute", 0.3), ("hour", 0.01), ("day", 0.999999), ("year", 0.3), ("year", 0.9)])
+def test_an_exponential_mean_does_not_depend_on_the_chunks(spark, chunk, alpha):
+    rows = history()
+    shuffled = random.Random(2).sample(rows, len(rows))
+    found = score_history(spark.createDataFrame(shuffled, SCHEMA).repartition(3), chunk, alpha).collect()
+    expected = expected_scores(rows, alpha)
+    assert len(found) == len(expected)
+    for row in found:
+        assert [row[name] for name in SCORES] == pytest.approx(expected[row.seq], abs=1e-6)
+
+
+def test_maps_are_composed_over_batches_of_any_size():
+    generator = np.random.default_rng(3)
+    rows = pd.DataFrame({"k": np.repeat([1, 2, 5], [40, 1, 60]), "c": 7, "_a": generator.uniform(0, 1, 101), "_b": generator.normal(size=101)})
+    expected, key = [], None
+    for k, a, b in zip(rows["k"], rows["_a"], rows["_b"]):
+        if k != key:
+            key, x, y = k, 1.0, 0.0
+        expected.append((x, y))
+        x, y = a * x, a * y + b
+    for size in (1, 2, 7, 39, 101):
+        frames = [rows.iloc[i : i + size] for i in range(0, 101, size)]
+        found = pd.concat(smoothing._scan(["k", "c"], ["k"])(iter([rows.iloc[:0], *frames])))
+        assert np.allclose(found[["_a", "_b"]].to_numpy(), expected, rtol=1e-12, atol=1e-15)
+
+
+def test_rows_move_once_to_their_chunk(spark, plan):
+    text = plan(score_history(spark.createDataFrame(history(), SCHEMA), alpha=0.3))
+    assert "SinglePartition" not in text and "Python" not in text.replace("MapInPandas", "")
+    with pytest.raises(ValueError):
+        score_history(spark.createDataFrame(history(), SCHEMA), alpha=1.5)
 
 
 def test_rows_that_cannot_be_scored_are_left_out(spark):
