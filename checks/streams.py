@@ -8,18 +8,19 @@ import pandas as pd
 from pyspark.sql import functions as F
 
 from checks import inputs
-from checks.jobs import KEYED_SCORE_SQL, MESSAGE_SCORE_SQL, SCORE_COLUMNS
+from checks.jobs import ALPHA, KEYED_SCORE_SQL, MESSAGE_SCORE_SQL, SCORE_COLUMNS, SMOOTHED_SCORE_SQL, rounded
 from checks.registry import query, table
 from millrace.functions.dates import gmt_time
 from millrace.functions.records import from_json_text
 from millrace.functions.numbers import number
+from millrace.operators.scoring import score_history
 from millrace.plans.sensors import rejected_messages
 from millrace.session import run_folder
 from millrace.sources.growing import local_path
 from millrace.sources.messages import MESSAGE_SCHEMA, deliver, file_stream, publish, subscribe
 from millrace.sources.sinks import write_lines
 from millrace.streaming.ingest import ingest_lines, tail_lines
-from millrace.streaming.scoring import score_message_stream, score_stream
+from millrace.streaming.scoring import score_message_stream, score_stream, state_after, stored_state
 
 
 @query("line_ingest", "SELECT concat_ws(',', event_id, user_id, event_type) AS value FROM events")
@@ -121,6 +122,64 @@ def keyed_score_stream(spark, sf_dir):
     return spark.read.parquet(f"{folder}/out").select(*SCORE_COLUMNS)
 
 
+def _events(spark, sf_dir, condition="true"):
+    events = table(spark, sf_dir, "events").where(condition)
+    return events.select(F.col("user_id").alias("device_id"), "ts", F.col("event_id").alias("seq"), "value")
+
+
+def _event_stream(spark, folder, schema):
+    stream = file_stream(spark, folder, schema, "parquet")
+    return stream.select(F.col("user_id").alias("device_id"), "ts", F.col("event_id").alias("seq"), "value")
+
+
+@query("smoothed_score_stream", SMOOTHED_SCORE_SQL)
+def smoothed_score_stream(spark, sf_dir):
+    """The stream with an exponential mean gives what the batch query gives."""
+    folder = run_folder(spark, "smoothed")
+    events = _event_stream(spark, f"{sf_dir}/events.parquet*", table(spark, sf_dir, "events").schema)
+    deliver(score_stream(events, ALPHA), f"{folder}/out", f"{folder}/checkpoint", "parquet", once=True).awaitTermination()
+    return spark.read.parquet(f"{folder}/out").select("device_id", "seq", *(rounded(name) for name in SCORE_COLUMNS[2:]))
+
+
+#: What the state of a device must be after all its events.
+STATE_SQL = f"""
+    WITH s AS ({KEYED_SCORE_SQL}), e AS (SELECT event_id AS seq, ts, value FROM events)
+    SELECT device_id, count(*) AS records, arg_max(value, (ts, seq)) AS value, arg_max(prediction, (ts, seq)) AS prediction,
+        arg_max("predictionNext", (ts, seq)) AS "predictionNext",
+        CAST(sum(CAST(floor(error * 1000000 + 0.5) AS HUGEINT)) AS VARCHAR) AS errors, strftime(max(ts), '%Y-%m-%d %H:%M:%S') AS latest
+    FROM s JOIN e USING (seq) GROUP BY device_id"""
+
+
+@query("state_of_devices", STATE_SQL)
+def state_of_devices(spark, sf_dir):
+    """The state that a stream keeps for each device, read from its checkpoint."""
+    folder = run_folder(spark, "state")
+    events = _event_stream(spark, f"{sf_dir}/events.parquet*", table(spark, sf_dir, "events").schema)
+    deliver(score_stream(events), f"{folder}/out", f"{folder}/checkpoint", "parquet", once=True).awaitTermination()
+    state = stored_state(spark, f"{folder}/checkpoint")
+    latest = F.date_format("latest", "yyyy-MM-dd HH:mm:ss").alias("latest")
+    return state.select("device_id", "records", "value", "prediction", "predictionNext", F.col("errors").cast("string").alias("errors"), latest)
+
+
+#: Where a history ends and the stream goes on; the events are of January 2024.
+HALF = "2024-01-15 00:00:00"
+
+
+@query(
+    "resumed_scores",
+    f"""SELECT s.* FROM ({KEYED_SCORE_SQL}) s JOIN events ON seq = event_id WHERE ts >= TIMESTAMP '{HALF}'""",
+)
+def resumed_scores(spark, sf_dir):
+    """A history scored as a batch, and what came later as a stream that goes on from the state of that batch."""
+    folder = run_folder(spark, "resumed")
+    state = state_after(score_history(_events(spark, sf_dir, f"ts < timestamp_ntz '{HALF}'")))
+    later = table(spark, sf_dir, "events").where(f"ts >= timestamp_ntz '{HALF}'")
+    later.write.parquet(f"{folder}/in")
+    stream = score_stream(_event_stream(spark, f"{folder}/in", later.schema), state=state)
+    deliver(stream, f"{folder}/out", f"{folder}/checkpoint", "parquet", once=True).awaitTermination()
+    return spark.read.parquet(f"{folder}/out").select(*SCORE_COLUMNS)
+
+
 ENRICHED_SQL = f"""SELECT device_id AS key, prediction, error, anomaly, "predictionNext", "predictionNext" AS value
     FROM ({MESSAGE_SCORE_SQL})"""
 

@@ -2,15 +2,22 @@
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Iterator
 from decimal import Decimal
+from itertools import chain, groupby
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
-from millrace.operators.scoring import ERROR_FACTOR, LARGEST_STEP, MILLIONTHS
+from millrace.operators.scoring import ERROR_FACTOR, LARGEST_STEP, MILLIONTHS, millionths
 from millrace.plans.sensors import is_reading, readings_of, scored_messages
+from millrace.session import SETTINGS
+
+STORE = "spark.sql.streaming.stateStore.providerClass"
 
 STATE = (
     "records bigint, value double, prediction double, predictionNext double, "
@@ -71,36 +78,96 @@ def score_frame(readings: pd.DataFrame, state: tuple | None, alpha: float = 1.0)
     return scored, after
 
 
-def in_order(frames: list[pd.DataFrame]) -> pd.DataFrame:
-    """One device's readings of a micro-batch, by time and then by position in the feed."""
-    batch = frames[0] if len(frames) == 1 else pd.concat(frames, ignore_index=True)
+def in_order(batch: pd.DataFrame) -> pd.DataFrame:
+    """One device's readings by time and then by position in the feed."""
     order = np.lexsort((batch["seq"].to_numpy(), batch["ts"].to_numpy()))
     return batch if (order[1:] > order[:-1]).all() else batch.iloc[order]
 
 
-def score_stream(readings: DataFrame, alpha: float = 1.0) -> DataFrame:
+class Scorer(StatefulProcessor):
+    """One value per device for ever; the rows of a trigger pass through in batches.
+
+    A device that sends one batch is scored at once. The batches of a busier one are put aside by hour in the state store, and
+    scored hour by hour, so that a task holds an hour of a device and no whole trigger.
+    """
+
+    def __init__(self, alpha: float):
+        self.alpha = alpha
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.score = handle.getValueState("score", STATE)
+        self.aside = handle.getMapState("aside", "hour bigint, part int", "rows binary")
+
+    def _scored(self, rows: pd.DataFrame, state: tuple | None) -> tuple[pd.DataFrame, tuple]:
+        return score_frame(in_order(rows), state, self.alpha)
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        state = self.score.get() if self.score.exists() else None
+        first, second = next(rows), next(rows, None)
+        if second is None:
+            scored, state = self._scored(first, state)
+            yield scored
+        else:
+            hours = set()
+            for part, frame in enumerate(chain((first, second), rows)):
+                for hour, some in frame.groupby(frame["ts"].astype("datetime64[s]").astype("int64") // 3600):
+                    self.aside.updateValue((int(hour), part), (pickle.dumps(some),))
+                    hours.add((int(hour), part))
+            for _, parts in groupby(sorted(hours), key=lambda place: place[0]):
+                places = list(parts)
+                frame = pd.concat([pickle.loads(self.aside.getValue(place)[0]) for place in places], ignore_index=True)
+                scored, state = self._scored(frame, state)
+                for place in places:
+                    self.aside.removeKey(place)
+                yield scored
+        self.score.update(state)
+
+    def handleInitialState(self, key, initialState: pd.DataFrame, timerValues) -> None:
+        names = [field.split()[0] for field in STATE.split(", ")]
+        records, value, prediction, forecast, errors, latest = (initialState[name].iloc[0] for name in names)
+        moment = pd.Timestamp(latest).to_pydatetime()
+        self.score.update((int(records), float(value), float(prediction), float(forecast), Decimal(int(errors)), moment))
+
+    def close(self) -> None:
+        pass
+
+
+def score_stream(readings: DataFrame, alpha: float = 1.0, state: DataFrame | None = None) -> DataFrame:
     """A stream with `device_id`, `ts`, `seq` and `value`, plus the scores; other columns come along.
 
     A micro-batch is put in order of (ts, seq) per device; what the source reads per trigger
     bounds it. A reading older than one already scored is scored as it comes and marked `late`.
-    The state of a device is six numbers, and is kept for ever.
+    The state of a device is six numbers, and is kept for ever. `state` (device_id and those numbers, as `state_after` gives them)
+    is where devices go on from at the first start. States need the RocksDB store, which the session is set to.
     """
-    columns = readings.columns
+    readings.sparkSession.conf.set(STORE, SETTINGS[STORE])
     output = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in readings.schema.fields) + ", " + SCORES
+    return readings.where(is_reading()).groupBy("device_id").transformWithStateInPandas(
+        Scorer(alpha), output, "append", "none", state.groupBy("device_id") if state is not None else None
+    )
+
+
+def state_after(scored: DataFrame) -> DataFrame:
+    """device_id and the state that a stream has after the scored rows (`score_history`'s), to go on from there."""
+    last = F.struct("ts", "seq")
+    return scored.groupBy("device_id").agg(
+        F.count("*").alias("records"),
+        *(F.max_by(name, last).alias(name) for name in ("value", "prediction", "predictionNext")),
+        F.sum(millionths(F.col("error"))).cast("decimal(38,0)").alias("errors"),
+        F.max("ts").cast("timestamp").alias("latest"),
+    )
 
-    def score(key, frames: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
-        scored, after = score_frame(in_order(list(frames)), state.get if state.exists else None, alpha)
-        state.update(after)
-        yield scored
 
-    keyed = readings.where(is_reading()).groupBy("device_id")
-    return keyed.applyInPandasWithState(score, output, STATE, "append", "NoTimeout")
+def stored_state(spark: SparkSession, checkpoint: str) -> DataFrame:
+    """device_id and state of every device, as the last finished trigger of a query left them in its checkpoint."""
+    rows = spark.read.format("statestore").option("stateVarName", "score").load(checkpoint)
+    return rows.select("key.device_id", "value.*")
 
 
-def score_message_stream(messages: DataFrame, alpha: float = 1.0) -> DataFrame:
+def score_message_stream(messages: DataFrame, alpha: float = 1.0, state: DataFrame | None = None) -> DataFrame:
     """Messages in, enriched messages out, under the same keys; `late` marks those older than one scored before.
 
     Rows of a device must arrive in time order from trigger to trigger for the scores to be those of the batch. What cannot be
     scored is in `rejected_messages`, a stream of its own.
     """
-    return scored_messages(score_stream(readings_of(messages), alpha))
+    return scored_messages(score_stream(readings_of(messages), alpha, state))

@@ -15,7 +15,7 @@ from millrace.plans import sensors
 from millrace.schemas import READING_FIELDS, READING_MESSAGE, SCORE_FIELDS
 from millrace.sources.messages import deliver, publish, subscribe
 from millrace.streaming.ingest import ingest_lines
-from millrace.streaming.scoring import score_frame, score_message_stream, score_stream
+from millrace.streaming.scoring import Scorer, score_frame, score_message_stream, score_stream, state_after, stored_state
 
 START = dt.datetime(2024, 1, 1)
 SCHEMA = "device_id string, ts timestamp, seq bigint, value double"
@@ -295,3 +295,86 @@ def test_rejects_and_late_marks_reach_their_sinks(spark, tmp_path):
     assert {m["timeGMT"]: m["late"] for m in sent} == {"00:00": False, "05:00": False, "03:00": True}
     rejects = spark.read.schema("key string, value string, seq long").json(str(tmp_path / "rejects")).collect()
     assert [(r.seq, json.loads(r.value)["sampleMeasurement"]) for r in rejects] == [(3, "x")]
+
+
+def test_a_busy_device_is_scored_hour_by_hour(spark, tmp_path):
+    """Batches of seven rows: more than one for each device, in no order; nothing stays put aside."""
+    rows = history(hot=150)
+    shuffled = random.Random(4).sample(rows, len(rows))
+    sizes = {name: spark.conf.get(name) for name in ("spark.sql.execution.arrow.maxRecordsPerBatch",)}
+    try:
+        for name in sizes:
+            spark.conf.set(name, "7")
+        check(run_in_batches(spark, tmp_path, [shuffled]), expected_scores(rows))
+    finally:
+        for name, value in sizes.items():
+            spark.conf.set(name, value)
+    left = spark.read.format("statestore").option("stateVarName", "aside").load(str(tmp_path / "checkpoint"))
+    assert left.count() == 0
+
+
+class Handle:
+    """State in plain dictionaries."""
+
+    def __init__(self):
+        self.value, self.map, self.most = None, {}, 0
+
+    def getValueState(self, name, schema):
+        return self
+
+    def getMapState(self, name, key, value):
+        return self
+
+    def exists(self):
+        return self.value is not None
+
+    def get(self):
+        return self.value
+
+    def update(self, value):
+        self.value = value
+
+    def updateValue(self, key, value):
+        self.map[key] = value
+        self.most = max(self.most, len(self.map))
+
+    def getValue(self, key):
+        return self.map[key]
+
+    def removeKey(self, key):
+        del self.map[key]
+
+
+@pytest.mark.parametrize("size", [1, 10, 1000])
+def test_batches_of_any_size_score_alike(size):
+    rows = [row for row in history() if row[0] == "d0"]
+    mixed = pd.DataFrame(random.Random(1).sample(rows, len(rows)), columns=["device_id", "ts", "seq", "value"])
+    scorer, handle = Scorer(1.0), Handle()
+    scorer.init(handle)
+    parts = list(scorer.handleInputRows(("d0",), (mixed.iloc[i : i + size] for i in range(0, len(mixed), size)), None))
+    scored = pd.concat(parts)
+    wanted = brute_force([row[3] for row in sorted(rows, key=lambda row: (row[1], row[2]))])
+    assert np.allclose(scored[SCORES].to_numpy(), wanted, atol=1e-9) and not scored["late"].any()
+    assert handle.map == {} and (handle.most > 0) == (size < 1000) and handle.value[0] == len(rows)
+    hours = [part["ts"].dt.floor("h").nunique() for part in parts]
+    assert size == 1000 or max(hours) == 1
+
+
+def test_a_stream_goes_on_from_a_scored_history(spark, tmp_path):
+    rows = sorted(history(hot=120), key=lambda row: row[1])
+    early, later = rows[:130], rows[130:]
+    state = state_after(score_history(spark.createDataFrame(early, SCHEMA)))
+    late_row = ("d0", START - dt.timedelta(days=1), 9999, 1.0)
+    spark.createDataFrame(later, SCHEMA).write.parquet(str(tmp_path / "in"))
+    stream = spark.readStream.schema(SCHEMA).parquet(str(tmp_path / "in"))
+    out, checkpoint = str(tmp_path / "out"), str(tmp_path / "checkpoint")
+    deliver(score_stream(stream, state=state), out, checkpoint, "parquet", once=True).awaitTermination()
+    wanted = expected_scores(rows)
+    check(spark.read.parquet(out), {row[2]: wanted[row[2]] for row in later})
+    stored = {r.device_id: r for r in stored_state(spark, checkpoint).collect()}
+    assert {d: r.records for d, r in stored.items()} == {d: sum(row[0] == d for row in rows) for d in stored}
+    assert set(stored) == {row[0] for row in rows}
+    # The state of the history marks what is older than it.
+    spark.createDataFrame([late_row], SCHEMA).write.mode("append").parquet(str(tmp_path / "in"))
+    deliver(score_stream(stream, state=state), out, checkpoint, "parquet", once=True).awaitTermination()
+    assert [r.seq for r in spark.read.parquet(out).where("late").collect()] == [9999]
