@@ -12,6 +12,7 @@ from millrace.plans import access_log, weather
 from millrace.schemas import AD_LOGS, EXCHANGE_RATES, RAW_BIDS
 from millrace.session import run_folder, temporary_table
 from millrace.sources.sinks import append_csv, delimited, write_lines
+from millrace.sources.staged import export_staged, read_staged
 from millrace.sources.tables import load_overwrite, read_lines, read_quoted, read_table
 
 
@@ -169,6 +170,31 @@ def weather_rows(spark, sf_dir):
     return rows.select("stationid", F.col("date").cast("string").alias("date"), "tmin", "tmax", "prcp")
 
 
+@query(
+    "staged_export",
+    f"SELECT stationid, strftime(date, '%Y-%m-%d') AS date, tmin, tmax, prcp FROM ({WEATHER_SQL})",
+)
+def staged_export(spark, sf_dir):
+    """The rows of another export, replaced by one part of the table, to which the rest is appended; read back by its manifest."""
+    target = f"{run_folder(spark, 'staged')}/weather"
+    rows = _weather(spark, sf_dir)
+    export_staged(rows.where("tmax is null"), target)
+    export_staged(rows.where("prcp > 3"), target)
+    export_staged(rows.where("prcp <= 3"), target, overwrite=False)
+    return read_staged(spark, target).select("stationid", F.col("date").cast("string").alias("date"), "tmin", "tmax", "prcp")
+
+
+@query(
+    "staged_row_count",
+    "SELECT count(*) AS rows FROM lineitem",
+)
+def staged_row_count(spark, sf_dir):
+    """The check of an export: how many rows the table has."""
+    target = f"{run_folder(spark, 'staged')}/weather"
+    export_staged(_weather(spark, sf_dir), target)
+    return weather.row_count(read_staged(spark, target))
+
+
 @query(
     "weather_first_days",
     f"""SELECT stationid, strftime(date, '%Y-%m-%d') AS date FROM ({WEATHER_SQL})

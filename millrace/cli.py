@@ -12,6 +12,7 @@ from millrace.schemas import AD_LOGS
 from millrace.session import build_session
 from millrace.sources.messages import deliver, subscribe
 from millrace.sources.sinks import write_lines
+from millrace.sources.staged import read_staged
 from millrace.sources.tables import read_lines, read_lookup, read_quoted, rejected_lookup
 from millrace.streaming.ingest import ingest_lines, tail_lines
 from millrace.streaming.scoring import score_message_stream
@@ -110,6 +111,11 @@ def export_weather(spark: SparkSession, args) -> None:
     print(weather.export_weather(spark, args.path, args.url, _database(args)), "rows exported")
 
 
+def stage_weather(spark: SparkSession, args) -> None:
+    print(weather.stage_weather(spark, args.path, args.target), "rows exported")
+    emit(weather.first_days(read_staged(spark, args.target)), None)
+
+
 def check_weather(spark: SparkSession, args) -> None:
     for result in weather.check_export(spark, args.url, _database(args)):
         emit(result, None)
@@ -195,6 +201,10 @@ def parser() -> argparse.ArgumentParser:
     command.add_argument("--as_lines", action="store_true")
     command.add_argument("--files", type=int, help="files per result; without it as many as Spark has partitions")
 
+    command = job("stage-weather", stage_weather, output=False)
+    command.add_argument("path")
+    command.add_argument("target", help="folder of the exported table")
+
     command = job("export-weather", export_weather, output=False)
     command.add_argument("path")
     command.add_argument("--prepare", action="store_true", help="drop and create both tables first")

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from millrace.operators.ranking import top_rows
 from millrace.schemas import WEATHER
 from millrace.sources.database import answer, export_table, open_connection, run_in_transaction
+from millrace.sources.staged import export_staged
 from millrace.sources.tables import read_quoted
 
 # The table, its staging twin, and the two checks.
@@ -48,3 +49,8 @@ def row_count(weather: DataFrame) -> DataFrame:
 
 def export_weather(spark: SparkSession, path: str, url: str, properties: Mapping[str, str]) -> int:
     return export_table(read_weather(spark, path), url, "weather", "weather_stage", properties)
+
+
+def stage_weather(spark: SparkSession, path: str, target: str) -> int:
+    """The same export to a folder, for users without a database; check it with `row_count` and `first_days` of `read_staged`."""
+    return export_staged(read_weather(spark, path), target)

@@ -6,6 +6,8 @@ from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
+from millrace.session import written
+
 
 def answer(spark: SparkSession, url: str, query: str, properties: Mapping[str, str]) -> DataFrame:
     """The result of a query that the database runs; only its rows come to Spark."""
@@ -73,8 +75,9 @@ def export_table(
     target is touched only by the final transaction.
     """
     spark = rows.sparkSession
+    # Computed once, as wide as it is; only the reading of the finished rows is as narrow as the database's connections.
+    rows = written(rows, "export")
     expected = rows.count()
-    # The database bounds the parallelism here, so the scan may run in as few tasks.
     writer = rows.coalesce(connections).write.option("truncate", "true").option("batchsize", batch_size)
     for _ in range(attempts):
         writer.mode("overwrite").jdbc(url, staging, properties=dict(properties))

@@ -119,6 +119,7 @@ class Staging:
     def __init__(self, monkeypatch, rows, counts):
         self.sparkSession, self.columns, self.rows, self.written = None, ["a"], rows, 0
         self.statements, left = [], iter(counts)
+        monkeypatch.setattr(database, "written", lambda rows, purpose: rows)
         monkeypatch.setattr(database, "staged_count", lambda *_: next(left))
         monkeypatch.setattr(database, "open_connection", lambda *_: None)
         monkeypatch.setattr(database, "run_in_transaction", lambda _, statements: self.statements.extend(statements))
