@@ -46,7 +46,7 @@ FAMILIES = {
 }
 
 
-def _agent() -> Column:
+def agent() -> Column:
     return F.element_at(F.array(*[F.lit(agent) for agent in AGENTS]), (F.col("user_id") % len(AGENTS) + 1).cast("int"))
 
 
@@ -71,7 +71,7 @@ def access_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     line = F.concat(
         F.lit("ip"), _text("user_id"), F.lit(" - - ["), F.date_format("ts", "dd/MM/yyyy:HH:mm:ss"),
         F.lit(' +0000] "GET /'), F.col("event_type"), F.lit("/"), _text("event_id"), F.lit(' HTTP/1.1" 200 '),
-        size, F.lit(' "http://host'), (F.col("user_id") % 10).cast("string"), F.lit('/" "'), _agent(), F.lit('"'),
+        size, F.lit(' "http://host'), (F.col("user_id") % 10).cast("string"), F.lit('/" "'), agent(), F.lit('"'),
     )
     return table(spark, sf_dir, "events").select(line.alias("value"))
 
@@ -90,7 +90,7 @@ def _ad_fields() -> list[Column]:
         "bid_id": F.concat(F.lit("b"), _text("event_id")),
         "timestamp_": F.date_format("ts", "yyyyMMddHHmmss"),
         "ipinyouid": F.concat(F.lit("U"), _text("user_id")),
-        "user_agent": _agent(),
+        "user_agent": agent(),
         "region_id": (F.col("user_id") % 7).cast("string"),
         "city_id": (F.col("user_id") % 40).cast("string"),
         "bidding_price": price,

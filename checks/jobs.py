@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from checks import inputs
 from checks.registry import ORACLES, query, table
+from millrace.operators import rules
 from millrace.operators.scoring import score_history
 from millrace.plans import access_log, bids_by_city, city_profile, flights, motels, sensors, words
 
@@ -310,6 +311,40 @@ def keyed_score(spark, sf_dir):
     return score_history(events).select(*SCORE_COLUMNS)
 
 
+# Rules as customers bring them: a build number, a kind of event, and for some a word that most agents have.
+_RULES_SQL = """
+    SELECT c_custkey AS position, concat('family ', c_custkey % 41) AS family,
+        CASE WHEN c_custkey % 3 = 0 THEN [concat('build/', c_custkey % 997, ';'), 'Mozilla']
+            WHEN c_custkey % 3 = 1 THEN [concat('build/', c_custkey % 997, ';'), list_extract(['view', 'click', 'error'], c_custkey % 3 + 1)]
+            ELSE [concat(c_custkey % 89, ';'), 'Chrome', 'a'] END AS parts
+    FROM customer"""
+_AGENTS_SQL = f"SELECT DISTINCT concat({inputs.AGENT_SQL}, ' build/', event_id % 997, '; ', event_type) AS agent FROM events"
+
+
+@query(
+    "families_by_rules",
+    f"""WITH a AS ({_AGENTS_SQL}), r AS ({_RULES_SQL}),
+        m AS (SELECT agent, arg_min(family, position) AS family FROM a JOIN r
+              ON len(list_filter(parts, lambda p: contains(agent, p))) = len(parts) GROUP BY agent)
+        SELECT agent, coalesce(family, 'Other') AS family FROM a LEFT JOIN m USING (agent)""",
+)
+def families_by_rules(spark, sf_dir):
+    """As many rules as there are customers, in a table."""
+    key, text = F.col("c_custkey"), lambda name: F.col(name).cast("string")
+    build = F.concat(F.lit("build/"), (key % 997).cast("string"), F.lit(";"))
+    kind = F.element_at(F.array(F.lit("view"), F.lit("click"), F.lit("error")), (key % 3 + 1).cast("int"))
+    parts = (
+        F.when(key % 3 == 0, F.array(build, F.lit("Mozilla")))
+        .when(key % 3 == 1, F.array(build, kind))
+        .otherwise(F.array(F.concat((key % 89).cast("string"), F.lit(";")), F.lit("Chrome"), F.lit("a")))
+    )
+    brought = table(spark, sf_dir, "customer").select(
+        key.alias("position"), F.concat(F.lit("family "), (key % 41).cast("string")).alias("family"), parts.alias("parts")
+    )
+    agent = F.concat(inputs.agent(), F.lit(" build/"), (F.col("event_id") % 997).cast("string"), F.lit("; "), text("event_type"))
+    return rules.families_by_rules(table(spark, sf_dir, "events").select(agent.alias("agent")), brought, "agent")
+
+
 #: Weight of the newest value, and the decimals to which smoothed scores are compared: sums of doubles depend on their order. With a
 #: third as the weight no mean ends in the digit five, where rounding would turn on the last bit.
 ALPHA, PLACES = 1 / 3, 4

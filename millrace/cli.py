@@ -7,6 +7,7 @@ import argparse
 from pyspark.sql import DataFrame, SparkSession
 
 from millrace.operators.layout import with_parallelism
+from millrace.operators.rules import read_rules
 from millrace.plans import access_log, bids_by_city, city_profile, flights, motels, sensors, weather, words
 from millrace.schemas import AD_LOGS
 from millrace.session import build_session
@@ -93,6 +94,10 @@ def profile(spark: SparkSession, args) -> None:
     emit(city_profile.city_profile(read_quoted(spark, args.logs, AD_LOGS, sep="\t")), args.output)
 
 
+def agent_families(spark: SparkSession, args) -> None:
+    emit(city_profile.requests_by_family(read_lines(spark, args.paths), read_rules(spark, args.rules)), args.output)
+
+
 def motel_prices(spark: SparkSession, args) -> None:
     motels.run(
         spark, args.bids_path, args.exchange_rate_path, args.motels_path, args.result_path, args.ties, args.as_lines,
@@ -194,6 +199,10 @@ def parser() -> argparse.ArgumentParser:
     command = job("city-profile", profile)
     command.add_argument("logs")
 
+    command = job("agent-families", agent_families)
+    command.add_argument("paths", nargs="+")
+    command.add_argument("--rules", required=True, help="lines of position, family and parts, parted by tabs")
+
     command = job("motels", motel_prices, output=False)
     for name in ("bids_path", "exchange_rate_path", "motels_path", "result_path"):
         command.add_argument(f"--{name}", required=True)

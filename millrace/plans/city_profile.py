@@ -9,6 +9,7 @@ from millrace.functions.agents import browser, device, operating_system
 from millrace.operators.joining import count_by
 from millrace.operators.ranking import most_counted
 from millrace.operators.reshaping import unpivot
+from millrace.operators.rules import families_by_rules
 
 KINDS = ["os", "browser", "device"]
 
@@ -23,6 +24,14 @@ def agent_families(rows: DataFrame) -> DataFrame:
     )
 
 
+def requests_by_family(lines: DataFrame, rules: DataFrame) -> DataFrame:
+    """`family`, `requests` of lines that are user agents, by the rules of a table. Equal agents are counted before they are named."""
+    counted = lines.groupBy(F.col("value").alias("agent")).agg(F.count("*").alias("requests"))
+    named = families_by_rules(counted, rules, "agent").where("agent is not null")
+    known = counted.where("agent is not null").join(named, "agent")
+    return known.groupBy("family").agg(F.sum("requests").alias("requests"))
+
+
 def parse_agent_lines(lines: DataFrame) -> DataFrame:
     """`city_id` TAB `user_agent` lines; a line without exactly two fields is not valid."""
     fields = F.split("value", "\t")
