@@ -7,13 +7,15 @@ from pyspark.sql import functions as F
 from checks import inputs
 from checks.jobs import LOG_STATS_SQL, log_stats, motel_errors
 from checks.registry import query, table
+from millrace.functions.agents import operating_system
 from millrace.functions.records import from_json_text
+from millrace.operators.layout import in_file_order, write_routed
 from millrace.plans import access_log, weather
 from millrace.schemas import AD_LOGS, EXCHANGE_RATES, RAW_BIDS
 from millrace.session import run_folder, temporary_table
 from millrace.sources.sinks import append_csv, delimited, write_lines
 from millrace.sources.staged import export_staged, read_staged
-from millrace.sources.tables import load_overwrite, read_lines, read_quoted, read_table
+from millrace.sources.tables import load_overwrite, overwrite_partitions, read_lines, read_quoted, read_table, save_bucketed
 
 
 @query("line_scan", "SELECT concat_ws(',', event_id, user_id, event_type, props) AS value FROM events")
@@ -226,3 +228,74 @@ def decoded_messages(spark, sf_dir):
     record = inputs.reading_messages(spark, sf_dir).select("seq", from_json_text("value").alias("record"))
     fields = ["countryCode", "parameterName", "dateGMT", "timeGMT", "sampleMeasurement", "prediction"]
     return record.select("seq", *[F.col(f"record.{name}").alias(name) for name in fields])
+
+
+@query(
+    "routed_files",
+    f"""SELECT {inputs.family_sql(inputs.AGENT_SQL, 'os')} AS os, user_id % 40 AS city_id, event_id AS bid,
+        row_number() OVER (PARTITION BY {inputs.family_sql(inputs.AGENT_SQL, 'os')} ORDER BY user_id % 40, event_id) - 1 AS place FROM events""",
+)
+def routed_files(spark, sf_dir):
+    """A folder for each system, its files one sorted sequence; read back in the order of file names."""
+    path = f"{run_folder(spark, 'routed')}/by_os"
+    events = table(spark, sf_dir, "events")
+    rows = events.select(
+        operating_system(inputs.agent()).alias("os"), (F.col("user_id") % 40).alias("city_id"), F.col("event_id").alias("bid")
+    )
+    write_routed(rows, path, "os", ["city_id", "bid"])
+    return in_file_order(spark, path, "os", "place")
+
+
+COUNTS_SQL = f"""SELECT count(*) AS lines, count(*) FILTER (NOT valid) AS bad_lines FROM ({inputs.ACCESS_SQL})"""
+
+
+@query(
+    "observed_counts",
+    f"""SELECT *, (SELECT CAST(sum(bytes) AS BIGINT) FROM ({inputs.ACCESS_SQL}) WHERE valid) AS bytes,
+        lines - bad_lines AS written FROM ({COUNTS_SQL})""",
+)
+def observed_counts(spark, sf_dir):
+    """Counters of the pass that writes the requests, and how many it wrote."""
+    path = run_folder(spark, "requests")
+    counts = access_log.write_requests(inputs.access_lines(spark, sf_dir), path)
+    return spark.read.parquet(path).agg(
+        *(F.lit(counts[name]).cast("bigint").alias(name) for name in ("lines", "bad_lines", "bytes")), F.count("*").alias("written")
+    )
+
+
+@query(
+    "colocated_join",
+    """SELECT o_custkey, count(*) AS lines, CAST(sum(CAST(l_quantity AS BIGINT)) AS BIGINT) AS quantity
+       FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY o_custkey""",
+)
+def colocated_join(spark, sf_dir):
+    """Two tables laid out by their join key; only the counts by another key are moved."""
+    return bucketed_totals(spark, sf_dir).groupBy("o_custkey").agg(F.sum("lines").alias("lines"), F.sum("quantity").alias("quantity"))
+
+
+BUCKETS = 16
+
+
+def bucketed_totals(spark, sf_dir):
+    """Lines and their quantity for each order, from two bucketed catalog tables."""
+    folder = run_folder(spark, "bucketed")
+    name = folder.rsplit("-", 1)[1]
+    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", F.col("l_quantity").cast("bigint").alias("quantity"))
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+    lines = save_bucketed(lines, f"lines_{name}", f"{folder}/lines", ["l_orderkey"], BUCKETS)
+    orders = save_bucketed(orders, f"orders_{name}", f"{folder}/orders", ["o_orderkey"], BUCKETS)
+    per_order = lines.groupBy("l_orderkey").agg(F.count("*").alias("lines"), F.sum("quantity").alias("quantity"))
+    return per_order.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
+
+
+@query(
+    "overwritten_partition",
+    "SELECT event_id, CASE WHEN event_type = 'error' THEN value + 1 ELSE value END AS value, event_type FROM events",
+)
+def overwritten_partition(spark, sf_dir):
+    """One partition of a table replaced, the others left."""
+    path = f"{run_folder(spark, 'partitions')}/events"
+    events = table(spark, sf_dir, "events").select("event_id", "value", "event_type")
+    load_overwrite(events, path, ["event_type"])
+    errors = events.where("event_type = 'error'").withColumn("value", F.col("value") + 1)
+    return overwrite_partitions(errors, path, ["event_type"])

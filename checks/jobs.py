@@ -9,6 +9,9 @@ from checks.registry import ORACLES, query, table
 from millrace.operators import rules
 from millrace.operators.scoring import score_history
 from millrace.plans import access_log, bids_by_city, city_profile, flights, motels, sensors, words
+from millrace.schemas import READING_FIELDS
+from millrace.session import written
+from millrace.sources.messages import with_offsets
 
 WORD_SQL = r"unnest(regexp_extract_all(text, '[\p{L}\p{N}_'']+'))"
 
@@ -396,3 +399,76 @@ def message_score(spark, sf_dir):
     """The batch twin of the stream, from JSON messages."""
     messages = inputs.reading_messages(spark, sf_dir)
     return score_history(sensors.readings_of(messages), "day").select(*SCORE_COLUMNS)
+
+
+# Messages as they drift: without results, with them, and with fields that no schema knows.
+def drifted(messages):
+    kind = F.col("seq") % 3
+    fields = F.from_json("value", ", ".join(f"{name} string" for name in READING_FIELDS))
+    more = fields.withField("battery", F.col("seq") % 100).withField("tags", F.struct(F.concat(F.lit("s"), F.col("seq") % 7).alias("site")))
+    value = F.when(kind == 0, F.to_json(fields)).when(kind == 1, F.col("value")).otherwise(F.to_json(more))
+    return messages.select("key", value.alias("value"), "seq")
+
+
+def drifted_columns(sent):
+    """What is compared of the drifted messages that were sent."""
+    names = ("prediction", "error", "anomaly", "predictionNext")
+    get = lambda path, kind: F.try_variant_get("v", f"$.{path}", kind)
+    return sent.select("key", F.parse_json("value").alias("v"), F.size(F.json_object_keys("value")).cast("bigint").alias("fields")).select(
+        "key", *(get(name, "double").alias(name) for name in names), get("sampleMeasurement", "double").alias("value"),
+        get("battery", "bigint").alias("battery"), get("tags.site", "string").alias("site"), "fields",
+    )
+
+
+DRIFTED_SQL = f"""
+    SELECT device_id AS key, prediction, error, anomaly, "predictionNext", "predictionNext" AS value,
+        CASE WHEN seq % 3 = 2 THEN seq % 100 END AS battery, CASE WHEN seq % 3 = 2 THEN concat('s', seq % 7) END AS site,
+        CAST({len(READING_FIELDS) + 5} + CASE WHEN seq % 3 = 2 THEN 2 ELSE 0 END AS BIGINT) AS fields
+    FROM ({MESSAGE_SCORE_SQL})"""
+
+
+@query("drifted_messages", DRIFTED_SQL)
+def drifted_messages(spark, sf_dir):
+    """Messages of 24 and 28 fields, and with unknown ones, scored and sent on whole."""
+    return drifted_columns(sensors.score_drifting_messages(drifted(inputs.reading_messages(spark, sf_dir)), "day"))
+
+
+#: Partitions of a topic whose messages are numbered.
+TOPIC = 12
+
+
+@query(
+    "numbered_messages",
+    f"""WITH m AS (SELECT concat_ws('-', stateCode, countryCode, siteNum, parameterCode, poc) AS key, seq FROM ({inputs.READINGS_SQL})),
+        p AS (SELECT key, seq, CAST(CAST('0x' || substr(md5(key), 1, 8) AS BIGINT) % {TOPIC} AS INTEGER) AS partition FROM m)
+        SELECT key, seq, partition, row_number() OVER (PARTITION BY partition ORDER BY seq) - 1 AS "offset" FROM p""",
+)
+def numbered_messages(spark, sf_dir):
+    """The offsets that a topic would give the messages of a batch."""
+    return with_offsets(inputs.reading_messages(spark, sf_dir).select("key", "seq"), TOPIC)
+
+
+THRESHOLD = "spark.sql.autoBroadcastJoinThreshold"
+
+
+@query(
+    "join_by_size",
+    f"""SELECT kind, city_id, n FROM (SELECT city_id, count(*) AS n FROM ({inputs.AD_ROWS_SQL}) JOIN ({inputs.CITIES_SQL}) USING (city_id)
+        GROUP BY city_id), (SELECT unnest(['BroadcastHashJoin', 'SortMergeJoin']) AS kind)""",
+)
+def join_by_size(spark, sf_dir):
+    """A lookup join below the threshold of a broadcast and above it: the kind of join that was planned, and its rows."""
+    rows, lookup = inputs.ad_rows(spark, sf_dir).select("city_id"), inputs.cities(spark, sf_dir)
+    set_before = spark.conf.get(THRESHOLD, None)
+    found = []
+    try:
+        for threshold in ("32m", "-1"):
+            spark.conf.set(THRESHOLD, threshold)
+            joined = rows.join(lookup, "city_id")
+            planned = joined._jdf.queryExecution().executedPlan().toString()
+            kind = next((name for name in ("BroadcastHashJoin", "SortMergeJoin", "ShuffledHashJoin") if name in planned), "none")
+            counted = joined.groupBy("city_id").agg(F.count("*").alias("n"))
+            found.append(written(counted.select(F.lit(kind).alias("kind"), "city_id", "n"), "joined"))
+    finally:
+        spark.conf.unset(THRESHOLD) if set_before is None else spark.conf.set(THRESHOLD, set_before)
+    return found[0].unionByName(found[1])

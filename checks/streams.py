@@ -8,18 +8,20 @@ import pandas as pd
 from pyspark.sql import functions as F
 
 from checks import inputs
-from checks.jobs import ALPHA, KEYED_SCORE_SQL, MESSAGE_SCORE_SQL, SCORE_COLUMNS, SMOOTHED_SCORE_SQL, rounded
+from checks.files import COUNTS_SQL
+from checks.jobs import ALPHA, DRIFTED_SQL, drifted, drifted_columns, KEYED_SCORE_SQL, MESSAGE_SCORE_SQL, SCORE_COLUMNS, SMOOTHED_SCORE_SQL, rounded
 from checks.registry import query, table
 from millrace.functions.dates import gmt_time
 from millrace.functions.records import from_json_text
 from millrace.functions.numbers import number
+from millrace.operators.counting import StreamCounts
 from millrace.operators.scoring import score_history
 from millrace.plans.sensors import rejected_messages
 from millrace.session import run_folder
 from millrace.sources.growing import local_path
 from millrace.sources.messages import MESSAGE_SCHEMA, deliver, file_stream, publish, subscribe
 from millrace.sources.sinks import write_lines
-from millrace.streaming.ingest import ingest_lines, tail_lines
+from millrace.streaming.ingest import COUNTERS, ingest_lines, ingest_requests, tail_lines
 from millrace.streaming.scoring import score_message_stream, score_stream, state_after, stored_state
 
 
@@ -238,3 +240,65 @@ def message_score_triggers(spark, sf_dir):
     late = F.get_json_object("value", "$.late").cast("boolean").alias("late")
     rows = sent.select("key", from_json_text("value").alias("r"), late)
     return rows.select("key", *scores, number("r.sampleMeasurement").alias("value"), "late")
+
+
+@query("observed_stream_counts", COUNTS_SQL)
+def observed_stream_counts(spark, sf_dir):
+    """Counters of a stream, added up over its triggers."""
+    folder = run_folder(spark, "counted")
+    write_lines(inputs.access_lines(spark, sf_dir), f"{folder}/in")
+    query = ingest_requests(spark, f"{folder}/in", f"{folder}/out", f"{folder}/checkpoint", once=True)
+    counts = StreamCounts(COUNTERS)
+    while not query.awaitTermination(5):
+        counts.update(query)
+    found = counts.update(query)
+    one = spark.read.parquet(f"{folder}/out").agg(F.count("*").alias("written"))
+    return one.where(F.col("written") == found["lines"] - found["bad_lines"]).select(
+        *(F.lit(found[name]).cast("bigint").alias(name) for name in ("lines", "bad_lines"))
+    )
+
+
+@query("drifted_message_stream", DRIFTED_SQL)
+def drifted_message_stream(spark, sf_dir):
+    """The same messages as a stream."""
+    folder = run_folder(spark, "drifted")
+    publish(drifted(inputs.reading_messages(spark, sf_dir)), f"{folder}/in", "json")
+    stream = score_message_stream(subscribe(spark, f"{folder}/in", "json"), drifting=True)
+    deliver(stream, f"{folder}/out", f"{folder}/checkpoint", "json", once=True).awaitTermination()
+    return drifted_columns(spark.read.schema("key string, value string").json(f"{folder}/out"))
+
+
+@query(
+    "message_stream_every_two_seconds",
+    f"""SELECT concat_ws('-', stateCode, countryCode, siteNum, parameterCode, poc) AS key, seq FROM ({inputs.READINGS_SQL})""",
+)
+def message_stream_every_two_seconds(spark, sf_dir):
+    """The stream as a job runs it, with a trigger every two seconds; stopped when all messages are through."""
+    folder = run_folder(spark, "timed")
+    publish(inputs.reading_messages(spark, sf_dir), f"{folder}/in", "json")
+    running = deliver(subscribe(spark, f"{folder}/in", "json"), f"{folder}/out", f"{folder}/checkpoint", "parquet")
+    try:
+        running.processAllAvailable()
+    finally:
+        running.stop()
+    return spark.read.schema(MESSAGE_SCHEMA).parquet(f"{folder}/out").select("key", "seq")
+
+
+@query(
+    "late_messages",
+    f"""WITH r AS (SELECT concat_ws('-', stateCode, countryCode, siteNum, parameterCode, poc) AS key, dateGMT, timeGMT,
+            dateGMT < '{HALF[:10]}' AS early FROM ({inputs.READINGS_SQL}))
+        SELECT key, dateGMT, timeGMT, early AND key IN (SELECT key FROM r WHERE NOT early) AS late FROM r""",
+)
+def late_messages(spark, sf_dir):
+    """The later half of the messages first, the earlier in a second run: what is older than a scored message of its device says so."""
+    folder = run_folder(spark, "late")
+    messages = inputs.reading_messages(spark, sf_dir)
+    early = F.get_json_object("value", "$.dateGMT") < HALF[:10]
+    for some in (messages.where(~early), messages.where(early)):
+        publish(some, f"{folder}/in", "json")
+        stream = score_message_stream(subscribe(spark, f"{folder}/in", "json"))
+        deliver(stream, f"{folder}/out", f"{folder}/checkpoint", "json", once=True).awaitTermination()
+    sent = spark.read.schema("key string, value string").json(f"{folder}/out")
+    get = lambda name: F.get_json_object("value", f"$.{name}")
+    return sent.select("key", get("dateGMT").alias("dateGMT"), get("timeGMT").alias("timeGMT"), get("late").cast("boolean").alias("late"))

@@ -41,3 +41,20 @@ def from_json_text(text: Column | str) -> Column:
 def parsed_fields(text: Column | str, *names: str) -> Column:
     """Text fields of the record in a JSON text, as columns of their own."""
     return F.inline(F.array(F.from_json(text, ", ".join(f"{name} string" for name in names))))
+
+
+def drifting_fields(rows: DataFrame, text: str, *names: str) -> DataFrame:
+    """`rows` with fields of the JSON object in a column as texts, whatever types they have there; null where there is no object."""
+    parsed = rows.withColumn("_object", F.try_parse_json(text))
+    return parsed.withColumns({name: F.try_variant_get("_object", f"$.{name}", "string") for name in names}).drop("_object")
+
+
+def drifting_json(text: Column | str, changed: dict[str, Column]) -> Column:
+    """The JSON object of a text with some fields set and all others as they are, also those that no schema knows.
+
+    Null where the text is no object, or one that repeats a name.
+    """
+    known = F.try_parse_json(text).try_cast("map<string,variant>")
+    kept = F.map_filter(known, lambda name, _: ~name.isin(*changed))
+    pairs = [x for name, value in changed.items() for x in (F.lit(name), value.cast("variant"))]
+    return F.to_json(F.map_concat(kept, F.create_map(*pairs)))

@@ -6,8 +6,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.functions.agents import browser
-from millrace.functions.logs import line_counts, parse_access
+from millrace.functions.logs import accepted, line_counts, parse_access
 from millrace.functions.numbers import round_half_up
+from millrace.operators.counting import line_counters, observed
 from millrace.session import temporary_table
 from millrace.sources.sinks import write_csv, write_pairs
 
@@ -39,6 +40,14 @@ def bad_lines(lines: DataFrame) -> DataFrame:
     return line_counts(parse_access(lines))
 
 
+def write_requests(lines: DataFrame, path: str) -> dict[str, int]:
+    """Writes the valid lines' fields, and returns how many lines were read, how many were bad, and the bytes, from the same pass."""
+    counters = {**line_counters(), "bytes": F.coalesce(F.sum("bytes"), F.lit(0))}
+    parsed, counts = observed(parse_access(lines), counters)
+    accepted(parsed).drop("value").write.parquet(path)
+    return counts.get
+
+
 def request_groups(lines: DataFrame) -> DataFrame:
     """Lines, requests and bytes per address and agent: everything the three reports need."""
     good = F.col("valid")

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from millrace.functions.dates import gmt_time
 from millrace.functions.numbers import number
-from millrace.functions.records import parsed_fields, record_json, to_messages
+from millrace.functions.records import drifting_fields, drifting_json, parsed_fields, record_json, to_messages
 from millrace.operators.scoring import finite, score_history
 from millrace.schemas import READING_FIELDS, SCORE_FIELDS
 from millrace.sources.messages import publish
@@ -34,6 +34,16 @@ def readings_of(messages: DataFrame) -> DataFrame:
     parsed = messages.select(
         F.col("key").alias("device_id"), "seq", F.col("value").alias("record"), parsed_fields("value", *NEEDED)
     )
+    return _timed(parsed)
+
+
+def drifting_readings_of(messages: DataFrame) -> DataFrame:
+    """The same for messages whose fields differ: any object with the fields that scoring needs, as texts or as numbers."""
+    kept = messages.select(F.col("key").alias("device_id"), "seq", F.col("value").alias("record"))
+    return _timed(drifting_fields(kept, "record", *NEEDED))
+
+
+def _timed(parsed: DataFrame) -> DataFrame:
     value = number("sampleMeasurement")
     return parsed.select(
         "device_id",
@@ -65,6 +75,18 @@ def scored_messages(scored: DataFrame) -> DataFrame:
     return rows.select(F.col("device_id").alias("key"), record_json("late").alias("value"))
 
 
+def scored_drifting_messages(scored: DataFrame) -> DataFrame:
+    """Scored readings as messages again: each record as it came, fields that no schema knows included, with the results set."""
+    late = F.col("late") if "late" in scored.columns else F.lit(False)
+    results = {**{name: F.col(name) for name in SCORE_FIELDS}, "late": late}
+    return scored.select(F.col("device_id").alias("key"), drifting_json("record", results).alias("value"))
+
+
+def score_drifting_messages(messages: DataFrame, chunk: str = "hour", alpha: float = 1.0) -> DataFrame:
+    """All messages scored in time order per device, with 24 fields, 28, or further ones."""
+    return scored_drifting_messages(score_history(drifting_readings_of(messages), chunk, alpha))
+
+
 def score_messages(messages: DataFrame, chunk: str = "hour", alpha: float = 1.0) -> DataFrame:
     """The batch twin of the stream: all messages scored in time order per device."""
     return scored_messages(score_history(readings_of(messages), chunk, alpha))

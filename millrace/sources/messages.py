@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from millrace.operators.layout import numbered
+
 MESSAGE_SCHEMA = "key string, value string, seq bigint"
 
 
@@ -16,6 +18,16 @@ def publish(messages: DataFrame, target: str, fmt: str = "kafka", **options) ->
         messages.write.format(fmt).options(**options).mode("append").save(target)
 
 
+def with_offsets(messages: DataFrame, partitions: int, order: str = "seq") -> DataFrame:
+    """Messages with the `partition` of their key, and their dense `offset` in it, from 0 in `order`, as a topic would number them.
+
+    All messages of a key are in one partition; a null key counts as the empty one. Nothing is sorted as a whole: see `numbered`.
+    """
+    digits = F.substring(F.md5(F.coalesce(F.col("key"), F.lit(""))), 1, 8)
+    partition = (F.conv(digits, 16, 10).cast("bigint") % partitions).cast("int").alias("partition")
+    return numbered(messages.select("*", partition), "partition", [order], "offset")
+
+
 def file_stream(spark: SparkSession, source: str, schema, fmt: str, **options) -> DataFrame:
     """New files of a folder or glob as a stream, at most `maxBytesPerTrigger` at a time."""
     settings = {"maxBytesPerTrigger": str(2 * 1024**3), **options}

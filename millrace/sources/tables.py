@@ -48,6 +48,23 @@ def load_overwrite(rows: DataFrame, path: str, partition_by: Sequence[str] = ())
     return rows.sparkSession.read.parquet(path)
 
 
+def save_bucketed(rows: DataFrame, name: str, path: str, keys: Sequence[str], buckets: int) -> DataFrame:
+    """Replaces the catalog table `name` at `path`, cut into buckets by its keys and sorted by them, and returns a scan of it.
+
+    Tables with the same number of buckets on their join keys are joined, and grouped by them, where they lie. Rows are moved to their bucket once,
+    so each is one file; choose the buckets so that the largest fits a task.
+    """
+    spread = rows.repartition(buckets, *keys)
+    spread.write.mode("overwrite").option("path", path).bucketBy(buckets, *keys).sortBy(*keys).saveAsTable(name)
+    return rows.sparkSession.table(name)
+
+
+def overwrite_partitions(rows: DataFrame, path: str, partition_by: Sequence[str]) -> DataFrame:
+    """Replaces those partitions of the Parquet table at `path` that `rows` has, leaves the others, and returns a scan of all."""
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by).parquet(path)
+    return rows.sparkSession.read.parquet(path)
+
+
 def read_lookup(spark: SparkSession, path: str, key: str = "id", name: str = "name") -> DataFrame:
     """An id-to-name file: an id, white space, and the rest of the line as the name. `rejected_lookup` has the other lines."""
     return _lookup_lines(spark, path).where(F.size("fields") == 2).select(F.col("fields")[0].alias(key), F.col("fields")[1].alias(name))

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from millrace.operators.scoring import ERROR_FACTOR, LARGEST_STEP, MILLIONTHS, millionths
-from millrace.plans.sensors import is_reading, readings_of, scored_messages
+from millrace.plans.sensors import drifting_readings_of, is_reading, readings_of, scored_drifting_messages, scored_messages
 from millrace.session import SETTINGS
 
 STORE = "spark.sql.streaming.stateStore.providerClass"
@@ -164,10 +164,12 @@ def stored_state(spark: SparkSession, checkpoint: str) -> DataFrame:
     return rows.select("key.device_id", "value.*")
 
 
-def score_message_stream(messages: DataFrame, alpha: float = 1.0, state: DataFrame | None = None) -> DataFrame:
+def score_message_stream(messages: DataFrame, alpha: float = 1.0, state: DataFrame | None = None, drifting: bool = False) -> DataFrame:
     """Messages in, enriched messages out, under the same keys; `late` marks those older than one scored before.
 
     Rows of a device must arrive in time order from trigger to trigger for the scores to be those of the batch. What cannot be
-    scored is in `rejected_messages`, a stream of its own.
+    scored is in `rejected_messages`, a stream of its own. With `drifting`, messages may have any further fields, which they keep.
     """
+    if drifting:
+        return scored_drifting_messages(score_stream(drifting_readings_of(messages), alpha, state))
     return scored_messages(score_stream(readings_of(messages), alpha, state))
