@@ -15,6 +15,8 @@ from millrace.llm.words import mixed, saved, whole_groups, word_hashes
 
 #: Members of a bucket or cluster that one task compares; larger ones are dealt out as pairs of blocks.
 BLOCK = 2048
+#: Bytes of full sets in a block, and shingles that a task keeps as Python sets at a time.
+BLOCK_BYTES, REMEMBERED = 64 << 20, 1 << 20
 #: Standard errors of the similarity estimate below the threshold at which a pair still goes to the exact check.
 MARGIN = 4.5
 
@@ -167,10 +169,16 @@ def _verifier(how: Sketching):
         for key, frame in whole_groups(frames, ["cluster", "low", "high"]):
             names, sizes, forest = frame["node"].to_numpy(), frame["n_shingles"].to_numpy(), Forest(len(frame))
             packed, sets = frame["members"].tolist(), {}
+            kept = 0
 
             def of(x: int) -> frozenset:
+                nonlocal kept
                 if x not in sets:
+                    if kept + int(sizes[x]) > REMEMBERED:
+                        sets.clear()
+                        kept = 0
                     sets[x] = frozenset(np.frombuffer(packed[x], dtype=np.uint64).tolist())
+                    kept += int(sizes[x])
                 return sets[x]
 
             for x, near in _similar(frame["sketch"].tolist(), _sides(frame, key), how.furthest):
@@ -198,15 +206,16 @@ def _packer(how: Sketching):
 
 
 def _dealt(rows: DataFrame, group: str) -> DataFrame:
-    """Rows of a group with up to BLOCK members go to one task; of a larger one, each pair of its blocks is a group of its own."""
-    blocks = F.ceil(F.col("members_of_group") / BLOCK).cast("int")
+    """Rows of a group with up to BLOCK members, of BLOCK_BYTES, go to one task; of a larger one, each pair of its blocks is a group of its own."""
+    heavy = F.col("bytes_of_group") / BLOCK_BYTES if "bytes_of_group" in rows.columns else F.lit(0.0)
+    blocks = F.ceil(F.greatest(F.col("members_of_group") / BLOCK, heavy)).cast("int")
     spread = rows.withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("node", F.lit(7)), F.col("blocks")).cast("int"))
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
     return (
         spread.withColumn("other", other)
         .withColumn("low", F.least("block", "other"))
         .withColumn("high", F.greatest("block", "other"))
-        .drop("other", "blocks", "members_of_group")
+        .drop("other", "blocks", "members_of_group", "bytes_of_group")
         .repartition(F.col(group), F.col("low"), F.col("high"))
         .sortWithinPartitions(group, "low", "high", "node")
     )
@@ -219,7 +228,7 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str
     once. Bands of MinHash samples put classes into buckets; inside a bucket the XOR of two odd sketches counts the samples that
     differ, and pairs that may reach the threshold join a cluster. Each class then sends its full set to its cluster once, where
     the pairs are checked exactly, unless they are connected already. Buckets and clusters beyond BLOCK
-    members are compared block by block in many tasks, so nothing is left out and no group has to fit a task.
+    members or BLOCK_BYTES of sets are compared block by block in many tasks, so nothing is left out and no group has to fit a task.
 
     Null and empty texts and texts without words have no shingles, and form a component each. Repeated rows get the same answer;
     rows of one id with different texts are judged by their texts. A row with a null id is linked with nothing: its component is
@@ -243,7 +252,8 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str
     proposed = _dealt(met, "bucket").mapInPandas(_proposer(how), "a long, b long")
     clusters = connected_components(proposed).withColumnRenamed("component", "cluster")
 
-    sizes = clusters.groupBy("cluster").agg(F.count("*").alias("members_of_group"))
+    weighed = clusters.join(classes.select("node", "n_shingles"), "node")
+    sizes = weighed.groupBy("cluster").agg(F.count("*").alias("members_of_group"), (F.sum("n_shingles") * 8).alias("bytes_of_group"))
     wanted = saved(
         clusters.join(sizes, "cluster").join(classes.select("node", "first_id", "n_shingles", "sketch"), "node"), "clusters"
     )

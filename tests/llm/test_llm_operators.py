@@ -615,3 +615,24 @@ def test_time_grows_with_the_page(piece):
     started = time.process_time()
     html_text.main_text(page + "</b>" * 1000)
     assert time.process_time() - started < 15
+
+
+def test_long_texts_of_a_large_cluster_are_compared_in_blocks(spark, monkeypatch):
+    rng = random.Random(11)
+    base = prose(rng, 900).split()
+    rows = []
+    for i in range(60):
+        near = list(base)
+        for _ in range(rng.randint(0, 40)):
+            near[rng.randrange(900)] = word(rng)
+        rows.append((i, " ".join(near)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    whole = sorted(map(tuple, near_duplicates.near_duplicates(docs).collect()))
+    dealt = []
+    keep = near_duplicates._dealt
+    monkeypatch.setattr(near_duplicates, "BLOCK_BYTES", 50_000)
+    monkeypatch.setattr(near_duplicates, "REMEMBERED", 2_000)
+    monkeypatch.setattr(near_duplicates, "_dealt", lambda rows, group: dealt.append(keep(rows, group)) or dealt[-1])
+    assert sorted(map(tuple, near_duplicates.near_duplicates(docs).collect())) == whole
+    parts = dealt[1].groupBy("cluster", "low", "high").agg(F.sum(F.length("members")).alias("bytes")).collect()
+    assert len(parts) > 10 and max(r.bytes for r in parts) < 4 * 50_000
