@@ -17,21 +17,46 @@ PASSAGE = 51
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
-def numbered(docs: DataFrame) -> DataFrame:
-    """The documents with a number of its own for each row, written, so that a row keeps its number. Ids may be null or repeat."""
-    return saved(docs.select(*COLUMNS, F.monotonically_increasing_id().alias("row_id")), "numbered")
+TEXT_KEYS = ["xxhash64(text) AS text_key", "xxhash64(1, text) AS text_check"]
+#: A number below 2^63 for an id and text; ids may be null, and repeat.
+SHORT_NAME = "shiftrightunsigned(xxhash64(doc_id, text_key, text_check), 1)"
+
+
+def named(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(rows, names): the documents with `name`, a number of their id and text, and doc_id, name, n of each different one.
+
+    Names are computed from the rows wherever they are read, so no text is written or moved for them. Different pairs of id and
+    128 bits of the text whose hashes are equal (about one pair in 2^64 of all) are found and get negative names.
+    """
+    keyed = docs.selectExpr(*COLUMNS, *TEXT_KEYS)
+    key = ["doc_id", "text_key", "text_check"]
+    names = saved(keyed.groupBy(*key).agg(F.count("*").alias("n")).withColumn("name", F.expr(SHORT_NAME)), "names")
+    equal = names.groupBy("name").agg(F.count("*").alias("of")).where("of > 1")
+    clashing = names.join(equal, "name").select(*key).orderBy(*key).collect()
+    if not clashing:
+        return keyed.withColumn("name", F.expr(SHORT_NAME)), names.select("doc_id", "name", "n")
+    spark = docs.sparkSession
+    own = spark.createDataFrame([(*r, -1 - at) for at, r in enumerate(clashing)], "own_id long, own_key long, own_check long, own_name long")
+    own = F.broadcast(own)
+
+    def with_own(rows: DataFrame) -> DataFrame:
+        same = F.col("doc_id").eqNullSafe(F.col("own_id")) & F.col("text_key").eqNullSafe(F.col("own_key"))
+        found = rows.join(own, same & F.col("text_check").eqNullSafe(F.col("own_check")), "left")
+        return found.withColumn("name", F.coalesce("own_name", F.expr(SHORT_NAME))).drop("own_id", "own_key", "own_check", "own_name")
+
+    return with_own(keyed), with_own(names).select("doc_id", "name", "n")
 
 
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier, fitted on the labelled ones, does not reject.
 
-    Every row is judged by its own text: rows of one id, and rows without an id, too. A label counts for all rows of its id.
+    Every row is judged by its own text: rows of one id, and rows without an id, too. A label counts for all texts of its id.
     """
-    rows = numbered(docs)
-    labels = rows.select("doc_id", "row_id").join(table(spark, sf_dir, "labels"), "doc_id").select("row_id", "quality")
-    scores = quality_scores(rows, labels, id_column="row_id")
-    rejected = scores.where("predicted = 0").select(F.col("doc_id").alias("row_id"))
-    return rows.join(rejected, "row_id", "left_anti").select(COLUMNS)
+    rows, names = named(docs)
+    labels = names.join(table(spark, sf_dir, "labels"), "doc_id").select("name", "quality")
+    scores = quality_scores(rows, labels, id_column="name")
+    rejected = scores.where("predicted = 0").select(F.col("doc_id").alias("name")).distinct()
+    return rows.join(rejected, "name", "left_anti").select(COLUMNS)
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -40,14 +65,18 @@ def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     Rows are grouped by their texts, so a row that repeats an id, or has none, is a copy like any other and goes unless it is the one
     that stays; one with an id stays rather than one without. Texts without words are copies where id and text are equal.
     """
-    rows = numbered(docs)
-    found = near_duplicates(rows, id_column="row_id", how=Sketching(width=5, percent=80)).withColumnRenamed("doc_id", "row_id")
-    first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row_id"))["row_id"].alias("row_id")
-    members = rows.select("row_id", "doc_id").join(found.where("n_shingles > 0"), "row_id")
-    kept = members.groupBy("component_id").agg(first).select("row_id")
-    wordless = rows.join(found.where("n_shingles = 0").select("row_id"), "row_id", "left_semi")
-    kept = kept.unionByName(wordless.groupBy("doc_id", "text").agg(first).select("row_id"))
-    return rows.join(kept, "row_id", "left_semi").select(COLUMNS)
+    rows, names = named(docs)
+    found = near_duplicates(rows, id_column="name", how=Sketching(width=5, percent=80)).select(F.col("doc_id").alias("name"), "component_id")
+    members = names.join(found.distinct(), "name")
+    first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "name"))["name"].alias("first")
+    kept = members.groupBy("component_id").agg(first)
+    gone = saved(members.join(kept, "component_id").where("name <> first").select("name"), "copies")
+    left = rows.join(gone, "name", "left_anti")
+    repeated = saved(names.where("n > 1").select("name"), "repeated")
+    if repeated.isEmpty():
+        return left.select(COLUMNS)
+    once = left.join(repeated, "name", "left_semi").dropDuplicates(["name"])
+    return left.join(repeated, "name", "left_anti").unionByName(once).select(COLUMNS)
 
 
 def own_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
