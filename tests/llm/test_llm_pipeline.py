@@ -123,3 +123,14 @@ def test_a_document_read_twice_is_kept_once(spark, prose, tables):
     for _, stage in corpus_pipeline.STAGES[1:-1]:
         docs = corpus_pipeline.saved(stage(spark, docs, tables), "stage")
     assert of(docs) == Counter([(1, long), (2, other)])
+
+
+def test_names_that_clash_are_told_apart(spark, rows, monkeypatch):
+    docs = frame(spark, rows)
+    whole = of(corpus_pipeline.one_of_each(spark, docs, ''))
+    monkeypatch.setattr(corpus_pipeline, "SHORT_NAME", "pmod(xxhash64(doc_id, text_key, text_check), 40)")
+    named, names = corpus_pipeline.named(docs)
+    assert names.count() == names.select("name").distinct().count() == len(set(rows))
+    assert named.select("name").distinct().count() == len(set(rows))
+    clashing = of(corpus_pipeline.one_of_each(spark, docs, ''))
+    assert sorted(i for i, _ in clashing.elements() if i is not None) == sorted(i for i, _ in whole.elements() if i is not None)
