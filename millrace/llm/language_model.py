@@ -1,10 +1,11 @@
-"""A hierarchical Pitman-Yor language model: restaurants of contexts share the restaurant of all words as their parent."""
+"""A hierarchical Pitman-Yor language model: a restaurant for every previous word, all with the restaurant of all words as their parent."""
 
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -12,182 +13,200 @@ import xxhash
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, functions as F
 
-from millrace.llm.words import saved, word_hashes
+from millrace.llm.words import saved, whole_groups, word_hashes
 
 #: The token after the last word, and what stands before the first; no word holds white space.
 END, START = xxhash.xxh64_intdigest(b"\n"), xxhash.xxh64_intdigest(b" ")
 #: Tokens that are sorted together before they are sent.
-PIECE = 400_000
-#: Tokens of training for which one bucket of words is planned.
-BUCKET = 2_000_000
+PIECE = 1_500_000
+#: Tokens for which one block is planned.
+BLOCK = 4_000_000
 #: Customers of one dish up to which the tables are drawn from exact probabilities.
 EXACT = 64
+#: Where messages are about words, about contexts, or are a block's own tables.
+WORDS, CONTEXTS, OWN = 0, 1, 2
+ROWS = "bucket int, kind int, side int, part int, blobs array<binary>"
+TOTALS = 6
 
 
 @dataclass(frozen=True)
 class Settings:
-    """contexts: restaurants of the lower level; a previous word belongs to the one of its hash, so rare words share restaurants.
+    """`burn_in` sweeps are thrown away, `samples` are averaged. strengths: of the root and of the contexts. Discounts come from the counts."""
 
-    `burn_in` sweeps are thrown away, `samples` are averaged. strengths: of the root and of the contexts. Discounts come from the counts.
-    """
-
-    contexts: int = 1 << 14
     burn_in: int = 1
     samples: int = 2
-    strengths: tuple[float, float] = (1.0, 50.0)
+    strengths: tuple[float, float] = (1.0, 1.0)
     seed: int = 23
 
 
+def _planes(values: np.ndarray) -> bytes:
+    """The lowest bytes of all values, then the next ones: sorted or small numbers compress well so."""
+    return values.view(np.uint8).reshape(-1, values.itemsize).T.tobytes()
+
+
+def _joined(blob: bytes, kind: np.dtype, offset: int = 0) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(blob, dtype=np.uint8, offset=offset).reshape(kind.itemsize, -1).T).view(kind).ravel()
+
+
 def _packed(values: np.ndarray) -> bytes:
-    """An array in the narrowest unsigned type that holds it, after a byte that names the type."""
+    """Whole numbers in the narrowest unsigned type that holds them, after a byte that names the type."""
     kind = np.min_scalar_type(int(values.max()) if len(values) else 0)
-    return kind.char.encode() + values.astype(kind).tobytes()
+    return kind.char.encode() + _planes(values.astype(kind))
 
 
 def _unpacked(blob: bytes) -> np.ndarray:
-    return np.frombuffer(blob, dtype=np.dtype(chr(blob[0])), offset=1).astype(np.int64)
+    return _joined(blob, np.dtype(chr(blob[0])), 1).astype(np.int64)
+
+
+def _hashes(blob: bytes) -> np.ndarray:
+    return _joined(blob, np.dtype(np.uint64))
+
+
+def _firsts(values: np.ndarray) -> np.ndarray:
+    """Where runs of equal values begin."""
+    return np.flatnonzero(np.concatenate([[True], values[1:] != values[:-1]])) if len(values) else np.zeros(0, dtype=np.int64)
+
+
+def _part(hashes: np.ndarray, parts: int) -> np.ndarray:
+    """Which of equal ranges of hashes each one lies in."""
+    return (((hashes >> np.uint64(32)) * np.uint64(parts)) >> np.uint64(32)).astype(np.int64)
 
 
 @dataclass
 class Piece:
-    """Counts of (word, context, document), sorted: distinct words, pairs of each word, entries of each pair."""
+    """Counts of (word, context, document) in a block: distinct words, pairs of each, distinct contexts, that of each pair, entries of each pair."""
 
     words: np.ndarray
-    pairs_of_word: np.ndarray
+    pairs: np.ndarray
+    names: np.ndarray
     contexts: np.ndarray
-    entries_of_pair: np.ndarray
+    entries: np.ndarray
     docs: np.ndarray
     counts: np.ndarray
 
 
-def _tokens(texts: list, contexts: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Word, context and document number of every token of the texts."""
+def _cut(texts: list, grid: int) -> Iterator[tuple[int, Piece]]:
+    """The counts of the texts, block by block. A block is a range of word hashes and one of context hashes."""
     each = [np.append(word_hashes(text), np.uint64(END)) for text in texts]
-    words = np.concatenate(each)
     sizes = np.array([len(x) for x in each])
-    before = np.empty_like(words)
-    before[1:] = words[:-1]
-    before[np.concatenate([[0], np.cumsum(sizes)[:-1]])] = START
-    return words, (before >> np.uint64(20)) % np.uint64(contexts), np.repeat(np.arange(len(texts), dtype=np.uint64), sizes)
-
-
-def _sorted_piece(words: np.ndarray, contexts: np.ndarray, docs: np.ndarray) -> Piece:
-    distinct, place = np.unique(words, return_inverse=True)
-    key = np.sort((place.astype(np.uint64) << np.uint64(40)) | (contexts << np.uint64(20)) | docs)
-    first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
-    counts = np.diff(np.append(first, len(key)))
-    key = key[first]
-    pair = key >> np.uint64(20)
-    starts = np.flatnonzero(np.concatenate([[True], pair[1:] != pair[:-1]]))
-    pair = pair[starts]
-    return Piece(
-        distinct, np.bincount((pair >> np.uint64(20)).astype(np.int64), minlength=len(distinct)), (pair & np.uint64((1 << 20) - 1)).astype(np.int64),
-        np.diff(np.append(starts, len(key))), (key & np.uint64((1 << 20) - 1)).astype(np.int64), counts,
-    )
-
-
-def _cut(piece: Piece, buckets: int) -> Iterator[tuple[int, Piece]]:
-    """The part of each bucket; a bucket is a range of word hashes."""
-    bucket = ((piece.words >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)
-    edges = np.searchsorted(bucket, np.arange(buckets + 1))
-    pairs = np.concatenate([[0], np.cumsum(piece.pairs_of_word)])
-    entries = np.concatenate([[0], np.cumsum(piece.entries_of_pair)])
-    for b in np.flatnonzero(np.diff(edges)).tolist():
-        a, z = edges[b], edges[b + 1]
-        p, q = pairs[a], pairs[z]
-        e, f = entries[p], entries[q]
-        yield b, Piece(piece.words[a:z], piece.pairs_of_word[a:z], piece.contexts[p:q], piece.entries_of_pair[p:q], piece.docs[e:f], piece.counts[e:f])
-
-
-def _pieces(texts: list, contexts: int) -> Iterator[tuple[int, int, Piece]]:
-    """(first, end, piece) for runs of texts of about PIECE tokens; a long text is a run of its own."""
+    distinct, place = np.unique(np.concatenate([*each, np.array([START], dtype=np.uint64)]), return_inverse=True)
+    place = place.astype(np.uint64)
+    before = np.concatenate([place[-1:], place[:-2]])
+    before[np.cumsum(sizes)[:-1]] = place[-1]
+    wide, deep = np.uint64(len(distinct).bit_length()), np.uint64(len(texts).bit_length())
+    key = (place[:-1] << (wide + deep)) | (before << deep) | np.repeat(np.arange(len(texts), dtype=np.uint64), sizes)
+    key.sort()
+    first = _firsts(key)
+    counts, key = np.diff(np.append(first, len(key))), key[first]
+    docs, pair = (key & ((np.uint64(1) << deep) - np.uint64(1))).astype(np.int64), key >> deep
+    begins = _firsts(pair)
+    entries, pair = np.diff(np.append(begins, len(pair))), pair[begins]
+    words, contexts = (pair >> wide).astype(np.int64), (pair & ((np.uint64(1) << wide) - np.uint64(1))).astype(np.int64)
+    strip = _part(distinct, grid * grid) // grid
+    block = strip[words] * grid + strip[contexts]
+    order = np.argsort(block.astype(np.min_scalar_type(grid * grid)), kind="stable")
+    edges = np.append(_firsts(block[order]), len(order))
+    for a, z in zip(edges, edges[1:]):
+        own = order[a:z]
+        names, context = np.unique(contexts[own], return_inverse=True)
+        some = entries[own]
+        at = np.arange(some.sum()) + np.repeat(begins[own] - np.cumsum(some) + some, some)
+        start = _firsts(words[own])
+        yield int(block[own[0]]), Piece(
+            distinct[words[own][start]], np.diff(np.append(start, len(own))), distinct[names], context, some, docs[at], counts[at]
+        )
+
+
+def _runs(texts: list) -> Iterator[tuple[int, int]]:
+    """Runs of texts of about PIECE tokens; a longer text is a run of its own."""
     begin, size = 0, 0
     for i, text in enumerate(texts):
-        size += len(text or "") // 6 + 1
-        if size >= PIECE or i + 1 == len(texts) or i + 1 - begin == 1 << 19:
-            yield begin, i + 1, _sorted_piece(*_tokens(texts[begin : i + 1], contexts))
-            begin, size = i + 1, 0
+        more = len(text or "") // 6 + 1
+        if begin < i and (size + more > PIECE or i - begin == 1 << 16):
+            yield begin, i
+            begin, size = i, 0
+        size += more
+    if begin < len(texts):
+        yield begin, len(texts)
 
 
-def _counted(buckets: int, contexts: int):
+def _counted(grid: int):
+    """Every pair of a word and the one before it in any text, with its count in the texts to learn from, none included."""
+
     def count(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            for _, _, piece in _pieces(frame["text"].tolist(), contexts):
-                totals = np.add.reduceat(piece.counts, np.concatenate([[0], np.cumsum(piece.entries_of_pair)[:-1]]))
-                piece = Piece(piece.words, piece.pairs_of_word, piece.contexts, np.ones_like(totals), np.zeros_like(totals), totals)
-                rows = [
-                    (b, p.words.tobytes(), _packed(p.pairs_of_word), _packed(p.contexts), _packed(p.counts)) for b, p in _cut(piece, buckets)
-                ]
-                yield pd.DataFrame(rows, columns=["bucket", "words", "pairs", "contexts", "counts"])
+            texts, learn = frame["text"].tolist(), frame["learn"].to_numpy(dtype=bool)
+            for begin, end in _runs(texts):
+                rows = []
+                for b, p in _cut(texts[begin:end], grid):
+                    totals = np.add.reduceat(p.counts * learn[begin:end][p.docs], np.cumsum(p.entries) - p.entries)
+                    rows.append((b, [_planes(p.words), _packed(p.pairs), _planes(p.names), _packed(p.contexts), _packed(totals)]))
+                yield pd.DataFrame(rows, columns=["bucket", "blobs"])
 
     return count
 
 
-def _merged(parts: list[tuple]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    words = np.concatenate([np.repeat(p[0], p[1]) for p in parts])
-    contexts = np.concatenate([p[2] for p in parts])
-    counts = np.concatenate([p[3] for p in parts])
-    order = np.lexsort((contexts, words))
-    words, contexts, counts = words[order], contexts[order], counts[order]
-    first = np.flatnonzero(np.concatenate([[True], (words[1:] != words[:-1]) | (contexts[1:] != contexts[:-1])]))
-    return words[first], contexts[first], np.add.reduceat(counts, first)
+Counts = tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]
 
 
-def _summed(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """All counts of each bucket; parts are merged as they come, so that only distinct pairs are held."""
-    held: dict[int, list[tuple]] = {}
-    sizes: dict[int, int] = {}
-
-    def add(b: int, part: tuple) -> None:
-        held.setdefault(b, []).append(part)
-        sizes[b] = sizes.get(b, 0) + len(part[2])
-        if len(held[b]) > 1 and sizes[b] > BUCKET:
-            merge(b)
-
-    def merge(b: int) -> tuple:
-        words, contexts, counts = _merged(held[b])
-        first = np.flatnonzero(np.concatenate([[True], words[1:] != words[:-1]]))
-        whole = (words[first], np.diff(np.append(first, len(words))), contexts, counts)
-        held[b], sizes[b] = [whole], 0
-        return whole
+def _merged(parts: list[Counts]) -> Counts:
+    if len(parts) == 1:
+        return parts[0]
+    words, names = (np.unique(np.concatenate([p[i] for p in parts])) for i in (0, 2))
+    key = np.concatenate([np.repeat(np.searchsorted(words, p[0]), p[1]) * len(names) + np.searchsorted(names, p[2])[p[3]] for p in parts])
+    order = np.argsort(key, kind="stable")
+    key = key[order]
+    first = _firsts(key)
+    counts, key = np.add.reduceat(np.concatenate([p[4] for p in parts])[order], first), key[first]
+    return words, np.bincount(key // len(names), minlength=len(words)), names, key % len(names), counts
 
-    for frame in frames:
-        for b, words, pairs, contexts, counts in zip(frame["bucket"], frame["words"], frame["pairs"], frame["contexts"], frame["counts"]):
-            add(b, (np.frombuffer(words, dtype=np.uint64), _unpacked(pairs), _unpacked(contexts), _unpacked(counts)))
-    for b in held:
-        words, pairs, contexts, counts = merge(b)
-        yield pd.DataFrame([(b, words.tobytes(), _packed(pairs), _packed(contexts), _packed(counts))], columns=["bucket", "words", "pairs", "contexts", "counts"])
 
+def _opened(blobs: list[bytes]) -> Counts:
+    words, pairs, names, contexts, counts = blobs
+    return _hashes(words), _unpacked(pairs), _hashes(names), _unpacked(contexts), _unpacked(counts)
 
-@dataclass
-class State:
-    """What all buckets need to know after a sweep: tables of each context, all customers and tables of the root."""
 
-    tables: np.ndarray
-    root_customers: float
-    root_tables: float
+def _summed(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """All counts of each block; parts are merged as they come, so that only distinct pairs are held."""
+    held: dict[int, list[Counts]] = {}
+    loose: dict[int, int] = {}
+    for frame in frames:
+        for b, blobs in zip(frame["bucket"], frame["blobs"]):
+            part = _opened(blobs)
+            held.setdefault(b, []).append(part)
+            loose[b] = loose.get(b, 0) + len(part[3])
+            if len(held[b]) > 1 and loose[b] > max(BLOCK, len(held[b][0][3])):
+                held[b], loose[b] = [_merged(held[b])], 0
+    for b in list(held):
+        words, pairs, names, contexts, counts = _merged(held.pop(b))
+        yield pd.DataFrame([(b, [_planes(words), _packed(pairs), _planes(names), _packed(contexts), _packed(counts)])], columns=["bucket", "blobs"])
 
 
 @dataclass
 class Model:
+    """What all blocks know: numbers, none of which grows with the input. roots: customers and tables of the root after each sweep."""
+
     how: Settings
-    vocabulary: int
-    train_tokens: int
-    customers: np.ndarray
-    discounts: tuple[float, float]
-    states: list[State] = field(default_factory=list)
+    grid: int
+    vocabulary: int = 0
+    train_tokens: int = 0
+    discounts: tuple[float, float] = (0.5, 0.5)
+    roots: list[tuple[float, float]] = field(default_factory=list)
 
     @property
     def base(self) -> float:
         """The chance of each word under the restaurant that all others rest on; one word stands for all unseen."""
         return 1 / (self.vocabulary + 1)
 
-    def root(self, customers: np.ndarray, tables: np.ndarray, state: State) -> np.ndarray:
-        d, s = self.discounts[0], self.how.strengths[0]
-        new = (s + d * state.root_tables) * self.base
-        return (np.maximum(customers - d * tables, 0) + new) / (s + state.root_customers)
+    def new(self, sweep: int) -> float:
+        """The weight of a new table for one word in the root."""
+        return (self.how.strengths[0] + self.discounts[0] * self.roots[sweep][1]) * self.base
+
+    def root(self, customers: np.ndarray, tables: np.ndarray, sweep: int) -> np.ndarray:
+        return (np.maximum(customers - self.discounts[0] * tables, 0) + self.new(sweep)) / (self.how.strengths[0] + self.roots[sweep][0])
 
 
+@lru_cache(maxsize=8)
 def stirling(discount: float, size: int = EXACT) -> np.ndarray:
     """log of the ways, weighed by the discount, to seat c customers at t tables: row c, column t."""
     ways = np.full((size + 1, size + 1), -np.inf)
@@ -228,166 +247,235 @@ def seated(customers: np.ndarray, chance: np.ndarray, discount: float, ways: np.
     return tables
 
 
-class Shard:
-    """The restaurants' dishes of one bucket of words, with the seatings of every kept sweep.
-
-    A seating follows from the counts, the state after the sweep before, and a seed of bucket and sweep; it is drawn again
-    wherever it is needed instead of being stored.
-    """
+class Block:
+    """The dishes of a range of words in the restaurants of a range of contexts, with what other blocks answer about both."""
 
-    def __init__(self, model: Model, bucket: int, row):
-        self.model = model
-        self.words = np.frombuffer(row[0], dtype=np.uint64)
-        self.pairs, self.contexts, self.counts = _unpacked(row[1]), _unpacked(row[2]), _unpacked(row[3])
-        self.begins = np.concatenate([[0], np.cumsum(self.pairs)])
+    def __init__(self, blobs: list[bytes]):
+        self.words, self.pairs, self.names, self.contexts, self.counts = _opened(blobs)
+        self.begins = np.cumsum(self.pairs) - self.pairs
         self.of_word = np.repeat(np.arange(len(self.words)), self.pairs)
-        self.totals = np.add.reduceat(self.counts, self.begins[:-1])
-        self.tables = np.ones_like(self.counts)
-        self.root_customers, self.root_tables = self.pairs.copy(), np.ones_like(self.pairs)
-        self.ways = [stirling(d) for d in model.discounts]
-        self.bucket, self.sweeps = bucket, 0
-
-    def sweep(self) -> None:
-        """Every dish of the bucket is seated anew, first in the contexts, then in the root, where each table of a context is a customer."""
-        model, state = self.model, self.model.states[self.sweeps]
-        random = np.random.default_rng((model.how.seed, self.bucket, self.sweeps))
-        parent = model.root(self.root_customers, self.root_tables, state)
-        strength = model.how.strengths[1] + model.discounts[1] * state.tables[self.contexts]
-        self.tables = seated(self.counts, strength * parent[self.of_word], model.discounts[1], self.ways[1], random)
-        self.root_customers = np.add.reduceat(self.tables, self.begins[:-1])
-        new = (model.how.strengths[0] + model.discounts[0] * state.root_tables) * model.base
-        self.root_tables = seated(self.root_customers, np.full(len(self.words), new), model.discounts[0], self.ways[0], random)
-        self.sweeps += 1
-
-    def sums(self) -> np.ndarray:
-        tables = np.bincount(self.contexts, weights=self.tables, minlength=self.model.how.contexts)
-        return np.concatenate([tables, [self.root_customers.sum(), self.root_tables.sum()]])
-
-
-def _shards(frames: Iterator[pd.DataFrame], model: Model) -> Iterator[Shard]:
-    for frame in frames:
-        for b, *row in zip(frame["bucket"], frame["words"], frame["pairs"], frame["contexts"], frame["counts"]):
-            yield Shard(model, int(b), row)
 
+    def listen(self, answers: list[tuple[int, list[bytes]]]) -> list[list[np.ndarray]]:
+        """The answers about words and about contexts, in the order of their hashes: each blob joined over the ranges."""
+        return [[np.concatenate([_unpacked(b) for b in blobs]) for blobs in zip(*(blobs for s, blobs in answers if s == side))] for side in (WORDS, CONTEXTS)]
+
+    def sums(self, tables: np.ndarray) -> list[np.ndarray]:
+        """Of a value of each pair: the sum of each word, and of each context."""
+        return [np.add.reduceat(tables, self.begins), np.bincount(self.contexts, weights=tables, minlength=len(self.names)).astype(np.int64)]
+
+    def seat(self, model: Model, bucket: int, sweep: int, words: tuple[np.ndarray, np.ndarray], tables: np.ndarray) -> np.ndarray:
+        """Tables of each pair, drawn from the root's customers and tables of each word and the tables of each context after the sweep before."""
+        parent = model.root(*words, sweep - 1)
+        weight = (model.how.strengths[1] + model.discounts[1] * tables[self.contexts]) * parent[self.of_word]
+        return seated(self.counts, weight, model.discounts[1], stirling(model.discounts[1]), np.random.default_rng((model.how.seed, bucket, sweep)))
+
+    def chances(self, model: Model, sweep: int, own: np.ndarray, words: tuple[np.ndarray, np.ndarray], tables: np.ndarray, customers: np.ndarray) -> np.ndarray:
+        """The chance of each pair's word after its context, under the seating of a sweep."""
+        d, s = model.discounts[1], model.how.strengths[1]
+        parent = model.root(*words, sweep)[self.of_word]
+        return (self.counts - d * own + (s + d * tables[self.contexts]) * parent) / (s + customers[self.contexts])
+
+
+def _asked(model: Model, bucket: int, sides: list[tuple[np.ndarray, list[Callable[[slice], bytes]]]]) -> list[tuple]:
+    """Messages of a block: for each side the range of each item, and what packs a run of items. One for each range that has items."""
+    rows = []
+    for side, (ranges, packers) in enumerate(sides):
+        edges = np.append(_firsts(ranges), len(ranges))
+        rows += [(bucket, side, int(ranges[a]), [pack(slice(a, z)) for pack in packers]) for a, z in zip(edges, edges[1:])]
+    return rows
+
+
+MESSAGES = "bucket int, side int, part int, blobs array<binary>, totals array<double>"
+
+
+def _messages(rows: list[tuple], totals: list[float]) -> pd.DataFrame:
+    frame = pd.DataFrame(rows, columns=["bucket", "side", "part", "blobs"])
+    frame["totals"] = [totals if i == 0 else [0.0] * TOTALS for i in range(len(rows))]
+    return frame
 
-def _total(counts: DataFrame, model: Model, of_shard, size: int) -> np.ndarray:
-    """The sum of an array over all buckets: in each partition, then in a few tasks, then here; the array has a fixed size."""
 
-    def each(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        yield pd.DataFrame({"total": [sum((of_shard(s) for s in _shards(frames, model)), np.zeros(size)).tobytes()]})
+def _introduced(model: Model):
+    """First messages: hashes, customers, and one table for each pair that has customers. Totals: pairs of one and of two customers."""
 
-    def again(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        yield pd.DataFrame({"total": [sum((np.frombuffer(x) for f in frames for x in f["total"]), np.zeros(size)).tobytes()]})
+    def introduce(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            for b, blobs in zip(frame["bucket"], frame["blobs"]):
+                block, sides = Block(blobs), []
+                ones, customers = block.sums((block.counts > 0).astype(np.int64)), block.sums(block.counts)
+                for hashes, tables, each in zip((block.words, block.names), ones, customers):
+                    packers = [lambda a, h=hashes: _planes(h[a]), lambda a, t=tables: _packed(t[a]), lambda a, c=each: _packed(c[a])]
+                    sides.append((_part(hashes, model.grid**2), packers))
+                once, twice = float((block.counts == 1).sum()), float((block.counts == 2).sum())
+                yield _messages(_asked(model, int(b), sides), [once, twice, 0.0, 0.0, 0.0, 0.0])
+
+    return introduce
 
-    rows = counts.mapInPandas(each, "total binary").repartition(4).mapInPandas(again, "total binary").collect()
-    return sum((np.frombuffer(r["total"]) for r in rows), np.zeros(size))
 
+def _gaps(places: np.ndarray) -> np.ndarray:
+    return np.diff(places, prepend=0)
 
-def train(counts: DataFrame, how: Settings) -> Model:
-    empty = Model(how, 0, 0, np.zeros(how.contexts), (0.5, 0.5))
 
-    def first(s: Shard) -> np.ndarray:
-        each = np.bincount(s.contexts, weights=s.counts, minlength=how.contexts)
-        ones = [(s.counts == 1).sum(), (s.counts == 2).sum(), (s.pairs == 1).sum(), (s.pairs == 2).sum()]
-        return np.concatenate([each, s.sums(), [len(s.words)], ones])
+def _first_answers(group: pd.DataFrame) -> pd.DataFrame:
+    """To each block of a range: the place of its items among all, their customers, tables of all contexts, and in the root one table.
 
-    sums = _total(counts, empty, first, 2 * how.contexts + 7)
-    customers, rest = sums[: how.contexts], sums[how.contexts :]
-    tables, (root_customers, root_tables, words, n1, n2, m1, m2) = rest[: how.contexts], rest[how.contexts :]
+    Totals: customers and tables of the root, distinct words, tokens, words with one and with two customers in the root.
+    """
+    side = int(group["side"].iloc[0])
+    asked = [_hashes(blobs[0]) for blobs in group["blobs"]]
+    every = np.unique(np.concatenate(asked))
+    places = [np.searchsorted(every, hashes) for hashes in asked]
+    tables, customers = np.zeros(len(every), dtype=np.int64), np.zeros(len(every), dtype=np.int64)
+    for at, blobs in zip(places, group["blobs"]):
+        tables[at] += _unpacked(blobs[1])
+        customers[at] += _unpacked(blobs[2])
+    root = np.minimum(tables, 1)
+    rows = [(b, side, p, [_packed(x) for x in (_gaps(at), customers[at], tables[at], root[at])]) for b, p, at in zip(group["bucket"], group["part"], places)]
+    totals = [tables.sum(), root.sum(), (customers > 0).sum(), customers.sum(), (tables == 1).sum(), (tables == 2).sum()]
+    return _messages(rows, [float(t) for t in totals] if side == WORDS else [0.0] * TOTALS)
+
+
+def _answers(model: Model, sweep: int):
+    def answer(group: pd.DataFrame) -> pd.DataFrame:
+        """To each block of a range: tables of all contexts, and those of the root, which are drawn here."""
+        side, part = int(group["side"].iloc[0]), int(group["part"].iloc[0])
+        places = [np.cumsum(_unpacked(blobs[0])) for blobs in group["blobs"]]
+        tables = np.zeros(max(int(at[-1]) for at in places) + 1, dtype=np.int64)
+        for at, blobs in zip(places, group["blobs"]):
+            tables[at] += _unpacked(blobs[1])
+        if side == WORDS:
+            random = np.random.default_rng((model.how.seed, 1 << 40, part, sweep))
+            root = seated(tables, np.full(len(tables), model.new(sweep - 1)), model.discounts[0], stirling(model.discounts[0]), random)
+        else:
+            root = np.zeros_like(tables)
+        rows = [(b, side, part, [_packed(tables[at]), _packed(root[at])]) for b, at in zip(group["bucket"], places)]
+        return _messages(rows, [float(tables.sum()), float(root.sum()), *[0.0] * 4] if side == WORDS else [0.0] * TOTALS)
+
+    return answer
+
+
+def _swept(model: Model, sweep: int):
+    """Every dish of a block is seated anew; the sums of its words and contexts are sent, its own tables are kept beside them."""
+
+    def sweep_block(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for (b,), group in whole_groups(frames, ["bucket"]):
+            heard = lambda kind: [(s, x) for k, s, x in zip(group["kind"], group["side"], group["blobs"]) if k == kind]  # noqa: E731, B023
+            block = Block(group["blobs"].iloc[0])
+            first = block.listen(heard(1))
+            (words, roots), (tables, _) = block.listen(heard(2)) if sweep > 1 else [first[WORDS][2:], first[CONTEXTS][2:]]
+            own = block.seat(model, int(b), sweep, (words, roots), tables)
+            sides = []
+            for hashes, (gaps, *_), sums in zip((block.words, block.names), first, block.sums(own)):
+                sides.append((_part(hashes, model.grid**2), [lambda a, g=gaps: _packed(g[a]), lambda a, t=sums: _packed(t[a])]))
+            yield _messages([*_asked(model, int(b), sides), (int(b), OWN, 0, [_packed(own)])], [0.0] * TOTALS)
+
+    return sweep_block
+
+
+def _totals(rows: DataFrame) -> list[float]:
+    return [x or 0.0 for x in rows.agg(*[F.sum(F.col("totals")[i]) for i in range(TOTALS)]).first()]
+
+
+def _rows(rows: DataFrame, kind: int) -> DataFrame:
+    """Rows of one kind as blocks get them."""
+    place = [F.col(c) if c in rows.columns else F.lit(0).alias(c) for c in ("side", "part")]
+    return rows.select("bucket", F.lit(kind).alias("kind"), *place, "blobs")
+
+
+def _meeting(tables: list[DataFrame], buckets: int) -> DataFrame:
+    met = tables[0]
+    for more in tables[1:]:
+        met = met.unionByName(more)
+    return met.repartition(buckets, "bucket").sortWithinPartitions("bucket", "kind", "side", "part")
+
+
+def train(blocks: DataFrame, how: Settings, grid: int) -> tuple[Model, list[DataFrame]]:
+    """The model's numbers, and all that a block needs for the chances of its pairs, as rows in the order of their kinds.
+
+    A sweep seats all blocks at once with the answers of the sweep before. Each block then sends the tables of its words and its
+    contexts to the range of hashes where these are summed, and gets the sums over all blocks back.
+    """
+    model, buckets = Model(how, grid), grid * grid
+    sent = saved(blocks.mapInPandas(_introduced(model), MESSAGES), "introduced")
+    first = saved(sent.groupBy("side", "part").applyInPandas(_first_answers, MESSAGES), "first-answers")
+    n1, n2, *_ = _totals(sent)
+    customers, tables, words, tokens, m1, m2 = _totals(first)
     # The share of dishes seen once, against those seen twice, gives the discount; kept off the ends.
     discount = lambda once, twice: float(min(max(once / max(once + 2 * twice, 1), 0.05), 0.95))
-    model = Model(how, int(words), int(customers.sum()), customers, (discount(m1, m2), discount(n1, n2)))
-    model.states.append(State(tables, root_customers, root_tables))
+    model = Model(how, grid, int(words), int(tokens), (discount(m1, m2), discount(n1, n2)), [(customers, tables)])
+    kept, last = [_rows(blocks, 0), _rows(first, 1)], None
     for k in range(1, how.burn_in + how.samples + 1):
+        met = [_rows(blocks, 0), _rows(first, 1), *([_rows(last, 2)] if last is not None else [])]
+        sent = saved(_meeting(met, buckets).mapInPandas(_swept(model, k), MESSAGES), "swept")
+        last = saved(sent.where(F.col("side") != OWN).groupBy("side", "part").applyInPandas(_answers(model, k), MESSAGES), "answers")
+        model.roots.append(tuple(_totals(last)[:2]))
+        if k > how.burn_in:
+            kept += [_rows(last, 2 * k), _rows(sent.where(F.col("side") == OWN), 2 * k + 1)]
+    return model, kept
 
-        def after(s: Shard, sweeps: int = k) -> np.ndarray:
-            for _ in range(sweeps):
-                s.sweep()
-            return s.sums()
 
-        sums = _total(counts, model, after, how.contexts + 2)
-        model.states.append(State(sums[:-2], sums[-2], sums[-1]))
-    return model
+class Scorer:
+    """log10 chances of the pairs of one block, averaged over the kept seatings, and the count of each word."""
 
+    def __init__(self, model: Model, rows: dict[int, list[tuple[int, list[bytes]]]]):
+        self.block = block = Block(rows[0][0][1])
+        first = block.listen(rows[1])
+        total, kept = np.zeros(len(block.counts)), range(model.how.burn_in + 1, model.how.burn_in + model.how.samples + 1)
+        for k in kept:
+            (words, roots), (tables, _) = block.listen(rows[2 * k])
+            total += block.chances(model, k, _unpacked(rows[2 * k + 1][0][1][0]), (words, roots), tables, first[CONTEXTS][1])
+        self.chance, self.seen = np.log10(total / len(kept)), first[WORDS][1]
+        self.keys = block.of_word * len(block.names) + block.contexts
 
-class Scorer:
-    """log10 chances of pairs of one bucket, averaged over the kept seatings."""
-
-    def __init__(self, shard: Shard | None, model: Model):
-        self.shard, self.model, self.samples = shard, model, []
-        for k in range(1, model.how.burn_in + model.how.samples + 1):
-            if shard is not None:
-                shard.sweep()
-            if k > model.how.burn_in:
-                kept = (shard.tables, model.root(shard.root_customers, shard.root_tables, model.states[k])) if shard is not None else None
-                self.samples.append((model.states[k], kept))
-        if shard is not None:
-            self.keys = shard.of_word * model.how.contexts + shard.contexts
-
-    def chances(self, words: np.ndarray, contexts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """For each pair: the average chance, and the word's count in training."""
-        model = self.model
-        known, place = np.zeros(len(words), dtype=bool), np.zeros(len(words), dtype=np.int64)
-        if self.shard is not None:
-            place = np.minimum(np.searchsorted(self.shard.words, words), len(self.shard.words) - 1)
-            known = self.shard.words[place] == words
-            key = place * model.how.contexts + contexts
-            pair = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
-            seen = known & (self.keys[pair] == key)
-        total = np.zeros(len(words))
-        d, s = model.discounts[1], model.how.strengths[1]
-        for state, kept in self.samples:
-            parent = np.full(len(words), model.root(np.zeros(1), np.zeros(1), state)[0])
-            own = np.zeros(len(words))
-            if kept is not None:
-                parent[known] = kept[1][place[known]]
-                own[seen] = self.shard.counts[pair[seen]] - d * kept[0][pair[seen]]
-            total += (own + (s + d * state.tables[contexts]) * parent) / (s + model.customers[contexts])
-        counts = np.where(known, self.shard.totals[place], 0) if self.shard is not None else np.zeros(len(words), dtype=np.int64)
-        return total / max(len(self.samples), 1), counts
+    def pairs(self, words: np.ndarray, pairs: np.ndarray, names: np.ndarray, contexts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Of each pair of a piece: its log chance, and the word's count in training. A block has every pair of every text."""
+        place = np.repeat(np.searchsorted(self.block.words, words), pairs)
+        at = np.searchsorted(self.keys, place * len(self.block.names) + np.searchsorted(self.block.names, names)[contexts])
+        return self.chance[at], self.seen[place]
+
+
+#: Comes after all rows of a block.
+TEXTS = 1 << 20
 
 
-def _sent(buckets: int, contexts: int):
-    """Pieces by bucket. Every document has an end token, so the bucket of that token alone carries the ids of a piece."""
+def _sent(grid: int):
+    """Pieces by block. The first row of a piece carries the ids of its documents."""
 
     def send(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         part, row = TaskContext.get().partitionId(), 0
         for frame in frames:
-            ids = frame["doc_id"]
-            for begin, end, piece in _pieces(frame["text"].tolist(), contexts):
+            ids, texts = frame["doc_id"], frame["text"].tolist()
+            for begin, end in _runs(texts):
                 rows = []
-                for b, p in _cut(piece, buckets):
+                for b, p in _cut(texts[begin:end], grid):
                     named, docs = np.unique(p.docs, return_inverse=True)
-                    place = np.searchsorted(p.words, np.uint64(END))
-                    ends = place < len(p.words) and p.words[place] == np.uint64(END)
-                    rows.append(
-                        (b, 1, p.words.tobytes(), _packed(p.pairs_of_word), _packed(p.contexts), _packed(p.counts), _packed(p.entries_of_pair),
-                         _packed(docs), _packed(named), (part << 32) + row, ids.iloc[begin:end].tolist() if ends else None)
-                    )
+                    numbers = [_packed(x) for x in (p.contexts, p.counts, p.entries, docs, named)]
+                    blobs = [_planes(p.words), _packed(p.pairs), _planes(p.names), *numbers]
+                    rows.append((b, TEXTS, 0, 0, blobs, (part << 32) + row, None if rows else ids.iloc[begin:end].tolist()))
                 row += end - begin
-                yield pd.DataFrame(rows, columns=["bucket", "kind", "words", "pairs", "contexts", "counts", "entries", "docs", "rows", "piece", "ids"])
+                yield pd.DataFrame(rows, columns=["bucket", "kind", "side", "part", "blobs", "piece", "ids"])
 
     return send
 
 
 def _scored(model: Model):
     def score(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        scorer, bucket = None, None
+        scorer, bucket, rows = None, None, {}
         floor = math.log10(model.train_tokens + model.vocabulary + 1)
         for frame in frames:
             for r in frame.itertuples(index=False):
-                if r.kind == 0 or r.bucket != bucket:
-                    bucket = r.bucket
-                    scorer = Scorer(Shard(model, int(r.bucket), (r.words, r.pairs, r.contexts, r.counts)) if r.kind == 0 else None, model)
-                if r.kind == 0:
+                if r.bucket != bucket:
+                    scorer, bucket, rows = None, r.bucket, {}
+                if r.kind != TEXTS:
+                    rows.setdefault(r.kind, []).append((r.side, r.blobs))
                     continue
-                words = np.repeat(np.frombuffer(r.words, dtype=np.uint64), _unpacked(r.pairs))
-                chance, seen = scorer.chances(words, _unpacked(r.contexts))
-                entries, docs, counts = _unpacked(r.entries), _unpacked(r.docs), _unpacked(r.counts)
-                rows = _unpacked(r.rows)
-                total = lambda values: np.bincount(docs, weights=counts * np.repeat(values, entries), minlength=len(rows))  # noqa: E731, B023
-                sums = [total(x) for x in (np.ones(len(seen)), seen > 0, np.log10(seen + 1) - floor, np.log10(chance))]
-                yield pd.DataFrame([(r.piece, r.bucket, r.rows, np.concatenate(sums).tobytes(), r.ids)], columns=["piece", "bucket", "rows", "sums", "ids"])
+                if scorer is None:
+                    scorer, rows = Scorer(model, rows), {}
+                words, pairs, names = _hashes(r.blobs[0]), _unpacked(r.blobs[1]), _hashes(r.blobs[2])
+                contexts, counts, entries, docs, named = map(_unpacked, r.blobs[3:])
+                chance, seen = scorer.pairs(words, pairs, names, contexts)
+                total = lambda values: np.bincount(docs, weights=counts * np.repeat(values, entries), minlength=len(named))  # noqa: E731, B023
+                sums = [total(x) for x in (np.ones(len(seen)), seen > 0, np.log10(seen + 1) - floor, chance)]
+                yield pd.DataFrame([(r.piece, r.bucket, r.blobs[7], np.concatenate(sums).tobytes(), r.ids)], columns=["piece", "bucket", "rows", "sums", "ids"])
 
     return score
 
@@ -418,30 +506,29 @@ def _added(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 def text_scores(docs: DataFrame, learn: Column, how: Settings = Settings(), id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """doc_id, n_tokens, n_known, train_tokens, base_score and score (log10 probability) of every row, learning from those that `learn` names.
 
-    Tokens are filed by ranges of word hashes. A bucket has all counts of its words, so the seatings of its dishes need no
-    other bucket; what crosses buckets is the tables of each context, an array of fixed size that is summed after every sweep. All
-    buckets seat their dishes at once, with the sums of the sweep before. Words are told apart by 64-bit hashes. The documents'
-    tokens meet the counts in their bucket piece by piece, so a word of very many documents needs no more memory than another.
+    Every previous word has a restaurant of its own, told apart by 64-bit hashes as words are, so contexts grow with the texts. Pairs
+    of a word and its context are filed in a grid of blocks, ranges of word hashes by ranges of context hashes: the dishes of a frequent
+    word are spread over a row of blocks, those of a frequent context over a column. What crosses blocks are the tables of words and of
+    contexts, summed in tables of their own after every sweep; the driver sees six numbers. All blocks seat their dishes at once, with the
+    sums of the sweep before. A block has the pairs of all texts, those of no training text with a count of none, so every pair that is
+    to be scored finds its context and its word there. The texts' tokens then meet the blocks piece by piece.
 
     A null or empty text is its end token alone. Each row is scored by itself, repeated rows and ids alike; a null id is given back.
     `learn` false or null keeps a row out of training. Without training rows words are equally likely. Other columns are not looked at.
     """
     plain = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).alias("text"), F.coalesce(learn, F.lit(False)).alias("learn"))
     size = plain.agg(F.sum(F.coalesce(F.octet_length("text"), F.lit(0)) / 6 + 1)).first()[0] or 0
-    buckets = int(min(max(8, math.ceil(size / BUCKET)), 1 << 20))
-    columns = "bucket int, words binary, pairs binary, contexts binary, counts binary"
-    counts = saved(
-        plain.where("learn").mapInPandas(_counted(buckets, how.contexts), columns).repartition(buckets, "bucket").mapInPandas(_summed, columns), "counts"
-    )
-    model = train(counts, how)
-    more = {"entries": "binary", "docs": "binary", "rows": "binary", "piece": "long", "ids": "array<string>"}
+    grid = int(min(max(3, math.ceil(math.sqrt(size / BLOCK))), 1 << 10))
+    buckets = grid * grid
+    columns = "bucket int, blobs array<binary>"
+    counted = plain.select("text", "learn").mapInPandas(_counted(grid), columns)
+    blocks = saved(counted.repartition(buckets, "bucket").mapInPandas(_summed, columns), "blocks")
+    model, rows = train(blocks, how, grid)
     # Ids travel as text: beside nulls pandas would make 64-bit numbers inexact.
-    sent = plain.withColumn("doc_id", F.col("doc_id").cast("string")).mapInPandas(
-        _sent(buckets, how.contexts), columns.replace("bucket int,", "bucket int, kind int,") + "".join(f", {name} {kind}" for name, kind in more.items())
-    )
-    shards = counts.withColumns({"kind": F.lit(0), **{name: F.lit(None).cast(kind) for name, kind in more.items()}})
-    met = shards.unionByName(sent).repartition(buckets, "bucket").sortWithinPartitions("bucket", "kind")
-    # One row for a piece and bucket, not for a document and bucket; a bucket has at most one part of a piece.
+    sent = plain.select(F.col("doc_id").cast("string").alias("doc_id"), "text").mapInPandas(_sent(grid), f"{ROWS}, piece long, ids array<string>")
+    more = {"piece": F.lit(None).cast("long"), "ids": F.lit(None).cast("array<string>")}
+    met = _meeting([*(r.withColumns(more) for r in rows), sent], buckets)
+    # One row for a piece and block, not for a document and block; a block has at most one part of a piece.
     parts = met.mapInPandas(_scored(model), "piece long, bucket int, rows binary, sums binary, ids array<string>")
     whole = parts.repartition(buckets, "piece").sortWithinPartitions("piece", "bucket").mapInPandas(
         _added, "doc_id string, n_tokens long, n_known long, base_score double, score double"

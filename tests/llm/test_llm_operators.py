@@ -347,47 +347,82 @@ def test_language_model_counts_base_and_chances(docs, texts):
     assert all(r.score < 0 for r in found)
 
 
-def test_chances_of_a_context_sum_to_one(spark):
+def test_a_known_word_is_likelier_than_an_unseen_one(spark):
     rng = random.Random(8)
     vocabulary = [word(rng) for _ in range(12)]
     texts = [" ".join(rng.choice(vocabulary) for _ in range(rng.randint(0, 40))) for _ in range(60)]
-    rows = [(i, t) for i, t in enumerate(texts)]
     seen = sorted({w for t in texts for w in t.split()})
-    before = "a b " + seen[0]
-    rows += [(1000 + k, f"{before} {w}") for k, w in enumerate([*seen, "never-seen"])] + [(2000, before)]
-    table = spark.createDataFrame(rows, "doc_id long, text string")
-    how = language_model.Settings(contexts=8)
-    found = {r.doc_id: r for r in language_model.text_scores(table, F.col("doc_id") < 1000, how).collect()}
-    # The chance of `before` without its end, from documents that add one word each: a word and then the end.
-    counts = language_model.Settings(contexts=8)
-    assert counts == how and len(found) == len(rows)
-    model_rows = [found[1000 + k].score for k in range(len(seen) + 1)]
-    assert all(math.isfinite(x) for x in model_rows)
-    assert found[1000].score > found[1000 + len(seen)].score  # a known word is likelier than an unseen one
-
-
-def test_the_seating_keeps_each_restaurant_a_distribution():
-    how = language_model.Settings(contexts=4, strengths=(1.0, 2.0))
-    rng = np.random.default_rng(0)
-    words = np.sort(rng.integers(1, 2**63, 30, dtype=np.uint64))
-    pairs = np.full(30, 4)
-    contexts, counts = np.tile(np.arange(4), 30), rng.integers(1, 200, 120)
-    blob = (words.tobytes(), language_model._packed(pairs), language_model._packed(contexts), language_model._packed(counts))
-    customers = np.bincount(contexts, weights=counts, minlength=4)
-    model = language_model.Model(how, 30, int(counts.sum()), customers, (0.4, 0.7))
-    first = language_model.Shard(model, 0, blob).sums()
-    model.states.append(language_model.State(first[:4], first[4], first[5]))
-    for k in range(1, 4):
-        shard = language_model.Shard(model, 0, blob)
-        for _ in range(k):
-            shard.sweep()
-        assert ((shard.tables >= 1) & (shard.tables <= shard.counts)).all()
-        sums = shard.sums()
-        model.states.append(language_model.State(sums[:4], sums[4], sums[5]))
-    scorer = language_model.Scorer(language_model.Shard(model, 0, blob), model)
-    for context in range(4):
-        chance, seen = scorer.chances(np.append(words, np.uint64(5)), np.full(31, context))
-        assert chance.sum() == pytest.approx(1) and (seen[:-1] > 0).all() and seen[-1] == 0
+    rows = list(enumerate(texts)) + [(1000 + k, f"{seen[0]} {w}") for k, w in enumerate([*seen, "never-seen"])]
+    found = {r.doc_id: r.score for r in language_model.text_scores(spark.createDataFrame(rows, "doc_id long, text string"), F.col("doc_id") < 1000).collect()}
+    assert len(found) == len(rows) and all(math.isfinite(x) for x in found.values())
+    assert all(found[1000 + k] > found[1000 + len(seen)] for k in range(len(seen)))
+
+
+def test_a_word_depends_on_the_one_before_it_alone(spark):
+    """Many more previous words than any table of fixed size would tell apart; each is always followed by its own next word."""
+    rows = [(i, " ".join(f"a{j} b{j}" for j in range(i * 50, i * 50 + 50))) for i in range(400)] * 3
+    asked = [(10_000 + i, f"a{i * 50} b{i * 50}") for i in range(400)] + [(20_000 + i, f"a{i * 50} b{(i * 50 + 7) % 20_000}") for i in range(400)]
+    table = spark.createDataFrame(rows + asked, "doc_id long, text string")
+    found = {r.doc_id: r.score for r in language_model.text_scores(table, F.col("doc_id") < 10_000).where("doc_id >= 10000").collect()}
+    # log10: the right word is a hundred times as likely as another one after the same word, for each of them.
+    assert min(found[10_000 + i] - found[20_000 + i] for i in range(400)) > 2
+
+
+def test_blocks_of_texts_count_every_pair(texts):
+    some, grid = [t for _, t in texts], 3
+    expected = Counter()
+    for i, t in enumerate(some):
+        w = [language_model.START, *language_model.word_hashes(t).tolist(), language_model.END]
+        expected.update((x, c, i) for c, x in zip(w, w[1:]))
+    found, blocks = Counter(), []
+    for b, p in language_model._cut(some, grid):
+        blocks.append(b)
+        words, contexts = np.repeat(np.repeat(p.words, p.pairs), p.entries), np.repeat(p.names[p.contexts], p.entries)
+        found.update(dict(zip(zip(words.tolist(), contexts.tolist(), p.docs.tolist()), p.counts.tolist())))
+        assert {w * 9 // 2**64 // 3 * 3 + c * 9 // 2**64 // 3 for w, c in zip(words.tolist(), contexts.tolist())} == {b}
+    assert found == expected and sorted(set(blocks)) == sorted(blocks)
+
+
+def test_a_long_text_is_a_run_of_its_own():
+    long = "x" * (6 * language_model.PIECE)
+    assert list(language_model._runs(["a", None, long, "b", "c"])) == [(0, 2), (2, 3), (3, 5)]
+    assert list(language_model._runs([])) == [] and list(language_model._runs([""])) == [(0, 1)]
+    assert list(language_model._runs([""] * 70_000)) == [(0, 65_536), (65_536, 70_000)]
+
+
+def test_packed_numbers_come_back():
+    for values in ([], [0], [3, 255], [256, 1, 70_000], [2**40, 5]):
+        assert language_model._unpacked(language_model._packed(np.array(values, dtype=np.int64))).tolist() == values
+    hashes = np.array([1, 2**63, 2**64 - 1], dtype=np.uint64)
+    assert (language_model._hashes(language_model._planes(hashes)) == hashes).all()
+
+
+def test_the_seating_keeps_each_restaurant_a_distribution(spark):
+    how, rng, grid = language_model.Settings(strengths=(1.0, 2.0)), np.random.default_rng(0), 2
+    words, names = (np.sort(rng.integers(1, 2**64 - 1, n, dtype=np.uint64)) for n in (31, 5))
+    counts = rng.integers(0, 200, (31, 5))
+    counts[7] = 0  # a word that no training text has stands for all unseen ones
+    rows, strip = [], lambda hashes: language_model._part(hashes, grid * grid) // grid
+    for i in range(grid):
+        for j in range(grid):
+            w, c = np.flatnonzero(strip(words) == i), np.flatnonzero(strip(names) == j)
+            numbers = [np.full(len(w), len(c)), np.tile(np.arange(len(c)), len(w)), counts[w][:, c].ravel()]
+            pairs, contexts, each = map(language_model._packed, numbers)
+            rows.append((i * grid + j, [language_model._planes(words[w]), pairs, language_model._planes(names[c]), contexts, each]))
+    model, kept = language_model.train(spark.createDataFrame(rows, "bucket int, blobs array<binary>"), how, grid)
+    assert (model.vocabulary, model.train_tokens) == ((counts.sum(axis=1) > 0).sum(), counts.sum())
+    chance = Counter()
+    for b in range(grid * grid):
+        heard = {}
+        for r in sorted((r for t in kept for r in t.where(F.col("bucket") == b).collect()), key=lambda r: (r.kind, r.side, r.part)):
+            heard.setdefault(r.kind, []).append((r.side, r.blobs))
+        scorer = language_model.Scorer(model, heard)
+        for k in (2, 3):
+            own = language_model._unpacked(heard[2 * k + 1][0][1][0])
+            assert ((own >= np.minimum(scorer.block.counts, 1)) & (own <= scorer.block.counts)).all()
+        for c, x in zip(scorer.block.names[scorer.block.contexts].tolist(), scorer.chance.tolist()):
+            chance[c] += 10**x
+    assert sorted(chance) == names.tolist() and all(x == pytest.approx(1) for x in chance.values())
 
 
 def test_drawn_tables_follow_the_chinese_restaurant():
