@@ -18,15 +18,18 @@ from millrace.llm.words import saved, whole_groups, word_hashes
 #: The token after the last word, and what stands before the first; no word holds white space.
 END, START = xxhash.xxh64_intdigest(b"\n"), xxhash.xxh64_intdigest(b" ")
 #: Tokens that are sorted together before they are sent.
-PIECE = 1_500_000
+PIECE = 2_500_000
 #: Tokens for which one block is planned.
 BLOCK = 4_000_000
+#: Pairs that a task adds to those of a block before it merges them.
+LOOSE = 1_000_000
 #: Customers of one dish up to which the tables are drawn from exact probabilities.
 EXACT = 64
 #: Where messages are about words, about contexts, or are a block's own tables.
 WORDS, CONTEXTS, OWN = 0, 1, 2
 ROWS = "bucket int, kind int, side int, part int, blobs array<binary>"
-TOTALS = 6
+#: Numbers of a message for the driver.
+TOTALS = 8
 
 
 @dataclass(frozen=True)
@@ -89,22 +92,33 @@ def _cut(texts: list, grid: int) -> Iterator[tuple[int, Piece]]:
     """The counts of the texts, block by block. A block is a range of word hashes and one of context hashes."""
     each = [np.append(word_hashes(text), np.uint64(END)) for text in texts]
     sizes = np.array([len(x) for x in each])
-    distinct, place = np.unique(np.concatenate([*each, np.array([START], dtype=np.uint64)]), return_inverse=True)
-    place = place.astype(np.uint64)
+    tokens = np.concatenate([*each, np.array([START], dtype=np.uint64)])
+    del each
+    distinct, place = np.unique(tokens, return_inverse=True)
+    place = place.astype(np.uint32)
     before = np.concatenate([place[-1:], place[:-2]])
     before[np.cumsum(sizes)[:-1]] = place[-1]
     wide, deep = np.uint64(len(distinct).bit_length()), np.uint64(len(texts).bit_length())
-    key = (place[:-1] << (wide + deep)) | (before << deep) | np.repeat(np.arange(len(texts), dtype=np.uint64), sizes)
+    key = place[:-1].astype(np.uint64)
+    del tokens, place
+    key <<= wide
+    key |= before
+    key <<= deep
+    key |= np.repeat(np.arange(len(texts), dtype=np.uint64), sizes)
+    del before
     key.sort()
     first = _firsts(key)
-    counts, key = np.diff(np.append(first, len(key))), key[first]
-    docs, pair = (key & ((np.uint64(1) << deep) - np.uint64(1))).astype(np.int64), key >> deep
+    counts, key = np.diff(np.append(first, len(key))).astype(np.uint32), key[first]
+    docs, pair = (key & ((np.uint64(1) << deep) - np.uint64(1))).astype(np.uint32), key >> deep
+    del key, first
     begins = _firsts(pair)
     entries, pair = np.diff(np.append(begins, len(pair))), pair[begins]
-    words, contexts = (pair >> wide).astype(np.int64), (pair & ((np.uint64(1) << wide) - np.uint64(1))).astype(np.int64)
+    words, contexts = (pair >> wide).astype(np.uint32), (pair & ((np.uint64(1) << wide) - np.uint64(1))).astype(np.uint32)
+    del pair
     strip = _part(distinct, grid * grid) // grid
     block = strip[words] * grid + strip[contexts]
-    order = np.argsort(block.astype(np.min_scalar_type(grid * grid)), kind="stable")
+    block = block.astype(np.min_scalar_type(grid * grid))
+    order = np.argsort(block, kind="stable")
     edges = np.append(_firsts(block[order]), len(order))
     for a, z in zip(edges, edges[1:]):
         own = order[a:z]
@@ -175,8 +189,9 @@ def _summed(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             part = _opened(blobs)
             held.setdefault(b, []).append(part)
             loose[b] = loose.get(b, 0) + len(part[3])
-            if len(held[b]) > 1 and loose[b] > max(BLOCK, len(held[b][0][3])):
-                held[b], loose[b] = [_merged(held[b])], 0
+            if len(held[b]) > 1 and loose[b] > max(LOOSE, 2 * len(held[b][0][3])):
+                held[b] = [_merged(held[b])]
+                loose[b] = len(held[b][0][3])
     for b in list(held):
         words, pairs, names, contexts, counts = _merged(held.pop(b))
         yield pd.DataFrame([(b, [_planes(words), _packed(pairs), _planes(names), _packed(contexts), _packed(counts)])], columns=["bucket", "blobs"])
@@ -230,8 +245,8 @@ def seated(customers: np.ndarray, chance: np.ndarray, discount: float, ways: np.
     order = np.argsort(few, kind="stable")
     bounds = np.searchsorted(few[order], np.arange(2, EXACT + 2))
     for c, begin, end in zip(range(2, EXACT + 1), bounds, bounds[1:]):
-        for start in range(begin, end, 1 << 18):
-            some = order[start : min(end, start + (1 << 18))]
+        for start in range(begin, end, (1 << 20) // c):
+            some = order[start : min(end, start + (1 << 20) // c)]
             weights = ways[c, 1 : c + 1] + log_chance[some, None] * np.arange(1, c + 1)
             weights = np.cumsum(np.exp(weights - weights.max(axis=1, keepdims=True)), axis=1)
             tables[some] = 1 + (weights < random.random(len(some))[:, None] * weights[:, -1:]).sum(axis=1)
@@ -253,15 +268,11 @@ class Block:
     def __init__(self, blobs: list[bytes]):
         self.words, self.pairs, self.names, self.contexts, self.counts = _opened(blobs)
         self.begins = np.cumsum(self.pairs) - self.pairs
-        self.of_word = np.repeat(np.arange(len(self.words)), self.pairs)
-
-    def listen(self, answers: list[tuple[int, list[bytes]]]) -> list[list[np.ndarray]]:
-        """The answers about words and about contexts, in the order of their hashes: each blob joined over the ranges."""
-        return [[np.concatenate([_unpacked(b) for b in blobs]) for blobs in zip(*(blobs for s, blobs in answers if s == side))] for side in (WORDS, CONTEXTS)]
+        self.of_word = np.repeat(np.arange(len(self.pairs)), self.pairs)
 
     def sums(self, tables: np.ndarray) -> list[np.ndarray]:
         """Of a value of each pair: the sum of each word, and of each context."""
-        return [np.add.reduceat(tables, self.begins), np.bincount(self.contexts, weights=tables, minlength=len(self.names)).astype(np.int64)]
+        return [np.add.reduceat(tables, self.begins), np.bincount(self.contexts, weights=tables).astype(np.int64)]
 
     def seat(self, model: Model, bucket: int, sweep: int, words: tuple[np.ndarray, np.ndarray], tables: np.ndarray) -> np.ndarray:
         """Tables of each pair, drawn from the root's customers and tables of each word and the tables of each context after the sweep before."""
@@ -276,7 +287,12 @@ class Block:
         return (self.counts - d * own + (s + d * tables[self.contexts]) * parent) / (s + customers[self.contexts])
 
 
-def _asked(model: Model, bucket: int, sides: list[tuple[np.ndarray, list[Callable[[slice], bytes]]]]) -> list[tuple]:
+def _heard(answers: list[tuple[int, list[bytes]]]) -> list[list[np.ndarray]]:
+    """The answers about words and about contexts, in the order of their hashes: each blob joined over the ranges."""
+    return [[np.concatenate([_unpacked(b) for b in blobs]) for blobs in zip(*(blobs for s, blobs in answers if s == side))] for side in (WORDS, CONTEXTS)]
+
+
+def _asked(bucket: int, sides: list[tuple[np.ndarray, list[Callable[[slice], bytes]]]]) -> list[tuple]:
     """Messages of a block: for each side the range of each item, and what packs a run of items. One for each range that has items."""
     rows = []
     for side, (ranges, packers) in enumerate(sides):
@@ -306,7 +322,7 @@ def _introduced(model: Model):
                     packers = [lambda a, h=hashes: _planes(h[a]), lambda a, t=tables: _packed(t[a]), lambda a, c=each: _packed(c[a])]
                     sides.append((_part(hashes, model.grid**2), packers))
                 once, twice = float((block.counts == 1).sum()), float((block.counts == 2).sum())
-                yield _messages(_asked(model, int(b), sides), [once, twice, 0.0, 0.0, 0.0, 0.0])
+                yield _messages([(int(b), OWN, int(b), []), *_asked(int(b), sides)], [once, twice, *[0.0] * 6])
 
     return introduce
 
@@ -318,9 +334,11 @@ def _gaps(places: np.ndarray) -> np.ndarray:
 def _first_answers(group: pd.DataFrame) -> pd.DataFrame:
     """To each block of a range: the place of its items among all, their customers, tables of all contexts, and in the root one table.
 
-    Totals: customers and tables of the root, distinct words, tokens, words with one and with two customers in the root.
+    Totals: pairs of one and of two customers, customers and tables of the root, words, tokens, words of one and of two customers in the root.
     """
     side = int(group["side"].iloc[0])
+    if side == OWN:
+        return group
     asked = [_hashes(blobs[0]) for blobs in group["blobs"]]
     every = np.unique(np.concatenate(asked))
     places = [np.searchsorted(every, hashes) for hashes in asked]
@@ -331,7 +349,7 @@ def _first_answers(group: pd.DataFrame) -> pd.DataFrame:
     root = np.minimum(tables, 1)
     rows = [(b, side, p, [_packed(x) for x in (_gaps(at), customers[at], tables[at], root[at])]) for b, p, at in zip(group["bucket"], group["part"], places)]
     totals = [tables.sum(), root.sum(), (customers > 0).sum(), customers.sum(), (tables == 1).sum(), (tables == 2).sum()]
-    return _messages(rows, [float(t) for t in totals] if side == WORDS else [0.0] * TOTALS)
+    return _messages(rows, [0.0, 0.0, *map(float, totals)] if side == WORDS else [0.0] * TOTALS)
 
 
 def _answers(model: Model, sweep: int):
@@ -348,7 +366,7 @@ def _answers(model: Model, sweep: int):
         else:
             root = np.zeros_like(tables)
         rows = [(b, side, part, [_packed(tables[at]), _packed(root[at])]) for b, at in zip(group["bucket"], places)]
-        return _messages(rows, [float(tables.sum()), float(root.sum()), *[0.0] * 4] if side == WORDS else [0.0] * TOTALS)
+        return _messages(rows, [float(tables.sum()), float(root.sum()), *[0.0] * 6] if side == WORDS else [0.0] * TOTALS)
 
     return answer
 
@@ -358,15 +376,16 @@ def _swept(model: Model, sweep: int):
 
     def sweep_block(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for (b,), group in whole_groups(frames, ["bucket"]):
-            heard = lambda kind: [(s, x) for k, s, x in zip(group["kind"], group["side"], group["blobs"]) if k == kind]  # noqa: E731, B023
+            heard = lambda kind: _heard([(s, x) for k, s, x in zip(group["kind"], group["side"], group["blobs"]) if k == kind])  # noqa: E731, B023
             block = Block(group["blobs"].iloc[0])
-            first = block.listen(heard(1))
-            (words, roots), (tables, _) = block.listen(heard(2)) if sweep > 1 else [first[WORDS][2:], first[CONTEXTS][2:]]
+            (words, roots), (tables, _) = heard(2)
             own = block.seat(model, int(b), sweep, (words, roots), tables)
             sides = []
-            for hashes, (gaps, *_), sums in zip((block.words, block.names), first, block.sums(own)):
-                sides.append((_part(hashes, model.grid**2), [lambda a, g=gaps: _packed(g[a]), lambda a, t=sums: _packed(t[a])]))
-            yield _messages([*_asked(model, int(b), sides), (int(b), OWN, 0, [_packed(own)])], [0.0] * TOTALS)
+            for side, (gaps,), sums in zip((WORDS, CONTEXTS), heard(1), block.sums(own)):
+                places = group[(group["kind"] == 1) & (group["side"] == side)]
+                ranges = np.repeat(places["part"].to_numpy(), [len(_unpacked(x[0])) for x in places["blobs"]])
+                sides.append((ranges, [lambda a, g=gaps: _packed(g[a]), lambda a, t=sums: _packed(t[a])]))
+            yield _messages([*_asked(int(b), sides), (int(b), OWN, 0, [_packed(own)])], [0.0] * TOTALS)
 
     return sweep_block
 
@@ -375,10 +394,11 @@ def _totals(rows: DataFrame) -> list[float]:
     return [x or 0.0 for x in rows.agg(*[F.sum(F.col("totals")[i]) for i in range(TOTALS)]).first()]
 
 
-def _rows(rows: DataFrame, kind: int) -> DataFrame:
-    """Rows of one kind as blocks get them."""
+def _rows(rows: DataFrame, kind: int, *blobs: int | None) -> DataFrame:
+    """Rows of one kind as blocks get them, with those of their blobs that are named; None stands for an empty one."""
     place = [F.col(c) if c in rows.columns else F.lit(0).alias(c) for c in ("side", "part")]
-    return rows.select("bucket", F.lit(kind).alias("kind"), *place, "blobs")
+    some = F.array(*(F.lit(b"") if i is None else F.col("blobs")[i] for i in blobs)) if blobs else F.col("blobs")
+    return rows.select("bucket", F.lit(kind).alias("kind"), *place, some.alias("blobs"))
 
 
 def _meeting(tables: list[DataFrame], buckets: int) -> DataFrame:
@@ -395,21 +415,21 @@ def train(blocks: DataFrame, how: Settings, grid: int) -> tuple[Model, list[Data
     contexts to the range of hashes where these are summed, and gets the sums over all blocks back.
     """
     model, buckets = Model(how, grid), grid * grid
-    sent = saved(blocks.mapInPandas(_introduced(model), MESSAGES), "introduced")
-    first = saved(sent.groupBy("side", "part").applyInPandas(_first_answers, MESSAGES), "first-answers")
-    n1, n2, *_ = _totals(sent)
-    customers, tables, words, tokens, m1, m2 = _totals(first)
+    first = saved(blocks.mapInPandas(_introduced(model), MESSAGES).groupBy("side", "part").applyInPandas(_first_answers, MESSAGES), "first-answers")
+    n1, n2, customers, tables, words, tokens, m1, m2 = _totals(first)
+    first = first.where(F.col("side") != OWN)
     # The share of dishes seen once, against those seen twice, gives the discount; kept off the ends.
     discount = lambda once, twice: float(min(max(once / max(once + 2 * twice, 1), 0.05), 0.95))
     model = Model(how, grid, int(words), int(tokens), (discount(m1, m2), discount(n1, n2)), [(customers, tables)])
-    kept, last = [_rows(blocks, 0), _rows(first, 1)], None
+    kept, last = [_rows(blocks, 0), _rows(first, 1, 1)], _rows(first, 2, 2, 3)
     for k in range(1, how.burn_in + how.samples + 1):
-        met = [_rows(blocks, 0), _rows(first, 1), *([_rows(last, 2)] if last is not None else [])]
+        met = [_rows(blocks, 0, None, 1, None, 3, 4), _rows(first, 1, 0), last]
         sent = saved(_meeting(met, buckets).mapInPandas(_swept(model, k), MESSAGES), "swept")
-        last = saved(sent.where(F.col("side") != OWN).groupBy("side", "part").applyInPandas(_answers(model, k), MESSAGES), "answers")
-        model.roots.append(tuple(_totals(last)[:2]))
+        answers = saved(sent.where(F.col("side") != OWN).groupBy("side", "part").applyInPandas(_answers(model, k), MESSAGES), "answers")
+        model.roots.append(tuple(_totals(answers)[:2]))
+        last = _rows(answers, 2)
         if k > how.burn_in:
-            kept += [_rows(last, 2 * k), _rows(sent.where(F.col("side") == OWN), 2 * k + 1)]
+            kept += [_rows(answers, 2 * k), _rows(sent.where(F.col("side") == OWN), 2 * k + 1)]
     return model, kept
 
 
@@ -418,12 +438,12 @@ class Scorer:
 
     def __init__(self, model: Model, rows: dict[int, list[tuple[int, list[bytes]]]]):
         self.block = block = Block(rows[0][0][1])
-        first = block.listen(rows[1])
+        (self.seen,), (customers,) = _heard(rows[1])
         total, kept = np.zeros(len(block.counts)), range(model.how.burn_in + 1, model.how.burn_in + model.how.samples + 1)
         for k in kept:
-            (words, roots), (tables, _) = block.listen(rows[2 * k])
-            total += block.chances(model, k, _unpacked(rows[2 * k + 1][0][1][0]), (words, roots), tables, first[CONTEXTS][1])
-        self.chance, self.seen = np.log10(total / len(kept)), first[WORDS][1]
+            (words, roots), (tables, _) = _heard(rows[2 * k])
+            total += block.chances(model, k, _unpacked(rows[2 * k + 1][0][1][0]), (words, roots), tables, customers)
+        self.chance = np.log10(total / len(kept))
         self.keys = block.of_word * len(block.names) + block.contexts
 
     def pairs(self, words: np.ndarray, pairs: np.ndarray, names: np.ndarray, contexts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -509,7 +529,7 @@ def text_scores(docs: DataFrame, learn: Column, how: Settings = Settings(), id_c
     Every previous word has a restaurant of its own, told apart by 64-bit hashes as words are, so contexts grow with the texts. Pairs
     of a word and its context are filed in a grid of blocks, ranges of word hashes by ranges of context hashes: the dishes of a frequent
     word are spread over a row of blocks, those of a frequent context over a column. What crosses blocks are the tables of words and of
-    contexts, summed in tables of their own after every sweep; the driver sees six numbers. All blocks seat their dishes at once, with the
+    contexts, summed in tables of their own after every sweep; the driver sees eight numbers. All blocks seat their dishes at once, with the
     sums of the sweep before. A block has the pairs of all texts, those of no training text with a count of none, so every pair that is
     to be scored finds its context and its word there. The texts' tokens then meet the blocks piece by piece.
 
