@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import zlib
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 from functools import lru_cache
@@ -18,7 +19,7 @@ from millrace.llm.words import saved, whole_groups, word_hashes
 #: The token after the last word, and what stands before the first; no word holds white space.
 END, START = xxhash.xxh64_intdigest(b"\n"), xxhash.xxh64_intdigest(b" ")
 #: Tokens that are sorted together before they are sent.
-PIECE = 2_500_000
+PIECE = 1_200_000
 #: Tokens for which one block is planned.
 BLOCK = 4_000_000
 #: Pairs that a task adds to those of a block before it merges them.
@@ -43,12 +44,12 @@ class Settings:
 
 
 def _planes(values: np.ndarray) -> bytes:
-    """The lowest bytes of all values, then the next ones: sorted or small numbers compress well so."""
-    return values.view(np.uint8).reshape(-1, values.itemsize).T.tobytes()
+    """The lowest bytes of all values, then the next ones, compressed: what sorted or small numbers have in common lies side by side."""
+    return zlib.compress(values.view(np.uint8).reshape(-1, values.itemsize).T.tobytes(), 1)
 
 
 def _joined(blob: bytes, kind: np.dtype, offset: int = 0) -> np.ndarray:
-    return np.ascontiguousarray(np.frombuffer(blob, dtype=np.uint8, offset=offset).reshape(kind.itemsize, -1).T).view(kind).ravel()
+    return np.ascontiguousarray(np.frombuffer(zlib.decompress(memoryview(blob)[offset:]), dtype=np.uint8).reshape(kind.itemsize, -1).T).view(kind).ravel()
 
 
 def _packed(values: np.ndarray) -> bytes:
@@ -397,7 +398,7 @@ def _totals(rows: DataFrame) -> list[float]:
 def _rows(rows: DataFrame, kind: int, *blobs: int | None) -> DataFrame:
     """Rows of one kind as blocks get them, with those of their blobs that are named; None stands for an empty one."""
     place = [F.col(c) if c in rows.columns else F.lit(0).alias(c) for c in ("side", "part")]
-    some = F.array(*(F.lit(b"") if i is None else F.col("blobs")[i] for i in blobs)) if blobs else F.col("blobs")
+    some = F.array(*(F.lit(_planes(np.zeros(0, dtype=np.uint64))) if i is None else F.col("blobs")[i] for i in blobs)) if blobs else F.col("blobs")
     return rows.select("bucket", F.lit(kind).alias("kind"), *place, some.alias("blobs"))
 
 
@@ -495,7 +496,8 @@ def _scored(model: Model):
                 chance, seen = scorer.pairs(words, pairs, names, contexts)
                 total = lambda values: np.bincount(docs, weights=counts * np.repeat(values, entries), minlength=len(named))  # noqa: E731, B023
                 sums = [total(x) for x in (np.ones(len(seen)), seen > 0, np.log10(seen + 1) - floor, chance)]
-                yield pd.DataFrame([(r.piece, r.bucket, r.blobs[7], np.concatenate(sums).tobytes(), r.ids)], columns=["piece", "bucket", "rows", "sums", "ids"])
+                blobs = [r.blobs[7], *(_packed(x.astype(np.int64)) for x in sums[:2]), *(x.tobytes() for x in sums[2:])]
+                yield pd.DataFrame([(r.piece, r.bucket, blobs, r.ids)], columns=["piece", "bucket", "blobs", "ids"])
 
     return score
 
@@ -514,10 +516,11 @@ def _added(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 if piece is not None:
                     yield scores()
                 piece, sums, ids = r.piece, np.zeros((4, 0)), None
-            rows = _unpacked(r.rows)
+            rows = _unpacked(r.blobs[0])
             if rows[-1] >= sums.shape[1]:
                 sums = np.pad(sums, ((0, 0), (0, int(rows[-1]) + 1 - sums.shape[1])))
-            sums[:, rows] += np.frombuffer(r.sums).reshape(4, -1)
+            sums[:2, rows] += [_unpacked(x) for x in r.blobs[1:3]]
+            sums[2:, rows] += [np.frombuffer(x) for x in r.blobs[3:]]
             ids = r.ids if r.ids is not None else ids
     if piece is not None:
         yield scores()
@@ -549,7 +552,7 @@ def text_scores(docs: DataFrame, learn: Column, how: Settings = Settings(), id_c
     more = {"piece": F.lit(None).cast("long"), "ids": F.lit(None).cast("array<string>")}
     met = _meeting([*(r.withColumns(more) for r in rows), sent], buckets)
     # One row for a piece and block, not for a document and block; a block has at most one part of a piece.
-    parts = met.mapInPandas(_scored(model), "piece long, bucket int, rows binary, sums binary, ids array<string>")
+    parts = met.mapInPandas(_scored(model), "piece long, bucket int, blobs array<binary>, ids array<string>")
     whole = parts.repartition(buckets, "piece").sortWithinPartitions("piece", "bucket").mapInPandas(
         _added, "doc_id string, n_tokens long, n_known long, base_score double, score double"
     )
