@@ -8,6 +8,7 @@ from __future__ import annotations
 import hashlib
 from collections import Counter
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pandas as pd
@@ -161,21 +162,29 @@ def _ranked(order: np.ndarray, key: np.ndarray) -> np.ndarray:
     return rank
 
 
-def maximal_repeats(places: np.ndarray, common: np.ndarray, left: np.ndarray, least: int) -> Iterator[tuple[int, int, int]]:
+Nested = dict[tuple[int, int], tuple[int, int]]
+
+
+def maximal_repeats(places: np.ndarray, common: np.ndarray, left: np.ndarray, least: int, nested: Nested) -> Iterator[tuple[int, int, int]]:
     """(place, length, group) from the tree of common-prefix intervals of at least `least` bytes.
 
     `places` are in suffix order, common[i] is what places[i] shares with the one before, left[i] the byte before it, or a value of
     its own where the text is cut. An interval all of whose places follow the same byte can be extended to the left, and
     is no maximal repeat; its places go up to the interval that holds it. Each place is given with the longest maximal repeat
-    that it starts; a repeat's occurrences are its own places and those of the intervals inside it. A group is named by its first row.
+    that it starts; a repeat's occurrences are its own places and those of the repeats inside it, of which `nested` learns: it gets the
+    repeat around each one. Repeats are named by their first row and length there, and by their first row in what is given.
     """
-    open_nodes: list[list] = []  # length, first position, left byte or None if several, places that wait for a maximal repeat
+    open_nodes: list[list] = []  # length, first position, left byte or None if several, places and repeats that wait for a maximal repeat
 
     def close(node: list) -> Iterator[tuple[int, int, int]]:
         if node[2] is None:
+            name = (node[1], node[0])
             for p in node[3]:
-                yield int(places[p]), node[0], node[1]
-            node[3] = []
+                if isinstance(p, tuple):
+                    nested[p] = name
+                else:
+                    yield int(places[p]), node[0], node[1]
+            node[3] = [name]
 
     total = len(places)
     for i in range(1, total + 1):
@@ -207,9 +216,13 @@ def _absorb(outer: list, inner: list) -> None:
         outer[2] = None
 
 
-def repeated_places(parts: list[bytes], owned: list[int], least: int, kind: type = np.uint8) -> Iterator[tuple[int, int, int, int]]:
+def repeated_places(
+    parts: list[bytes], owned: list[int], least: int, kind: type = np.uint8, nested: Nested | None = None
+) -> Iterator[tuple[int, int, int, tuple[int, int]]]:
     """(part, start, length, group) of the maximal repeats of at least `least` units that begin in the first owned[p] units of the parts.
 
+    A group is named by a number and its length before it is cut at the end of a part; `nested` gets the group around each one.
+
     The parts hold UTF-8 or hashes of words; a unit that neither has stands between them, and no length runs over it.
     """
     width = np.dtype(kind).itemsize
@@ -236,9 +249,12 @@ def repeated_places(parts: list[bytes], owned: list[int], least: int, kind: type
     left = np.where(start_of[places] == 0, -1 - np.arange(len(places)), raw[places - 1].astype(np.int64))
     for begin, end in runs.tolist():
         some = slice(begin - 1, end)
-        for place, length, group in maximal_repeats(places[some], shared[some], left[some], least):
+        inside: Nested = {}
+        for place, length, group in maximal_repeats(places[some], shared[some], left[some], least, inside):
             part = part_of[place]
-            yield int(part), int(start_of[place]), min(length, int(sizes[part] - 1 - start_of[place])), begin - 1 + group
+            yield int(part), int(start_of[place]), min(length, int(sizes[part] - 1 - start_of[place])), (begin - 1 + group, length)
+        if nested is not None:
+            nested.update(((begin - 1 + a, x), (begin - 1 + b, y)) for (a, x), (b, y) in inside.items())
 
 
 def _sharing(parts: list[bytes], spots: list[int], window: int, width: int) -> list[bool]:
@@ -264,11 +280,11 @@ def _sharing(parts: list[bytes], spots: list[int], window: int, width: int) -> l
     return [any(seen[k] > 1 for k in own) for own in keys]
 
 
-def _groups(frames: Iterator[pd.DataFrame]) -> Iterator[list[tuple]]:
-    """(seed, d1, d2, part, spot) of the surroundings of one seed after another, from rows in the order of seeds."""
+def _groups(frames: Iterator[pd.DataFrame], columns: tuple[str, ...] = ("seed", "d1", "d2", "part", "spot")) -> Iterator[list[tuple]]:
+    """The `columns` of the surroundings of one seed after another, from rows in the order of seeds, which is the first column."""
     own: list[tuple] = []
     for frame in frames:
-        for row in zip(*(frame[c].tolist() for c in ("seed", "d1", "d2", "part", "spot"))):
+        for row in zip(*(frame[c].tolist() for c in columns)):
             if own and own[0][0] != row[0]:
                 yield own
                 own = []
@@ -310,6 +326,59 @@ def _rows(names: list[tuple], parts: list[bytes], window: int, kind: type) -> pd
     return pd.DataFrame(rows, columns=["seed", "d1", "d2", "start", "length"])
 
 
+#: Rows about an occurrence, about a group within another one, about a group within none.
+PLACED, INNER, OUTER = 0, 1, 2
+GROUPS = "what int, seed long, d1 long, d2 long, start int, length int, g1 long, g2 long, p1 long, p2 long"
+
+
+def _group_rows(names: list[tuple], parts: list[bytes], window: int, kind: type) -> Iterator[tuple]:
+    """Occurrences and groups among surroundings of one seed. names: seed, digest, and whether the surrounding itself lies at several places."""
+    width, nested = np.dtype(kind).itemsize, {}
+    found = list(repeated_places(parts, [len(p) // width - window + 1 for p in parts], window, kind, nested))
+    at: dict[tuple[int, int], tuple[int, int]] = {}
+    for p, start, _, group in found:
+        at.setdefault(group, (p, start))
+    for inner, outer in nested.items():  # the innermost come first
+        at.setdefault(outer, at[inner])
+    strings = {g: parts[p][start * width : (start + g[1]) * width] for g, (p, start) in at.items()}
+    digests = {g: _digest(x) for g, x in strings.items()}
+    for g, x in strings.items():
+        around = digests.get(nested.get(g))
+        if around is None:
+            yield OUTER, 0, 0, 0, 0, len(x) // width, *digests[g], 0, 0
+        elif around != digests[g]:
+            yield INNER, 0, 0, 0, 0, len(x) // width, *digests[g], *around
+    begun = {}
+    for p, start, _, g in found:
+        if start == 0 and names[p][3]:
+            begun[p] = digests[g]
+        else:
+            yield PLACED, *names[p][:3], start, 0, *digests[g], 0, 0
+    for p, (*name, whole) in enumerate(names):
+        if whole:  # the longest that begins there
+            own, around = tuple(name[1:]), begun.get(p)
+            yield PLACED, *name, 0, 0, *own, 0, 0
+            if around is None:
+                yield OUTER, 0, 0, 0, 0, len(parts[p]) // width, *own, 0, 0
+            elif around != own:
+                yield INNER, 0, 0, 0, 0, len(parts[p]) // width, *own, *around
+
+
+def _grouped(window: int, kind: type):
+    """The groups of each seed, whose surroundings are no more than a task may hold."""
+
+    def group(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        width = np.dtype(kind).itemsize
+        for rows in _groups(frames, ("seed", "d1", "d2", "whole", "part", "spot")):
+            sharing = _sharing([r[4] for r in rows], [r[5] for r in rows], window, width)
+            rows = [r for r, shares in zip(rows, sharing) if shares or r[3]]
+            found = _group_rows([r[:4] for r in rows], [r[4] for r in rows], window, kind) if rows else iter(())
+            while some := list(islice(found, 100_000)):
+                yield pd.DataFrame(some, columns=[c.split()[0] for c in GROUPS.split(", ")])
+
+    return group
+
+
 def _united(ranges: list[tuple[int, int]]) -> list[tuple[int, int]]:
     """The union of [first, end) ranges as disjoint ones that do not touch, in order."""
     out: list[tuple[int, int]] = []
@@ -341,19 +410,8 @@ def _text_keys() -> list[Column]:
     return [F.xxhash64("text").alias("text_key"), F.xxhash64(F.lit(1), F.col("text")).alias("text_check")]
 
 
-def repeat_spans(
-    docs: DataFrame, text_column: str = "text", window: int = 400, surroundings: int = SURROUNDINGS, kind: type = np.uint8
-) -> DataFrame:
-    """(text_key, text_check, spans) of each text that shares a string of `window` units with any other place; spans are [first, end) units.
-
-    Units are bytes, or for np.uint64 the words between white space, case and all.
-
-    The two keys are 128 bits of hash of the text. Every window is filed under its smallest seed; a run of windows with one seed and the bytes
-    around it is one row. Rows with equal bytes are one class, reduced before the shuffle: a class of several places repeats
-    throughout. Only where a seed has several classes are their bytes gathered, one place for each class, and a suffix array with
-    its common-prefix intervals gives the maximal repeats. A seed with more classes than `surroundings` has its windows
-    counted by 128-bit hashes instead, so that no task has to hold them together.
-    """
+def _gathered(docs: DataFrame, text_column: str, window: int, kind: type) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Every run of windows, the classes of equal ones that may repeat, and one surrounding of each class that is not alone under its seed."""
     plain = docs.select(F.col(text_column).alias("text")).where("text is not null").select(*_text_keys(), "text")
     schema = "text_key long, text_check long, seed long, d1 long, d2 long, first int, starts int, spot int"
     anchors = saved(plain.mapInPandas(_anchors(window, kind), schema), "anchors")
@@ -368,6 +426,24 @@ def repeat_spans(
     texts = plain.join(places.select(*TEXT), TEXT, "left_semi").groupBy(*TEXT).agg(F.first("text").alias("text"))
     cut = texts.join(places, TEXT).mapInPandas(_surroundings(window, kind), "seed long, d1 long, d2 long, part binary")
     parts = saved(cut.join(wanted.select(*same, "spot", "classes"), same), "parts")
+    return anchors, classes, parts
+
+
+def repeat_spans(
+    docs: DataFrame, text_column: str = "text", window: int = 400, surroundings: int = SURROUNDINGS, kind: type = np.uint8
+) -> DataFrame:
+    """(text_key, text_check, spans) of each text that shares a string of `window` units with any other place; spans are [first, end) units.
+
+    Units are bytes, or for np.uint64 the words between white space, case and all.
+
+    The two keys are 128 bits of hash of the text. Every window is filed under its smallest seed; a run of windows with one seed and the bytes
+    around it is one row. Rows with equal bytes are one class, reduced before the shuffle: a class of several places repeats
+    throughout. Only where a seed has several classes are their bytes gathered, one place for each class, and a suffix array with
+    its common-prefix intervals gives the maximal repeats. A seed with more classes than `surroundings` has its windows
+    counted by 128-bit hashes instead, so that no task has to hold them together.
+    """
+    same = ["seed", "d1", "d2"]
+    anchors, classes, parts = _gathered(docs, text_column, window, kind)
     found = (
         parts.where(F.col("classes") <= surroundings)
         .drop("classes")
@@ -393,6 +469,55 @@ def repeat_spans(
     return spans.groupBy(*TEXT).agg(F.flatten(F.collect_set("spans")).alias("spans"))
 
 
+def repeat_groups(
+    docs: DataFrame, text_column: str = "text", window: int = 400, surroundings: int = SURROUNDINGS, kind: type = np.uint8
+) -> tuple[DataFrame, DataFrame]:
+    """(groups, occurrences) of the maximal repeats of at least `window` units; what they cover is what `repeat_spans` gives.
+
+    groups: group_key, group_check (128 bits of hash of the repeated string), length, and around_key, around_check of the longest group
+    that is a proper beginning of it, null if none is. occurrences: text_key, text_check, first, and the longest group that begins
+    there. A group occurs at its own places and those of all groups within it, so rows grow with the places and not with their
+    nesting. A text of several rows has its occurrences once for each.
+
+    A repeat is maximal among the windows of one smallest seed: where the seed changes within a longer repeat, the next group goes on.
+    All places of a string have the same seed, so none is missing. Under a seed with more classes than `surroundings` the groups are
+    the repeated windows and the surroundings that repeat whole. Null, empty and short texts have no occurrences.
+    """
+    same = ["seed", "d1", "d2"]
+    anchors, classes, parts = _gathered(docs, text_column, window, kind)
+    whole = classes.select(*same, (F.col("n") > 1).alias("whole"))
+    compared = (
+        parts.where(F.col("classes") <= surroundings)
+        .join(whole, same)
+        .repartition("seed")
+        .sortWithinPartitions(*same)
+        .mapInPandas(_grouped(window, kind), GROUPS)
+    )
+    compared = saved(compared, "groups")
+    alone = classes.where((F.col("classes") == 1) | (F.col("classes") > surroundings)).where("n > 1")
+    alone = alone.select(*same, F.lit(0).alias("start"), (F.col("at.starts") + (window - 1)).alias("length"), F.col("d1").alias("g1"), F.col("d2").alias("g2"))
+    crowded = parts.where(F.col("classes") > surroundings).drop("classes")
+    hashed = crowded.mapInPandas(_window_hashes(window, np.dtype(kind).itemsize), "seed long, d1 long, d2 long, start int, w1 long, w2 long")
+    often = hashed.groupBy("w1", "w2").count().where("count > 1").select("w1", "w2")
+    counted = hashed.join(often, ["w1", "w2"]).select(*same, "start", F.lit(window).alias("length"), F.col("w1").alias("g1"), F.col("w2").alias("g2"))
+    # A surrounding that repeats begins with a window that may be a group too: the longer one is named at the place, the other lies around it.
+    begun = counted.join(alone.select(*same, "start"), [*same, "start"], "left_anti")
+    window_at = counted.where("start = 0").select(*same, F.col("g1").alias("p1"), F.col("g2").alias("p2"))
+    longer = F.col("length") > window
+
+    name = [F.col("g1").alias("group_key"), F.col("g2").alias("group_check")]
+    inner = F.col("what") == INNER
+    around = [F.when(inner, F.col(c)).alias(a) for c, a in (("p1", "around_key"), ("p2", "around_check"))]
+    none = [F.lit(None).cast("long").alias(a) for a in ("around_key", "around_check")]
+    groups = compared.where(F.col("what") != PLACED).select(*name, "length", *around)
+    found = [F.when(longer, F.col(c)).alias(a) for c, a in (("p1", "around_key"), ("p2", "around_check"))]
+    groups = groups.unionByName(alone.join(window_at, same, "left").select(*name, "length", *found)).unionByName(counted.select(*name, "length", *none))
+    places = compared.where(F.col("what") == PLACED).select(*same, "start", "g1", "g2")
+    for rows in (alone, begun):
+        places = places.unionByName(rows.select(*same, "start", "g1", "g2"))
+    return groups.distinct(), anchors.join(places, same).select(*TEXT, (F.col("first") + F.col("start")).alias("first"), *name)
+
+
 def _merged_ranges(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """A class has few ranges after this, as its windows overlap; each place of it repeats them."""
     for frame in frames:
