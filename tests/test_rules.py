@@ -70,3 +70,19 @@ def test_requests_are_counted_by_family(spark, tmp_path):
     lines = spark.createDataFrame([("Googlebot",), ("Googlebot",), ("abot",), ("x",), (None,)], "value string")
     found = requests_by_family(lines, read_rules(spark, str(tmp_path / "rules")))
     assert {r.family: r.requests for r in found.collect()} == {"Google": 2, "Bots": 1, "Other": 1}
+
+
+def test_no_texts_are_broadcast_however_small_they_look(spark, plan):
+    texts = spark.createDataFrame([(f"{'word ' * 40}{at}",) for at in range(50)], "agent string")
+    frame = families_by_rules(texts, spark.createDataFrame([(1, "one", ["word 7"])], RULE), "agent")
+    shown = plan(frame)
+    assert "SortMergeJoin" in shown and "Broadcast" not in shown
+    assert {r.agent for r in frame.collect() if r.family == "one"} == {f"{'word ' * 40}7"}
+
+
+def test_only_the_first_of_rules_with_the_same_parts_meets_texts(spark):
+    counts = spark.createDataFrame([("abc", 2), ("xyz", 9)], "gram string, count long")
+    rules = [(at, f"f{at}", ["xyz", "abc"] if at % 2 else ["abc", "", "xyz", "abc"]) for at in range(1, 500)] + [(1, "e", ["abc", "xyz"])]
+    found = table_rules._filed(spark.createDataFrame(rules, RULE), counts).collect()
+    assert [(r.position, r.family, r.gram) for r in found] == [(1, "e", "abc")]
+    assert named(spark, ["abcxyz", "abc"], rules) == {"abcxyz": "e", "abc": "Other"}
