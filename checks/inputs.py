@@ -279,7 +279,7 @@ AIRPORTS_SQL = """
     WHERE s_nationkey <> 3"""
 
 
-def reading_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The readings as `key`, `value` messages with their position in the feed."""
+def reading_messages(spark: SparkSession, sf_dir: str, *also: Column) -> DataFrame:
+    """The readings as `key`, `value` messages with their position in the feed, and further columns of theirs."""
     rows = complete(readings(spark, sf_dir), "seq")
-    return rows.select(device_key().alias("key"), record_json().alias("value"), "seq")
+    return rows.select(device_key().alias("key"), record_json().alias("value"), "seq", *also)

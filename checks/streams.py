@@ -19,7 +19,7 @@ from millrace.operators.scoring import score_history
 from millrace.plans.sensors import rejected_messages
 from millrace.session import run_folder
 from millrace.sources.growing import local_path
-from millrace.sources.messages import MESSAGE_SCHEMA, deliver, file_stream, publish, subscribe
+from millrace.sources.messages import MESSAGE_SCHEMA, deliver, file_stream, ordered_feeds, publish, subscribe
 from millrace.sources.sinks import write_lines
 from millrace.streaming.ingest import COUNTERS, ingest_lines, ingest_requests, tail_lines
 from millrace.streaming.scoring import score_message_stream, score_stream, state_after, stored_state
@@ -186,14 +186,26 @@ ENRICHED_SQL = f"""SELECT device_id AS key, prediction, error, anomaly, "predict
     FROM ({MESSAGE_SCORE_SQL})"""
 
 
+def _timed_messages(spark, sf_dir):
+    return inputs.reading_messages(spark, sf_dir, gmt_time("dateGMT", "timeGMT").alias("at"))
+
+
+def _scored_in_order(spark, folder, feeds, **options):
+    """Feeds sent one after another; each is scored before the next one comes, by a query that goes on from the last one's checkpoint.
+
+    Each of `ordered_feeds` fits one trigger, so the rows of a device arrive in time order from trigger to trigger.
+    """
+    for some in feeds:
+        publish(some, f"{folder}/in", "json")
+        stream = score_message_stream(subscribe(spark, f"{folder}/in", "json"), **options)
+        deliver(stream, f"{folder}/out", f"{folder}/checkpoint", "json", once=True).awaitTermination()
+    return spark.read.schema("key string, value string").json(f"{folder}/out")
+
+
 @query("message_score_stream", ENRICHED_SQL)
 def message_score_stream(spark, sf_dir):
     """JSON messages in, enriched JSON messages out under the same keys."""
-    folder = run_folder(spark, "enriched")
-    publish(inputs.reading_messages(spark, sf_dir), f"{folder}/in", "json")
-    stream = score_message_stream(subscribe(spark, f"{folder}/in", "json"))
-    deliver(stream, f"{folder}/out", f"{folder}/checkpoint", "json", once=True).awaitTermination()
-    sent = spark.read.schema("key string, value string").json(f"{folder}/out")
+    sent = _scored_in_order(spark, run_folder(spark, "enriched"), ordered_feeds(_timed_messages(spark, sf_dir)))
     record = sent.select("key", from_json_text("value").alias("r"))
     scores = [F.col(f"r.{name}").alias(name) for name in ("prediction", "error", "anomaly", "predictionNext")]
     return record.select("key", *scores, number("r.sampleMeasurement").alias("value"))
@@ -218,24 +230,15 @@ def message_rejects(spark, sf_dir):
     return spark.read.schema(MESSAGE_SCHEMA).parquet(f"{folder}/out")
 
 
-#: Files of the several triggers; each holds what came at a range of times.
+#: Ranges of times that are scored one after another.
 RANGES = 4
 
 
 @query("message_score_triggers", f"SELECT *, false AS late FROM ({ENRICHED_SQL})")
 def message_score_triggers(spark, sf_dir):
-    """One trigger for each file of a range of times, the state kept between them. A later file must hold no earlier time of a device."""
-    folder = run_folder(spark, "triggers")
-    record = from_json_text("value")
-    messages = inputs.reading_messages(spark, sf_dir).select("key", "value", "seq", record.alias("r"))
-    timed = messages.select("key", "value", "seq", gmt_time("r.dateGMT", "r.timeGMT").cast("long").alias("at"))
-    edges = timed.approxQuantile("at", [i / RANGES for i in range(1, RANGES)], 0.01)
-    part = sum((F.col("at") > edge).cast("int") for edge in edges)
-    for i in range(RANGES):
-        publish(timed.where(part == i).select("key", "value", "seq").coalesce(1), f"{folder}/in", "json")
-    stream = score_message_stream(subscribe(spark, f"{folder}/in", "json", maxBytesPerTrigger="1"))
-    deliver(stream, f"{folder}/out", f"{folder}/checkpoint", "json", once=True).awaitTermination()
-    sent = spark.read.schema("key string, value string").json(f"{folder}/out")
+    """Triggers of one range of times after another, the state kept between them. A later one must hold no earlier time of a device."""
+    feeds = ordered_feeds(_timed_messages(spark, sf_dir), ranges=RANGES)
+    sent = _scored_in_order(spark, run_folder(spark, "triggers"), feeds)
     scores = [F.col(f"r.{name}").alias(name) for name in ("prediction", "error", "anomaly", "predictionNext")]
     late = F.get_json_object("value", "$.late").cast("boolean").alias("late")
     rows = sent.select("key", from_json_text("value").alias("r"), late)
@@ -261,11 +264,8 @@ def observed_stream_counts(spark, sf_dir):
 @query("drifted_message_stream", DRIFTED_SQL)
 def drifted_message_stream(spark, sf_dir):
     """The same messages as a stream."""
-    folder = run_folder(spark, "drifted")
-    publish(drifted(inputs.reading_messages(spark, sf_dir)), f"{folder}/in", "json")
-    stream = score_message_stream(subscribe(spark, f"{folder}/in", "json"), drifting=True)
-    deliver(stream, f"{folder}/out", f"{folder}/checkpoint", "json", once=True).awaitTermination()
-    return drifted_columns(spark.read.schema("key string, value string").json(f"{folder}/out"))
+    feeds = [drifted(some) for some in ordered_feeds(_timed_messages(spark, sf_dir))]
+    return drifted_columns(_scored_in_order(spark, run_folder(spark, "drifted"), feeds, drifting=True))
 
 
 @query(
@@ -292,13 +292,9 @@ def message_stream_every_two_seconds(spark, sf_dir):
 )
 def late_messages(spark, sf_dir):
     """The later half of the messages first, the earlier in a second run: what is older than a scored message of its device says so."""
-    folder = run_folder(spark, "late")
-    messages = inputs.reading_messages(spark, sf_dir)
-    early = F.get_json_object("value", "$.dateGMT") < HALF[:10]
-    for some in (messages.where(~early), messages.where(early)):
-        publish(some, f"{folder}/in", "json")
-        stream = score_message_stream(subscribe(spark, f"{folder}/in", "json"))
-        deliver(stream, f"{folder}/out", f"{folder}/checkpoint", "json", once=True).awaitTermination()
-    sent = spark.read.schema("key string, value string").json(f"{folder}/out")
+    messages = _timed_messages(spark, sf_dir)
+    early = F.col("at") < F.lit(HALF).cast("timestamp")
+    feeds = ordered_feeds(messages.where(~early)) + ordered_feeds(messages.where(early))
+    sent = _scored_in_order(spark, run_folder(spark, "late"), feeds)
     get = lambda name: F.get_json_object("value", f"$.{name}")
     return sent.select("key", get("dateGMT").alias("dateGMT"), get("timeGMT").alias("timeGMT"), get("late").cast("boolean").alias("late"))

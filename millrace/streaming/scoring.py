@@ -63,10 +63,10 @@ def score_frame(readings: pd.DataFrame, state: tuple | None, alpha: float = 1.0)
     times = readings["ts"].to_numpy()
     newest = times.max() if latest is None else max(times.max(), np.datetime64(latest))
     late = np.zeros(count, dtype=bool) if latest is None else times < np.datetime64(latest)
-    # One frame from arrays: adding columns one by one costs more than all the arithmetic above.
-    known = {name: readings[name].to_numpy() for name in readings.columns}
+    # One frame from arrays that are not copied: adding columns one by one costs more than all the arithmetic above.
+    known = {name: readings[name].array for name in readings.columns}
     scores = {"prediction": predictions, "error": error, "anomaly": anomaly, "predictionNext": forecasts, "late": late}
-    scored = pd.DataFrame({**known, **scores})
+    scored = pd.DataFrame({**known, **scores}, copy=False)
     after = (
         int(records + count),
         float(values[-1]),
@@ -102,7 +102,7 @@ class Scorer(StatefulProcessor):
         return score_frame(in_order(rows), state, self.alpha)
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        state = self.score.get() if self.score.exists() else None
+        state = self.score.get()  # None for a new device; asking whether it exists would be one more call to the JVM
         first, second = next(rows), next(rows, None)
         if second is None:
             scored, state = self._scored(first, state)

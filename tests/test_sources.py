@@ -1,3 +1,6 @@
+import datetime as dt
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -5,7 +8,7 @@ from millrace import session
 from millrace.sources import database
 from millrace.plans import weather
 from millrace.sources.database import move_statements, run_in_transaction
-from millrace.sources.messages import publish
+from millrace.sources.messages import ordered_feeds, publish
 from millrace.sources.sinks import append_csv, write_lines
 from millrace.sources.tables import read_lines, read_lookup, read_quoted, read_table, rejected_lookup
 
@@ -157,3 +160,27 @@ def test_weather_tables_and_checks(spark, monkeypatch):
     monkeypatch.setattr(weather, "answer", lambda spark, url, query, properties: asked.append(query))
     weather.check_export(spark, "url", {})
     assert asked == weather.CHECKS
+
+
+@pytest.mark.parametrize("ranges", [1, 3])
+def test_feeds_are_small_and_in_time_order_for_each_key(spark, ranges):
+    """What no trigger takes whole is cut by keys, and a busy key by times."""
+    start, generator = dt.datetime(2024, 1, 1), random.Random(2)
+    rows = [("busy" if at % 2 else f"k{at % 40}", f"v{at}", at, start + dt.timedelta(minutes=generator.randint(0, 5000))) for at in range(2000)]
+    rows += [(None, "no key", 2000, start), ("k1", "no time", 2001, None)]
+    messages = spark.createDataFrame(rows, "key string, value string, seq bigint, at timestamp").repartition(5)
+    feeds = [[tuple(r) for r in feed.collect()] for feed in ordered_feeds(messages, ranges=ranges, rows=150)]
+    assert sorted(sum(feeds, []), key=lambda r: r[2]) == [r[:3] for r in rows] and max(map(len, feeds)) < 250
+    times, latest = {r[2]: r[3] or dt.datetime.min for r in rows}, {}
+    for feed in feeds:
+        for key in {r[0] for r in feed}:
+            known = [times[r[2]] for r in feed if r[0] == key]
+            assert min(known) >= latest.get(key, dt.datetime.min)
+            latest[key] = max(known)
+    assert ranges > 1 or all(sum(r[0] == key for r in feed) in (0, sum(r[0] == key for r in rows)) for feed in feeds for key in ("k2", "k4", None))
+
+
+def test_few_messages_are_one_feed(spark):
+    messages = spark.createDataFrame([("a", "x", 1, dt.datetime(2024, 1, 1))], "key string, value string, seq bigint, at timestamp")
+    assert [feed.columns for feed in ordered_feeds(messages)] == [["key", "value", "seq"]]
+    assert sum(feed.count() for feed in ordered_feeds(messages, ranges=4)) == 1
