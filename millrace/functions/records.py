@@ -45,8 +45,9 @@ def parsed_fields(text: Column | str, *names: str) -> Column:
 
 def drifting_fields(rows: DataFrame, text: str, *names: str) -> DataFrame:
     """`rows` with fields of the JSON object in a column as texts, whatever types they have there; null where there is no object."""
-    parsed = rows.withColumn("_object", F.try_parse_json(text))
-    return parsed.withColumns({name: F.try_variant_get("_object", f"$.{name}", "string") for name in names}).drop("_object")
+    fields = F.struct(*(F.try_variant_get("_object", f"$.{name}", "string").alias(name) for name in names))
+    # As in parsed_fields: filters on the fields stay above the `inline`, which else would parse the text for each mention of one.
+    return rows.withColumn("_object", F.try_parse_json(text)).select(*rows.columns, F.inline(F.array(fields)))
 
 
 def drifting_json(text: Column | str, changed: dict[str, Column]) -> Column:

@@ -378,3 +378,23 @@ def test_a_stream_goes_on_from_a_scored_history(spark, tmp_path):
     spark.createDataFrame([late_row], SCHEMA).write.mode("append").parquet(str(tmp_path / "in"))
     deliver(score_stream(stream, state=state), out, checkpoint, "parquet", once=True).awaitTermination()
     assert [r.seq for r in spark.read.parquet(out).where("late").collect()] == [9999]
+
+
+def test_drifted_messages_are_parsed_once(spark, plan):
+    """They are what they say: 24 fields, 28, or 24 and two that no schema knows."""
+    from checks.jobs import drifted
+
+    rows = spark.range(6).select(F.col("id").cast("string").alias("stateCode"), *(F.lit("x").alias(n) for n in READING_FIELDS[1:]))
+    messages = to_messages(rows).withColumn("seq", F.get_json_object("value", "$.stateCode").cast("bigint")).repartition(2).localCheckpoint()
+    frame = drifted(messages)
+    assert plan(frame).count("from_json(") == 1
+    found = {r.seq: json.loads(r.value) for r in frame.collect()}
+    assert {at: len(fields) for at, fields in found.items()} == {0: 24, 1: 28, 2: 26, 3: 24, 4: 28, 5: 26}
+    assert found[5]["battery"] == 5 and found[5]["tags"] == {"site": "s5"} and found[5]["stateCode"] == "5"
+
+
+def test_filters_on_drifting_fields_do_not_parse(spark, plan):
+    messages = spark.createDataFrame([("k", '{"dateGMT": "2024-01-01", "timeGMT": "00:00", "sampleMeasurement": 1.5, "more": 1}', 1)], "key string, value string, seq bigint")
+    usable = sensors.drifting_readings_of(messages).where(sensors.is_reading())
+    assert plan(usable).count("parse_json(") == 1
+    assert [(r.device_id, r.value) for r in usable.collect()] == [("k", 1.5)]
