@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import math
 import re
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -50,6 +50,17 @@ def cuts(pieces: Iterable[str]) -> re.Pattern:
     return re.compile(rf"\n|{SPACE}*[^{SPACE}\n]+|{SPACE}+")
 
 
+class Counts(dict):
+    """Counts of words; that of a new one is asked for and kept."""
+
+    def __init__(self, new: Callable[[bytes | str], int]):
+        self.new = new
+
+    def __missing__(self, word: bytes | str) -> int:
+        found = self[word] = self.new(word)
+        return found
+
+
 class Trie:
     """Pre-tokens share the nodes of their prefixes; each node keeps the best score of its prefix and the tokens of that split.
 
@@ -59,23 +70,33 @@ class Trie:
 
     def __init__(self, scores: dict[str, float]):
         self.scores = scores
-        self.longest = max(map(len, scores), default=1)
+        #: Lengths of the pieces of more than one character by their last two, the longest first: no other one can end there.
+        lengths: dict[str, set[int]] = {}
+        for piece in scores:
+            if len(piece) > 1:
+                lengths.setdefault(piece[-2:], set()).add(len(piece))
+        self.lengths = {tail: sorted(known, reverse=True) for tail, known in lengths.items()}
+        self.terminal = Counts(self.new)
         self.clear()
 
     def clear(self) -> None:
         self.children: list[dict[str, int]] = [{}]
         self.best: list[tuple[float, int]] = [(0.0, 0)]
-        self.terminal: dict[bytes | str, int] = {}
+        self.terminal.clear()
 
     def count(self, word: bytes | str) -> int:
         """Tokens of a word in UTF-8, before which a space is put, or of a pre-token as it stands."""
-        found = self.terminal.get(word)
-        if found is None:
-            if len(self.best) > NODES or len(self.terminal) > NODES:
-                self.clear()
-            token = word if isinstance(word, str) else SPACE + word.decode("utf-8", "surrogatepass")
-            found = self.terminal[word] = self._insert(token)
-        return found
+        return self.terminal[word]
+
+    def total(self, words: Iterable[bytes | str]) -> int:
+        """Tokens of all of them; those met before cost a lookup and no call."""
+        return sum(map(self.terminal.__getitem__, words))
+
+    def new(self, word: bytes | str) -> int:
+        """The count of a word that has none yet."""
+        if len(self.best) > NODES or len(self.terminal) > NODES:
+            self.clear()
+        return self._insert(word if isinstance(word, str) else SPACE + word.decode("utf-8", "surrogatepass"))
 
     def _insert(self, token: str) -> int:
         path, node = [0], 0
@@ -91,12 +112,18 @@ class Trie:
 
     def _forward(self, token: str, end: int, path: list[int]) -> tuple[float, int]:
         score, tokens = self.best[path[end - 1]]
-        width = len(token[end - 1].encode("utf-8", "surrogatepass"))
-        best = (score + BYTE * width, tokens + width) if token[end - 1] not in self.scores else (-math.inf, 0)
-        for begin in range(max(0, end - self.longest), end):
-            piece = self.scores.get(token[begin:end])
+        single = self.scores.get(token[end - 1])
+        if single is None:
+            width = len(token[end - 1].encode("utf-8", "surrogatepass"))
+            best = (score + BYTE * width, tokens + width)
+        else:
+            best = (score + single, tokens + 1)
+        for length in self.lengths.get(token[end - 2 : end], ()) if end > 1 else ():
+            if length > end:
+                continue
+            piece = self.scores.get(token[end - length : end])
             if piece is not None:
-                score, tokens = self.best[path[begin]]
+                score, tokens = self.best[path[end - length]]
                 if score + piece > best[0] or (score + piece == best[0] and tokens + 1 < best[1]):
                     best = (score + piece, tokens + 1)
         return best
@@ -119,8 +146,8 @@ def token_counts(docs: DataFrame, path: str, id_column: str = "doc_id", text_col
 
         def tokens_of(text: str | None, found: list[bytes]) -> int:
             if not raw:
-                return sum(map(trie.count, found))
-            return sum(map(trie.count, cut.findall(SPACE + text.replace(" ", SPACE)))) if text else 0
+                return trie.total(found)
+            return trie.total(cut.findall(SPACE + text.replace(" ", SPACE))) if text else 0
 
         for frame in frames:
             found = [words(text) for text in frame["text"]]

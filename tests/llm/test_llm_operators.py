@@ -671,3 +671,24 @@ def test_long_texts_of_a_large_cluster_are_compared_in_blocks(spark, monkeypatch
     assert sorted(map(tuple, near_duplicates.near_duplicates(docs).collect())) == whole
     parts = dealt[1].groupBy("cluster", "low", "high").agg(F.sum(F.length("members")).alias("bytes")).collect()
     assert len(parts) > 10 and max(r.bytes for r in parts) < 4 * 50_000
+
+
+def test_only_lengths_that_can_end_there_are_tried():
+    """The best split against all splits, and what the trie knows of the pieces' ends."""
+    scores = {"▁": -3.0, "a": -2.0, "b": -2.5, "ab": -3.1, "bab": -4.0, "▁ab": -2.2, "aab": -3.0}
+    trie = token_counts.Trie(scores)
+    assert trie.lengths == {"ab": [3, 2]}
+
+    def best(token):
+        found = [(0.0, 0)] if not token else []
+        for size in range(1, len(token) + 1):
+            piece = token[-size:]
+            score = scores.get(piece, token_counts.BYTE * len(piece.encode()) if size == 1 else None)
+            if score is not None:
+                before = best(token[:-size])
+                found.append((before[0] + score, before[1] - (1 if piece in scores else len(piece.encode()))))
+        return max(found)
+
+    words = ["▁abab", "▁bab", "aabab", "▁", "b", "▁xéab", "abababb"]
+    assert [trie.count(word) for word in words] == [-best(word)[1] for word in words]
+    assert trie.total(words * 2) == 2 * sum(map(trie.count, words))
