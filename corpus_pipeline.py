@@ -9,11 +9,9 @@ from millrace.llm.mixing import mixed_sources
 from millrace.llm.near_duplicates import Sketching, near_duplicates
 from millrace.llm.quality import quality_scores
 from millrace.llm.queries import MIX, table
-from millrace.llm.repeats import without_repeats
+from millrace.llm.repeats import PASSAGE, without_repeats
 from millrace.llm.words import saved
 
-#: A passage of more than 50 words that occurs elsewhere too is taken out.
-PASSAGE = 51
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 

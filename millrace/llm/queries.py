@@ -85,8 +85,9 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op7_suffix_array_dedup")
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = repeats.without_repeats(table(spark, sf_dir, "documents"))
-    return found.select("row.doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "text")
+    """Strings of 400 bytes go; passages of more than 50 words, most of them shorter than that, are counted beside them and stay."""
+    found = repeats.without_repeats(table(spark, sf_dir, "documents"), marked=repeats.PASSAGE)
+    return found.select("row.doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "text", "n_passages", "n_passage_bytes")
 
 
 #: The vocabulary file of op3.

@@ -27,6 +27,8 @@ ARRAY = 1 << 17
 CUTS = 8
 #: Different surroundings of one seed that one task compares; beyond it every window of them is counted by its hash.
 SURROUNDINGS = 20_000
+#: Words of the shortest passage: more than 50. Most such runs are shorter than 400 bytes.
+PASSAGE = 51
 
 
 def _seeds(raw: np.ndarray) -> np.ndarray:
@@ -526,42 +528,62 @@ def _merged_ranges(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield frame
 
 
-def _removed(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for frame in frames:
-        rows = []
-        for text, spans, runs in zip(frame["text"].tolist(), frame["spans"].tolist(), frame["runs"].tolist()):
-            raw = _encoded(text)
-            taken = [(x["first"], min(x["end"], len(raw))) for x in spans] if spans is not None else []
-            if runs is not None:
-                lies = exact_spans(raw)
-                # Another text of the same key may have more words.
-                taken += [(lies[x["first"]][0], lies[min(x["end"], len(lies)) - 1][1]) for x in runs if x["first"] < len(lies)]
-            united = _united(taken)
-            bounds = [0, *(x for span in united for x in span), len(raw)]
-            kept = b"".join(raw[a:b] for a, b in zip(bounds[::2], bounds[1::2]))
-            whole = kept.decode("utf-8", "ignore") if united else text
-            rows.append((len(raw), sum(b - a for a, b in united), len(united), hashlib.sha256(kept).hexdigest(), whole))
-        yield pd.concat(
-            [frame.drop(columns=["text", "spans", "runs"]), pd.DataFrame(rows, columns=["n_bytes", "n_removed", "n_spans", "kept_sha256", "text"], index=frame.index)], axis=1
-        )
+#: What without_repeats says of each text, and what it says of passages that stay.
+CUT = {"n_bytes": "long", "n_removed": "long", "n_spans": "long", "kept_sha256": "string", "text": "string"}
+MARKED = {"n_passages": "long", "n_passage_bytes": "long"}
+
 
+def _removed(marked: bool):
+    names = [*CUT, *MARKED] if marked else [*CUT]
 
-def without_repeats(docs: DataFrame, text_column: str = "text", window: int = 400, words: int | None = None) -> DataFrame:
+    def remove(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            rows = []
+            for text, spans, runs in zip(frame["text"].tolist(), frame["spans"].tolist(), frame["runs"].tolist()):
+                raw = _encoded(text)
+                taken = [(x["first"], min(x["end"], len(raw))) for x in spans] if spans is not None else []
+                passages = []
+                if runs is not None:
+                    lies = exact_spans(raw)
+                    # Another text of the same key may have more words.
+                    passages = [(lies[x["first"]][0], lies[min(x["end"], len(lies)) - 1][1]) for x in runs if x["first"] < len(lies)]
+                united = _united(taken if marked else taken + passages)
+                bounds = [0, *(x for span in united for x in span), len(raw)]
+                kept = b"".join(raw[a:b] for a, b in zip(bounds[::2], bounds[1::2]))
+                whole = kept.decode("utf-8", "ignore") if united else text
+                row = (len(raw), sum(b - a for a, b in united), len(united), hashlib.sha256(kept).hexdigest(), whole)
+                if marked:
+                    passages = _united(passages)
+                    row += (len(passages), sum(b - a for a, b in passages))
+                rows.append(row)
+            yield pd.concat([frame.drop(columns=["text", "spans", "runs"]), pd.DataFrame(rows, columns=names, index=frame.index)], axis=1)
+
+    return remove
+
+
+def without_repeats(
+    docs: DataFrame, text_column: str = "text", window: int = 400, words: int | None = None, marked: int | None = None
+) -> DataFrame:
     """The rows of `docs`: all its columns under `row`, n_bytes, n_removed, n_spans, kept_sha256 and the remaining `text`.
 
     Every byte covered by a string of `window` bytes that starts at another place too is taken out, in every document that has
     it. A character that loses some of its bytes goes from `text` whole; kept_sha256 is of the bytes. Null and empty texts have 0
     bytes, and a null text stays null. Repeated rows repeat each other: both lose what they share. Ids are not looked at.
     With `words`, every run of so many words that occurs at another place too goes as well, whatever white space parts its
-    words; it goes from the first byte of its first word to the last of its last.
+    words; it goes from the first byte of its first word to the last of its last. With `marked` in its place, such runs stay:
+    n_passages counts them, and n_passage_bytes their bytes, overlapping ones as one.
     """
+    if words and marked:
+        raise ValueError("passages are taken out or marked, not both")
     spans = repeat_spans(docs, text_column, window)
-    if words:
-        runs = repeat_spans(docs, text_column, words, kind=np.uint64).withColumnRenamed("spans", "runs")
+    if words or marked:
+        runs = repeat_spans(docs, text_column, words or marked, kind=np.uint64).withColumnRenamed("spans", "runs")
         spans = spans.join(runs, TEXT, "full")
     else:
         spans = spans.withColumn("runs", F.lit(None).cast("array<struct<first int, end int>>"))
     keyed = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns if c != text_column)).alias("row"), F.col(text_column).alias("text"))
     keyed = keyed.select("row", *_text_keys(), "text")
-    schema = keyed.select("row").schema.add("n_bytes", "long").add("n_removed", "long").add("n_spans", "long").add("kept_sha256", "string").add("text", "string")
-    return keyed.join(spans, TEXT, "left").drop(*TEXT).mapInPandas(_removed, schema)
+    schema = keyed.select("row").schema
+    for name, kind in (CUT | MARKED if marked else CUT).items():
+        schema = schema.add(name, kind)
+    return keyed.join(spans, TEXT, "left").drop(*TEXT).mapInPandas(_removed(bool(marked)), schema)

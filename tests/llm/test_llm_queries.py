@@ -90,6 +90,33 @@ def test_passages_of_more_than_fifty_words_are_taken_out(spark):
     assert 9 not in found and 12 not in found and fifty in found[4] and short not in found[1]
 
 
+def test_op7_counts_passages_shorter_than_its_strings(spark, tmp_path):
+    rng = random.Random(8)
+    own = lambda n: " ".join(f"{rng.randrange(10**6)}" for _ in range(n))
+    passage, fifty, long = (" ".join(rng.choice(["to", "be", "né", "or"]) for _ in range(n)) for n in (55, 50, 300))
+    texts = {
+        1: f"{own(30)} {passage} {own(20)}", 2: f"{own(5)} {passage.replace(' ', chr(10))}", 3: f"{own(40)} {fifty} x", 4: f"{own(9)} {fifty} y",
+        5: f"{long} {own(9)} {long[:-3]}", 6: own(300), 7: "", 8: None, 9: f"{passage} {own(1)} {passage} {own(60)}",
+    }
+    columns = "doc_id long, text string, lang string, source string, n_chars long"
+    spark.createDataFrame([(i, t, "en", "s1", 0) for i, t in texts.items()], columns).write.parquet(f"{tmp_path}/documents.parquet")
+    raws = {i: (t or "").encode() for i, t in texts.items()}
+    lies = {i: [m.span() for m in re.finditer(rb"[^ \t-\r]+", t)] for i, t in raws.items()}
+    runs = {i: [tuple(raws[i][a:b] for a, b in own[k : k + 51]) for k in range(len(own) - 50)] for i, own in lies.items()}
+    seen = Counter(run for own in runs.values() for run in own)
+    expected = {}
+    for i, own in runs.items():
+        marked = {p for k, run in enumerate(own) if seen[run] > 1 for p in range(lies[i][k][0], lies[i][k + 50][1])}
+        expected[i] = (len(raws[i]), sum(p - 1 not in marked for p in marked), len(marked))
+    rows = {r.doc_id: r for r in QUERIES["op7_suffix_array_dedup"](spark, str(tmp_path)).collect()}
+    assert {i: (r.n_bytes, r.n_passages, r.n_passage_bytes) for i, r in rows.items()} == expected
+    assert {i for i, r in rows.items() if r.n_passages} == {1, 2, 5, 9} and {i for i, r in rows.items() if r.n_removed} == {5}
+    assert all(r.text == texts[i] for i, r in rows.items() if i != 5)
+    plain = repeats.without_repeats(spark.read.parquet(f"{tmp_path}/documents.parquet"))
+    own = ["n_removed", "n_spans", "kept_sha256", "text"]
+    assert {r.row.doc_id: [r[c] for c in own] for r in plain.collect()} == {i: [r[c] for c in own] for i, r in rows.items()}
+
+
 def test_crowded_seeds_of_words_are_counted_alike(spark):
     rng = random.Random(6)
     own = lambda n: " ".join(f"{rng.randrange(30)}" for _ in range(n))
