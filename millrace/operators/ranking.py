@@ -6,7 +6,7 @@ first, so a group that holds a large part of all rows costs no more than any oth
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -30,16 +30,27 @@ def best_rows(rows: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
 def best_of_columns(rows: DataFrame, keys: Sequence[str], columns: Sequence[str], name: str, value: str) -> DataFrame:
     """(keys, name, value): every column and row that reaches the group's greatest value of all columns, ties and copies included.
 
-    The same as `best_rows` of the unpivoted columns, from one scan: the greatest of a row needs no
-    group, equal ones are counted on the map side, and only the winners become rows. A null never wins.
+    The same as `best_rows` of the unpivoted columns, from one scan: the greatest of a row needs no group, equal ones are counted,
+    and only the winners become rows. A null never wins.
+
+    Rows are dealt by group and the task that read them, so a large group is spread over all tasks and leaves one row for each. A stated
+    number of partitions is not merged by adaptive execution: compressed rows look small, the tables that aggregate them are not.
     """
-    best_of_row = rows.select(*keys, *columns, F.greatest(*columns).alias("_best"))
-    reached = [F.count_if(F.col(column) == F.col("_best")).alias(column) for column in columns]
-    counted = best_of_row.groupBy(*keys, "_best").agg(*reached)
+    tasks = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    best_of_row = rows.select(*keys, *columns, F.greatest(*columns).alias("_best"), F.spark_partition_id().alias("_from"))
+    reached = [F.col(column).eqNullSafe(F.col("_best")).alias(column) for column in columns]
+    flagged = best_of_row.where(F.col("_best").isNotNull()).select(*keys, "_from", "_best", *reached)
+    of_task = _best_counts(flagged.repartition(tasks, *keys, "_from"), [*keys, "_from"], columns, F.count_if)
+    top = _best_counts(of_task.repartition(tasks, *keys), keys, columns, F.sum)
+    winners = unpivot(top, [*keys, "_best"], columns, name, "_n").where(F.col("_n") > 0)
+    return repeat_rows(winners.select(*keys, name, F.col("_best").alias(value), "_n"), "_n")
+
+
+def _best_counts(rows: DataFrame, keys: Sequence[str], columns: Sequence[str], total: Callable) -> DataFrame:
+    """The greatest `_best` of each group, with the `total` of each of `columns` over the rows that have it."""
+    counted = rows.groupBy(*keys, "_best").agg(*[total(column).alias(column) for column in columns])
     at_top = [F.max_by(column, "_best").alias(column) for column in columns]
-    top = counted.groupBy(*keys).agg(F.max("_best").alias(value), *at_top)
-    winners = unpivot(top, [*keys, value], columns, name, "_n").where(F.col(value).isNotNull() & (F.col("_n") > 0))
-    return repeat_rows(winners.select(*keys, name, value, "_n"), "_n")
+    return counted.groupBy(*keys).agg(F.max("_best").alias("_best"), *at_top)
 
 
 def first_best(
